@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.numeric import quantise
 from quarry.functions.text import letter_share, word_count
 from quarry.operators.affinity import baskets
 from quarry.sources.tables import read_table
@@ -53,7 +54,7 @@ def feature_rows(spark: SparkSession, sf_dir: str, task: str = "classification")
     """Tree inputs from labels ⋈ documents.
 
     classification: y = quality (0/1); regression: y = n_chars (double).
-    letter_share is rounded to 2 digits so candidate thresholds are a
+    letter_share is quantised to 2 digits so candidate thresholds are a
     bounded set (at most 101 values) however many documents there are.
     """
     lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
@@ -63,7 +64,7 @@ def feature_rows(spark: SparkSession, sf_dir: str, task: str = "classification")
          else F.col("n_chars").cast("double"))
     return df.select(
         F.col("doc_id").alias("id"),
-        F.round(letter_share("text"), 2).alias("letter_share"),
+        quantise(letter_share("text"), 2).alias("letter_share"),
         word_count("text").alias("n_words"),
         F.col("n_chars"),
         F.col("lang"),
