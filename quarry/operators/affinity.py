@@ -6,11 +6,11 @@ Scale notes
   every later self-join on ``basket`` reuse that partitioning, so pair
   counting costs one shuffle of the input plus one of the (partially
   aggregated) pair counts.
-* A basket holding a large share of all rows makes one join partition hot;
-  AQE's skew-join handling splits such partitions on both sides of the
-  self-join.  Items below the support threshold are removed *before* the
-  self-join (support is anti-monotone), which bounds the pairs a hot basket
-  can emit by the frequent-item count.
+* A basket holding a large share of all rows would put its size² pairs in
+  one task; ``hot_split_join`` salts such baskets over S² tasks while cold
+  baskets join on the existing partitioning.  Items below the support
+  threshold are removed *before* the self-join (support is anti-monotone),
+  which bounds the pairs a hot basket can emit by the frequent-item count.
 * The basket total N is a scalar subquery, evaluated once and inlined; no
   cross join.
 """
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.operators.skew import HOT_KEY_ROWS, hot_split_join
 from quarry.session import cut_lineage
 
 # Separator used when an itemset is shown as one string (items sorted).
@@ -53,17 +54,30 @@ def frequent_items(b: DataFrame, min_count: int) -> DataFrame:
     return counts.where(F.col("n_item") >= min_count) if min_count > 1 else counts
 
 
-def pair_counts(b: DataFrame, min_count: int = 1) -> DataFrame:
+def basket_pairs(b: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """(basket, item_a, item_b) for every unordered pair a < b of one basket."""
+    x = b.select("basket", F.col("item").alias("item_a"))
+    y = b.select("basket", F.col("item").alias("item_b"))
+    return hot_split_join(x, y, "basket", lambda c, l, r: c(f"{l}.item_a") < c(f"{r}.item_b"),
+                          "item_a", "item_b", hot_rows)
+
+
+def pair_counts(b: DataFrame, min_count: int = 1, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """A3: unordered pairs (a < b) in the same basket, with basket counts."""
     if min_count > 1:
         b = b.join(frequent_items(b, min_count).select("item"), "item", "left_semi")
-    x = b.select("basket", F.col("item").alias("item_a"))
-    y = b.select("basket", F.col("item").alias("item_b"))
-    pairs = (x.join(y, (x.basket == y.basket) & (x.item_a < y.item_b))
-             .groupBy("item_a", "item_b").agg(F.count("*").alias("n_ab")))
+    pairs = basket_pairs(b, hot_rows).groupBy("item_a", "item_b").agg(F.count("*").alias("n_ab"))
     return pairs.where(F.col("n_ab") >= min_count) if min_count > 1 else pairs
 
 
+def directed(pc: DataFrame) -> DataFrame:
+    """Both directions of every unordered pair, from one pass (no union)."""
+    return pc.select(F.explode(F.array(
+        F.struct(F.col("item_a").alias("antecedent"), F.col("item_b").alias("consequent"), "n_ab"),
+        F.struct(F.col("item_b").alias("antecedent"), F.col("item_a").alias("consequent"), "n_ab"))).alias("r")
+    ).select("r.*")
+
+
 def pair_rules(b: DataFrame, min_support: float = 0.0,
                min_confidence: float = 0.0, min_count: int = 1) -> DataFrame:
     """A4: directed rules a -> c with support, confidence and lift.
@@ -72,9 +86,7 @@ def pair_rules(b: DataFrame, min_support: float = 0.0,
     (no rounding), so they are exact to the last bit in any engine.
     """
     n = basket_total(b)
-    pc = pair_counts(b, min_count)
-    both = pc.select(F.col("item_a").alias("antecedent"), F.col("item_b").alias("consequent"), "n_ab").unionByName(
-        pc.select(F.col("item_b").alias("antecedent"), F.col("item_a").alias("consequent"), "n_ab"))
+    both = directed(pair_counts(b, min_count))
     items = b.groupBy("item").agg(F.count("*").alias("n_item"))
     ia = items.select(F.col("item").alias("antecedent"), F.col("n_item").alias("n_a"))
     ic = items.select(F.col("item").alias("consequent"), F.col("n_item").alias("n_c"))
@@ -100,7 +112,7 @@ def _itemset_string(items: Column) -> Column:
 
 
 def itemsets(b: DataFrame, min_count: int, max_k: int = 3,
-             checkpoint_from: int = 4) -> DataFrame:
+             checkpoint_from: int = 4, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Level-wise (Apriori) frequent itemsets of size 1..max_k.
 
     Level k extends each basket's frequent (k-1)-itemsets by a larger item
@@ -118,9 +130,10 @@ def itemsets(b: DataFrame, min_count: int, max_k: int = 3,
     occ = b1.select("basket", F.array("item").alias("items"), F.col("item").alias("last"))
     for k in range(2, max_k + 1):
         ext = b1.select("basket", F.col("item").alias("nxt"))
-        cand = (occ.join(ext, (occ.basket == ext.basket) & (ext.nxt > occ.last))
-                .select(occ.basket, F.concat(occ.items, F.array(ext.nxt)).alias("items"),
-                        ext.nxt.alias("last")))
+        cand = (hot_split_join(occ, ext, "basket", lambda c, l, r: c(f"{r}.nxt") > c(f"{l}.last"),
+                               "items", "nxt", hot_rows)
+                .select("basket", F.concat("items", F.array("nxt")).alias("items"),
+                        F.col("nxt").alias("last")))
         counts = cand.groupBy("items").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
         if k >= checkpoint_from:
             counts = cut_lineage(counts)
@@ -222,9 +235,7 @@ def rule_holdout(b: DataFrame, folds: int = 5, min_count: int = 1) -> DataFrame:
     train, test = b.where(~test_mask), b.where(test_mask)
     learnt = pair_rules(train, min_count=min_count).select(
         "antecedent", "consequent", F.col("confidence").alias("train_confidence"))
-    tpairs = pair_counts(test)
-    t_both = tpairs.select(F.col("item_a").alias("antecedent"), F.col("item_b").alias("consequent"), "n_ab").unionByName(
-        tpairs.select(F.col("item_b").alias("antecedent"), F.col("item_a").alias("consequent"), "n_ab"))
+    t_both = directed(pair_counts(test))
     t_items = test.groupBy("item").agg(F.count("*").alias("n_a")).withColumnRenamed("item", "antecedent")
     return (learnt.join(t_both, ["antecedent", "consequent"], "left")
             .join(t_items, "antecedent", "left")

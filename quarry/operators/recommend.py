@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.operators import affinity as A
+from quarry.operators.skew import HOT_KEY_ROWS, hot_split_join
 
 TIE_DIGITS = 9
 
@@ -29,17 +30,20 @@ def favourites(r: DataFrame, min_rating: float) -> DataFrame:
     return A.baskets(r.where(F.col("rating") > min_rating), "user", "item")
 
 
-def item_similarity(r: DataFrame) -> DataFrame:
+def item_similarity(r: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """M5: cosine similarity of item rating vectors over co-rating users.
 
     Norms are over every rating of the item (not only co-rated users).
+    The self-join on the user runs on one hash partitioning by user; a user
+    with more than ``hot_rows`` ratings is salted (see ``skew``).
     Output: item_a < item_b, n_common, similarity.
     """
     r = r.select("user", "item", "rating").repartition("user")
     norms = r.groupBy("item").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"))
     x = r.select("user", F.col("item").alias("item_a"), F.col("rating").alias("ra"))
     y = r.select("user", F.col("item").alias("item_b"), F.col("rating").alias("rb"))
-    dots = (x.join(y, (x.user == y.user) & (x.item_a < y.item_b))
+    dots = (hot_split_join(x, y, "user", lambda c, l, rr: c(f"{l}.item_a") < c(f"{rr}.item_b"),
+                           "item_a", "item_b", hot_rows)
             .groupBy("item_a", "item_b")
             .agg(F.count("*").alias("n_common"), F.sum(F.col("ra") * F.col("rb")).alias("dot")))
     na = norms.select(F.col("item").alias("item_a"), F.col("norm").alias("norm_a"))
