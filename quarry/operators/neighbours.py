@@ -94,12 +94,12 @@ def knn(q: DataFrame, r: DataFrame, k: int, exclude_self: bool = True,
     QB, RB = _block_count(nq, block_rows), _block_count(nr, block_rows)
     fq = [F.col(fold_col).cast("long").alias("fold")] if fold_col else [F.lit(0).cast("long").alias("fold")]
     qs = q.select(F.col("id").alias("qid"), F.col("v").alias("qv"), *fq,
-                  F.pmod(F.xxhash64("id"), F.lit(QB)).alias("qb"),
-                  F.explode(F.sequence(F.lit(0), F.lit(RB - 1))).alias("rb"))
+                  F.pmod(F.xxhash64("id"), F.lit(QB)).cast("long").alias("qb"),
+                  F.explode(F.sequence(F.lit(0).cast("long"), F.lit(RB - 1).cast("long"))).alias("rb"))
     rs = r.select(F.col("id").alias("rid"), F.col("v").alias("rv"),
                   F.col("label").alias("rlabel"), *fq,
-                  F.pmod(F.xxhash64("id"), F.lit(RB)).alias("rb"),
-                  F.explode(F.sequence(F.lit(0), F.lit(QB - 1))).alias("qb"))
+                  F.pmod(F.xxhash64("id"), F.lit(RB)).cast("long").alias("rb"),
+                  F.explode(F.sequence(F.lit(0).cast("long"), F.lit(QB - 1).cast("long"))).alias("qb"))
     use_fold = fold_col is not None
 
     def block_topk(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:

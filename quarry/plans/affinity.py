@@ -93,17 +93,25 @@ _PAIRS = ("pr AS (SELECT x.item AS antecedent, y.item AS consequent, count(*) AS
 _RULES = (f"rules AS (SELECT antecedent, consequent, n_ab, n_ab / nb.n AS support, "
           f"n_ab / a.n_item AS confidence, n_ab * nb.n / (a.n_item * c.n_item) AS lift "
           f"FROM pr JOIN it a ON pr.antecedent = a.item JOIN it c ON pr.consequent = c.item CROSS JOIN nb)")
-_SETS = f"""sets AS (
-  SELECT item AS itemset, 1 AS k, count(*) AS n FROM b GROUP BY item
-  HAVING count(*) >= {ITEMSET_MIN_SUPPORT} * (SELECT n FROM nb)
-  UNION ALL
-  SELECT x.item || '|' || y.item, 2, count(*) FROM b x JOIN b y ON x.basket = y.basket AND x.item < y.item
-  GROUP BY x.item, y.item HAVING count(*) >= {ITEMSET_MIN_SUPPORT} * (SELECT n FROM nb)
-  UNION ALL
-  SELECT x.item || '|' || y.item || '|' || z.item, 3, count(*) FROM b x
-  JOIN b y ON x.basket = y.basket AND x.item < y.item
-  JOIN b z ON z.basket = x.basket AND y.item < z.item
-  GROUP BY x.item, y.item, z.item HAVING count(*) >= {ITEMSET_MIN_SUPPORT} * (SELECT n FROM nb))"""
+FP_ORACLE_MAX_K = 6   # the FP twin enumerates itemsets up to this size
+
+
+def _sets_sql(max_k: int) -> str:
+    """sets(itemset, k, n): every itemset of size 1..max_k with n >= threshold."""
+    aliases = [f"x{i}" for i in range(max_k)]
+    levels = []
+    for k in range(1, max_k + 1):
+        al = aliases[:k]
+        joins = " ".join(f"JOIN b {a} ON {a}.basket = x0.basket AND {al[i - 1]}.item < {a}.item"
+                         for i, a in enumerate(al) if i > 0)
+        label = " || '|' || ".join(f"{a}.item" for a in al)
+        levels.append(f"SELECT {label} AS itemset, {k} AS k, count(*) AS n FROM b x0 {joins} "
+                      f"GROUP BY {', '.join(a + '.item' for a in al)} "
+                      f"HAVING count(*) >= {ITEMSET_MIN_SUPPORT} * (SELECT n FROM nb)")
+    return "sets AS (" + " UNION ALL ".join(levels) + ")"
+
+
+_SETS = _sets_sql(3)
 
 ORACLE = {
     "aff_baskets": f"WITH {_B} SELECT basket, item FROM b",
@@ -117,7 +125,7 @@ ORACLE = {
     "aff_top_rules": f"WITH {_B}, {_N}, {_ITEMS}, {_PAIRS}, {_RULES} SELECT * FROM rules "
                      f"ORDER BY confidence DESC, antecedent, consequent LIMIT {TOP_K}",
     "aff_itemsets_l3": f"WITH {_B}, {_N}, {_SETS} SELECT itemset, k, n FROM sets",
-    "aff_itemsets_fp": f"WITH {_B}, {_N}, {_SETS} SELECT itemset, k, n FROM sets",
+    "aff_itemsets_fp": f"WITH {_B}, {_N}, {_sets_sql(FP_ORACLE_MAX_K)} SELECT itemset, k, n FROM sets",
     "aff_multi_rules": f"""WITH {_B}, {_N}, {_SETS},
   tri AS (SELECT itemset, n, string_split(itemset, '|') AS it FROM sets WHERE k = 3),
   r AS (SELECT it[1] || '|' || it[2] AS antecedent, it[3] AS consequent, n FROM tri
