@@ -200,7 +200,7 @@ def _stats_sql(name, data, kind, depth):
         return (f"{name} AS (SELECT node, {depth} AS depth, count(*) AS n, avg(y) AS prediction "
                 f"FROM {data} GROUP BY node)")
     return f"""{name} AS (SELECT node, {depth} AS depth, n, prediction FROM (SELECT node, CAST(y AS DOUBLE) AS prediction,
-    sum(count(*)) OVER (PARTITION BY node) AS n,
+    CAST(sum(count(*)) OVER (PARTITION BY node) AS BIGINT) AS n,
     row_number() OVER (PARTITION BY node ORDER BY count(*) DESC, y) AS rn FROM {data} GROUP BY node, y) WHERE rn = 1)"""
 
 
