@@ -1,4 +1,3 @@
 from quarry.sources.tables import TABLES, read_csv, read_table, register_views
-from quarry.sources import fixtures
 
-__all__ = ["TABLES", "read_table", "read_csv", "register_views", "fixtures"]
+__all__ = ["TABLES", "read_table", "read_csv", "register_views"]

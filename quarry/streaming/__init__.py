@@ -1,0 +1,5 @@
+"""Structured Streaming operators.
+
+The reference documents no stream, watermark, window or state, so nothing is
+built here; every operator in ``quarry.operators`` is a batch DataFrame plan.
+"""
