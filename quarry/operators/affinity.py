@@ -54,19 +54,37 @@ def frequent_items(b: DataFrame, min_count: int) -> DataFrame:
     return counts.where(F.col("n_item") >= min_count) if min_count > 1 else counts
 
 
-def basket_pairs(b: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def item_counts(b: DataFrame, min_count: int = 1) -> DataFrame:
+    """Items with their basket counts (>= min_count), materialised once.
+
+    The table has one row per distinct item; it feeds the rule measures and
+    its size bounds the rows any basket can hold after de-duplication.
+    """
+    return cut_lineage(frequent_items(b, min_count))
+
+
+def basket_pairs(b: DataFrame, hot_rows: int = HOT_KEY_ROWS,
+                 max_basket_rows: int | None = None) -> DataFrame:
     """(basket, item_a, item_b) for every unordered pair a < b of one basket."""
     x = b.select("basket", F.col("item").alias("item_a"))
     y = b.select("basket", F.col("item").alias("item_b"))
     return hot_split_join(x, y, "basket", lambda c, l, r: c(f"{l}.item_a") < c(f"{r}.item_b"),
-                          "item_a", "item_b", hot_rows)
+                          "item_a", "item_b", hot_rows, max_basket_rows)
+
 
+def pair_counts(b: DataFrame, min_count: int = 1, hot_rows: int = HOT_KEY_ROWS,
+                items: DataFrame | None = None) -> DataFrame:
+    """A3: unordered pairs (a < b) in the same basket, with basket counts.
 
-def pair_counts(b: DataFrame, min_count: int = 1, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """A3: unordered pairs (a < b) in the same basket, with basket counts."""
+    Only items with at least ``min_count`` baskets can be in such a pair
+    (support is anti-monotone), so the others are removed before the join.
+    """
+    items = items if items is not None else item_counts(b, min_count)
     if min_count > 1:
-        b = b.join(frequent_items(b, min_count).select("item"), "item", "left_semi")
-    pairs = basket_pairs(b, hot_rows).groupBy("item_a", "item_b").agg(F.count("*").alias("n_ab"))
+        items = items.where(F.col("n_item") >= min_count)
+        b = b.join(items.select("item"), "item", "left_semi")
+    pairs = (basket_pairs(b, hot_rows, max_basket_rows=items.count())
+             .groupBy("item_a", "item_b").agg(F.count("*").alias("n_ab")))
     return pairs.where(F.col("n_ab") >= min_count) if min_count > 1 else pairs
 
 
@@ -79,15 +97,16 @@ def directed(pc: DataFrame) -> DataFrame:
 
 
 def pair_rules(b: DataFrame, min_support: float = 0.0,
-               min_confidence: float = 0.0, min_count: int = 1) -> DataFrame:
+               min_confidence: float = 0.0, min_count: int = 1,
+               hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """A4: directed rules a -> c with support, confidence and lift.
 
     All three are ratios of integer counts, computed as one IEEE division
     (no rounding), so they are exact to the last bit in any engine.
     """
     n = basket_total(b)
-    both = directed(pair_counts(b, min_count))
-    items = b.groupBy("item").agg(F.count("*").alias("n_item"))
+    items = item_counts(b)
+    both = directed(pair_counts(b, min_count, hot_rows, items))
     ia = items.select(F.col("item").alias("antecedent"), F.col("n_item").alias("n_a"))
     ic = items.select(F.col("item").alias("consequent"), F.col("n_item").alias("n_c"))
     rules = (both.join(ia, "antecedent").join(ic, "consequent")
@@ -122,7 +141,8 @@ def itemsets(b: DataFrame, min_count: int, max_k: int = 3,
     from ``checkpoint_from`` on are checkpointed to cut the growing lineage.
     Output: itemset (items sorted, joined by '|'), k, n.
     """
-    f1 = frequent_items(b, min_count)
+    f1 = item_counts(b, min_count)
+    n_frequent = f1.count()  # bounds the rows of any basket in b1
     b1 = b.join(f1.select("item"), "item", "left_semi")
     levels = [f1.select(_itemset_string(F.array("item")).alias("itemset"),
                         F.lit(1).alias("k"), F.col("n_item").alias("n"))]
@@ -131,7 +151,7 @@ def itemsets(b: DataFrame, min_count: int, max_k: int = 3,
     for k in range(2, max_k + 1):
         ext = b1.select("basket", F.col("item").alias("nxt"))
         cand = (hot_split_join(occ, ext, "basket", lambda c, l, r: c(f"{r}.nxt") > c(f"{l}.last"),
-                               "items", "nxt", hot_rows)
+                               "items", "nxt", hot_rows, n_frequent)
                 .select("basket", F.concat("items", F.array("nxt")).alias("items"),
                         F.col("nxt").alias("last")))
         counts = cand.groupBy("items").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
@@ -235,8 +255,9 @@ def rule_holdout(b: DataFrame, folds: int = 5, min_count: int = 1) -> DataFrame:
     train, test = b.where(~test_mask), b.where(test_mask)
     learnt = pair_rules(train, min_count=min_count).select(
         "antecedent", "consequent", F.col("confidence").alias("train_confidence"))
-    t_both = directed(pair_counts(test))
-    t_items = test.groupBy("item").agg(F.count("*").alias("n_a")).withColumnRenamed("item", "antecedent")
+    t_counts = item_counts(test)
+    t_both = directed(pair_counts(test, items=t_counts))
+    t_items = t_counts.select(F.col("item").alias("antecedent"), F.col("n_item").alias("n_a"))
     return (learnt.join(t_both, ["antecedent", "consequent"], "left")
             .join(t_items, "antecedent", "left")
             .select("antecedent", "consequent", "train_confidence",

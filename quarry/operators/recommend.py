@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from quarry.operators import affinity as A
 from quarry.operators.skew import HOT_KEY_ROWS, hot_split_join
+from quarry.session import cut_lineage
 
 TIE_DIGITS = 9
 
@@ -39,11 +40,13 @@ def item_similarity(r: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     Output: item_a < item_b, n_common, similarity.
     """
     r = r.select("user", "item", "rating").repartition("user")
-    norms = r.groupBy("item").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"))
+    # one row per item, materialised: feeds the denominators and bounds the
+    # ratings any single user can have (one per item)
+    norms = cut_lineage(r.groupBy("item").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm")))
     x = r.select("user", F.col("item").alias("item_a"), F.col("rating").alias("ra"))
     y = r.select("user", F.col("item").alias("item_b"), F.col("rating").alias("rb"))
     dots = (hot_split_join(x, y, "user", lambda c, l, rr: c(f"{l}.item_a") < c(f"{rr}.item_b"),
-                           "item_a", "item_b", hot_rows)
+                           "item_a", "item_b", hot_rows, norms.count())
             .groupBy("item_a", "item_b")
             .agg(F.count("*").alias("n_common"), F.sum(F.col("ra") * F.col("rb")).alias("dot")))
     na = norms.select(F.col("item").alias("item_a"), F.col("norm").alias("norm_a"))
@@ -71,18 +74,37 @@ def recommend_by_rules(fav: DataFrame, rules: DataFrame, seen: DataFrame, n: int
     return _top_n(best, "confidence", n)
 
 
-def recommend_by_items(r: DataFrame, sims: DataFrame, n: int) -> DataFrame:
+# A similarity table with at most this many rows is broadcast (it holds at
+# most V·(V-1) rows for V items, so the bound is checked before the join).
+SIM_BROADCAST_ROWS = 1_000_000
+
+
+def recommend_by_items(r: DataFrame, sims: DataFrame, n: int,
+                       n_items: int | None = None) -> DataFrame:
     """M7: score(u, i) = Σ_j sim(i, j)·r(u, j) / Σ_j |sim(i, j)| over the items j
-    the user rated; unseen items only; top n per user (ties by item)."""
-    both = sims.select(F.col("item_a").alias("j"), F.col("item_b").alias("i"), "similarity").unionByName(
-        sims.select(F.col("item_b").alias("j"), F.col("item_a").alias("i"), "similarity"))
+    the user rated; unseen items only; top n per user (ties by item).
+
+    ``r`` should be hash-partitioned by user.  The similarity table is
+    broadcast only when ``n_items`` proves it small; then the contributions,
+    the user's own ratings (flagged as seen) and the per-user top-n all stay
+    on the user partitioning: one aggregate replaces the anti-join.
+    """
+    both = sims.select(F.explode(F.array(
+        F.struct(F.col("item_a").alias("j"), F.col("item_b").alias("i"), "similarity"),
+        F.struct(F.col("item_b").alias("j"), F.col("item_a").alias("i"), "similarity"))).alias("s")
+    ).select("s.*")
+    if n_items is not None and n_items * (n_items - 1) <= SIM_BROADCAST_ROWS:
+        both = F.broadcast(both)
     rated = r.select("user", F.col("item").alias("j"), "rating")
-    sc = (rated.join(both, "j")
-          .groupBy("user", F.col("i").alias("item"))
-          .agg(F.sum(F.col("similarity") * F.col("rating")).alias("num"),
-               F.sum(F.abs("similarity")).alias("den")))
-    sc = sc.where(F.col("den") > 0).select("user", "item", (F.col("num") / F.col("den")).alias("score"))
-    sc = sc.join(r.select("user", "item"), ["user", "item"], "left_anti")
+    contrib = rated.join(both, "j").select(
+        "user", F.col("i").alias("item"),
+        (F.col("similarity") * F.col("rating")).alias("num"),
+        F.abs("similarity").alias("den"), F.lit(0).alias("seen"))
+    own = r.select("user", "item", F.lit(0.0).alias("num"), F.lit(0.0).alias("den"), F.lit(1).alias("seen"))
+    agg = (contrib.unionByName(own).groupBy("user", "item")
+           .agg(F.sum("num").alias("num"), F.sum("den").alias("den"), F.max("seen").alias("seen")))
+    sc = agg.where((F.col("seen") == 0) & (F.col("den") > 0)) \
+        .select("user", "item", (F.col("num") / F.col("den")).alias("score"))
     return _top_n(sc, "score", n)
 
 

@@ -14,6 +14,11 @@ explicitly:
   one of S² tasks of about (size / S)² work each.
 
 Nothing is dropped or sampled; the union of both paths is the exact join.
+
+When the caller can bound the rows of every key (after de-duplication a
+basket holds at most as many rows as there are distinct items), and that
+bound is at most ``hot_rows``, no key can be hot and the plain
+co-partitioned join is used (``max_key_rows``).
 """
 
 from __future__ import annotations
@@ -26,34 +31,52 @@ from pyspark.sql import functions as F
 HOT_KEY_ROWS = 10_000
 
 
+def plain_join(left: DataFrame, right: DataFrame, key: str, cond) -> DataFrame:
+    """``left ⋈ right`` on ``key`` plus ``cond``, with the output layout of
+    ``hot_split_join``."""
+    lcols = [c for c in left.columns if c != key]
+    rcols = [c for c in right.columns if c != key]
+    on = (F.col(f"l.{key}") == F.col(f"r.{key}")) & cond(F.col, "l", "r")
+    return (left.alias("l").join(right.alias("r"), on)
+            .select(F.col(f"l.{key}").alias(key), *[F.col(f"l.{c}") for c in lcols],
+                    *[F.col(f"r.{c}") for c in rcols]))
+
+
 def hot_split_join(left: DataFrame, right: DataFrame, key: str, cond,
                    left_hash: str, right_hash: str,
-                   hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Inner join ``left ⋈ right`` on ``key`` plus residual ``cond(l, r)``.
+                   hot_rows: int = HOT_KEY_ROWS,
+                   max_key_rows: int | None = None) -> DataFrame:
+    """Inner join ``left ⋈ right`` on ``key`` plus residual ``cond(col, l, r)``.
 
     ``left_hash``/``right_hash`` name columns that spread a hot key's rows
-    (e.g. the item).  Both frames keep their own column names; ``cond`` gets
-    the two aliased frames.  Output columns: key, left's, right's others.
+    (e.g. the item).  Output columns: key, left's others, right's others.
+
+    Only the hot keys are computed (at most |right| / hot_rows of them, and
+    usually none); AQE broadcasts that set when it is small.  Cold left rows
+    are an anti-join against it, which keeps the left side's partitioning,
+    so the cold join adds no shuffle; a hot key's right rows still reach
+    the cold join but find no partner there.
     """
-    sizes = right.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-    L = left.join(sizes, key)
-    R = right.join(sizes, key)
-    lc, rc = L.where(F.col("_size") <= hot_rows), R.where(F.col("_size") <= hot_rows)
-    lh, rh = L.where(F.col("_size") > hot_rows), R.where(F.col("_size") > hot_rows)
+    if max_key_rows is not None and max_key_rows <= hot_rows:
+        return plain_join(left, right, key, cond)
+    hot = (right.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
+           .where(F.col("_size") > hot_rows))
     lcols = [c for c in left.columns if c != key]
     rcols = [c for c in right.columns if c != key]
 
-    cold = (lc.alias("l").join(rc.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}")) & cond(F.col, "l", "r"))
-            .select(F.col(f"l.{key}").alias(key), *[F.col(f"l.{c}") for c in lcols],
-                    *[F.col(f"r.{c}") for c in rcols]))
+    def joined(lf, rf, extra=None):
+        on = (F.col(f"l.{key}") == F.col(f"r.{key}")) & cond(F.col, "l", "r")
+        if extra is not None:
+            on = on & extra
+        return (lf.alias("l").join(rf.alias("r"), on)
+                .select(F.col(f"l.{key}").alias(key), *[F.col(f"l.{c}") for c in lcols],
+                        *[F.col(f"r.{c}") for c in rcols]))
+
+    cold = joined(left.join(hot.select(key), key, "left_anti"), right)
 
     salts = F.ceil(F.col("_size") / F.lit(hot_rows)).cast("long")
     every = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
-    lh = lh.select("*", F.pmod(F.xxhash64(left_hash), salts).alias("_i"), every.alias("_j"))
-    rh = rh.select("*", every.alias("_i"), F.pmod(F.xxhash64(right_hash), salts).alias("_j"))
-    hot = (lh.alias("l").join(rh.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}"))
-                              & (F.col("l._i") == F.col("r._i")) & (F.col("l._j") == F.col("r._j"))
-                              & cond(F.col, "l", "r"))
-           .select(F.col(f"l.{key}").alias(key), *[F.col(f"l.{c}") for c in lcols],
-                   *[F.col(f"r.{c}") for c in rcols]))
-    return cold.unionByName(hot)
+    lh = left.join(hot, key).select("*", F.pmod(F.xxhash64(left_hash), salts).alias("_i"), every.alias("_j"))
+    rh = right.join(hot, key).select("*", every.alias("_i"), F.pmod(F.xxhash64(right_hash), salts).alias("_j"))
+    hot_pairs = joined(lh, rh, (F.col("l._i") == F.col("r._i")) & (F.col("l._j") == F.col("r._j")))
+    return cold.unionByName(hot_pairs)

@@ -140,7 +140,10 @@ def fit_levelwise(df: DataFrame, features: list[str], max_depth: int = 2,
     2n and 2n+1), depth, n, prediction (majority class, ties to the lower
     label; or mean), feature, threshold (null for leaves), gain.
     """
-    data = df.select("id", "y", *features).withColumn("node", F.lit(1).cast("long"))
+    # The numeric rows are read once per level; materialise them so every
+    # level scans a compact table instead of re-deriving the features.
+    base = cut_lineage(df.select("id", "y", *features))
+    data = base.withColumn("node", F.lit(1).cast("long"))
     levels = []
     for depth in range(max_depth + 1):
         stats = _node_stats(data, criterion).withColumn("depth", F.lit(depth))

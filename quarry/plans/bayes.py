@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import bayes as NB
 from quarry.operators import evaluate as V
+from quarry.session import cut_lineage
 from quarry.sources.fixtures import labelled_text
 
 MIN_DF = 2
@@ -20,14 +21,21 @@ def _split(spark, sf_dir):
     return V.split(labelled_text(spark, sf_dir), "id", FOLDS)
 
 
+def _tokens(spark, sf_dir):
+    """All labelled documents tokenised in one regex pass and materialised
+    once (the token table feeds vocabulary, counts and scoring)."""
+    return cut_lineage(NB.tokens(labelled_text(spark, sf_dir)))
+
+
 def _fitted(spark, sf_dir):
     train, test = _split(spark, sf_dir)
-    tok = NB.tokens(train)
+    tok_all = _tokens(spark, sf_dir)
+    tok, tok_test = V.split(tok_all, "id", FOLDS)
     voc = NB.vocab(tok, MIN_DF)
     classes = NB.classes_of(train)
     counts = NB.class_counts(tok, voc, classes)
-    priors = NB.class_priors(train, classes)
-    return train, test, classes, counts, priors
+    priors = NB.class_priors(train.select("id", "y"), classes)
+    return train, test, classes, counts, priors, tok_test
 
 
 def q_tokens(spark, sf_dir):
@@ -35,8 +43,8 @@ def q_tokens(spark, sf_dir):
 
 
 def q_vocab(spark, sf_dir):
-    train, _ = _split(spark, sf_dir)
-    return NB.vocab(NB.tokens(train), MIN_DF)
+    tok, _ = V.split(_tokens(spark, sf_dir), "id", FOLDS)
+    return NB.vocab(tok, MIN_DF)
 
 
 def q_class_counts(spark, sf_dir):
@@ -44,20 +52,20 @@ def q_class_counts(spark, sf_dir):
 
 
 def q_fit_bernoulli(spark, sf_dir):
-    _, _, _, counts, priors = _fitted(spark, sf_dir)
+    _, _, _, counts, priors, _ = _fitted(spark, sf_dir)
     m = NB.fit_bernoulli(counts, priors)
     return m.select("y", "w", F.round("log_p", 6).alias("log_p"), F.round("log_q", 6).alias("log_q"))
 
 
 def q_fit_multinomial(spark, sf_dir):
-    _, _, _, counts, _ = _fitted(spark, sf_dir)
+    counts = _fitted(spark, sf_dir)[3]
     return NB.fit_multinomial(counts).select("y", "w", F.round("log_p", 6).alias("log_p"))
 
 
 def bernoulli_scores(spark, sf_dir):
-    _, test, classes, counts, priors = _fitted(spark, sf_dir)
+    _, test, classes, counts, priors, tok_test = _fitted(spark, sf_dir)
     model = NB.fit_bernoulli(counts, priors)
-    return test, NB.score(NB.tokens(test), model, priors, classes, "bernoulli")
+    return test, NB.score(tok_test, model, priors, classes, "bernoulli")
 
 
 def q_scores(spark, sf_dir):
@@ -77,7 +85,7 @@ def q_predict(spark, sf_dir):
 
 
 def q_top_words(spark, sf_dir):
-    _, _, _, counts, _ = _fitted(spark, sf_dir)
+    counts = _fitted(spark, sf_dir)[3]
     t = NB.top_words(NB.fit_multinomial(counts), TOP_K)
     return t.select("w", F.round("log_odds", 6).alias("log_odds"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import affinity as A
 from quarry.operators import recommend as M
+from quarry.session import cut_lineage
 from quarry.sources.fixtures import rating_events
 from quarry.sources.tables import read_table
 
@@ -27,8 +28,12 @@ def _facts(spark, sf_dir, where=None):
                     F.col("l_quantity").alias("rating")))
 
 
-def _ratings(spark, sf_dir, where=None):
-    return M.ratings(_facts(spark, sf_dir, where))
+def _ratings(spark, sf_dir, where=None, materialise=False):
+    r = M.ratings(_facts(spark, sf_dir, where))
+    # rating cells feed norms, the user self-join, scoring and the seen
+    # filter: materialise them once, then hash-partition by user (a checkpoint
+    # does not keep partitioning); every consumer shares that one exchange
+    return cut_lineage(r).repartition("user") if materialise else r
 
 
 def q_ratings(spark, sf_dir):
@@ -52,20 +57,21 @@ def q_rules(spark, sf_dir):
 
 
 def q_item_cosine(spark, sf_dir):
-    s = M.item_similarity(_ratings(spark, sf_dir))
+    s = M.item_similarity(_ratings(spark, sf_dir, materialise=True))
     return s.select("item_a", "item_b", "n_common", F.round("similarity", 6).alias("similarity"))
 
 
 def q_recommend_rules(spark, sf_dir):
-    r = _ratings(spark, sf_dir)
+    r = _ratings(spark, sf_dir, materialise=True)
     fav = M.favourites(r, FAV_MIN)
     recs = M.recommend_by_rules(fav, _rules(fav), r, TOP_N)
     return recs.select("user", "item", "confidence", "rank")
 
 
 def item_recs(spark, sf_dir, where=None):
-    r = _ratings(spark, sf_dir, where)
-    return M.recommend_by_items(r, M.item_similarity(r), TOP_N)
+    r = _ratings(spark, sf_dir, where, materialise=True)
+    n_items = r.select("item").distinct().count()
+    return M.recommend_by_items(r, M.item_similarity(r), TOP_N, n_items)
 
 
 def q_recommend_items(spark, sf_dir):
@@ -76,8 +82,9 @@ def q_hit_rate(spark, sf_dir):
     """Train on order lines with orderkey mod 5 != 0; holdout = favourites
     from the other lines that the user had not rated in training."""
     hold_mask = F.pmod(F.col("l_orderkey"), F.lit(FOLDS)) == 0
-    train_r = _ratings(spark, sf_dir, ~hold_mask)
-    recs = M.recommend_by_items(train_r, M.item_similarity(train_r), TOP_N)
+    train_r = _ratings(spark, sf_dir, ~hold_mask, materialise=True)
+    n_items = train_r.select("item").distinct().count()
+    recs = M.recommend_by_items(train_r, M.item_similarity(train_r), TOP_N, n_items)
     hold = M.ratings(_facts(spark, sf_dir, hold_mask)).where(F.col("rating") > FAV_MIN)
     hold = hold.join(train_r.select("user", "item"), ["user", "item"], "left_anti")
     return M.hit_rate(recs, hold, TOP_N)

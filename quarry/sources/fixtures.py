@@ -58,7 +58,7 @@ def feature_rows(spark: SparkSession, sf_dir: str, task: str = "classification")
     bounded set (at most 101 values) however many documents there are.
     """
     lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
-    doc = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "n_chars"])
+    doc = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "n_chars"], spread=True)
     df = lab.join(doc, "doc_id")
     y = (F.col("quality").cast("int") if task == "classification"
          else F.col("n_chars").cast("double"))
@@ -75,7 +75,7 @@ def feature_rows(spark: SparkSession, sf_dir: str, task: str = "classification")
 def labelled_text(spark: SparkSession, sf_dir: str, label: str = "toxic") -> DataFrame:
     """(id, text, y) from labels ⋈ documents, y = toxic by default."""
     lab = read_table(spark, sf_dir, "labels", ["doc_id", label])
-    doc = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    doc = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     return (lab.join(doc, "doc_id")
             .select(F.col("doc_id").alias("id"), "text", F.col(label).cast("int").alias("y")))
 
