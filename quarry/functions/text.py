@@ -5,17 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed pattern: a word is a maximal run of Unicode letters.
+# Fixed patterns.  A word is a maximal run of Unicode letters; in social
+# text a leading @ (user name) or # (tag) stays part of the token, and URLs
+# are removed before tokenising.
 WORD_PATTERN = r"\p{L}+"
+SOCIAL_WORD_PATTERN = r"[@#]?\p{L}+"
+URL_PATTERN = r"(https?://|www\.)\S+"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def words(text) -> Column:
-    """Lower-cased letter runs of the whole text, in order (array<string>)."""
-    return F.regexp_extract_all(F.lower(_col(text)), F.lit(f"({WORD_PATTERN})"), 1)
+def words(text, social: bool = False) -> Column:
+    """Lower-cased letter runs of the whole text, in order (array<string>).
+
+    ``social=True`` drops URLs first and keeps ``@name`` / ``#tag`` tokens.
+    """
+    t = F.lower(_col(text))
+    if social:
+        t = F.regexp_replace(t, URL_PATTERN, " ")
+        return F.regexp_extract_all(t, F.lit(f"({SOCIAL_WORD_PATTERN})"), 1)
+    return F.regexp_extract_all(t, F.lit(f"({WORD_PATTERN})"), 1)
 
 
 def word_count(text) -> Column:

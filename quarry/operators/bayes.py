@@ -16,10 +16,14 @@ from pyspark.sql.window import Window
 from quarry.functions.text import words
 
 
-def tokens(df: DataFrame, id_col: str = "id", y_col: str = "y", text_col: str = "text") -> DataFrame:
-    """(id, y, w, tf) — lower-cased letter runs of the whole text."""
+def tokens(df: DataFrame, id_col: str = "id", y_col: str = "y", text_col: str = "text",
+           social: bool = False) -> DataFrame:
+    """(id, y, w, tf) — lower-cased letter runs of the whole text.
+
+    ``social=True`` (short posts) removes URLs and keeps @name / #tag tokens.
+    """
     ex = df.select(F.col(id_col).alias("id"), F.col(y_col).alias("y"),
-                   F.explode(words(text_col)).alias("w"))
+                   F.explode(words(text_col, social)).alias("w"))
     return ex.groupBy("id", "y", "w").agg(F.count("*").alias("tf"))
 
 

@@ -68,3 +68,35 @@ def test_matches_spark_ml(spark):
     ours = {r["y"]: r["log_p"] for r in model.where(F.col("w") == w).collect()}
     for i, c in enumerate(classes):
         assert ours[c] == pytest.approx(theta[i][0], abs=1e-12)
+
+
+def test_social_tokens(spark):
+    df = spark.createDataFrame([(1, "Love it @Ana #Spark see https://x.io/a?b=1 www.y.org ok", 1)],
+                               "id long, text string, y int")
+    got = {r["w"] for r in NB.tokens(df, social=True).collect()}
+    assert got == {"love", "it", "@ana", "#spark", "see", "ok"}
+    plain = {r["w"] for r in NB.tokens(df).collect()}
+    assert {"ana", "spark", "https", "x", "io"} <= plain
+
+
+def test_one_class_training(spark):
+    docs = spark.createDataFrame([(1, "a b", 1), (2, "b c", 1)], "id long, text string, y int")
+    tok = NB.tokens(docs)
+    classes = NB.classes_of(docs)
+    assert classes == [1]
+    pri = NB.class_priors(docs, classes)
+    model = NB.fit_bernoulli(NB.class_counts(tok, NB.vocab(tok), classes), pri)
+    p = NB.predict(NB.score(tok, model, pri, classes)).collect()
+    assert {r["predicted"] for r in p} == {1}
+
+
+def test_ml_path_agrees_with_exact_operator(spark):
+    """N9 (CountVectorizer + NaiveBayes) predicts what N4/N6/N7 predict."""
+    from quarry.plans import bayes as PB
+    from tests.conftest import SF01
+
+    exact = {r["id"]: r["predicted"] for r in PB.q_predict(spark, SF01).collect()}
+    ml = {r["id"]: r["predicted"] for r in PB.q_ml(spark, SF01).collect()}
+    assert exact.keys() == ml.keys()
+    agree = sum(exact[i] == ml[i] for i in exact) / len(exact)
+    assert agree == 1.0

@@ -63,3 +63,29 @@ def test_scale_constant_dimension(spark):
     assert mm == {1: [0.0, 0.0], 2: [0.0, 1.0]}
     zs = {r["id"]: r["v"] for r in K.scale(df, "v", "standard").collect()}
     assert zs[1][0] == 0.0 and zs[2][1] == pytest.approx(1 / np.sqrt(2))
+
+
+def test_triangle_inequality_and_self_distance(spark):
+    from quarry.sources.fixtures import labelled_vectors
+
+    df = labelled_vectors(spark, SF001)
+    n = K.knn(df, df, 1, exclude_self=False).collect()
+    assert all(r["neighbour"] == r["id"] and r["distance"] == 0.0 for r in n)
+    v = {r["id"]: np.array(r["v"]) for r in df.limit(30).collect()}
+    ids = sorted(v)
+    tri = spark.createDataFrame([(a, b, c, v[a].tolist(), v[b].tolist(), v[c].tolist())
+                                 for a in ids[:6] for b in ids[6:12] for c in ids[12:18]],
+                                "a long, b long, c long, va array<double>, vb array<double>, vc array<double>")
+    for r in tri.select(euclidean("va", "vc").alias("ac"), euclidean("va", "vb").alias("ab"),
+                        euclidean("vb", "vc").alias("bc")).collect():
+        assert r["ac"] <= r["ab"] + r["bc"] + 1e-12
+
+
+def test_lsh_neighbours_are_true_distances(spark):
+    from quarry.plans import neighbours as PN
+    from tests.conftest import SF01
+
+    approx = PN.q_lsh(spark, SF01).collect()
+    assert approx and all(r["rank"] <= PN.K_NEIGHBOURS for r in approx)
+    recall = sum(r["exact_hit"] for r in approx) / len(approx)
+    assert 0.0 < recall <= 1.0

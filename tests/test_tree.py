@@ -72,3 +72,15 @@ def test_training_accuracy_beats_majority(spark):
     acc = V.class_metrics(pred).first()["accuracy"]
     base = V.majority(df.select(F.col("y").alias("actual"))).first()["accuracy"]
     assert acc >= base
+
+
+def test_ml_tree_agrees_mostly_with_exact_tree(spark):
+    """T8 bins thresholds by quantiles, T10 uses exact ones: compare both."""
+    from quarry.plans import tree as PT
+    from tests.conftest import SF01
+
+    exact = {r["id"]: r["predicted"] for r in PT.q_predict(spark, SF01).collect()}
+    ml = {r["id"]: r["predicted"] for r in PT.q_clf_ml(spark, SF01).collect()}
+    assert exact.keys() == ml.keys()
+    agree = sum(exact[i] == ml[i] for i in exact) / len(exact)
+    assert agree >= 0.8, agree
