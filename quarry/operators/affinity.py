@@ -222,29 +222,41 @@ def with_lift(rules: DataFrame, n_baskets: Column) -> DataFrame:
         "lift", F.col("n") * n_baskets / (F.col("n_ante") * F.col("n_cons")))
 
 
+# A rule table with at most this many rows is broadcast (its size is
+# counted after it is materialised).
+RULE_BROADCAST_ROWS = 1_000_000
+
+
 def apply_rules(b: DataFrame, rules: DataFrame) -> DataFrame:
     """Per basket, the best unheld consequent of the rules that fire.
 
     ``rules`` has antecedent ('|'-joined items), consequent, confidence.  A
     rule fires when the basket holds every antecedent item: antecedent items
-    are exploded and joined to the basket on item, and the matched count
-    must reach the antecedent size.  Held consequents are removed with an
-    anti-join; best confidence wins, ties by consequent.
+    are joined to the basket on item, and the matched count must reach the
+    antecedent size.  The rule table is materialised and counted; when it is
+    small it is broadcast, so matching, firing, the held-item check (held
+    items enter the same aggregate as flagged rows, instead of an anti-join)
+    and the per-basket top-1 all stay on the basket partitioning.  Best
+    confidence wins, ties by consequent.
     """
-    r = rules.select("antecedent", "consequent", "confidence",
-                     F.split("antecedent", r"\|").alias("ante_items"))
-    parts = r.select("antecedent", F.size("ante_items").alias("ante_size"),
-                     F.explode("ante_items").alias("item")).distinct()
+    rt = cut_lineage(rules.select("antecedent", "consequent", "confidence"))
+    parts = (rt.select("antecedent", F.split("antecedent", r"\|").alias("ante_items"))
+             .select("antecedent", F.size("ante_items").alias("ante_size"),
+                     F.explode("ante_items").alias("item")).distinct())
+    if rt.count() <= RULE_BROADCAST_ROWS:
+        rt, parts = F.broadcast(rt), F.broadcast(parts)
     matched = (b.join(parts, "item")
                .groupBy("basket", "antecedent", "ante_size").agg(F.count("*").alias("hit"))
                .where(F.col("hit") == F.col("ante_size")))
-    fired = matched.join(rules.select("antecedent", "consequent", "confidence"), "antecedent")
-    held = b.select("basket", F.col("item").alias("consequent"))
-    unheld = fired.join(held, ["basket", "consequent"], "left_anti")
-    best = unheld.groupBy("basket", "consequent").agg(F.max("confidence").alias("confidence"))
-    w = Window.partitionBy("basket").orderBy(F.col("confidence").desc(), "consequent")
+    fired = matched.join(rt, "antecedent").select(
+        "basket", F.col("consequent").alias("item"), "confidence", F.lit(0).alias("held"))
+    held = b.select("basket", "item", F.lit(None).cast("double").alias("confidence"), F.lit(1).alias("held"))
+    best = (fired.unionByName(held).groupBy("basket", "item")
+            .agg(F.max("confidence").alias("confidence"), F.max("held").alias("held"))
+            .where(F.col("held") == 0))
+    w = Window.partitionBy("basket").orderBy(F.col("confidence").desc(), "item")
     return (best.withColumn("rn", F.row_number().over(w)).where("rn = 1")
-            .select("basket", F.col("consequent").alias("item"), "confidence"))
+            .select("basket", "item", "confidence"))
 
 
 def rule_holdout(b: DataFrame, folds: int = 5, min_count: int = 1) -> DataFrame:
