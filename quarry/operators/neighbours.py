@@ -24,6 +24,11 @@ from quarry.functions.vectors import METRICS
 # Distances are compared after rounding to this many digits; ties then go
 # to the smaller id (a total order any engine can reproduce).
 TIE_DIGITS = 9
+# Largest block (rows per side of one co-group).  Each row is replicated
+# once per block of the other side, so larger blocks mean less shuffle;
+# memory per co-group is about 2 × MAX_BLOCK_ROWS × dim doubles plus one
+# bounded distance chunk.
+MAX_BLOCK_ROWS = 16_384
 
 
 # ---------------------------------------------------------------- K1-K3
@@ -90,7 +95,7 @@ def knn(q: DataFrame, r: DataFrame, k: int, exclude_self: bool = True,
     if block_rows is None:
         par = max(1, spark.sparkContext.defaultParallelism)
         side = max(1, math.ceil(math.sqrt(2 * par)))
-        block_rows = max(64, min(4096, math.ceil(max(nq, nr) / side)))
+        block_rows = max(64, min(MAX_BLOCK_ROWS, math.ceil(max(nq, nr) / side)))
     QB, RB = _block_count(nq, block_rows), _block_count(nr, block_rows)
     fq = [F.col(fold_col).cast("long").alias("fold")] if fold_col else [F.lit(0).cast("long").alias("fold")]
     qs = q.select(F.col("id").alias("qid"), F.col("v").alias("qv"), *fq,
@@ -125,11 +130,17 @@ def knn(q: DataFrame, r: DataFrame, k: int, exclude_self: bool = True,
             if use_fold:
                 d[qf[s:s + step, None] == rf[None, :]] = np.inf
             dr = np.round(d, TIE_DIGITS)
+            kk = min(k, dr.shape[1])
+            # k-th smallest rounded distance per query: only candidates up
+            # to it (ties included) need the (distance, id) sort
+            kth = np.partition(dr, kk - 1, axis=1)[:, kk - 1]
             for i in range(d.shape[0]):
-                ok = np.isfinite(d[i])
-                if not ok.any():
+                if not np.isfinite(kth[i]):
+                    cand = np.nonzero(np.isfinite(dr[i]))[0]
+                else:
+                    cand = np.nonzero(dr[i] <= kth[i])[0]
+                if cand.size == 0:
                     continue
-                cand = np.nonzero(ok)[0]
                 order = cand[np.lexsort((rid[cand], dr[i, cand]))][:k]
                 out.append(pd.DataFrame({"id": qid[s + i], "neighbour": rid[order],
                                          "distance": d[i, order], "neighbour_label": rlab[order]}))
