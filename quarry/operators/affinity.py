@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.operators.skew import HOT_KEY_ROWS, hot_split_join
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, partition_for_expansion
 
 # Separator used when an itemset is shown as one string (items sorted).
 ITEM_SEP = "|"
@@ -32,7 +32,7 @@ def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
     """A1: distinct (basket, item) pairs; null items dropped."""
     return (df.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
             .where(F.col("item").isNotNull() & F.col("basket").isNotNull())
-            .repartition("basket")
+            .transform(lambda d: partition_for_expansion(d, "basket"))
             .dropDuplicates(["basket", "item"]))
 
 

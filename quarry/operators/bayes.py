@@ -9,6 +9,8 @@ driver (to pivot/unpivot), which keeps zero counts without a cross join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,16 +40,23 @@ def classes_of(df: DataFrame, y_col: str = "y") -> list:
     return sorted(r[0] for r in df.select(y_col).distinct().collect())
 
 
-def class_counts(tok: DataFrame, voc: DataFrame, classes: list) -> DataFrame:
+def class_counts(tok: DataFrame, voc: DataFrame | None, classes: list,
+                 min_df: int = 1) -> DataFrame:
     """(y, w, n_docs, n_occ) for every vocabulary word and class, zeros kept.
 
-    Pivot on the known labels gives one row per word with a column per class
-    (absent combinations null -> 0); ``stack`` turns it back into rows.
+    One aggregation: pivot on the known labels gives one row per word with a
+    column per class (absent combinations null -> 0); ``stack`` turns it back
+    into rows.  With ``voc=None`` the vocabulary is the words in at least
+    ``min_df`` documents, decided from the same aggregate; a given ``voc``
+    keeps its words even where they never occur.
     """
-    t = tok.join(voc.select("w"), "w", "left_semi")
-    wide = (t.groupBy("w").pivot("y", classes)
+    wide = (tok.groupBy("w").pivot("y", classes)
             .agg(F.count("tf").alias("d"), F.sum("tf").alias("o")))
-    wide = voc.select("w").join(wide, "w", "left")
+    if voc is None:
+        total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"{c}_d"), F.lit(0)) for c in classes])
+        wide = wide.where(total >= min_df)
+    else:
+        wide = voc.select("w").join(wide, "w", "left")
     parts = []
     for c in classes:
         parts += [F.lit(c), F.coalesce(F.col(f"{c}_d"), F.lit(0)).cast("bigint"),

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.functions.vectors import METRICS
+from quarry.session import partition_for_expansion
 
 # Distances are compared after rounding to this many digits; ties then go
 # to the smaller id (a total order any engine can reproduce).
@@ -146,6 +147,10 @@ def knn(q: DataFrame, r: DataFrame, k: int, exclude_self: bool = True,
                                          "distance": d[i, order], "neighbour_label": rlab[order]}))
         return pd.concat(out, ignore_index=True) if out else empty
 
+    # each (qb, rb) group is one block pair of numpy work; pin the partition
+    # count so AQE does not pack the (byte-small) block pairs into few tasks
+    qs = partition_for_expansion(qs, "qb", "rb")
+    rs = partition_for_expansion(rs, "qb", "rb")
     cand = (qs.groupBy("qb", "rb").cogroup(rs.groupBy("qb", "rb"))
             .applyInPandas(block_topk, "id long, neighbour long, distance double, neighbour_label int"))
     w = Window.partitionBy("id").orderBy(F.round("distance", TIE_DIGITS), "neighbour")

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 
 from quarry.operators import affinity as A
 from quarry.operators.skew import HOT_KEY_ROWS, hot_split_join
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, partition_for_expansion
 
 TIE_DIGITS = 9
 
@@ -39,7 +39,7 @@ def item_similarity(r: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     with more than ``hot_rows`` ratings is salted (see ``skew``).
     Output: item_a < item_b, n_common, similarity.
     """
-    r = r.select("user", "item", "rating").repartition("user")
+    r = partition_for_expansion(r.select("user", "item", "rating"), "user")
     # one row per item, materialised: feeds the denominators and bounds the
     # ratings any single user can have (one per item)
     norms = cut_lineage(r.groupBy("item").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm")))

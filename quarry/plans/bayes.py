@@ -31,9 +31,8 @@ def _fitted(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     tok_all = _tokens(spark, sf_dir)
     tok, tok_test = V.split(tok_all, "id", FOLDS)
-    voc = NB.vocab(tok, MIN_DF)
     classes = NB.classes_of(train)
-    counts = NB.class_counts(tok, voc, classes)
+    counts = NB.class_counts(tok, None, classes, MIN_DF)
     priors = NB.class_priors(train.select("id", "y"), classes)
     return train, test, classes, counts, priors, tok_test
 

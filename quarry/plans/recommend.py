@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import affinity as A
 from quarry.operators import recommend as M
-from quarry.session import cut_lineage
+from quarry.session import cut_lineage, partition_for_expansion
 from quarry.sources.fixtures import rating_events
 from quarry.sources.tables import read_table
 
@@ -33,7 +33,7 @@ def _ratings(spark, sf_dir, where=None, materialise=False):
     # rating cells feed norms, the user self-join, scoring and the seen
     # filter: materialise them once, then hash-partition by user (a checkpoint
     # does not keep partitioning); every consumer shares that one exchange
-    return cut_lineage(r).repartition("user") if materialise else r
+    return partition_for_expansion(cut_lineage(r), "user") if materialise else r
 
 
 def q_ratings(spark, sf_dir):

@@ -74,6 +74,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def partition_for_expansion(df: DataFrame, *cols: str) -> DataFrame:
+    """Hash-partition ``df`` on ``cols`` into ``spark.sql.shuffle.partitions``
+    partitions, for inputs of a join that multiplies rows (self-joins,
+    rating × similarity).  AQE sizes a plain ``repartition(col)`` by its
+    input bytes and would coalesce a small input into a few partitions,
+    leaving the expanded work to a few tasks; a fixed count keeps it spread.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))
