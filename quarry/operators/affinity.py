@@ -183,8 +183,11 @@ def itemsets_fp(b: DataFrame, min_count: int) -> DataFrame:
     n_baskets = b.select(F.count_distinct("basket")).first()[0]
     if not n_baskets:
         return b.sparkSession.createDataFrame([], "itemset string, k int, n bigint")
+    # the conditional trees are spread over the shuffle partition count, not
+    # over the (AQE-coalesced) partitions of the grouped input
     fp = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n_baskets,
-                  minConfidence=1.0)
+                  minConfidence=1.0,
+                  numPartitions=int(b.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sets = fp.fit(txn).freqItemsets
     return sets.select(_itemset_string(F.col("items")).alias("itemset"),
                        F.size("items").alias("k"), F.col("freq").alias("n"))
