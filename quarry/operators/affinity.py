@@ -169,7 +169,7 @@ def itemsets(b: DataFrame, min_count: int, max_k: int = 3,
     return out
 
 
-def itemsets_fp(b: DataFrame, min_count: int) -> DataFrame:
+def itemsets_fp(b: DataFrame, min_count: int, n_baskets: int | None = None) -> DataFrame:
     """Frequent itemsets of any size by parallel FP-growth.
 
     FPGrowth needs one item array per basket; the array holds the basket's
@@ -180,7 +180,8 @@ def itemsets_fp(b: DataFrame, min_count: int) -> DataFrame:
     from pyspark.ml.fpm import FPGrowth
 
     txn = b.groupBy("basket").agg(F.collect_set("item").alias("items"))
-    n_baskets = b.select(F.count_distinct("basket")).first()[0]
+    if n_baskets is None:
+        n_baskets = b.select(F.count_distinct("basket")).first()[0]
     if not n_baskets:
         return b.sparkSession.createDataFrame([], "itemset string, k int, n bigint")
     # the conditional trees are spread over the shuffle partition count, not

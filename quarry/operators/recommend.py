@@ -20,9 +20,10 @@ from quarry.session import cut_lineage, partition_for_expansion
 TIE_DIGITS = 9
 
 
-def ratings(facts: DataFrame, user: str = "user", item: str = "item", value: str = "rating") -> DataFrame:
-    """M1: one rating per (user, item): the mean of its rating events."""
-    return facts.groupBy(F.col(user).alias("user"), F.col(item).alias("item")) \
+def ratings(facts: DataFrame, user: str = "user", item: str = "item", value: str = "rating",
+            extra_keys: tuple[str, ...] = ()) -> DataFrame:
+    """M1: one rating per (user, item [, extra keys]): the mean of its events."""
+    return facts.groupBy(F.col(user).alias("user"), F.col(item).alias("item"), *extra_keys) \
         .agg(F.avg(value).alias("rating"))
 
 

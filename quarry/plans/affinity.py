@@ -19,8 +19,12 @@ def _brands(spark, sf_dir):
     return order_baskets(spark, sf_dir, "p_brand")
 
 
-def _min_count(b, share):
-    n = b.select(F.count_distinct("basket")).first()[0]
+def _n_baskets(b):
+    return b.select(F.count_distinct("basket")).first()[0]
+
+
+def _min_count(b, share, n=None):
+    n = _n_baskets(b) if n is None else n
     return max(1, math.ceil(share * n - 1e-9))
 
 
@@ -51,7 +55,8 @@ def q_itemsets_l3(spark, sf_dir):
 
 def q_itemsets_fp(spark, sf_dir):
     b = _brands(spark, sf_dir)
-    return A.itemsets_fp(b, _min_count(b, ITEMSET_MIN_SUPPORT))
+    n = _n_baskets(b)
+    return A.itemsets_fp(b, _min_count(b, ITEMSET_MIN_SUPPORT, n), n)
 
 
 def q_multi_rules(spark, sf_dir):

@@ -17,15 +17,16 @@ TOP_N = 5
 FOLDS = 5
 
 
-def _facts(spark, sf_dir, where=None):
+def _facts(spark, sf_dir, where=None, hold_out=False):
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity"])
     if where is not None:
         li = li.where(where)
     od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
+    extra = [(F.pmod(F.col("l_orderkey"), F.lit(FOLDS)) == 0).alias("hold")] if hold_out else []
     return (li.join(od, li.l_orderkey == od.o_orderkey).join(part, li.l_partkey == part.p_partkey)
             .select(F.col("o_custkey").alias("user"), F.col("p_name").alias("item"),
-                    F.col("l_quantity").alias("rating")))
+                    F.col("l_quantity").alias("rating"), *extra))
 
 
 def _ratings(spark, sf_dir, where=None, materialise=False):
@@ -80,12 +81,13 @@ def q_recommend_items(spark, sf_dir):
 
 def q_hit_rate(spark, sf_dir):
     """Train on order lines with orderkey mod 5 != 0; holdout = favourites
-    from the other lines that the user had not rated in training."""
-    hold_mask = F.pmod(F.col("l_orderkey"), F.lit(FOLDS)) == 0
-    train_r = _ratings(spark, sf_dir, ~hold_mask, materialise=True)
+    from the other lines that the user had not rated in training.  Both
+    rating tables come from one scan and one aggregate keyed by the fold."""
+    both = cut_lineage(M.ratings(_facts(spark, sf_dir, hold_out=True), extra_keys=("hold",)))
+    train_r = partition_for_expansion(both.where(~F.col("hold")).drop("hold"), "user")
     n_items = train_r.select("item").distinct().count()
     recs = M.recommend_by_items(train_r, M.item_similarity(train_r), TOP_N, n_items)
-    hold = M.ratings(_facts(spark, sf_dir, hold_mask)).where(F.col("rating") > FAV_MIN)
+    hold = both.where(F.col("hold") & (F.col("rating") > FAV_MIN)).drop("hold")
     hold = hold.join(train_r.select("user", "item"), ["user", "item"], "left_anti")
     return M.hit_rate(recs, hold, TOP_N)
 
