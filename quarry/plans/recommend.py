@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from quarry.operators import affinity as A
 from quarry.operators import recommend as M
 from quarry.session import cut_lineage, partition_for_expansion
-from quarry.sources.fixtures import rating_events
 from quarry.sources.tables import read_table
 
 FAV_MIN = 40.0          # favourite = mean rating above 40 (five stars)
