@@ -196,12 +196,15 @@ def cross_val(df: DataFrame, k: int, folds: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------- K8
-def knn_approx(df: DataFrame, k: int, threshold: float, bucket_length: float = 1.0,
-               tables: int = 4, seed: int = 42) -> DataFrame:
+def knn_approx(df: DataFrame, k: int, threshold: float, bucket_length: float = 0.1,
+               tables: int = 10, seed: int = 42) -> DataFrame:
     """K8: approximate self k-NN by random-projection LSH (Spark ML).
 
     Only pairs sharing a hash bucket in some table and closer than
     ``threshold`` are compared; returns (id, neighbour, rank, distance).
+    ``bucket_length`` should be near the spread of the random projections
+    (about 1/sqrt(dim) for unit vectors): much larger and every pair shares
+    a bucket, which is the all-pairs join again.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
