@@ -24,7 +24,8 @@ from pyspark.sql.window import Window
 from quarry.operators.skew import HOT_KEY_ROWS, hot_split_join
 from quarry.session import cut_lineage, partition_for_expansion
 
-# Separator used when an itemset is shown as one string (items sorted).
+# Separator used when an itemset is shown as one string (items sorted);
+# item values must not contain it (brands and part titles do not).
 ITEM_SEP = "|"
 
 

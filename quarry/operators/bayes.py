@@ -35,9 +35,17 @@ def vocab(tok: DataFrame, min_df: int = 1) -> DataFrame:
     return v.where(F.col("df") >= min_df) if min_df > 1 else v
 
 
+MAX_CLASSES = 1000
+
+
 def classes_of(df: DataFrame, y_col: str = "y") -> list:
-    """The distinct labels (a bounded set), sorted."""
-    return sorted(r[0] for r in df.select(y_col).distinct().collect())
+    """The distinct labels, sorted.  Labels are a small set by definition;
+    more than MAX_CLASSES means a continuous column was passed, which is
+    refused rather than collected."""
+    labels = df.select(y_col).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(labels) > MAX_CLASSES:
+        raise ValueError(f"{y_col} has more than {MAX_CLASSES} distinct values; not a class label")
+    return sorted(r[0] for r in labels)
 
 
 def class_counts(tok: DataFrame, voc: DataFrame | None, classes: list,

@@ -100,3 +100,9 @@ def test_ml_path_agrees_with_exact_operator(spark):
     assert exact.keys() == ml.keys()
     agree = sum(exact[i] == ml[i] for i in exact) / len(exact)
     assert agree == 1.0
+
+
+def test_continuous_label_refused(spark):
+    df = spark.range(1200).withColumnRenamed("id", "y")
+    with pytest.raises(ValueError):
+        NB.classes_of(df)
