@@ -8,9 +8,14 @@ Scale notes
   aggregated) pair counts.
 * A basket holding a large share of all rows would put its size² pairs in
   one task; ``hot_split_join`` salts such baskets over S² tasks while cold
-  baskets join on the existing partitioning.  Items below the support
-  threshold are removed *before* the self-join (support is anti-monotone),
-  which bounds the pairs a hot basket can emit by the frequent-item count.
+  baskets join on the existing partitioning.  The split is skipped only
+  when the (materialised) item table proves no basket can exceed the
+  threshold: after de-duplication a basket holds at most one row per item.
+  Items below the support threshold are removed *before* the self-join
+  (support is anti-monotone), which bounds the pairs a hot basket can emit
+  by the frequent-item count.
+* The basket exchange uses a fixed partition count: the self-join
+  multiplies rows, so AQE must not coalesce its small input into few tasks.
 * The basket total N is a scalar subquery, evaluated once and inlined; no
   cross join.
 """
