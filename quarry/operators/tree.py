@@ -3,9 +3,9 @@
 Split scoring is a histogram: rows are unpivoted to (node, feature, value),
 aggregated to one row per distinct value with class counts (or Σy, Σy²),
 and running totals over ascending values give the left side of every
-threshold.  The window partitions hold one row per *distinct* value of a
-feature in a node — bounded by the feature's quantisation (letter share to
-2 digits, integer counts), not by the number of rows.
+threshold.  The running totals are a two-level prefix sum (``running_totals``):
+no window partition holds more than about WINDOW_ROWS distinct values of a
+feature, however many distinct values a node has.
 
 ``fit_levelwise`` grows the tree one level per pass over the data; the
 best split of every node of a level comes from one job, is materialised
@@ -47,6 +47,49 @@ def _unpivot(df: DataFrame, features: list[str]) -> DataFrame:
     return df.select("node", "y", F.stack(F.lit(len(features)), *args).alias("feature", "value"))
 
 
+# A (node, feature) group with more distinct values than this is cut into
+# up to PREFIX_BUCKETS buckets for its running totals (see running_totals).
+WINDOW_ROWS = 4096
+PREFIX_BUCKETS = 256
+
+
+def running_totals(hist: DataFrame, keys: list[str], order: str, stats: list[str]) -> DataFrame:
+    """Exact running sums ``L_<s>`` (values <= the row's) and totals ``T_<s>``
+    of every ``stats`` column within ``keys``, ordered by ``order``.
+
+    ``hist`` has one row per distinct ``order`` value of a group.  Groups of
+    at most WINDOW_ROWS rows use one window.  Larger groups are cut at
+    approximate quantiles into buckets (bucket = number of cut points below
+    the value, so it is monotone and equal values share a bucket; the
+    quantiles only balance the buckets, they never change the sums): each
+    window then holds one bucket, and a bucket's offset is the running sum
+    of the bucket totals before it (at most PREFIX_BUCKETS rows per group).
+    The per-group cut table has one row per group, so it is broadcast.
+    """
+    cuts = [i / PREFIX_BUCKETS for i in range(1, PREFIX_BUCKETS)]
+    groups = hist.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.percentile_approx(order, cuts).alias("_cuts"))
+    h = hist.join(F.broadcast(groups), keys)
+    bucket = F.when(F.col("_rows") <= WINDOW_ROWS, F.lit(0)).otherwise(
+        F.size(F.filter("_cuts", lambda c: c < F.col(order))))
+    h = h.withColumn("_bucket", bucket).drop("_cuts", "_rows")
+    bt = h.groupBy(*keys, "_bucket").agg(*[F.sum(F.col(f"`{s}`")).alias(f"_b_{s}") for s in stats])
+    grp = Window.partitionBy(*keys)
+    before = grp.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = bt.select(*keys, "_bucket",
+                        *[F.coalesce(F.sum(f"_b_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in stats],
+                        *[F.sum(f"_b_{s}").over(grp).alias(f"T_{s}") for s in stats])
+    run = Window.partitionBy(*keys, "_bucket").orderBy(order) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = h.select(*keys, "_bucket", order,
+                      *[F.sum(F.col(f"`{s}`")).over(run).alias(f"_r_{s}") for s in stats])
+    j = within.join(offsets, [*keys, "_bucket"])
+    return j.select(*keys, order,
+                    *[(F.col(f"_o_{s}") + F.col(f"_r_{s}")).alias(f"L_{s}") for s in stats],
+                    *[F.col(f"T_{s}") for s in stats])
+
+
 def split_scores(df: DataFrame, features: list[str], criterion: str = "gini",
                  classes: list | None = None) -> DataFrame:
     """Every threshold ``feature <= t`` of every node.
@@ -65,12 +108,8 @@ def split_scores(df: DataFrame, features: list[str], criterion: str = "gini",
         stats = [str(c) for c in classes]
         hist = hist.withColumn("n", reduce(lambda a, b: a + b, [F.col(f"`{s}`") for s in stats]))
         stats = stats + ["n"]
-    part = Window.partitionBy("node", "feature")
-    run = part.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [F.col("node"), F.col("feature"), F.col("value").alias("threshold")]
-    for s in stats:
-        cols += [F.sum(F.col(f"`{s}`")).over(run).alias(f"L_{s}"), F.sum(F.col(f"`{s}`")).over(part).alias(f"T_{s}")]
-    cum = hist.select(*cols).where(F.col("L_n") < F.col("T_n"))
+    cum = running_totals(hist, ["node", "feature"], "value", stats) \
+        .withColumnRenamed("value", "threshold").where(F.col("L_n") < F.col("T_n"))
 
     def side(prefix, other=None):
         if other is None:

@@ -84,3 +84,23 @@ def test_ml_tree_agrees_mostly_with_exact_tree(spark):
     assert exact.keys() == ml.keys()
     agree = sum(exact[i] == ml[i] for i in exact) / len(exact)
     assert agree >= 0.8, agree
+
+
+def test_bucketed_running_totals_equal_single_window(spark, monkeypatch):
+    """Force the two-level prefix sum on every group: scores must not change."""
+    from quarry.plans.tree import CLF_FEATURES
+    from quarry.sources.fixtures import feature_rows
+    from tests.conftest import SF01
+
+    root = feature_rows(spark, SF01).withColumn("node", F.lit(1).cast("long"))
+
+    def scores(crit, classes):
+        feats = CLF_FEATURES if crit != "variance" else ["letter_share", "n_words"]
+        s = T.split_scores(root, feats, crit, classes)
+        return sorted((r["feature"], r["threshold"], r["n_left"], round(r["gain"], 9)) for r in s.collect())
+
+    want = {c: scores(c, [0, 1]) for c in ("gini", "entropy")}
+    monkeypatch.setattr(T, "WINDOW_ROWS", 2)
+    monkeypatch.setattr(T, "PREFIX_BUCKETS", 8)
+    for c in ("gini", "entropy"):
+        assert scores(c, [0, 1]) == want[c]
