@@ -134,10 +134,13 @@ def split_scores_categorical(df: DataFrame, feature: str, classes: list) -> Data
             .agg(F.count("y")).na.fill(0))
     cls = [str(c) for c in classes]
     hist = hist.withColumn("n", reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in cls]))
-    part = Window.partitionBy("node")
+    # node totals are an aggregate (one row per node, broadcast), not a
+    # window: a node may have any number of categories
+    totals = hist.groupBy("node").agg(*[F.sum(F.col(f"`{c}`")).alias(f"T_{c}") for c in cls],
+                                      F.sum("n").alias("T_n"))
     cols = ["node", "category"] + [F.col(f"`{c}`").alias(f"L_{c}") for c in cls] + [F.col("n").alias("L_n")]
-    cols += [F.sum(F.col(f"`{c}`")).over(part).alias(f"T_{c}") for c in cls] + [F.sum("n").over(part).alias("T_n")]
-    h = hist.select(*cols).where(F.col("L_n") < F.col("T_n"))
+    h = (hist.select(*cols).join(F.broadcast(totals), "node")
+         .where(F.col("L_n") < F.col("T_n")))
     il = gini([F.col(f"L_{c}") for c in cls], F.col("L_n"))
     ir = gini([F.col(f"T_{c}") - F.col(f"L_{c}") for c in cls], F.col("T_n") - F.col("L_n"))
     ip = gini([F.col(f"T_{c}") for c in cls], F.col("T_n"))
