@@ -1,7 +1,6 @@
 """SURVEY §5.4: the same result whatever the input partitioning."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from quarry.operators import bayes as NB
 from quarry.operators import recommend as M
