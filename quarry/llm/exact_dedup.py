@@ -68,7 +68,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         pairs = (level.filter("n > 1").groupBy("row", "n", F.floor(F.col("pos") / 2).cast("int").alias("pos"))
                  .agg(F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("a"),
                       F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))), F.lit(-1)).alias("b")))
-        named = _numbered(pairs.select("a", "b").distinct(), "a", "b")
+        named = common.materialise(_numbered(pairs.select("a", "b").distinct(), "a", "b"), "block-names")
         level = common.materialise(
             pairs.join(named, ["a", "b"])
             .select("row", F.ceil(F.col("n") / 2).cast("int").alias("n"), "pos", "name"), "block-level")
@@ -79,8 +79,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     ident = common.materialise(
         ident.join(rows.drop("keys"), "row")
         .select("row", "doc_id", "text_key", "text_sha256", "level", "name"), "block-identity")
-    groups = ident.groupBy("level", "name").agg(F.max(F.struct("doc_id", "row")).alias("keep"),
-                                                F.count("*").alias("group_size"))
+    groups = common.materialise(
+        ident.groupBy("level", "name").agg(F.max(F.struct("doc_id", "row")).alias("keep"),
+                                           F.count("*").alias("group_size")), "block-groups")
     return ident.join(groups, ["level", "name"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"), "text_key", "text_sha256")

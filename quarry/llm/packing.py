@@ -131,9 +131,9 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, length: int =
     placed = common.materialise(
         order.repartitionByRange("key", "doc_id", "row").sortWithinPartitions("key", "doc_id", "row")
         .select("row", "n").mapInArrow(running, "row bigint, part int, within bigint, n bigint"), "packing-order")
-    parts = placed.groupBy("part").agg(F.sum("n").alias("n"))  # a row for each range
+    parts = placed.groupBy("part").agg(F.sum("n").alias("n"))  # a row for each range: bounded by the shuffle partitions
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    place = placed.join(before, "part").select("row", (F.col("before") + F.col("within")).alias("at"))
+    place = placed.join(F.broadcast(before), "part").select("row", (F.col("before") + F.col("within")).alias("at"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = tokenizer(vocabulary, byte).dtype

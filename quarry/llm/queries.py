@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import common, exact_dedup, packing, token_files
+from quarry.llm import common, exact_dedup, near_dedup, packing, passage_dedup, secret_scan, token_files
 
 
 def vocabulary(name: str) -> str:
@@ -21,6 +22,16 @@ def q_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path, with_ids=False)
 
 
+def q_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (passage_dedup.cut_passages(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+            .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
+
+
+def q_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (near_dedup.near_groups(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+            .select("doc_id", "n_shingles", "component_id", "kept", "n_links"))
+
+
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (exact_dedup.exact_groups(common.read(spark, sf_dir, "documents", "doc_id", "text"))
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
@@ -31,10 +42,22 @@ def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   vocabulary("byte_bpe_50k.json"), end_id=1, with_ids=False)
 
 
+def q_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+    spans = F.col("spans")
+    return found.select(
+        "doc_id", *[secret_scan.counted(spans, k).alias(f"n_{k}") for k in secret_scan.STRONG],
+        F.sha2(secret_scan.listed(spans, secret_scan.STRONG), 256).alias("base_sha256"),
+        secret_scan.listed(spans).alias("spans"))
+
+
 QUERIES = {
     "op2_token_files": q_token_files,
+    "op4_passage_dedup": q_passage_dedup,
+    "op5_near_dedup": q_near_dedup,
     "op7_exact_dedup": q_exact_dedup,
     "op8_packing": q_packing,
+    "op9_secret_scan": q_secret_scan,
 }
 
 ORACLE = {

@@ -238,7 +238,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = True) -> D
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
     inner = Window.partitionBy("part").orderBy("seq")
     offsets = (sizes.withColumn("within", F.sum("n_ids").over(inner) - F.col("n_ids"))
-               .join(before, "part")
+               .join(F.broadcast(before), "part")
                .select("part", "seq", (F.col("before") + F.col("within")).alias("offset")))
     out = docs.join(offsets, ["part", "seq"])
     return out.select("doc_id", (F.col("offset") + F.col("local")).alias("start"), "n_tokens",
