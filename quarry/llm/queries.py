@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import common, exact_dedup, near_dedup, packing, passage_dedup, secret_scan, token_files
+from quarry.llm import (common, exact_dedup, language, mixing, near_dedup, neighbours, packing,
+                        passage_dedup, quality, secret_scan, token_files)
 
 
 def vocabulary(name: str) -> str:
@@ -15,6 +16,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (quality.score_documents(common.read(spark, sf_dir, "documents", "doc_id", "text"),
+                                    common.read(spark, sf_dir, "labels", "doc_id", "quality"))
+            .select("doc_id", "held_out", "score", "predicted"))
+
+
 def q_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = common.scratch(spark, "token-files")
     token_files.write_token_files(common.read(spark, sf_dir, "documents", "doc_id", "text"), path,
@@ -22,6 +29,10 @@ def q_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path, with_ids=False)
 
 
+def q_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(common.read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def q_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (passage_dedup.cut_passages(common.read(spark, sf_dir, "documents", "doc_id", "text"))
             .select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
@@ -32,6 +43,10 @@ def q_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id", "kept", "n_links"))
 
 
+def q_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_language(common.read(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (exact_dedup.exact_groups(common.read(spark, sf_dir, "documents", "doc_id", "text"))
             .select("doc_id", "keep_id", "group_size", "kept", "text_sha256"))
@@ -51,16 +66,25 @@ def q_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secret_scan.listed(spans).alias("spans"))
 
 
+def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.sample(common.read(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")).drop("text_key")
+
+
 QUERIES = {
+    "op1_quality": q_quality,
     "op2_token_files": q_token_files,
+    "op3_neighbours": q_neighbours,
     "op4_passage_dedup": q_passage_dedup,
     "op5_near_dedup": q_near_dedup,
+    "op6_language": q_language,
     "op7_exact_dedup": q_exact_dedup,
     "op8_packing": q_packing,
     "op9_secret_scan": q_secret_scan,
+    "op10_mixing": q_mixing,
 }
 
 ORACLE = {
+    "op10_mixing": mixing.oracle(),
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
