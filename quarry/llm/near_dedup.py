@@ -14,10 +14,13 @@ confirmed on the full sets.
 Links need not be listed, only joined up, so buckets are never expanded into
 pairs.  In each round some members of a bucket, its centres, are compared with
 all others and leave it; confirmed links unite components; a bucket whose
-members lie in one component is done.  Round one takes one centre of each
-bucket; later rounds take centres outside the bucket's largest component, four
-times as many each round.  Every pair of a bucket that could still unite two
-components gets compared, and a group of n near copies costs about n pairs.
+members lie in one component is done.  Round one takes as centre the member
+that shares most buckets with others; later rounds take centres outside the
+bucket's largest component, four times as many each round.  Every pair of a
+bucket that could still unite two components gets compared, unless a bound
+rules it out: shingles that no other candidate has are in no intersection, so
+copies with edits of their own can link to their original but hardly to each
+other.  A group of n near copies costs about n pairs.
 
 Defined results: null text, and text without words, has an empty set, is its
 own component and stays; with fewer than five words the whole sequence is the
@@ -214,21 +217,26 @@ def near_groups(docs: DataFrame) -> DataFrame:
         "near-members")
 
     entry = member.filter("bands is not null").select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    shared = common.materialise(
-        entry.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("c"), F.count("*").alias("size")).filter("size > 1"),
-        "near-shared")
-    alive = common.materialise(
-        entry.join(shared.select("bucket", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n")), "bucket")
-        .filter("node <> centre"), "near-buckets")
+    shared = common.materialise(entry.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "near-shared")
+    alive = common.materialise(entry.join(shared, "bucket"), "near-buckets")
 
     # the full sets of classes that share a bucket, from a second pass over their texts
-    busy = alive.select("node").unionByName(alive.select(F.col("centre").alias("node"))).distinct()
-    heads = (member.filter("row = node").join(busy, "node", "left_semi")
+    weight = common.materialise(alive.groupBy("node", "n").agg(F.sum("size").alias("weight")), "near-busy")
+    heads = (member.filter("row = node").join(weight, "node", "left_semi")
              .select("node", F.col("doc_id").alias("head_id"), F.col("text_key").alias("head_key")))
     sets = common.materialise(
         src.join(heads, src["doc_id"].eqNullSafe(heads["head_id"]) & (src["text_key"] == heads["head_key"]))
         .select("node", "text").mapInArrow(_sets, "node bigint, items array<bigint>").dropDuplicates(["node"]), "near-sets")
 
+    # shingles that no other such class has can't be in an intersection
+    own = (sets.select("node", F.explode("items").alias("item")).groupBy("item")
+           .agg(F.count("*").alias("df"), F.min("node").alias("node")).filter("df = 1")
+           .groupBy("node").agg(F.count("*").alias("own")))
+    able = common.materialise(
+        weight.join(own, "node", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+        .filter(f"100 * most >= {PERCENT} * n").select("node", "n", "most", "weight"), "near-able")
+    alive = common.materialise(alive.select("bucket", "node").join(able, "node"), "near-buckets")
+
     def confirmed(pairs: DataFrame) -> DataFrame:
         a = sets.select(F.col("node").alias("a"), F.col("items").alias("ia"))
         b = sets.select(F.col("node").alias("b"), F.col("items").alias("ib"))
@@ -237,14 +245,23 @@ def near_groups(docs: DataFrame) -> DataFrame:
                 .filter(100 * F.col("both") >= PERCENT * (F.size("ia") + F.size("ib") - F.col("both")))
                 .select("a", "b"))
 
-    fits = "100 * least(n, centre_n) >= 85 * greatest(n, centre_n)"
-    tried = common.materialise(alive.filter(fits).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "near-pairs")
+    # an intersection has at most least(most) shingles, a union at least the rest
+    fits = (f"100 * least(most, centre_most) >= {PERCENT} * (n + centre_n - least(most, centre_most))")
+    named = [F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("most").alias("centre_most")]
+    # the member that shares most with the others: often the text that the others were made from
+    first = common.materialise(
+        alive.groupBy("bucket").agg(F.max_by(F.struct("node", "n", "most"), F.struct("weight", "node")).alias("c"),
+                                    F.count("*").alias("size")).filter("size > 1").select("bucket", "c.*")
+        .select("bucket", *named), "near-centres")
+    alive = common.materialise(alive.join(first, "bucket").filter("node <> centre"), "near-buckets")
+    pairs = alive.filter(fits).select(F.greatest("node", "centre").alias("b"), F.least("node", "centre").alias("a"))
+    tried = common.materialise(pairs.distinct().select("a", "b"), "near-pairs")
     links = common.materialise(confirmed(tried), "near-links")
     comp = components(links)
-    alive = alive.select("bucket", "node", "n")
+    alive = alive.select("bucket", "node", "n", "most", "weight")
     centres = GROWTH
     while True:
-        placed = alive.join(comp, "node", "left").select("bucket", "node", "n", F.coalesce("comp", "node").alias("comp"))
+        placed = alive.join(comp, "node", "left").select("bucket", "node", "n", "most", "weight", F.coalesce("comp", "node").alias("comp"))
         sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
         mixed = common.materialise(
             sizes.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("big"), F.count("*").alias("k"))
@@ -252,9 +269,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
         alive = common.materialise(placed.join(mixed, "bucket"), "near-buckets")
         if alive.isEmpty():
             break
-        order = Window.partitionBy("bucket").orderBy("node")
+        order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "node")
         chosen = (alive.filter("comp <> big").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= centres)
-                  .select("bucket", F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("comp").alias("centre_comp")))
+                  .select("bucket", *named, F.col("comp").alias("centre_comp")))
         chosen = common.materialise(chosen, "near-centres")
         fresh = (alive.join(chosen, "bucket").filter("comp <> centre_comp").filter(fits)
                  .select(F.greatest("node", "centre").alias("b"), F.least("node", "centre").alias("a")).distinct()
@@ -262,15 +279,16 @@ def near_groups(docs: DataFrame) -> DataFrame:
         fresh = common.materialise(fresh.select("a", "b"), "near-pairs")
         more = common.materialise(confirmed(fresh), "near-links")
         spent = chosen.select("bucket", F.col("centre").alias("node"))
-        alive = alive.join(spent, ["bucket", "node"], "left_anti").select("bucket", "node", "n")
+        alive = alive.join(spent, ["bucket", "node"], "left_anti").select("bucket", "node", "n", "most", "weight")
         tried = tried.unionByName(fresh)
         if not more.isEmpty():
             links = links.unionByName(more)
             comp = components(links)
         centres *= GROWTH
 
-    degree = (links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links")))
-    placed = (member.drop("bands").join(comp, "node", "left").join(degree, "node", "left")
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    joined = common.materialise(comp.join(degree, "node", "full"), "near-joined")
+    placed = (member.drop("bands").join(joined, "node", "left")
               .select("row", "doc_id", "text_key", "n_shingles", F.coalesce("comp", "node").alias("comp"),
                       F.coalesce("n_links", F.lit(0)).alias("n_links")))
     placed = common.materialise(placed, "near-placed")
