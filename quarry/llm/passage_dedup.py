@@ -2,7 +2,7 @@
 
 1. Every document names some of its ``PHRASE``-word phrases: of each window
    the one of least hash.  A window chooses by its own words alone, so all
-   copies of a window choose the same phrase; about one phrase in 22 is named.
+   copies of a window choose the same phrase; about one phrase in 13 is named.
 2. Phrases named by two documents recur; the others' windows are unique.
 3. The recurring phrases of a shard of documents are compiled into an
    Aho-Corasick automaton, and the shard's texts are streamed through it, which
@@ -38,7 +38,7 @@ from quarry.llm.near_dedup import mix, word_hashes
 from quarry.llm.tokens import sub_batches
 
 WINDOW = 50
-PHRASE = 8
+PHRASE = 25
 SUB_BATCH = 2 << 20
 LAST = (1 << 63) - 1
 
@@ -68,16 +68,25 @@ def run_hashes(h: np.ndarray, n: int, seed: int) -> np.ndarray:
 
 
 def chosen_phrases(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Phrase hashes, and per window the place of the first phrase of least hash."""
+    """Phrase hashes, and per window the place of a phrase of least hash.
+
+    Minima of runs of doubling length; the place rides in the low six bits
+    (a window has fewer than 64 phrases).  If the least phrase stands twice in
+    a window, either place names the same phrase.
+    """
     phrases = run_hashes(h, PHRASE, 1)
     span = WINDOW - PHRASE + 1
     n = len(h) - WINDOW + 1
     if n < 1:
         return phrases, np.zeros(0, dtype=np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(phrases, span)
-    step = 1 << 16
-    return phrases, np.concatenate([np.argmin(view[i:i + step], axis=1) + np.arange(i, min(i + step, n))
-                                    for i in range(0, n, step)])
+    low = (phrases & ~_U(63)) | (np.arange(len(phrases), dtype=np.uint64) & _U(63))
+    size = 1
+    while size * 2 <= span:
+        low = np.minimum(low[:-size], low[size:])
+        size *= 2
+    low = np.minimum(low[:n], low[span - size:span - size + n])
+    first = np.arange(n)
+    return phrases, first + (((low & _U(63)).astype(np.int64) - first) & 63)
 
 
 def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
