@@ -48,6 +48,7 @@ BANDS, ROWS = 25, 5
 SLOTS = BANDS * ROWS
 PERCENT = 85
 GROWTH = 4
+PRIVATE_PASSES = 2
 SUB_BATCH = 1 << 20
 
 _U = np.uint64
@@ -228,13 +229,18 @@ def near_groups(docs: DataFrame) -> DataFrame:
         src.join(heads, src["doc_id"].eqNullSafe(heads["head_id"]) & (src["text_key"] == heads["head_key"]))
         .select("node", "text").mapInArrow(_sets, "node bigint, items array<bigint>").dropDuplicates(["node"]), "near-sets")
 
-    # shingles that no other such class has can't be in an intersection
-    own = (sets.select("node", F.explode("items").alias("item")).groupBy("item")
-           .agg(F.count("*").alias("df"), F.min("node").alias("node")).filter("df = 1")
-           .groupBy("node").agg(F.count("*").alias("own")))
-    able = common.materialise(
-        weight.join(own, "node", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
-        .filter(f"100 * most >= {PERCENT} * n").select("node", "n", "most", "weight"), "near-able")
+    # Shingles that no other such class has can't be in an intersection.  Classes
+    # that have too many link with none; without them, more shingles are private.
+    able = weight
+    for _ in range(PRIVATE_PASSES):
+        left = sets if able is weight else sets.join(able.select("node"), "node", "left_semi")
+        own = (left.select("node", F.explode("items").alias("item")).groupBy("item")
+               .agg(F.count("*").alias("df"), F.min("node").alias("node")).filter("df = 1")
+               .groupBy("node").agg(F.count("*").alias("own")))
+        able = common.materialise(
+            able.select("node", "n", "weight").join(own, "node", "left")
+            .withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
+            .filter(f"100 * most >= {PERCENT} * n").select("node", "n", "most", "weight"), "near-able")
     alive = common.materialise(alive.select("bucket", "node").join(able, "node"), "near-buckets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
