@@ -2,19 +2,17 @@
 
 Scale notes
 -----------
-* ``baskets`` hash-partitions on the basket key once; the de-duplication and
-  every later self-join on ``basket`` reuse that partitioning, so pair
-  counting costs one shuffle of the input plus one of the (partially
-  aggregated) pair counts.
-* A basket holding a large share of all rows would put its size² pairs in
-  one task; ``hot_split_join`` salts such baskets over S² tasks while cold
-  baskets join on the existing partitioning.  The split is skipped only
-  when the (materialised) item table proves no basket can exceed the
-  threshold: after de-duplication a basket holds at most one row per item.
+* ``baskets`` removes duplicates by (basket, item) first, with a combine on
+  the map side: a basket holding a third of all rows spreads over its items,
+  and afterwards holds at most one row per item.
+* A basket with many items would put its size² pairs in one task;
+  ``hot_split_join`` salts such baskets while cold baskets join on the basket
+  alone.  The split is skipped only when the (materialised) item table proves
+  that no basket can exceed the threshold on either side.
   Items below the support threshold are removed *before* the self-join
   (support is anti-monotone), which bounds the pairs a hot basket can emit
   by the frequent-item count.
-* The basket exchange uses a fixed partition count: the self-join
+* The basket exchange of a self-join uses a fixed partition count: it
   multiplies rows, so AQE must not coalesce its small input into few tasks.
 * The basket total N is a scalar subquery, evaluated once and inlined; no
   cross join.
@@ -22,6 +20,8 @@ Scale notes
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,8 +29,8 @@ from pyspark.sql.window import Window
 from quarry.operators.skew import HOT_KEY_ROWS, hot_split_join
 from quarry.session import cut_lineage, partition_for_expansion
 
-# Separator used when an itemset is shown as one string (items sorted);
-# item values must not contain it (brands and part titles do not).
+# Separator used when an itemset is shown as one string (items sorted).  Only
+# for output: itemsets are keyed by their arrays.
 ITEM_SEP = "|"
 
 
@@ -38,7 +38,6 @@ def baskets(df: DataFrame, basket: str, item: str) -> DataFrame:
     """A1: distinct (basket, item) pairs; null items dropped."""
     return (df.select(F.col(basket).alias("basket"), F.col(item).alias("item"))
             .where(F.col("item").isNotNull() & F.col("basket").isNotNull())
-            .transform(lambda d: partition_for_expansion(d, "basket"))
             .dropDuplicates(["basket", "item"]))
 
 
@@ -72,6 +71,7 @@ def item_counts(b: DataFrame, min_count: int = 1) -> DataFrame:
 def basket_pairs(b: DataFrame, hot_rows: int = HOT_KEY_ROWS,
                  max_basket_rows: int | None = None) -> DataFrame:
     """(basket, item_a, item_b) for every unordered pair a < b of one basket."""
+    b = partition_for_expansion(b, "basket")
     x = b.select("basket", F.col("item").alias("item_a"))
     y = b.select("basket", F.col("item").alias("item_b"))
     return hot_split_join(x, y, "basket", lambda c, l, r: c(f"{l}.item_a") < c(f"{r}.item_b"),
@@ -145,26 +145,24 @@ def itemsets(b: DataFrame, min_count: int, max_k: int = 3,
     enter, and occurrences of infrequent sets are dropped before the next
     level, so each level's join input shrinks with the threshold.  Levels
     from ``checkpoint_from`` on are checkpointed to cut the growing lineage.
-    Output: itemset (items sorted, joined by '|'), k, n.
+    Output: itemset (items joined by '|', for show), k, n, items (sorted).
     """
     f1 = item_counts(b, min_count)
     n_frequent = f1.count()  # bounds the rows of any basket in b1
-    b1 = b.join(f1.select("item"), "item", "left_semi")
-    levels = [f1.select(_itemset_string(F.array("item")).alias("itemset"),
-                        F.lit(1).alias("k"), F.col("n_item").alias("n"))]
+    b1 = partition_for_expansion(b.join(f1.select("item"), "item", "left_semi"), "basket")
+    levels = [f1.select(F.array("item").alias("items"), F.lit(1).alias("k"), F.col("n_item").alias("n"))]
     # occurrences of frequent (k-1)-itemsets: (basket, items, last)
     occ = b1.select("basket", F.array("item").alias("items"), F.col("item").alias("last"))
     for k in range(2, max_k + 1):
         ext = b1.select("basket", F.col("item").alias("nxt"))
         cand = (hot_split_join(occ, ext, "basket", lambda c, l, r: c(f"{r}.nxt") > c(f"{l}.last"),
-                               "items", "nxt", hot_rows, n_frequent)
+                               "items", "nxt", hot_rows, math.comb(n_frequent, k - 1) if k > 2 else n_frequent)
                 .select("basket", F.concat("items", F.array("nxt")).alias("items"),
                         F.col("nxt").alias("last")))
         counts = cand.groupBy("items").agg(F.count("*").alias("n")).where(F.col("n") >= min_count)
         if k >= checkpoint_from:
             counts = cut_lineage(counts)
-        levels.append(counts.select(_itemset_string(F.col("items")).alias("itemset"),
-                                    F.lit(k).alias("k"), "n"))
+        levels.append(counts.select("items", F.lit(k).alias("k"), "n"))
         if k < max_k:
             occ = cand.join(counts.select("items"), "items", "left_semi")
             if k + 1 >= checkpoint_from:
@@ -172,7 +170,7 @@ def itemsets(b: DataFrame, min_count: int, max_k: int = 3,
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
-    return out
+    return out.select(_itemset_string(F.col("items")).alias("itemset"), "k", "n", "items")
 
 
 def itemsets_fp(b: DataFrame, min_count: int, n_baskets: int | None = None) -> DataFrame:
@@ -189,7 +187,7 @@ def itemsets_fp(b: DataFrame, min_count: int, n_baskets: int | None = None) -> D
     if n_baskets is None:
         n_baskets = b.select(F.count_distinct("basket")).first()[0]
     if not n_baskets:
-        return b.sparkSession.createDataFrame([], "itemset string, k int, n bigint")
+        return b.sparkSession.createDataFrame([], f"itemset string, k int, n bigint, items array<{dict(b.dtypes)['item']}>")
     # the conditional trees are spread over the shuffle partition count, not
     # over the (AQE-coalesced) partitions of the grouped input
     fp = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n_baskets,
@@ -197,30 +195,26 @@ def itemsets_fp(b: DataFrame, min_count: int, n_baskets: int | None = None) -> D
                   numPartitions=int(b.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sets = fp.fit(txn).freqItemsets
     return sets.select(_itemset_string(F.col("items")).alias("itemset"),
-                       F.size("items").alias("k"), F.col("freq").alias("n"))
+                       F.size("items").alias("k"), F.col("freq").alias("n"),
+                       F.array_sort("items").alias("items"))
 
 
 def multi_rules(sets: DataFrame, min_confidence: float = 0.0) -> DataFrame:
     """Rules (itemset minus c) -> c for every frequent itemset of size >= 2.
 
-    ``sets`` is an itemset table (itemset, k, n) closed under subsets, as A6
-    and A7 return.  Output: antecedent, consequent, n, support-free measures
+    ``sets`` is an itemset table (k, n, items) closed under subsets, as A6
+    and A7 return.  Output: antecedent (for show), ante_items, consequent, n, measures
     confidence = n / n(antecedent) and lift = confidence * N / n(consequent),
     where N comes from the caller via the size-1 counts' basket total.
     """
-    full = sets.where(F.col("k") >= 2).select(
-        "itemset", "n", F.split("itemset", r"\|").alias("items"))
-    exploded = full.select("n", "items", F.explode("items").alias("consequent"))
-    with_ante = exploded.select(
-        "n", "consequent",
-        F.concat_ws(ITEM_SEP, F.array_sort(F.array_except("items", F.array("consequent")))).alias("antecedent"))
-    ante = sets.select(F.col("itemset").alias("antecedent"), F.col("n").alias("n_ante"))
-    single = sets.where(F.col("k") == 1).select(F.col("itemset").alias("consequent"),
-                                                F.col("n").alias("n_cons"))
-    rules = (with_ante.join(ante, "antecedent").join(single, "consequent")
-             .select("antecedent", "consequent", "n",
+    full = sets.where(F.col("k") >= 2).select("n", "items", F.explode("items").alias("consequent"))
+    with_ante = full.select("n", "consequent", F.array_sort(F.array_except("items", F.array("consequent"))).alias("ante_items"))
+    ante = sets.select(F.col("items").alias("ante_items"), F.col("n").alias("n_ante"))
+    single = sets.where(F.col("k") == 1).select(F.col("items")[0].alias("consequent"), F.col("n").alias("n_cons"))
+    rules = (with_ante.join(ante, "ante_items").join(single, "consequent")
+             .select(_itemset_string(F.col("ante_items")).alias("antecedent"), "consequent", "n",
                      (F.col("n") / F.col("n_ante")).alias("confidence"),
-                     F.col("n_ante"), F.col("n_cons")))
+                     F.col("n_ante"), F.col("n_cons"), "ante_items"))
     if min_confidence > 0:
         rules = rules.where(F.col("confidence") >= min_confidence)
     return rules
@@ -232,33 +226,25 @@ def with_lift(rules: DataFrame, n_baskets: Column) -> DataFrame:
         "lift", F.col("n") * n_baskets / (F.col("n_ante") * F.col("n_cons")))
 
 
-# A rule table with at most this many rows is broadcast (its size is
-# counted after it is materialised).
-RULE_BROADCAST_ROWS = 1_000_000
-
-
 def apply_rules(b: DataFrame, rules: DataFrame) -> DataFrame:
     """Per basket, the best unheld consequent of the rules that fire.
 
-    ``rules`` has antecedent ('|'-joined items), consequent, confidence.  A
-    rule fires when the basket holds every antecedent item: antecedent items
-    are joined to the basket on item, and the matched count must reach the
-    antecedent size.  The rule table is materialised and counted; when it is
-    small it is broadcast, so matching, firing, the held-item check (held
-    items enter the same aggregate as flagged rows, instead of an anti-join)
-    and the per-basket top-1 all stay on the basket partitioning.  Best
-    confidence wins, ties by consequent.
+    ``rules`` has consequent, confidence, and ante_items (array) or else
+    antecedent, a single item.  A rule fires when the basket holds every
+    antecedent item: antecedent items are joined to the basket on item, and
+    the matched count must reach the antecedent size.  Held items enter the
+    same aggregate as flagged rows, instead of an anti-join.  The rule tables
+    are materialised, so AQE broadcasts them by their size or else splits a
+    hot item.  Best confidence wins, ties by consequent.
     """
-    rt = cut_lineage(rules.select("antecedent", "consequent", "confidence"))
-    parts = (rt.select("antecedent", F.split("antecedent", r"\|").alias("ante_items"))
-             .select("antecedent", F.size("ante_items").alias("ante_size"),
-                     F.explode("ante_items").alias("item")).distinct())
-    if rt.count() <= RULE_BROADCAST_ROWS:
-        rt, parts = F.broadcast(rt), F.broadcast(parts)
+    ante = F.col("ante_items") if "ante_items" in rules.columns else F.array("antecedent")
+    rt = cut_lineage(rules.select(F.array_sort(F.array_distinct(ante)).alias("ante_items"), "consequent", "confidence"))
+    parts = cut_lineage(rt.select("ante_items").distinct()
+                        .select("ante_items", F.size("ante_items").alias("ante_size"), F.explode("ante_items").alias("item")))
     matched = (b.join(parts, "item")
-               .groupBy("basket", "antecedent", "ante_size").agg(F.count("*").alias("hit"))
+               .groupBy("basket", "ante_items", "ante_size").agg(F.count("*").alias("hit"))
                .where(F.col("hit") == F.col("ante_size")))
-    fired = matched.join(rt, "antecedent").select(
+    fired = matched.join(rt, "ante_items").select(
         "basket", F.col("consequent").alias("item"), "confidence", F.lit(0).alias("held"))
     held = b.select("basket", "item", F.lit(None).cast("double").alias("confidence"), F.lit(1).alias("held"))
     best = (fired.unionByName(held).groupBy("basket", "item")

@@ -3,19 +3,18 @@
 The model is a table (y, w, log_p, log_q) plus per-class constants, so
 fitting is two aggregations and scoring is one equi-join of document
 tokens with the model followed by a sum per (document, class).  Class
-labels are a small, bounded set: they are the only thing collected to the
-driver (to pivot/unpivot), which keeps zero counts without a cross join.
+labels are an array that a scalar subquery gives; exploding it per word or
+document keeps zero counts without a cross join.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.functions.text import words
+from quarry.session import cut_lineage
 
 
 def tokens(df: DataFrame, id_col: str = "id", y_col: str = "y", text_col: str = "text",
@@ -35,49 +34,39 @@ def vocab(tok: DataFrame, min_df: int = 1) -> DataFrame:
     return v.where(F.col("df") >= min_df) if min_df > 1 else v
 
 
-MAX_CLASSES = 1000
+def classes_of(df: DataFrame, y_col: str = "y") -> Column:
+    """The distinct labels as one sorted array, a scalar subquery: they never
+    reach the driver, and any number of them will do."""
+    return df.select(F.array_sort(F.collect_set(y_col))).scalar()
 
 
-def classes_of(df: DataFrame, y_col: str = "y") -> list:
-    """The distinct labels, sorted.  Labels are a small set by definition;
-    more than MAX_CLASSES means a continuous column was passed, which is
-    refused rather than collected."""
-    labels = df.select(y_col).distinct().limit(MAX_CLASSES + 1).collect()
-    if len(labels) > MAX_CLASSES:
-        raise ValueError(f"{y_col} has more than {MAX_CLASSES} distinct values; not a class label")
-    return sorted(r[0] for r in labels)
+def _array(classes) -> Column:
+    return classes if isinstance(classes, Column) else F.array(*[F.lit(c) for c in classes])
 
 
-def class_counts(tok: DataFrame, voc: DataFrame | None, classes: list,
-                 min_df: int = 1) -> DataFrame:
+def class_counts(tok: DataFrame, voc: DataFrame | None, classes, min_df: int = 1) -> DataFrame:
     """(y, w, n_docs, n_occ) for every vocabulary word and class, zeros kept.
 
-    One aggregation: pivot on the known labels gives one row per word with a
-    column per class (absent combinations null -> 0); ``stack`` turns it back
-    into rows.  With ``voc=None`` the vocabulary is the words in at least
-    ``min_df`` documents, decided from the same aggregate; a given ``voc``
-    keeps its words even where they never occur.
+    Counts by (w, y), joined to a scaffold of every vocabulary word and label.
+    With ``voc=None`` the vocabulary is the words in at least ``min_df``
+    documents, decided from the same counts; a given ``voc`` keeps its words
+    even where they never occur.
     """
-    wide = (tok.groupBy("w").pivot("y", classes)
-            .agg(F.count("tf").alias("d"), F.sum("tf").alias("o")))
+    seen = cut_lineage(tok.groupBy("w", "y").agg(F.count("tf").alias("d"), F.sum("tf").alias("o")))
     if voc is None:
-        total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"{c}_d"), F.lit(0)) for c in classes])
-        wide = wide.where(total >= min_df)
-    else:
-        wide = voc.select("w").join(wide, "w", "left")
-    parts = []
-    for c in classes:
-        parts += [F.lit(c), F.coalesce(F.col(f"{c}_d"), F.lit(0)).cast("bigint"),
-                  F.coalesce(F.col(f"{c}_o"), F.lit(0)).cast("bigint")]
-    return wide.select("w", F.stack(F.lit(len(classes)), *parts).alias("y", "n_docs", "n_occ"))
+        voc = seen.groupBy("w").agg(F.sum("d").alias("df")).where(F.col("df") >= min_df)
+    grid = voc.select("w", F.explode(_array(classes)).alias("y"))
+    return grid.join(seen, ["w", "y"], "left").select(
+        "w", "y", F.coalesce("d", F.lit(0)).cast("bigint").alias("n_docs"),
+        F.coalesce("o", F.lit(0)).cast("bigint").alias("n_occ"))
 
 
-def class_priors(docs: DataFrame, classes: list, smoothing: float = 1.0) -> DataFrame:
+def class_priors(docs: DataFrame, classes, smoothing: float = 1.0) -> DataFrame:
     """(y, n_class, log_prior): ln((n_c + λ) / (N + λ·C)), as Spark ML smooths it."""
     n = docs.select(F.count("*")).scalar()
     return (docs.groupBy("y").agg(F.count("*").alias("n_class"))
             .select("y", "n_class",
-                    F.log((F.col("n_class") + smoothing) / (n + smoothing * len(classes))).alias("log_prior")))
+                    F.log((F.col("n_class") + smoothing) / (n + smoothing * F.size(_array(classes)))).alias("log_prior")))
 
 
 def fit_bernoulli(counts: DataFrame, priors: DataFrame, smoothing: float = 1.0) -> DataFrame:
@@ -97,15 +86,21 @@ def fit_multinomial(counts: DataFrame, smoothing: float = 1.0) -> DataFrame:
                                     (F.col("occ_c") + smoothing * F.col("v"))).alias("log_p"))
 
 
-def score(doc_tokens: DataFrame, model: DataFrame, priors: DataFrame, classes: list,
-          kind: str = "bernoulli") -> DataFrame:
+def score(doc_tokens: DataFrame, model: DataFrame, priors: DataFrame, classes,
+          kind: str = "bernoulli", docs: DataFrame | None = None) -> DataFrame:
     """(id, y, score) for every document and class.
 
+    ``docs`` (id) names the documents, so that one without any token gets its
+    classes' base scores; by default only documents with tokens are known.
+    The model is materialised: with both sides of the word join on plain
+    exchanges, Spark can split a word that a third of the tokens share.
+
     Bernoulli: prior + Σ_vocab log_q + Σ_{w in doc} (log_p - log_q); the first
     two terms are one constant per class, so absent words need no rows.
     Multinomial: prior + Σ_{w in doc} tf · log_p.  Words outside the model
     are ignored by the inner join.
     """
+    model = cut_lineage(model)
     if kind == "bernoulli":
         const = (model.groupBy("y").agg(F.sum("log_q").alias("sum_q"))
                  .join(priors, "y").select("y", (F.col("log_prior") + F.col("sum_q")).alias("base")))
@@ -115,9 +110,9 @@ def score(doc_tokens: DataFrame, model: DataFrame, priors: DataFrame, classes: l
         const = priors.select("y", F.col("log_prior").alias("base"))
         contrib = (doc_tokens.select("id", "w", "tf").join(model, "w")
                    .groupBy("id", "y").agg(F.sum(F.col("tf") * F.col("log_p")).alias("part")))
-    ids = doc_tokens.select("id").distinct()
-    grid = ids.select("id", F.explode(F.array(*[F.lit(c) for c in classes])).alias("y"))
-    return (grid.join(F.broadcast(const), "y")  # one row per class
+    ids = (docs if docs is not None else doc_tokens).select("id").distinct()
+    grid = ids.select("id", F.explode(_array(classes)).alias("y"))
+    return (grid.join(const, "y")
             .join(contrib, ["id", "y"], "left")
             .select("id", "y", (F.col("base") + F.coalesce(F.col("part"), F.lit(0.0))).alias("score")))
 
@@ -140,7 +135,9 @@ def top_words(model: DataFrame, k: int, pos=1, neg=0) -> DataFrame:
 def fit_ml(train: DataFrame, test: DataFrame, min_df: int = 2, kind: str = "bernoulli") -> DataFrame:
     """Spark ML path — CountVectorizer (binary for Bernoulli) + NaiveBayes.
 
-    Returns (id, actual, predicted) for ``test``.
+    Returns (id, actual, predicted) for ``test``.  Every word enters; Spark
+    ML itself holds the vocabulary and a class × word matrix on the driver,
+    so N4-N7 are the path for vocabularies beyond its memory.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import NaiveBayes
@@ -150,7 +147,7 @@ def fit_ml(train: DataFrame, test: DataFrame, min_df: int = 2, kind: str = "bern
         return df.select("id", F.col("y").cast("double").alias("label"), words("text").alias("words"))
 
     cv = CountVectorizer(inputCol="words", outputCol="features", minDF=float(min_df),
-                         binary=(kind == "bernoulli"), vocabSize=1 << 22)
+                         binary=(kind == "bernoulli"), vocabSize=(1 << 31) - 1)
     nb = NaiveBayes(featuresCol="features", labelCol="label", smoothing=1.0, modelType=kind)
     model = Pipeline(stages=[cv, nb]).fit(prep(train))
     pred = model.transform(prep(test))

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.session import cut_lineage
+
 
 def split(df: DataFrame, key: str, k: int = 5, test_fold: int = 0) -> tuple[DataFrame, DataFrame]:
     """V1: deterministic split on ``key mod k`` (repeatable by any engine)."""
@@ -28,7 +30,7 @@ def class_metrics(pred: DataFrame) -> DataFrame:
 
     All measures are ratios of integer counts (F1 = 2tp / (2tp + fp + fn)).
     """
-    cm = confusion(pred)
+    cm = cut_lineage(confusion(pred))  # read by six branches
     act = cm.groupBy(F.col("actual").alias("label")).agg(F.sum("n").alias("n_actual"))
     prd = cm.groupBy(F.col("predicted").alias("label")).agg(F.sum("n").alias("n_predicted"))
     tp = cm.where(F.col("actual") == F.col("predicted")).select(F.col("actual").alias("label"),
@@ -54,6 +56,7 @@ def class_metrics(pred: DataFrame) -> DataFrame:
 
 def regression(pred: DataFrame) -> DataFrame:
     """V4: RMSE, MAE and R² of numeric predictions (one row)."""
+    pred = cut_lineage(pred)  # read for the mean and for the sums
     mean_a = pred.select(F.avg("actual")).scalar()
     err = F.col("actual") - F.col("predicted")
     agg = pred.agg(F.count("*").alias("n"),

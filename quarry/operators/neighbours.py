@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.functions.vectors import METRICS
-from quarry.session import partition_for_expansion
+from quarry.session import cut_lineage, partition_for_expansion
 
 # Distances are compared after rounding to this many digits; ties then go
 # to the smaller id (a total order any engine can reproduce).
@@ -50,6 +50,11 @@ def distance_to_centroid(df: DataFrame, metrics=("euclidean",), vec: str = "v",
     return j.select("id", label, *[METRICS[m](vec, "centroid").alias(m) for m in metrics])
 
 
+def distance(pairs: DataFrame, metrics=tuple(METRICS), a: str = "a", b: str = "b") -> DataFrame:
+    """K1/K2: ``pairs`` with the distances of the two vectors of each row."""
+    return pairs.select("*", *[METRICS[m](a, b).alias(m) for m in metrics])
+
+
 def scale(df: DataFrame, vec: str = "v", how: str = "minmax", out: str | None = None) -> DataFrame:
     """K3: per-dimension rescaling; a constant dimension maps to 0.
 
@@ -80,17 +85,91 @@ def _block_count(n: int, block_rows: int) -> int:
     return max(1, math.ceil(n / block_rows))
 
 
+def _distances(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
+    """Distance matrix in blocks' shape (queries, references).
+
+    Euclidean and cosine come from one matrix product; they only choose
+    candidates, whose distances ``_exact`` computes anew.
+    """
+    if metric == "euclidean":
+        d2 = (q * q).sum(axis=1)[:, None] + (r * r).sum(axis=1)[None, :] - 2 * q @ r.T
+        return np.sqrt(np.maximum(d2, 0))
+    if metric == "cosine":
+        norm = np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((r * r).sum(axis=1))[None, :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return np.where(norm == 0, np.inf, 1 - (q @ r.T) / norm)
+    out = np.zeros((len(q), len(r)))
+    for j in range(q.shape[1]):
+        gap = np.abs(q[:, j, None] - r[None, :, j])
+        out = out + gap if metric == "manhattan" else np.maximum(out, gap)
+    return out
+
+
+def _exact(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of paired rows."""
+    if metric == "cosine":
+        den = np.sqrt((q * q).sum(axis=1)) * np.sqrt((r * r).sum(axis=1))
+        return 1 - (q * r).sum(axis=1) / den
+    gap = np.abs(q - r)
+    if metric == "euclidean":
+        return np.sqrt((gap * gap).sum(axis=1))
+    return gap.sum(axis=1) if metric == "manhattan" else gap.max(axis=1)
+
+
+def _block_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, metric: str, exclude_self: bool,
+                use_fold: bool) -> pd.DataFrame:
+    """The k nearest references of each query of one block pair: (id, neighbour, distance)."""
+    ids, others, dist = [], [], []
+    if len(qp) and len(rp):
+        q, r = np.stack(qp["qv"].to_numpy()), np.stack(rp["rv"].to_numpy())
+        qid, rid = qp["qid"].to_numpy(np.int64), rp["rid"].to_numpy(np.int64)
+        qf, rf = qp["fold"].to_numpy(), rp["fold"].to_numpy()
+        step = max(1, 4_000_000 // len(r))
+        for s in range(0, len(q), step):
+            d = _distances(q[s:s + step], r, metric)
+            if exclude_self:
+                d[qid[s:s + step, None] == rid[None, :]] = np.inf
+            if use_fold:
+                d[qf[s:s + step, None] == rf[None, :]] = np.inf
+            kk = min(k, d.shape[1])
+            # up to the k-th distance, with room for the product's rounding and for ties
+            kth = np.partition(d, kk - 1, axis=1)[:, kk - 1:kk]
+            i, j = np.nonzero(np.isfinite(d) & (d <= kth + 1e-6 * (1 + np.where(np.isfinite(kth), kth, 0))))
+            ids.append(qid[s + i])
+            others.append(rid[j])
+            dist.append(_exact(q[s + i], r[j], metric))
+    if not ids:
+        return pd.DataFrame({"id": np.zeros(0, np.int64), "neighbour": np.zeros(0, np.int64), "distance": np.zeros(0)})
+    ids, others, dist = map(np.concatenate, (ids, others, dist))
+    order = np.lexsort((others, np.round(dist, TIE_DIGITS), ids))
+    ids, others, dist = ids[order], others[order], dist[order]
+    first = np.r_[True, ids[1:] != ids[:-1]] if len(ids) else np.zeros(0, bool)
+    nth = np.arange(len(ids)) - np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))
+    keep = nth < k
+    return pd.DataFrame({"id": ids[keep], "neighbour": others[keep], "distance": dist[keep]})
+
+
+def _ranked(cand: DataFrame, k: int) -> DataFrame:
+    w = Window.partitionBy("id").orderBy(F.round("distance", TIE_DIGITS), "neighbour")
+    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
 def knn(q: DataFrame, r: DataFrame, k: int, exclude_self: bool = True,
-        fold_col: str | None = None, block_rows: int | None = None) -> DataFrame:
-    """K4: exact k nearest references (Euclidean) for every query.
+        fold_col: str | None = None, block_rows: int | None = None, metric: str = "euclidean") -> DataFrame:
+    """K4: exact k nearest references for every query, by any metric of K2.
 
     q: (id, v [, fold]); r: (id, v, label [, fold]).  ``exclude_self`` drops
     a reference with the query's id; ``fold_col`` drops references of the
-    query's own fold (cross-validation).  Output: (id, neighbour, rank,
-    distance, neighbour_label), ranked by distance rounded to TIE_DIGITS,
-    then neighbour id.
+    query's own fold (cross-validation).  Rows without a vector take no part,
+    nor do all-zero vectors under the cosine; a null label stays null.
+    Output: (id, neighbour, rank, distance, neighbour_label), ranked by
+    distance rounded to TIE_DIGITS, then neighbour id.
     """
+    if metric not in METRICS:
+        raise ValueError(f"metric must be one of {sorted(METRICS)}")
     spark = q.sparkSession
+    labels = r.select(F.col("id").alias("neighbour"), F.col("label").alias("neighbour_label"))
+    q, r = q.where(F.col("v").isNotNull()), r.where(F.col("v").isNotNull())
     nq = q.count()
     nr = r.count()
     if block_rows is None:
@@ -102,65 +181,28 @@ def knn(q: DataFrame, r: DataFrame, k: int, exclude_self: bool = True,
     qs = q.select(F.col("id").alias("qid"), F.col("v").alias("qv"), *fq,
                   F.pmod(F.xxhash64("id"), F.lit(QB)).cast("long").alias("qb"),
                   F.explode(F.sequence(F.lit(0).cast("long"), F.lit(RB - 1).cast("long"))).alias("rb"))
-    rs = r.select(F.col("id").alias("rid"), F.col("v").alias("rv"),
-                  F.col("label").alias("rlabel"), *fq,
+    rs = r.select(F.col("id").alias("rid"), F.col("v").alias("rv"), *fq,
                   F.pmod(F.xxhash64("id"), F.lit(RB)).cast("long").alias("rb"),
                   F.explode(F.sequence(F.lit(0).cast("long"), F.lit(QB - 1).cast("long"))).alias("qb"))
     use_fold = fold_col is not None
 
-    def block_topk(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"id": pd.Series([], dtype="int64"),
-                              "neighbour": pd.Series([], dtype="int64"),
-                              "distance": pd.Series([], dtype="float64"),
-                              "neighbour_label": pd.Series([], dtype="int32")})
-        if qp.empty or rp.empty:
-            return empty
-        Q = np.stack(qp["qv"].to_numpy()).astype(np.float64)
-        R = np.stack(rp["rv"].to_numpy()).astype(np.float64)
-        qid = qp["qid"].to_numpy(np.int64)
-        rid = rp["rid"].to_numpy(np.int64)
-        rlab = rp["rlabel"].to_numpy(np.int32)
-        qf, rf = qp["fold"].to_numpy(), rp["fold"].to_numpy()
-        out = []
-        step = max(1, 2_000_000 // max(1, R.shape[0] * R.shape[1]))
-        for s in range(0, Q.shape[0], step):
-            diff = Q[s:s + step, None, :] - R[None, :, :]
-            d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            if exclude_self:
-                d[qid[s:s + step, None] == rid[None, :]] = np.inf
-            if use_fold:
-                d[qf[s:s + step, None] == rf[None, :]] = np.inf
-            dr = np.round(d, TIE_DIGITS)
-            kk = min(k, dr.shape[1])
-            # k-th smallest rounded distance per query: only candidates up
-            # to it (ties included) need the (distance, id) sort
-            kth = np.partition(dr, kk - 1, axis=1)[:, kk - 1]
-            for i in range(d.shape[0]):
-                if not np.isfinite(kth[i]):
-                    cand = np.nonzero(np.isfinite(dr[i]))[0]
-                else:
-                    cand = np.nonzero(dr[i] <= kth[i])[0]
-                if cand.size == 0:
-                    continue
-                order = cand[np.lexsort((rid[cand], dr[i, cand]))][:k]
-                out.append(pd.DataFrame({"id": qid[s + i], "neighbour": rid[order],
-                                         "distance": d[i, order], "neighbour_label": rlab[order]}))
-        return pd.concat(out, ignore_index=True) if out else empty
+    def block(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        return _block_topk(qp, rp, k, metric, exclude_self, use_fold)
 
     # each (qb, rb) group is one block pair of numpy work; pin the partition
     # count so AQE does not pack the (byte-small) block pairs into few tasks
     qs = partition_for_expansion(qs, "qb", "rb")
     rs = partition_for_expansion(rs, "qb", "rb")
     cand = (qs.groupBy("qb", "rb").cogroup(rs.groupBy("qb", "rb"))
-            .applyInPandas(block_topk, "id long, neighbour long, distance double, neighbour_label int"))
-    w = Window.partitionBy("id").orderBy(F.round("distance", TIE_DIGITS), "neighbour")
-    return (cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            .applyInPandas(block, "id long, neighbour long, distance double"))
+    return (_ranked(cand, k).join(labels, "neighbour")
             .select("id", "neighbour", "rank", "distance", "neighbour_label"))
 
 
 # ---------------------------------------------------------------- K5-K7
 def vote(neigh: DataFrame, max_rank_col: str | None = None) -> DataFrame:
-    """Majority label among the neighbours of each id (ties to the lower label)."""
+    """Majority label among the labelled neighbours of each id (ties to the lower label)."""
+    neigh = neigh.where(F.col("neighbour_label").isNotNull())
     keys = ["id"] + ([max_rank_col] if max_rank_col else [])
     votes = neigh.groupBy(*keys, "neighbour_label").agg(F.count("*").alias("votes"))
     w = Window.partitionBy(*keys).orderBy(F.col("votes").desc(), F.col("neighbour_label").asc())
@@ -196,25 +238,54 @@ def cross_val(df: DataFrame, k: int, folds: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------- K8
-def knn_approx(df: DataFrame, k: int, threshold: float, bucket_length: float = 0.1,
-               tables: int = 10, seed: int = 42) -> DataFrame:
-    """K8: approximate self k-NN by random-projection LSH (Spark ML).
-
-    Only pairs sharing a hash bucket in some table and closer than
-    ``threshold`` are compared; returns (id, neighbour, rank, distance).
-    ``bucket_length`` should be near the spread of the random projections
-    (about 1/sqrt(dim) for unit vectors): much larger and every pair shares
-    a bucket, which is the all-pairs join again.
+def signatures(df: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
+    """(id, v, tab, bucket): each vector's side of ``bits`` random hyperplanes, per table."""
+    def sign(frames):
+        for f in frames:
+            if not len(f):
+                continue
+            v = np.stack(f["v"].to_numpy())
+            planes = np.random.default_rng(seed).standard_normal((v.shape[1], tables * bits))
+            side = (v @ planes > 0).reshape(len(v), tables, bits)
+            bucket = side @ (1 << np.arange(bits))
+            yield pd.DataFrame({"id": np.repeat(f["id"].to_numpy(), tables), "v": f["v"].repeat(tables).to_numpy(),
+                                "tab": np.tile(np.arange(tables), len(v)), "bucket": bucket.reshape(-1)})
+
+    return (df.where(F.col("v").isNotNull()).select("id", "v")
+            .mapInPandas(sign, "id long, v array<double>, tab int, bucket long"))
+
+
+def knn_approx(df: DataFrame, k: int, bits: int = 6, tables: int = 12, seed: int = 42,
+               block_rows: int = 2048) -> DataFrame:
+    """K8: approximate self k-NN (Euclidean) by hyperplane hashing: (id, neighbour, rank, distance).
+
+    Vectors meet if all ``bits`` signs of some table agree: a share of about
+    1 - (1 - 2**-bits)**tables of all pairs for vectors without structure.
+    Buckets are worked on in block pairs of ``block_rows``, so a hot bucket
+    only has more of them.  Widening: a vector with fewer than k neighbours
+    found is searched exactly against all.
     """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    vec = df.select("id", array_to_vector("v").alias("features"))
-    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes",
-                                      bucketLength=bucket_length, numHashTables=tables, seed=seed)
-    model = lsh.fit(vec)
-    pairs = model.approxSimilarityJoin(vec, vec, threshold, distCol="distance")
-    p = pairs.select(F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("neighbour"),
-                     "distance").where(F.col("id") != F.col("neighbour"))
-    w = Window.partitionBy("id").orderBy(F.round("distance", TIE_DIGITS), "neighbour")
-    return p.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    sig = cut_lineage(signatures(df, bits, tables, seed))
+    sizes = sig.groupBy("tab", "bucket").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("blocks"))
+    sig = sig.join(cut_lineage(sizes), ["tab", "bucket"])
+    other = sig.toDF(*sig.columns)  # its own column identities, for the co-group
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    keys = ["tab", "bucket", "x", "y"]
+    qs = sig.select("tab", "bucket", F.col("id").alias("qid"), F.col("v").alias("qv"), F.lit(0).alias("fold"),
+                    own.alias("x"), every.alias("y"))
+    rs = other.select("tab", "bucket", F.col("id").alias("rid"), F.col("v").alias("rv"), F.lit(0).alias("fold"),
+                    every.alias("x"), own.alias("y"))
+
+    def block(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        return _block_topk(qp, rp, k, "euclidean", True, False)
+
+    cand = (qs.groupBy(*keys).cogroup(rs.groupBy(*keys))
+            .applyInPandas(block, "id long, neighbour long, distance double").dropDuplicates(["id", "neighbour"]))
+    found = cut_lineage(_ranked(cand, k).select("id", "neighbour", "rank", "distance"))
+    full = found.groupBy("id").count().where(F.col("count") >= k).select("id")
+    short = cut_lineage(df.where(F.col("v").isNotNull()).join(full, "id", "left_anti"))
+    if short.isEmpty():
+        return found
+    wide = knn(short, df, k).select("id", "neighbour", "rank", "distance")
+    return found.join(full, "id", "left_semi").unionByName(wide)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.operators import affinity as A
+from quarry.operators.prefix import dense_index
 from quarry.operators.skew import HOT_KEY_ROWS, hot_split_join
 from quarry.session import cut_lineage, partition_for_expansion
 
@@ -35,7 +36,8 @@ def favourites(r: DataFrame, min_rating: float) -> DataFrame:
 def item_similarity(r: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """M5: cosine similarity of item rating vectors over co-rating users.
 
-    Norms are over every rating of the item (not only co-rated users).
+    Norms are over every rating of the item (not only co-rated users); an
+    item with zero ratings only has similarity 0 to all others.
     The self-join on the user runs on one hash partitioning by user; a user
     with more than ``hot_rows`` ratings is salted (see ``skew``).
     Output: item_a < item_b, n_common, similarity.
@@ -54,7 +56,7 @@ def item_similarity(r: DataFrame, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     nb = norms.select(F.col("item").alias("item_b"), F.col("norm").alias("norm_b"))
     return (dots.join(na, "item_a").join(nb, "item_b")
             .select("item_a", "item_b", "n_common",
-                    (F.col("dot") / (F.col("norm_a") * F.col("norm_b"))).alias("similarity")))
+                    F.coalesce(F.try_divide("dot", F.col("norm_a") * F.col("norm_b")), F.lit(0.0)).alias("similarity")))
 
 
 def _top_n(df: DataFrame, score: str, n: int) -> DataFrame:
@@ -75,27 +77,19 @@ def recommend_by_rules(fav: DataFrame, rules: DataFrame, seen: DataFrame, n: int
     return _top_n(best, "confidence", n)
 
 
-# A similarity table with at most this many rows is broadcast (it holds at
-# most V·(V-1) rows for V items, so the bound is checked before the join).
-SIM_BROADCAST_ROWS = 1_000_000
-
-
-def recommend_by_items(r: DataFrame, sims: DataFrame, n: int,
-                       n_items: int | None = None) -> DataFrame:
+def recommend_by_items(r: DataFrame, sims: DataFrame, n: int) -> DataFrame:
     """M7: score(u, i) = Σ_j sim(i, j)·r(u, j) / Σ_j |sim(i, j)| over the items j
     the user rated; unseen items only; top n per user (ties by item).
 
     ``r`` should be hash-partitioned by user.  The similarity table is
-    broadcast only when ``n_items`` proves it small; then the contributions,
-    the user's own ratings (flagged as seen) and the per-user top-n all stay
-    on the user partitioning: one aggregate replaces the anti-join.
+    materialised: AQE broadcasts it by its measured size, or joins on the item
+    and splits hot items.  The user's own ratings enter the scoring aggregate
+    flagged as seen, in place of an anti-join.
     """
-    both = sims.select(F.explode(F.array(
+    both = cut_lineage(sims).select(F.explode(F.array(
         F.struct(F.col("item_a").alias("j"), F.col("item_b").alias("i"), "similarity"),
         F.struct(F.col("item_b").alias("j"), F.col("item_a").alias("i"), "similarity"))).alias("s")
     ).select("s.*")
-    if n_items is not None and n_items * (n_items - 1) <= SIM_BROADCAST_ROWS:
-        both = F.broadcast(both)
     rated = r.select("user", F.col("item").alias("j"), "rating")
     contrib = rated.join(both, "j").select(
         "user", F.col("i").alias("item"),
@@ -113,41 +107,40 @@ def hit_rate(recs: DataFrame, holdout: DataFrame, n: int) -> DataFrame:
     """M8: hits of the top-n lists in the holdout favourites.
 
     Users with at least one holdout favourite are evaluated; precision@n =
-    hits / (users × n), recall@n = hits / holdout favourites.
+    hits / (users × n), recall@n = hits / holdout favourites, both 0 if the
+    holdout is empty.
     """
-    hold = holdout.select("user", "item").distinct()
+    hold = cut_lineage(holdout.select("user", "item").distinct())
     users = hold.select("user").distinct()
     hits = recs.join(hold, ["user", "item"]).join(users, "user", "left_semi")
     n_users = users.select(F.count("*")).scalar()
     n_hold = hold.select(F.count("*")).scalar()
     return hits.agg(F.count("*").alias("hits")).select(
         n_users.alias("users"), "hits",
-        (F.col("hits") / (n_users * n)).alias("precision_at_n"),
-        (F.col("hits") / n_hold).alias("recall_at_n"))
+        F.coalesce(F.try_divide(F.col("hits"), n_users * n), F.lit(0.0)).alias("precision_at_n"),
+        F.coalesce(F.try_divide(F.col("hits"), n_hold), F.lit(0.0)).alias("recall_at_n"))
 
 
 def fit_als(r: DataFrame, rank: int = 5, iters: int = 3, n: int = 5, seed: int = 42) -> DataFrame:
-    """M9: ALS factor model; top n items per user (user, item, rank, score).
+    """M9: ALS factor model; top n unseen items per user (user, item, rank, score).
 
-    ALS needs int-range ids: item titles are indexed (their vocabulary is
-    small), users are cast after checking they fit in an int.
+    ALS needs int ids, so users and items are numbered densely by joins; no
+    label list reaches the driver.  The model is asked for n items more than
+    any user has rated, and rated ones are removed before the top n.
     """
-    from pyspark.ml.feature import IndexToString, StringIndexer
     from pyspark.ml.recommendation import ALS
 
-    mx = r.select(F.max("user")).first()[0]
-    if mx is not None and mx > 2**31 - 1:
-        raise ValueError("user ids exceed the int range ALS accepts; re-key users first")
-    idx = StringIndexer(inputCol="item", outputCol="item_ix", stringOrderType="alphabetAsc").fit(r)
-    data = idx.transform(r).select(F.col("user").cast("int").alias("uid"),
-                                   F.col("item_ix").cast("int").alias("iid"), "rating")
+    users = cut_lineage(dense_index(r, "user", "uid"))
+    items = cut_lineage(dense_index(r, "item", "iid"))
+    data = cut_lineage(r.join(users, "user").join(items, "item").select(
+        F.col("uid").cast("int").alias("uid"), F.col("iid").cast("int").alias("iid"), "rating"))
     als = ALS(rank=rank, maxIter=iters, seed=seed, userCol="uid", itemCol="iid", ratingCol="rating",
               coldStartStrategy="drop", nonnegative=True)
-    model = als.fit(data)
-    recs = model.recommendForAllUsers(n).select(
-        F.col("uid").cast("long").alias("user"),
-        F.posexplode("recommendations").alias("pos", "rec"))
-    out = recs.select("user", (F.col("pos") + 1).alias("rank"),
-                      F.col("rec.iid").cast("double").alias("item_ix"), F.col("rec.rating").alias("score"))
-    back = IndexToString(inputCol="item_ix", outputCol="item", labels=idx.labels)
-    return back.transform(out).select("user", "item", "rank", "score")
+    most = data.groupBy("uid").count().agg(F.max("count")).first()[0] or 0
+    recs = (als.fit(data).recommendForAllUsers(n + most)
+            .select("uid", F.explode("recommendations").alias("rec"))
+            .select("uid", F.col("rec.iid").alias("iid"), F.col("rec.rating").alias("score"))
+            .join(data.select("uid", "iid"), ["uid", "iid"], "left_anti"))
+    named = (recs.join(users.withColumn("uid", F.col("uid").cast("int")), "uid")
+             .join(items.withColumn("iid", F.col("iid").cast("int")), "iid").select("user", "item", "score"))
+    return _top_n(named, "score", n).select("user", "item", "rank", "score")

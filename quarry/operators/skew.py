@@ -6,19 +6,19 @@ size² work in one task, and AQE's skew-join split cannot act here because an
 aggregate sits between the shuffle and the join.  So keys are split
 explicitly:
 
-* cold keys (at most ``hot_rows`` rows on the right side) join on the key
-  alone, reusing the existing hash partitioning on the key (no new shuffle);
-* hot keys get S = ceil(size / hot_rows) salts per side: a left row with
-  salt i is replicated to (i, 0..S-1), a right row with salt j to
-  (0..S-1, j), and the join on (key, i, j) meets every pair exactly once in
-  one of S² tasks of about (size / S)² work each.
+* cold keys (at most ``hot_rows`` rows on either side) join on the key alone,
+  reusing the existing hash partitioning on the key (no new shuffle);
+* hot keys get as many salts per side as it has multiples of ``hot_rows``: a
+  left row with salt i is replicated to every (i, j), a right row with salt j
+  to every (i, j), and the join on (key, i, j) meets every pair exactly once
+  in a task of at most about ``hot_rows``² pairs.
 
 Nothing is dropped or sampled; the union of both paths is the exact join.
 
-When the caller can bound the rows of every key (after de-duplication a
-basket holds at most as many rows as there are distinct items), and that
-bound is at most ``hot_rows``, no key can be hot and the plain
-co-partitioned join is used (``max_key_rows``).
+When the caller can bound the rows of every key on both sides (after
+de-duplication a basket holds at most as many rows as there are distinct
+items), and that bound is at most ``hot_rows``, no key can be hot and the
+plain co-partitioned join is used (``max_key_rows``).
 """
 
 from __future__ import annotations
@@ -26,8 +26,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key with more right-side rows than this is split (work per task is then
-# about HOT_KEY_ROWS² pairs).
+from quarry.session import cut_lineage
+
+# A key with more rows than this on a side is split.
 HOT_KEY_ROWS = 10_000
 
 
@@ -51,16 +52,16 @@ def hot_split_join(left: DataFrame, right: DataFrame, key: str, cond,
     ``left_hash``/``right_hash`` name columns that spread a hot key's rows
     (e.g. the item).  Output columns: key, left's others, right's others.
 
-    Only the hot keys are computed (at most |right| / hot_rows of them, and
-    usually none); AQE broadcasts that set when it is small.  Cold left rows
-    are an anti-join against it, which keeps the left side's partitioning,
-    so the cold join adds no shuffle; a hot key's right rows still reach
-    the cold join but find no partner there.
+    Only the hot keys are computed (usually none); AQE broadcasts that set
+    when it is small.  Cold rows are an anti-join against it on both sides.
     """
     if max_key_rows is not None and max_key_rows <= hot_rows:
         return plain_join(left, right, key, cond)
-    hot = (right.groupBy(key).agg(F.count(F.lit(1)).alias("_size"))
-           .where(F.col("_size") > hot_rows))
+    count = F.count(F.lit(1))
+    sizes = (left.groupBy(key).agg(count.alias("_left"))
+             .join(right.groupBy(key).agg(count.alias("_right")), key)
+             .where((F.col("_left") > hot_rows) | (F.col("_right") > hot_rows)))
+    hot = cut_lineage(sizes)  # a row per hot key; read by the branches below
     lcols = [c for c in left.columns if c != key]
     rcols = [c for c in right.columns if c != key]
 
@@ -72,11 +73,17 @@ def hot_split_join(left: DataFrame, right: DataFrame, key: str, cond,
                 .select(F.col(f"l.{key}").alias(key), *[F.col(f"l.{c}") for c in lcols],
                         *[F.col(f"r.{c}") for c in rcols]))
 
-    cold = joined(left.join(hot.select(key), key, "left_anti"), right)
+    names = hot.select(key)
+    cold = joined(left.join(names, key, "left_anti"), right.join(names, key, "left_anti"))
+
+    def salts(c):
+        return F.ceil(F.col(c) / F.lit(hot_rows)).cast("long")
+
+    def each(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
 
-    salts = F.ceil(F.col("_size") / F.lit(hot_rows)).cast("long")
-    every = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
-    lh = left.join(hot, key).select("*", F.pmod(F.xxhash64(left_hash), salts).alias("_i"), every.alias("_j"))
-    rh = right.join(hot, key).select("*", every.alias("_i"), F.pmod(F.xxhash64(right_hash), salts).alias("_j"))
+    i, j = salts("_left"), salts("_right")
+    lh = left.join(hot, key).select("*", F.pmod(F.xxhash64(left_hash), i).alias("_i"), each(j).alias("_j"))
+    rh = right.join(hot, key).select("*", each(i).alias("_i"), F.pmod(F.xxhash64(right_hash), j).alias("_j"))
     hot_pairs = joined(lh, rh, (F.col("l._i") == F.col("r._i")) & (F.col("l._j") == F.col("r._j")))
     return cold.unionByName(hot_pairs)

@@ -2,10 +2,8 @@
 
 Split scoring is a histogram: rows are unpivoted to (node, feature, value),
 aggregated to one row per distinct value with class counts (or Σy, Σy²),
-and running totals over ascending values give the left side of every
-threshold.  The running totals are a two-level prefix sum (``running_totals``):
-no window partition holds more than about WINDOW_ROWS distinct values of a
-feature, however many distinct values a node has.
+and running totals over ascending values (``prefix.running_totals``, whose
+windows are bounded) give the left side of every threshold.
 
 ``fit_levelwise`` grows the tree one level per pass over the data; the
 best split of every node of a level comes from one job, is materialised
@@ -21,8 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.operators.prefix import running_totals
 from quarry.session import cut_lineage
 
+# A split must lower its node's impurity by this share, whatever y's unit.
 MIN_GAIN = 1e-9
 
 
@@ -37,7 +37,8 @@ def entropy(counts: list[Column], n: Column) -> Column:
 
 
 def variance(s1: Column, s2: Column, n: Column) -> Column:
-    return (s2 - s1 * s1 / n) / n
+    """Of values whose sums are taken around a value near their mean."""
+    return F.greatest((s2 - s1 * s1 / n) / n, F.lit(0.0))
 
 
 def _unpivot(df: DataFrame, features: list[str]) -> DataFrame:
@@ -47,69 +48,40 @@ def _unpivot(df: DataFrame, features: list[str]) -> DataFrame:
     return df.select("node", "y", F.stack(F.lit(len(features)), *args).alias("feature", "value"))
 
 
-# A (node, feature) group with more distinct values than this is cut into
-# up to PREFIX_BUCKETS buckets for its running totals (see running_totals).
-WINDOW_ROWS = 4096
-PREFIX_BUCKETS = 256
-
-
-def running_totals(hist: DataFrame, keys: list[str], order: str, stats: list[str]) -> DataFrame:
-    """Exact running sums ``L_<s>`` (values <= the row's) and totals ``T_<s>``
-    of every ``stats`` column within ``keys``, ordered by ``order``.
-
-    ``hist`` has one row per distinct ``order`` value of a group.  Groups of
-    at most WINDOW_ROWS rows use one window.  Larger groups are cut at
-    approximate quantiles into buckets (bucket = number of cut points below
-    the value, so it is monotone and equal values share a bucket; the
-    quantiles only balance the buckets, they never change the sums): each
-    window then holds one bucket, and a bucket's offset is the running sum
-    of the bucket totals before it (at most PREFIX_BUCKETS rows per group).
-    The per-group cut table has one row per group, so it is broadcast.
-    """
-    cuts = [i / PREFIX_BUCKETS for i in range(1, PREFIX_BUCKETS)]
-    groups = hist.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.percentile_approx(order, cuts).alias("_cuts"))
-    h = hist.join(F.broadcast(groups), keys)
-    bucket = F.when(F.col("_rows") <= WINDOW_ROWS, F.lit(0)).otherwise(
-        F.size(F.filter("_cuts", lambda c: c < F.col(order))))
-    h = h.withColumn("_bucket", bucket).drop("_cuts", "_rows")
-    bt = h.groupBy(*keys, "_bucket").agg(*[F.sum(F.col(f"`{s}`")).alias(f"_b_{s}") for s in stats])
-    grp = Window.partitionBy(*keys)
-    before = grp.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = bt.select(*keys, "_bucket",
-                        *[F.coalesce(F.sum(f"_b_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in stats],
-                        *[F.sum(f"_b_{s}").over(grp).alias(f"T_{s}") for s in stats])
-    run = Window.partitionBy(*keys, "_bucket").orderBy(order) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    within = h.select(*keys, "_bucket", order,
-                      *[F.sum(F.col(f"`{s}`")).over(run).alias(f"_r_{s}") for s in stats])
-    j = within.join(offsets, [*keys, "_bucket"])
-    return j.select(*keys, order,
-                    *[(F.col(f"_o_{s}") + F.col(f"_r_{s}")).alias(f"L_{s}") for s in stats],
-                    *[F.col(f"T_{s}") for s in stats])
-
-
 def split_scores(df: DataFrame, features: list[str], criterion: str = "gini",
                  classes: list | None = None) -> DataFrame:
     """Every threshold ``feature <= t`` of every node.
 
-    df: (node, y, features...).  Output: node, feature, threshold, n_left,
-    n_right, impurity (size-weighted child impurity), gain.
+    df: (node, y, features...).  A row whose feature is null lies right of
+    every threshold, as ``fit_levelwise`` and ``predict`` route it.  Variance
+    is taken around a value near the node's mean, so a large offset of y costs
+    no digits; from 1 on it is the whole number below, which keeps the sums
+    of whole numbers exact in any order.
+    Output: node, feature, threshold, n_left, n_right, impurity
+    (size-weighted child impurity), gain.
     """
+    if criterion == "variance":
+        # one row per node; left to AQE to broadcast
+        m = F.avg("y")
+        near = F.when(F.abs(m) >= 1, F.floor(m).cast("double")).otherwise(m.cast("float").cast("double"))
+        means = cut_lineage(df.groupBy("node").agg(near.alias("_mean")))
+        df = df.join(means, "node").withColumn("y", F.col("y") - F.col("_mean"))
     long = _unpivot(df, features)
     if criterion == "variance":
+        stats = ["n", "s1", "s2"]
         hist = long.groupBy("node", "feature", "value").agg(
             F.count("*").alias("n"), F.sum("y").alias("s1"), F.sum(F.col("y") * F.col("y")).alias("s2"))
-        stats = ["n", "s1", "s2"]
     else:
-        hist = (long.groupBy("node", "feature", "value").pivot("y", classes)
-                .agg(F.count("y")).na.fill(0))
-        stats = [str(c) for c in classes]
-        hist = hist.withColumn("n", reduce(lambda a, b: a + b, [F.col(f"`{s}`") for s in stats]))
-        stats = stats + ["n"]
-    cum = running_totals(hist, ["node", "feature"], "value", stats) \
-        .withColumnRenamed("value", "threshold").where(F.col("L_n") < F.col("T_n"))
+        stats = [str(c) for c in classes] + ["n"]
+        hist = long.groupBy("node", "feature", "value").agg(
+            *[F.count(F.when(F.col("y") == c, 1)).alias(str(c)) for c in classes],
+            F.count(F.when(F.col("y").isin(*classes), 1)).alias("n"))
+    hist = cut_lineage(hist)
+    quoted = {s: F.col(f"`{s}`") for s in stats}
+    totals = hist.groupBy("node", "feature").agg(*[F.sum(q).alias(f"T_{s}") for s, q in quoted.items()])
+    run = running_totals(hist.where(F.col("value").isNotNull()), ["node", "feature"], "value", stats)
+    cum = (run.drop(*[f"T_{s}" for s in stats]).join(totals, ["node", "feature"])
+           .withColumnRenamed("value", "threshold").where(F.col("L_n") < F.col("T_n")))
 
     def side(prefix, other=None):
         if other is None:
@@ -134,12 +106,12 @@ def split_scores_categorical(df: DataFrame, feature: str, classes: list) -> Data
             .agg(F.count("y")).na.fill(0))
     cls = [str(c) for c in classes]
     hist = hist.withColumn("n", reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in cls]))
-    # node totals are an aggregate (one row per node, broadcast), not a
+    # node totals are an aggregate (one row per node), not a
     # window: a node may have any number of categories
     totals = hist.groupBy("node").agg(*[F.sum(F.col(f"`{c}`")).alias(f"T_{c}") for c in cls],
                                       F.sum("n").alias("T_n"))
     cols = ["node", "category"] + [F.col(f"`{c}`").alias(f"L_{c}") for c in cls] + [F.col("n").alias("L_n")]
-    h = (hist.select(*cols).join(F.broadcast(totals), "node")
+    h = (hist.select(*cols).join(totals, "node")
          .where(F.col("L_n") < F.col("T_n")))
     il = gini([F.col(f"L_{c}") for c in cls], F.col("L_n"))
     ir = gini([F.col(f"T_{c}") - F.col(f"L_{c}") for c in cls], F.col("T_n") - F.col("L_n"))
@@ -196,11 +168,12 @@ def fit_levelwise(df: DataFrame, features: list[str], max_depth: int = 2,
                                        F.lit(None).cast("double").alias("gain")))
             break
         best = best_split(split_scores(data, features, criterion, classes)) \
-            .where(F.col("gain") > MIN_GAIN).select("node", "feature", "threshold", "gain")
+            .where(F.col("gain") > MIN_GAIN * (F.col("gain") + F.col("impurity"))) \
+            .select("node", "feature", "threshold", "gain")
         best = cut_lineage(best)  # <= 2^depth rows; later levels must not re-run this job
         levels.append(stats.join(best, "node", "left")
                       .select("node", "depth", "n", "prediction", "feature", "threshold", "gain"))
-        routed = data.join(F.broadcast(best), "node")  # bounded: one row per node of this level
+        routed = data.join(best, "node")  # a row per node, materialised: AQE sees its size
         data = routed.select(
             "id", "y", *features,
             (F.col("node") * 2 + F.when(_feature_value(features) <= F.col("threshold"), 0).otherwise(1))

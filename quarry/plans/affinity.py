@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from quarry.operators import affinity as A
+from quarry.session import cut_lineage
 from quarry.sources.fixtures import order_baskets
 
 # Parameters of the registered affinity queries.
@@ -16,7 +17,8 @@ TOP_K = 20
 
 
 def _brands(spark, sf_dir):
-    return order_baskets(spark, sf_dir, "p_brand")
+    """Baskets with a known number of consumers: read and de-duplicated once."""
+    return cut_lineage(order_baskets(spark, sf_dir, "p_brand"))
 
 
 def _n_baskets(b):
@@ -29,7 +31,7 @@ def _min_count(b, share, n=None):
 
 
 def q_baskets(spark, sf_dir):
-    return _brands(spark, sf_dir)
+    return order_baskets(spark, sf_dir, "p_brand")
 
 
 def q_item_support(spark, sf_dir):
@@ -37,7 +39,7 @@ def q_item_support(spark, sf_dir):
 
 
 def q_pair_counts(spark, sf_dir):
-    return A.pair_counts(order_baskets(spark, sf_dir, "p_name"))
+    return A.pair_counts(cut_lineage(order_baskets(spark, sf_dir, "p_name")))
 
 
 def q_pair_rules(spark, sf_dir):
@@ -50,20 +52,30 @@ def q_top_rules(spark, sf_dir):
 
 def q_itemsets_l3(spark, sf_dir):
     b = _brands(spark, sf_dir)
-    return A.itemsets(b, _min_count(b, ITEMSET_MIN_SUPPORT), max_k=3)
+    return A.itemsets(b, _min_count(b, ITEMSET_MIN_SUPPORT), max_k=3).drop("items")
 
 
 def q_itemsets_fp(spark, sf_dir):
     b = _brands(spark, sf_dir)
     n = _n_baskets(b)
-    return A.itemsets_fp(b, _min_count(b, ITEMSET_MIN_SUPPORT, n), n)
+    return A.itemsets_fp(b, _min_count(b, ITEMSET_MIN_SUPPORT, n), n).drop("items")
+
+
+def _multi_rules(b):
+    """Rules with antecedents of two items or more, from itemsets of any size."""
+    n = _n_baskets(b)
+    sets = cut_lineage(A.itemsets_fp(b, _min_count(b, ITEMSET_MIN_SUPPORT, n), n))
+    return A.with_lift(A.multi_rules(sets), F.lit(n)).where(F.size("ante_items") > 1)
 
 
 def q_multi_rules(spark, sf_dir):
+    return _multi_rules(_brands(spark, sf_dir)).drop("n_ante", "n_cons", "ante_items")
+
+
+def q_apply_multi(spark, sf_dir):
+    """A9 with antecedents of two items or more."""
     b = _brands(spark, sf_dir)
-    sets = A.itemsets(b, _min_count(b, ITEMSET_MIN_SUPPORT), max_k=3)
-    rules = A.with_lift(A.multi_rules(sets), A.basket_total(b))
-    return rules.where(F.col("antecedent").contains(A.ITEM_SEP)).drop("n_ante", "n_cons")
+    return A.apply_rules(b, _multi_rules(b))
 
 
 def q_apply_rules(spark, sf_dir):
@@ -86,6 +98,7 @@ QUERIES = {
     "aff_itemsets_fp": q_itemsets_fp,
     "aff_multi_rules": q_multi_rules,
     "aff_apply_rules": q_apply_rules,
+    "aff_apply_multi": q_apply_multi,
     "aff_rule_holdout": q_rule_holdout,
 }
 
@@ -117,6 +130,15 @@ def _sets_sql(max_k: int) -> str:
 
 
 _SETS = _sets_sql(3)
+# rules with two antecedent items or more, of sets up to FP_ORACLE_MAX_K items
+_MULTI = f"""{_sets_sql(FP_ORACLE_MAX_K)},
+  big AS (SELECT n, string_split(itemset, '|') AS it FROM sets WHERE k >= 3),
+  each AS (SELECT n, it, unnest(it) AS consequent FROM big),
+  r AS (SELECT n, consequent, array_to_string(list_filter(it, lambda x: x <> consequent), '|') AS antecedent,
+        list_filter(it, lambda x: x <> consequent) AS ante FROM each),
+  mr AS (SELECT r.antecedent, r.ante, r.consequent, r.n, r.n / a.n AS confidence,
+         r.n * (SELECT n FROM nb) / (a.n * c.n) AS lift
+         FROM r JOIN sets a ON a.itemset = r.antecedent JOIN sets c ON c.itemset = r.consequent)"""
 
 ORACLE = {
     "aff_baskets": f"WITH {_B} SELECT basket, item FROM b",
@@ -131,14 +153,15 @@ ORACLE = {
                      f"ORDER BY confidence DESC, antecedent, consequent LIMIT {TOP_K}",
     "aff_itemsets_l3": f"WITH {_B}, {_N}, {_SETS} SELECT itemset, k, n FROM sets",
     "aff_itemsets_fp": f"WITH {_B}, {_N}, {_sets_sql(FP_ORACLE_MAX_K)} SELECT itemset, k, n FROM sets",
-    "aff_multi_rules": f"""WITH {_B}, {_N}, {_SETS},
-  tri AS (SELECT itemset, n, string_split(itemset, '|') AS it FROM sets WHERE k = 3),
-  r AS (SELECT it[1] || '|' || it[2] AS antecedent, it[3] AS consequent, n FROM tri
-        UNION ALL SELECT it[1] || '|' || it[3], it[2], n FROM tri
-        UNION ALL SELECT it[2] || '|' || it[3], it[1], n FROM tri)
-  SELECT r.antecedent, r.consequent, r.n, r.n / a.n AS confidence,
-         r.n * (SELECT n FROM nb) / (a.n * c.n) AS lift
-  FROM r JOIN sets a ON a.itemset = r.antecedent JOIN sets c ON c.itemset = r.consequent""",
+    "aff_multi_rules": f"""WITH {_B}, {_N}, {_MULTI}
+  SELECT antecedent, consequent, n, confidence, lift FROM mr""",
+    "aff_apply_multi": f"""WITH {_B}, {_N}, {_MULTI},
+  held AS (SELECT basket, list(item) AS items FROM b GROUP BY basket),
+  fired AS (SELECT h.basket, mr.consequent, max(mr.confidence) AS confidence
+            FROM b JOIN mr ON b.item = mr.ante[1] JOIN held h ON h.basket = b.basket
+            WHERE list_has_all(h.items, mr.ante) AND NOT list_contains(h.items, mr.consequent) GROUP BY 1, 2),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY basket ORDER BY confidence DESC, consequent) AS rn FROM fired)
+  SELECT basket, consequent AS item, confidence FROM ranked WHERE rn = 1""",
     "aff_apply_rules": f"""WITH {_B}, {_N}, {_ITEMS}, {_PAIRS}, {_RULES},
   good AS (SELECT * FROM rules WHERE confidence >= {RULE_MIN_CONFIDENCE}),
   fired AS (SELECT b.basket, g.consequent, max(g.confidence) AS confidence

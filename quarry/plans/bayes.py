@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import bayes as NB
+from quarry.functions.text import words
 from quarry.operators import evaluate as V
 from quarry.session import cut_lineage
 from quarry.sources.fixtures import labelled_text
@@ -21,18 +22,24 @@ def _split(spark, sf_dir):
     return V.split(labelled_text(spark, sf_dir), "id", FOLDS)
 
 
-def _tokens(spark, sf_dir):
-    """All labelled documents tokenised in one regex pass and materialised
-    once (the token table feeds vocabulary, counts and scoring)."""
-    return cut_lineage(NB.tokens(labelled_text(spark, sf_dir)))
+def _tokens(spark, sf_dir, social=False):
+    """All labelled documents tokenised in one regex pass: (id, y, words
+    with counts), materialised once.  A document without words keeps its row."""
+    txt = labelled_text(spark, sf_dir).select("id", "y", words("text", social).alias("words"))
+    return cut_lineage(txt)
+
+
+def _counted(docs):
+    """(id, y, w, tf) of a materialised word table."""
+    return (docs.select("id", "y", F.explode("words").alias("w"))
+            .groupBy("id", "y", "w").agg(F.count("*").alias("tf")))
 
 
 def _fitted(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    tok_all = _tokens(spark, sf_dir)
-    tok, tok_test = V.split(tok_all, "id", FOLDS)
+    train, test = V.split(_tokens(spark, sf_dir), "id", FOLDS)
+    tok, tok_test = _counted(train), _counted(test)
     classes = NB.classes_of(train)
-    counts = NB.class_counts(tok, None, classes, MIN_DF)
+    counts = cut_lineage(NB.class_counts(tok, None, classes, MIN_DF))
     priors = NB.class_priors(train.select("id", "y"), classes)
     return train, test, classes, counts, priors, tok_test
 
@@ -41,9 +48,14 @@ def q_tokens(spark, sf_dir):
     return NB.tokens(labelled_text(spark, sf_dir))
 
 
+def q_tokens_social(spark, sf_dir):
+    """N1 for short posts: URLs removed, @names and #tags kept."""
+    return NB.tokens(labelled_text(spark, sf_dir), social=True)
+
+
 def q_vocab(spark, sf_dir):
-    tok, _ = V.split(_tokens(spark, sf_dir), "id", FOLDS)
-    return NB.vocab(tok, MIN_DF)
+    train, _ = V.split(_tokens(spark, sf_dir), "id", FOLDS)
+    return NB.vocab(_counted(train), MIN_DF)
 
 
 def q_class_counts(spark, sf_dir):
@@ -64,7 +76,7 @@ def q_fit_multinomial(spark, sf_dir):
 def bernoulli_scores(spark, sf_dir):
     _, test, classes, counts, priors, tok_test = _fitted(spark, sf_dir)
     model = NB.fit_bernoulli(counts, priors)
-    return test, NB.score(tok_test, model, priors, classes, "bernoulli")
+    return test, NB.score(tok_test, model, priors, classes, "bernoulli", test)
 
 
 def q_scores(spark, sf_dir):
@@ -96,6 +108,7 @@ def q_ml(spark, sf_dir):
 
 QUERIES = {
     "nb_tokens": q_tokens,
+    "nb_tokens_social": q_tokens_social,
     "nb_vocab": q_vocab,
     "nb_class_counts": q_class_counts,
     "nb_fit_bernoulli": q_fit_bernoulli,
@@ -128,7 +141,7 @@ FIT = f"""{TEXT}, {TOK},
            (SELECT y, sum(log_q) AS sq FROM bm GROUP BY y) s USING (y)),
   part AS (SELECT id, bm.y, sum(log_p - log_q) AS part FROM tet JOIN bm USING (w) GROUP BY id, bm.y),
   sc AS (SELECT i.id, base.y, base + coalesce(part.part, 0) AS score
-         FROM (SELECT DISTINCT id FROM tet) i CROSS JOIN base
+         FROM (SELECT DISTINCT id FROM txt WHERE id % {FOLDS} = 0) i CROSS JOIN base
          LEFT JOIN part ON part.id = i.id AND part.y = base.y),
   pred AS (SELECT id, y AS predicted, score FROM (SELECT *, row_number() OVER
            (PARTITION BY id ORDER BY score DESC, y) AS rn FROM sc) WHERE rn = 1),
@@ -136,12 +149,16 @@ FIT = f"""{TEXT}, {TOK},
 
 ORACLE = {
     "nb_tokens": f"WITH {TEXT}, {TOK} SELECT * FROM tok",
+    "nb_tokens_social": rf"""WITH {TEXT} SELECT id, y, w, count(*) AS tf FROM (SELECT id, y,
+    unnest(regexp_extract_all(regexp_replace(lower(text), '(https?://|www\.)\S+', ' ', 'g'), '([@#]?\p{{L}}+)', 1)) AS w
+    FROM txt) GROUP BY id, y, w""",
     "nb_vocab": f"WITH {FIT} SELECT * FROM voc",
     "nb_class_counts": f"WITH {FIT} SELECT y, w, n_docs, n_occ FROM cc",
     "nb_fit_bernoulli": f"WITH {FIT} SELECT y, w, round(log_p, 6) AS log_p, round(log_q, 6) AS log_q FROM bm",
     "nb_fit_multinomial": f"WITH {FIT} SELECT y, w, round(log_p, 6) AS log_p FROM mm",
     "nb_scores": f"WITH {FIT} SELECT id, y, round(score, 6) AS score FROM sc",
     "nb_predict": f"WITH {FIT} SELECT * FROM pa",
+    "nb_ml": f"WITH {FIT} SELECT id, actual, predicted FROM pa",
     "nb_top_words": f"""WITH {FIT} SELECT a.w, round(a.log_p - b.log_p, 6) AS log_odds
   FROM mm a JOIN mm b ON a.w = b.w AND a.y = 1 AND b.y = 0
   ORDER BY a.log_p - b.log_p DESC, a.w LIMIT {TOP_K}""",

@@ -10,11 +10,14 @@ are left to AQE, which broadcasts them only when their runtime size is small.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quarry.operators import relational as R
+from quarry.session import cut_lineage
 from quarry.sources.fixtures import rating_events
 from quarry.sources.tables import TABLES, read_table, register_views
 
@@ -34,13 +37,16 @@ def _with_item(spark, sf_dir, df) -> DataFrame:
     return df.join(part, df.partkey == part.p_partkey).withColumnRenamed("p_name", "item")
 
 
-def _with_segment(spark, sf_dir, df) -> DataFrame:
-    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
+def _with_segment(spark, sf_dir, df, *more) -> DataFrame:
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment", *more])
     return df.join(cust, df.user == cust.c_custkey).withColumnRenamed("c_mktsegment", "segment")
 
 
 def _in_month(df, ym=MONTH) -> DataFrame:
-    return df.where((F.year("rated_at") == ym[0]) & (F.month("rated_at") == ym[1]))
+    """A date range, so that it is pushed into the scan."""
+    first = datetime.date(ym[0], ym[1], 1)
+    nxt = datetime.date(ym[0] + ym[1] // 12, ym[1] % 12 + 1, 1)
+    return df.where((F.col("rated_at") >= F.lit(first)) & (F.col("rated_at") < F.lit(nxt)))
 
 
 def q_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,12 +58,10 @@ def q_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_star_join(spark, sf_dir):
     """Fact with item, segment, nation and region attributes."""
-    ev = _with_segment(spark, sf_dir, _with_item(spark, sf_dir, _events(spark, sf_dir)))
-    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    ev = _with_segment(spark, sf_dir, _with_item(spark, sf_dir, _events(spark, sf_dir)), "c_nationkey")
     nation = F.broadcast(read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"]))
     region = F.broadcast(read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"]))
-    return (ev.join(cust.select("c_custkey", "c_nationkey"), "c_custkey")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return (ev.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
             .select("user", "partkey", "item", "rating", "rated_at", "segment",
                     F.col("n_name").alias("nation"), F.col("r_name").alias("region")))
@@ -96,10 +100,8 @@ def q_top_by_group(spark, sf_dir):
 
 def q_rank_ties(spark, sf_dir):
     """Rank and dense_rank of items by rating count within each segment."""
-    w = Window.partitionBy("segment").orderBy(F.col("n_ratings").desc())
-    return (_segment_items(spark, sf_dir)
-            .select("segment", "item", "n_ratings",
-                    F.rank().over(w).alias("rnk"), F.dense_rank().over(w).alias("dense_rnk")))
+    items = cut_lineage(_segment_items(spark, sf_dir).select("segment", "item", "n_ratings"))
+    return R.ranks(items, ["segment"], "n_ratings").select("segment", "item", "n_ratings", "rnk", "dense_rnk")
 
 
 def _rating_cells(spark, sf_dir):
@@ -108,12 +110,14 @@ def _rating_cells(spark, sf_dir):
 
 
 def q_rating_hist(spark, sf_dir):
-    """Star histogram (stars = ceil(rating / 10)) per segment, pivoted."""
+    """Star histogram (stars = ceil(rating / 10)) per segment, a column per
+    star; ratings outside 1 to 5 stars, or none, count in ``stars_other``."""
     cells = _with_segment(spark, sf_dir, _rating_cells(spark, sf_dir))
     stars = cells.select("segment", F.ceil(F.col("rating") / 10).cast("int").alias("stars"))
-    piv = stars.groupBy("segment").pivot("stars", [1, 2, 3, 4, 5]).count()
-    return piv.select("segment", *[F.coalesce(F.col(str(s)), F.lit(0)).alias(f"stars_{s}")
-                                   for s in range(1, 6)])
+    count = lambda cond: F.count(F.when(cond, 1))
+    known = F.coalesce(F.col("stars").between(1, 5), F.lit(False))
+    return stars.groupBy("segment").agg(*[count(F.col("stars") == s).alias(f"stars_{s}") for s in range(1, 6)],
+                                        count(~known).alias("stars_other"))
 
 
 def _monthly(spark, sf_dir):
@@ -164,10 +168,8 @@ def q_active_users(spark, sf_dir):
 
 def q_above_user_mean(spark, sf_dir):
     """Per user, ratings strictly above the user's own mean."""
-    ev = R.with_group_mean(_events(spark, sf_dir), ["user"], "rating", "user_mean")
-    return ev.groupBy("user").agg(
-        F.count("*").alias("n_ratings"),
-        F.count(F.when(F.col("rating") > F.col("user_mean"), 1)).alias("n_above"))
+    counts = cut_lineage(R.value_counts(_events(spark, sf_dir), ["user"], "rating"))
+    return R.above_mean(counts, ["user"], "rating")
 
 
 def q_never_rated(spark, sf_dir):
@@ -177,31 +179,29 @@ def q_never_rated(spark, sf_dir):
     return part.join(rated, part.p_partkey == rated.partkey, "left_anti")
 
 
-def _segment_parts(spark, sf_dir, segment):
-    ev = _with_segment(spark, sf_dir, _in_month(_events(spark, sf_dir)))
-    return ev.where(F.col("segment") == segment).select("partkey")
+def _segment_parts(spark, sf_dir):
+    """partkey, and whether it was rated in each of SEGMENTS in MONTH: one pass."""
+    ev = _with_segment(spark, sf_dir, _in_month(_events(spark, sf_dir))).where(F.col("segment").isin(*SEGMENTS))
+    return ev.groupBy("partkey").agg(*[F.max(F.col("segment") == s).alias(c) for s, c in zip(SEGMENTS, ("a", "b"))])
 
 
 def q_rated_by_both(spark, sf_dir):
     """Parts rated in both SEGMENTS in MONTH (INTERSECT, distinct)."""
-    a, b = (_segment_parts(spark, sf_dir, s) for s in SEGMENTS)
-    return a.intersect(b)
+    return _segment_parts(spark, sf_dir).where(F.col("a") & F.col("b")).select("partkey")
 
 
 def q_only_in_one(spark, sf_dir):
     """Parts rated in the first segment and not the second (EXCEPT)."""
-    a, b = (_segment_parts(spark, sf_dir, s) for s in SEGMENTS)
-    return a.subtract(b)
+    return _segment_parts(spark, sf_dir).where(F.col("a") & ~F.col("b")).select("partkey")
 
 
 def q_summary_stats(spark, sf_dir):
     """Mean, sd, median and quartiles of ratings per segment."""
     ev = _with_segment(spark, sf_dir, _events(spark, sf_dir))
-    q = R.exact_quantiles(ev, ["segment"], "rating", {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    return ev.groupBy("segment").agg(
-        F.count("*").alias("n_ratings"),
-        F.round(F.avg("rating"), 6).alias("mean_rating"),
-        F.round(F.stddev_samp("rating"), 6).alias("sd_rating"), *q)
+    counts = cut_lineage(R.value_counts(ev.where(F.col("rating").isNotNull()), ["segment"], "rating"))
+    s = R.summary(counts, ["segment"], "rating", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    return s.select("segment", F.col("n_rows").alias("n_ratings"), F.round("mean", 6).alias("mean_rating"),
+                    F.round("sd", 6).alias("sd_rating"), "q1", "median", "q3")
 
 
 def q_region_rating(spark, sf_dir):
@@ -290,7 +290,8 @@ ORACLE = {
          FROM cells JOIN customer ON "user" = c_custkey)
   SELECT segment, count(*) FILTER (WHERE stars = 1) AS stars_1, count(*) FILTER (WHERE stars = 2) AS stars_2,
          count(*) FILTER (WHERE stars = 3) AS stars_3, count(*) FILTER (WHERE stars = 4) AS stars_4,
-         count(*) FILTER (WHERE stars = 5) AS stars_5 FROM st GROUP BY segment""",
+         count(*) FILTER (WHERE stars = 5) AS stars_5,
+         count(*) FILTER (WHERE stars IS NULL OR stars NOT BETWEEN 1 AND 5) AS stars_other FROM st GROUP BY segment""",
     "sql_trend": f"WITH {_MONTHLY} SELECT yr, mon, n_ratings, round(mean_raw, 6) AS mean_rating FROM m",
     "sql_trend_change": f"""WITH {_MONTHLY} SELECT yr, mon, n_ratings,
   n_ratings - lag(n_ratings) OVER (ORDER BY yr, mon) AS d_ratings,

@@ -16,10 +16,8 @@ TOP_N = 5
 FOLDS = 5
 
 
-def _facts(spark, sf_dir, where=None, hold_out=False):
+def _facts(spark, sf_dir, hold_out=False):
     li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity"])
-    if where is not None:
-        li = li.where(where)
     od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_name"])
     extra = [(F.pmod(F.col("l_orderkey"), F.lit(FOLDS)) == 0).alias("hold")] if hold_out else []
@@ -28,8 +26,8 @@ def _facts(spark, sf_dir, where=None, hold_out=False):
                     F.col("l_quantity").alias("rating"), *extra))
 
 
-def _ratings(spark, sf_dir, where=None, materialise=False):
-    r = M.ratings(_facts(spark, sf_dir, where))
+def _ratings(spark, sf_dir, materialise=False):
+    r = M.ratings(_facts(spark, sf_dir))
     # rating cells feed norms, the user self-join, scoring and the seen
     # filter: materialise them once, then hash-partition by user (a checkpoint
     # does not keep partitioning); every consumer shares that one exchange
@@ -44,8 +42,13 @@ def q_favourites(spark, sf_dir):
     return M.favourites(_ratings(spark, sf_dir), FAV_MIN).withColumnRenamed("basket", "user")
 
 
+def _favourites(spark, sf_dir):
+    """Favourites for several consumers: read and aggregated once."""
+    return cut_lineage(M.favourites(_ratings(spark, sf_dir), FAV_MIN))
+
+
 def q_pairs(spark, sf_dir):
-    return A.pair_counts(M.favourites(_ratings(spark, sf_dir), FAV_MIN))
+    return A.pair_counts(_favourites(spark, sf_dir))
 
 
 def q_part_pairs(spark, sf_dir):
@@ -58,7 +61,7 @@ def q_part_pairs(spark, sf_dir):
     od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
     facts = li.join(od, li.l_orderkey == od.o_orderkey).select(
         F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"), F.col("l_quantity").alias("rating"))
-    return A.pair_counts(M.favourites(M.ratings(facts), FAV_MIN))
+    return A.pair_counts(cut_lineage(M.favourites(M.ratings(facts), FAV_MIN)))
 
 
 def _rules(fav):
@@ -66,7 +69,7 @@ def _rules(fav):
 
 
 def q_rules(spark, sf_dir):
-    return _rules(M.favourites(_ratings(spark, sf_dir), FAV_MIN))
+    return _rules(_favourites(spark, sf_dir))
 
 
 def q_item_cosine(spark, sf_dir):
@@ -76,19 +79,14 @@ def q_item_cosine(spark, sf_dir):
 
 def q_recommend_rules(spark, sf_dir):
     r = _ratings(spark, sf_dir, materialise=True)
-    fav = M.favourites(r, FAV_MIN)
+    fav = cut_lineage(M.favourites(r, FAV_MIN))
     recs = M.recommend_by_rules(fav, _rules(fav), r, TOP_N)
     return recs.select("user", "item", "confidence", "rank")
 
 
-def item_recs(spark, sf_dir, where=None):
-    r = _ratings(spark, sf_dir, where, materialise=True)
-    n_items = r.select("item").distinct().count()
-    return M.recommend_by_items(r, M.item_similarity(r), TOP_N, n_items)
-
-
 def q_recommend_items(spark, sf_dir):
-    return item_recs(spark, sf_dir).select("user", "item", F.round("score", 6).alias("score"), "rank")
+    r = _ratings(spark, sf_dir, materialise=True)
+    return M.recommend_by_items(r, M.item_similarity(r), TOP_N).select("user", "item", F.round("score", 6).alias("score"), "rank")
 
 
 def q_hit_rate(spark, sf_dir):
@@ -97,8 +95,7 @@ def q_hit_rate(spark, sf_dir):
     rating tables come from one scan and one aggregate keyed by the fold."""
     both = cut_lineage(M.ratings(_facts(spark, sf_dir, hold_out=True), extra_keys=("hold",)))
     train_r = partition_for_expansion(both.where(~F.col("hold")).drop("hold"), "user")
-    n_items = train_r.select("item").distinct().count()
-    recs = M.recommend_by_items(train_r, M.item_similarity(train_r), TOP_N, n_items)
+    recs = M.recommend_by_items(train_r, M.item_similarity(train_r), TOP_N)
     hold = both.where(F.col("hold") & (F.col("rating") > FAV_MIN)).drop("hold")
     hold = hold.join(train_r.select("user", "item"), ["user", "item"], "left_anti")
     return M.hit_rate(recs, hold, TOP_N)
@@ -141,7 +138,7 @@ _RULES = f"""nb AS (SELECT count(DISTINCT basket) AS n FROM fav),
 def _sim_sql(r="r", name="sim"):
     return f"""{name}_n AS (SELECT item, sqrt(sum(rating * rating)) AS norm FROM {r} GROUP BY item),
   {name} AS (SELECT x.item AS item_a, y.item AS item_b, count(*) AS n_common,
-    sum(x.rating * y.rating) / (na.norm * nb.norm) AS similarity
+    CASE WHEN na.norm * nb.norm = 0 THEN 0.0 ELSE sum(x.rating * y.rating) / (na.norm * nb.norm) END AS similarity
     FROM {r} x JOIN {r} y ON x."user" = y."user" AND x.item < y.item
     JOIN {name}_n na ON na.item = x.item JOIN {name}_n nb ON nb.item = y.item
     GROUP BY x.item, y.item, na.norm, nb.norm)"""

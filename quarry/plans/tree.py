@@ -148,7 +148,7 @@ def _plus(terms):
 
 def _imp(kind, get, classes):
     if kind == "variance":
-        return f"(({get('s2')} - {get('s1')} * {get('s1')} / {get('n')}) / {get('n')})"
+        return f"greatest(({get('s2')} - {get('s1')} * {get('s1')} / {get('n')}) / {get('n')}, 0.0)"
     if kind == "gini":
         return "(1.0 - " + _plus([f"({get(f'c{c}')} / {get('n')}) * ({get(f'c{c}')} / {get('n')})"
                                   for c in classes]) + ")"
@@ -161,12 +161,14 @@ def scores_sql(name, data, features, kind, classes=CLASSES):
     long = " UNION ALL ".join(
         f"SELECT node, y, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM {data}" for f in features)
     if kind == "variance":
+        long = (f"SELECT node, y - CASE WHEN abs(m) >= 1 THEN floor(m) ELSE CAST(CAST(m AS FLOAT) AS DOUBLE) END AS y, "
+                f"feature, value FROM (SELECT *, avg(y) OVER (PARTITION BY node, feature) AS m FROM ({long}))")
         aggs = "count(*) AS n, sum(y) AS s1, sum(y * y) AS s2"
         stats = ["n", "s1", "s2"]
     else:
         aggs = ", ".join(f"count(*) FILTER (WHERE y = {c}) AS c{c}" for c in classes) + ", count(*) AS n"
         stats = [f"c{c}" for c in classes] + ["n"]
-    win = ", ".join(f"sum({s}) OVER (PARTITION BY node, feature ORDER BY value ROWS BETWEEN UNBOUNDED "
+    win = ", ".join(f"sum({s}) OVER (PARTITION BY node, feature ORDER BY value NULLS LAST ROWS BETWEEN UNBOUNDED "
                     f"PRECEDING AND CURRENT ROW) AS L_{s}, sum({s}) OVER (PARTITION BY node, feature) AS T_{s}"
                     for s in stats)
     L = lambda s: f"L_{s}"
@@ -176,12 +178,12 @@ def scores_sql(name, data, features, kind, classes=CLASSES):
     return f"""{name}_h AS (SELECT node, feature, value, {aggs} FROM ({long}) GROUP BY node, feature, value),
   {name}_c AS (SELECT node, feature, value AS threshold, {win} FROM {name}_h),
   {name} AS (SELECT node, feature, threshold, CAST(L_n AS BIGINT) AS n_left, CAST(T_n - L_n AS BIGINT) AS n_right,
-    {w} AS impurity, {_imp(kind, Tt, classes)} - {w} AS gain FROM {name}_c WHERE L_n < T_n)"""
+    {w} AS impurity, {_imp(kind, Tt, classes)} - {w} AS gain FROM {name}_c WHERE L_n < T_n AND threshold IS NOT NULL)"""
 
 
 def _best_sql(name, scores):
     return f"""{name} AS (SELECT node, feature, threshold, gain FROM (SELECT *, row_number() OVER
-    (PARTITION BY node ORDER BY gain DESC, feature, threshold) AS rn FROM {scores}) WHERE rn = 1 AND gain > 1e-9)"""
+    (PARTITION BY node ORDER BY gain DESC, feature, threshold) AS rn FROM {scores}) WHERE rn = 1 AND gain > 1e-9 * (gain + impurity))"""
 
 
 def _route(features, src, best, inner=True):

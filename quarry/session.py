@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,11 +18,14 @@ SESSION_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # delete checkpoint files once their DataFrame is garbage-collected
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
+# Number of partitions to deal texts over before regex work on them; unset
+# (the default on a cluster) they are read as they are stored.
+TEXT_PARTITIONS = "spark.quarry.textPartitions"
+
+
 def get_session(master: str | None = None, app: str = "quarry",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
@@ -39,6 +42,8 @@ def get_session(master: str | None = None, app: str = "quarry",
         b = b.config(k, v)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        b = b.config(TEXT_PARTITIONS, str(shuffle_partitions or 8))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -69,9 +74,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
+
+    Survives executor loss, is computed once however many consumers it has,
+    and later reads prune columns.  The folder belongs to the application.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/quarry-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partition_for_expansion(df: DataFrame, *cols: str) -> DataFrame:
@@ -84,9 +95,3 @@ def partition_for_expansion(df: DataFrame, *cols: str) -> DataFrame:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *cols)
 
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -13,6 +13,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from quarry.session import TEXT_PARTITIONS
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -29,41 +31,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
                spread: bool = False) -> DataFrame:
     """Read one Parquet table; ``columns`` prunes the scan.
 
-    ``spread=True`` is for inputs that feed CPU-heavy per-row work (regex
-    over whole texts): if the table is stored in fewer Parquet row groups
-    than the cluster has cores, the scan would run in that few tasks, so the
-    rows are dealt round-robin over the cores first.  Large inputs (many
-    files or row groups) are read as they are, without the extra shuffle.
+    ``spread=True`` is for inputs of CPU-heavy per-row work (regex over whole
+    texts): where the session names a partition count (``TEXT_PARTITIONS``),
+    rows are dealt over that many, so a table stored as one row group does
+    not run as one task.
     """
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(table_path(sf_dir, name))
     if columns:
         df = df.select(*columns)
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if _row_groups(df, limit=cores) < cores:
-            df = df.repartition(cores)
-    return df
-
-
-def _row_groups(df: DataFrame, limit: int) -> int:
-    """Row groups behind ``df``'s files, counted only while below ``limit``."""
-    files = df.inputFiles()
-    if len(files) >= limit:
-        return len(files)
-    try:
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
-
-        total = 0
-        for f in files:
-            fs, p = pafs.FileSystem.from_uri(f)
-            total += pq.ParquetFile(fs.open_input_file(p)).metadata.num_row_groups
-            if total >= limit:
-                break
-        return total
-    except Exception:  # unknown filesystem: assume the input is already split
-        return limit
+    n = spark.conf.get(TEXT_PARTITIONS, None) if spread else None
+    return df.repartition(int(n)) if n else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str,

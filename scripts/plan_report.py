@@ -36,10 +36,15 @@ COUNTS = [
 
 def final_plan(df) -> str:
     df.collect()  # runs this DataFrame's own query execution, so AQE finalises its plan
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Final Plan" in plan:
-        plan = plan[plan.find("Final Plan"):plan.find("Initial Plan")]
-    return plan
+    out, hidden = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        depth = len(line) - len(line.lstrip(" :|+-"))
+        if hidden is not None and depth > hidden:
+            continue  # below an initial plan, of the query or of one of its subqueries
+        hidden = depth if "== Initial Plan ==" in line else None
+        if hidden is None:
+            out.append(line)
+    return "\n".join(out)
 
 
 def main():
@@ -48,8 +53,8 @@ def main():
     qs = all_queries()
     print("# Executed plans of the headline queries\n")
     print(f"Generated by `scripts/plan_report.py` on `{sf_dir}` (local[8], 16 shuffle partitions,")
-    print("AQE on).  Counts are over the final adaptive plan of the main query (subqueries and")
-    print("eager helper jobs such as checkpoints are not included).  Small inputs make AQE pick")
+    print("AQE on).  Counts are over the final adaptive plan of the last job with its subqueries;")
+    print("jobs that write intermediate tables before it are not included.  Small inputs make AQE pick")
     print("broadcast joins that become sort-merge joins at scale.\n")
     print("| query | " + " | ".join(c for c, _ in COUNTS) + " | scans (ReadSchema) |")
     print("| --- | " + " | ".join("---" for _ in COUNTS) + " | --- |")

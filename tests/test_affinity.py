@@ -118,3 +118,35 @@ def test_multi_rules_confidence(spark):
     assert r[("a|b", "c")] == pytest.approx(1 / 2)
     assert r[("b|c", "a")] == pytest.approx(1.0)
     assert math.isclose(r[("a", "b")], 2 / 3)
+
+
+def test_separator_inside_items(spark):
+    """An item that holds the separator is one item, in antecedents too."""
+    b = A.baskets(spark.createDataFrame([(1, "a"), (1, "b"), (2, "a|b"), (3, "a|b"), (3, "c")], "basket long, item string"),
+                  "basket", "item")
+    rules = spark.createDataFrame([("a|b", "c", 0.5)], "antecedent string, consequent string, confidence double")
+    assert rows(A.apply_rules(b, rules)) == [(2, "c", 0.5)]
+    two = spark.createDataFrame([(["b", "a"], "c", 0.5)], "ante_items array<string>, consequent string, confidence double")
+    assert rows(A.apply_rules(b, two)) == [(1, "c", 0.5)]
+    sets = A.itemsets(b, 1, 2)
+    assert {tuple(r["items"]) for r in sets.collect()} == {("a",), ("b",), ("a|b",), ("c",), ("a", "b"), ("a|b", "c")}
+    assert {(tuple(r["ante_items"]), r["consequent"]) for r in A.multi_rules(sets).collect()} == {
+        (("a",), "b"), (("b",), "a"), (("a|b",), "c"), (("c",), "a|b")}
+
+
+def test_hot_basket_spreads_before_it_is_deduplicated(spark):
+    b = spark.range(30_000).select((F.col("id") % 3 * (F.col("id") % 2)).alias("basket"), (F.col("id") % 500).alias("item"))
+    got = A.baskets(b, "basket", "item")
+    assert got.count() == b.distinct().count()
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) <= 4 * sum(sizes) / max(1, len(sizes))
+
+
+def test_hot_left_side_is_split(spark):
+    """A key with few rows on the right and many on the left is salted by its own size."""
+    from quarry.operators.skew import hot_split_join, plain_join
+
+    left = spark.range(300).select(F.lit(1).alias("k"), F.col("id").alias("x"))
+    right = spark.range(3).select(F.lit(1).alias("k"), F.col("id").alias("y"))
+    cond = lambda c, l, r: c(f"{l}.x") >= c(f"{r}.y")
+    assert rows(hot_split_join(left, right, "k", cond, "x", "y", 10)) == rows(plain_join(left, right, "k", cond))

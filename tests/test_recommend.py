@@ -1,3 +1,5 @@
+from tests.conftest import SF001
+from pyspark.sql import functions as F
 import pytest
 
 from quarry.operators import recommend as M
@@ -36,3 +38,25 @@ def test_metrics_zero_division(spark):
     reg = spark.createDataFrame([(1, 1.0, 2.0), (2, 3.0, 2.0)], "id long, actual double, predicted double")
     x = V.regression(reg).first()
     assert (x["rmse"], x["mae"], x["r2"]) == (1.0, 1.0, 0.0)
+
+
+def test_all_zero_item_and_empty_holdout(spark):
+    r = spark.createDataFrame([(1, "a", 0.0), (1, "b", 5.0), (2, "a", 0.0), (2, "b", 4.0)], "user long, item string, rating double")
+    assert [x["similarity"] for x in M.item_similarity(r).collect()] == [0.0]
+    recs = spark.createDataFrame([(1, "a", 1)], "user long, item string, rank int")
+    got = M.hit_rate(recs, recs.where("false").select("user", "item"), 5).first()
+    assert (got["users"], got["hits"], got["precision_at_n"], got["recall_at_n"]) == (0, 0, 0.0, 0.0)
+
+
+def test_als_recommends_unseen_items(spark):
+    from quarry.plans import recommend as PM
+
+    r = PM._ratings(spark, SF001)
+    big = r.select((F.col("user") + 2 ** 40).alias("user"), "item", "rating")  # beyond the int range
+    recs = M.fit_als(big, n=3)
+    assert recs.join(big, ["user", "item"], "left_semi").count() == 0
+    got = recs.groupBy("user").agg(F.count("*").alias("n"), F.max("rank").alias("last")).collect()
+    n_items = r.select("item").distinct().count()
+    rated = {x["user"]: x["n"] for x in big.groupBy("user").agg(F.count("*").alias("n")).collect()}
+    assert {x["user"]: x["n"] for x in got} == {u: min(3, n_items - k) for u, k in rated.items() if k < n_items}
+    assert all(x["n"] == x["last"] for x in got)

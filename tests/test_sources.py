@@ -3,7 +3,7 @@ import os
 from pyspark.sql import functions as F
 
 from quarry.session import checkpoint_dir
-from quarry.sources.tables import TABLES, _row_groups, read_csv, read_table, register_views
+from quarry.sources.tables import TABLES, read_csv, read_table, register_views
 from tests.conftest import SF001, rows
 
 
@@ -29,12 +29,12 @@ def test_register_views(spark):
     assert spark.sql("SELECT count(*) FROM region").first()[0] == 5
 
 
-def test_spread_only_under_partitioned_inputs(spark):
-    cores = spark.sparkContext.defaultParallelism
+def test_spread_follows_the_session(spark):
+    from quarry.session import TEXT_PARTITIONS
+
     doc = read_table(spark, SF001, "documents", ["doc_id"])
-    assert _row_groups(doc, cores) < cores  # the fixture is one row group
     spread = read_table(spark, SF001, "documents", ["doc_id"], spread=True)
-    assert spread.rdd.getNumPartitions() == cores
+    assert spread.rdd.getNumPartitions() == int(spark.conf.get(TEXT_PARTITIONS))
     assert rows(spread) == rows(doc)
 
 

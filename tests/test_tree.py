@@ -86,21 +86,59 @@ def test_ml_tree_agrees_mostly_with_exact_tree(spark):
     assert agree >= 0.8, agree
 
 
-def test_bucketed_running_totals_equal_single_window(spark, monkeypatch):
-    """Force the two-level prefix sum on every group: scores must not change."""
-    from quarry.plans.tree import CLF_FEATURES
-    from quarry.sources.fixtures import feature_rows
-    from tests.conftest import SF01
+def test_running_totals_over_ranges_equal_plain_sums(spark):
+    """Groups that span several ranges: totals are exact, and no range holds a whole group."""
+    from quarry.operators.prefix import dense_index, running_totals
+
+    rows = [("a", float(v), v % 5 + 1) for v in range(400)] + [("b", 1.5, 2), (None, 0.5, 3), (None, 2.5, 4)]
+    df = spark.createDataFrame(rows, "g string, v double, n long")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.g, r.v): (r.L_n, r.T_n) for r in running_totals(df, ["g"], "v", ["n"]).collect()}
+        index = {r.v: r.i for r in dense_index(df, "v", "i").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    for g, v, _ in rows:
+        own = [(x, n) for h, x, n in rows if h == g]
+        assert got[g, v] == (sum(n for x, n in own if x <= v), sum(n for _, n in own))
+    assert index == {v: i for i, v in enumerate(sorted({v for _, v, _ in rows}))}
+
+
+def _root(spark, rows, schema="id long, x double, y double"):
+    return spark.createDataFrame(rows, schema).withColumn("node", F.lit(1).cast("long"))
+
+
+def test_null_feature_lies_right_everywhere(spark):
+    df = _root(spark, [(1, None, 0), (2, None, 0), (3, 1.0, 1), (4, 2.0, 1)], "id long, x double, y int")
+    best = T.best_split(T.split_scores(df, ["x"], "gini", [0, 1])).first()
+    assert (best["threshold"], best["n_left"], best["n_right"], best["gain"]) == (2.0, 2, 2, 0.5)
+    nodes = T.fit_levelwise(df.drop("node"), ["x"], 1, "gini", [0, 1])
+    got = {r["id"]: r["p"] for r in df.select("id", T.predict(df, nodes).alias("p")).collect()}
+    assert got == {1: 0.0, 2: 0.0, 3: 1.0, 4: 1.0}
 
-    root = feature_rows(spark, SF01).withColumn("node", F.lit(1).cast("long"))
 
-    def scores(crit, classes):
-        feats = CLF_FEATURES if crit != "variance" else ["letter_share", "n_words"]
-        s = T.split_scores(root, feats, crit, classes)
-        return sorted((r["feature"], r["threshold"], r["n_left"], round(r["gain"], 9)) for r in s.collect())
+def test_variance_keeps_its_digits(spark):
+    df = _root(spark, [(i, float(i), 1e9 + (i >= 6)) for i in range(12)])
+    s = {r["threshold"]: r["gain"] for r in T.split_scores(df, ["x"], "variance").collect()}
+    assert s[5.0] == pytest.approx(0.25) and min(s.values()) >= 0 and max(s, key=s.get) == 5.0
+
+
+def test_small_units_still_split(spark):
+    df = _root(spark, [(i, float(i), 1e-5 if i < 3 else 3e-5) for i in range(6)]).drop("node")
+    nodes = {r["node"]: r for r in T.fit_levelwise(df, ["x"], 1, "variance").collect()}
+    assert nodes[1]["threshold"] == 2.0 and nodes[2]["prediction"] == pytest.approx(1e-5)
+
+
+def test_regression_trees_agree_with_spark_ml(spark):
+    from quarry.plans import tree as PT
+    from tests.conftest import SF01
+
+    exact = {r["id"]: r["predicted"] for r in PT.regression_predictions(spark, SF01).collect()}
+    ml = {r["id"]: (r["actual"], r["predicted"]) for r in PT.q_reg_ml(spark, SF01).collect()}
+    assert exact.keys() == ml.keys()
+    mean = sum(a for a, _ in ml.values()) / len(ml)
+    err = lambda f: sum((a - f(i, p)) ** 2 for i, (a, p) in ml.items())
+    assert err(lambda i, p: exact[i]) <= 1.2 * err(lambda i, p: p)
+    assert err(lambda i, p: p) < err(lambda i, p: mean)
 
-    want = {c: scores(c, [0, 1]) for c in ("gini", "entropy")}
-    monkeypatch.setattr(T, "WINDOW_ROWS", 2)
-    monkeypatch.setattr(T, "PREFIX_BUCKETS", 8)
-    for c in ("gini", "entropy"):
-        assert scores(c, [0, 1]) == want[c]
