@@ -4,6 +4,8 @@
    the one of least hash.  A window chooses by its own words alone, so all
    copies of a window choose the same phrase; about one phrase in 13 is named.
 2. Phrases named by two documents recur; the others' windows are unique.
+   Documents of equal words count as one here, the first; in the others every
+   window starts in that one, so all their words go.
 3. The recurring phrases of a shard of documents are compiled into an
    Aho-Corasick automaton, and the shard's texts are streamed through it, which
    locates every occurrence.  Shards are batches of documents that hold a
@@ -30,6 +32,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,7 @@ WINDOW = 50
 PHRASE = 25
 SUB_BATCH = 2 << 20
 LAST = (1 << 63) - 1
+WHOLE = -1  # in a list of starts: every window of the document
 
 _U = np.uint64
 
@@ -90,23 +94,26 @@ def chosen_phrases(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct chosen phrases of each document."""
+    """Distinct chosen phrases of each document, and a 128-bit mark of its words."""
     for b in batches:
         texts = b.column("text").to_pylist()
         for s, e in sub_batches(texts, SUB_BATCH):
-            lists = []
+            lists, marks = [], []
             for t in texts[s:e]:
                 words = (t or b"").split()
+                marks.append(xxhash.xxh3_128_digest(b" ".join(words)))
                 if len(words) < WINDOW:
                     lists.append(np.zeros(0, dtype=np.int64))
                     continue
                 phrases, at = chosen_phrases(word_hashes(words))
                 lists.append(np.unique(phrases[at[np.r_[True, at[1:] != at[:-1]]]]).view(np.int64))
             ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+            mark = np.frombuffer(b"".join(marks), dtype="<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [b.column("ord").slice(s, e - s), b.column("text_key").slice(s, e - s),
+                 pa.array(mark[:, 0]), pa.array(mark[:, 1]),
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(lists)))],
-                names=["ord", "text_key", "phrases"])
+                names=["ord", "text_key", "f1", "f2", "phrases"])
 
 
 def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,6 +163,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for t, st in zip(texts[s:e], starts[s:e]):
                 words = (t or b"").split()
                 out, at, cut = [], 0, []
+                if st and min(st) == WHOLE:
+                    st, cut = (), [[0, len(words)]]
                 for x in sorted(st or ()):
                     if cut and x <= cut[-1][1]:
                         cut[-1][1] = x + WINDOW
@@ -182,8 +191,14 @@ def cut_passages(docs: DataFrame) -> DataFrame:
     src = docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("ord"),
                       common.row_key().alias("text_key"), F.col("text").cast("binary").alias("text"))
     named = common.materialise(
-        src.select("ord", "text_key", "text").mapInArrow(_name, "ord bigint, text_key bigint, phrases array<bigint>")
+        src.select("ord", "text_key", "text")
+        .mapInArrow(_name, "ord bigint, text_key bigint, f1 bigint, f2 bigint, phrases array<bigint>")
         .filter("size(phrases) > 0"), "passage-phrases")
+    # of documents with equal words, the first stands for all: the others' windows all start in it
+    heads = common.materialise(named.groupBy("f1", "f2").agg(F.min("ord").alias("head")), "passage-heads")
+    named = named.join(heads, ["f1", "f2"])
+    copies = named.filter("ord > head").select("ord", "text_key").distinct()
+    named = common.materialise(named.filter("ord = head").select("ord", "text_key", "phrases"), "passage-named")
     each = named.select("ord", "text_key", F.explode("phrases").alias("phrase"))
     recurring = common.materialise(
         each.groupBy("phrase").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).filter("lo < hi").select("phrase"),
@@ -198,6 +213,7 @@ def cut_passages(docs: DataFrame) -> DataFrame:
         .select("w1", "w2", "lo"), "passage-first")
     starts = (found.join(first, ["w1", "w2"]).filter("ord > lo").groupBy("ord", "text_key")
               .agg(F.collect_set("start").alias("starts")))  # bounded by its own document
+    starts = starts.unionByName(copies.select("ord", "text_key", F.array(F.lit(WHOLE)).alias("starts")))
     schema = ("doc_id bigint, text_key bigint, n_words bigint, n_removed bigint, "
               "removed array<struct<first: bigint, last: bigint>>, kept_text string")
     return (src.join(starts, ["ord", "text_key"], "left").select("doc_id", "text_key", "text", "starts")
