@@ -16,7 +16,7 @@ pairs.  In each round some members of a bucket, its centres, are compared with
 all others and leave it; confirmed links unite components; a bucket whose
 members lie in one component is done.  Round one takes as centre the member
 that shares most buckets with others; later rounds take centres outside the
-bucket's largest component, four times as many each round.  Every pair of a
+bucket's largest component, 16 times as many each round.  Every pair of a
 bucket that could still unite two components gets compared, unless a bound
 rules it out: shingles that no other candidate has are in no intersection, so
 copies with edits of their own can link to their original but hardly to each
@@ -47,7 +47,7 @@ SHINGLE = 5
 BANDS, ROWS = 25, 5
 SLOTS = BANDS * ROWS
 PERCENT = 85
-GROWTH = 4
+GROWTH = 16
 PRIVATE_PASSES = 2
 SUB_BATCH = 1 << 20
 
@@ -173,14 +173,18 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, comp) of undirected links (a, b): comp is the smallest node connected.
 
-    Alternating large and small stars; each step is an aggregate and a join,
-    and only two numbers per step reach the driver.
+    Alternating large and small stars until only stars are left; each step is
+    an aggregate and a join.
     """
     edges = common.materialise(
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
         f"{name}-edges")
-    state = None
     while True:
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("leaf"), F.lit(0).alias("root")).unionByName(
+            edges.select(F.col("v").alias("x"), F.lit(0).alias("leaf"), F.lit(1).alias("root")))
+        tangled = ends.groupBy("x").agg(F.sum("leaf").alias("leaf"), F.max("root").alias("root"))
+        if tangled.filter("leaf + root > 1").isEmpty():  # stars only: each leaf has one edge, to a root
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = common.materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
                                  f"{name}-low")
@@ -194,10 +198,6 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
             large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                                           F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
                                         .alias("e")).select("e.*").filter("u <> v").distinct(), f"{name}-edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
-        state = now
 
 
 def near_groups(docs: DataFrame) -> DataFrame:
