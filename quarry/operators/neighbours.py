@@ -30,6 +30,10 @@ TIE_DIGITS = 9
 # memory per co-group is about 2 × MAX_BLOCK_ROWS × dim doubles plus one
 # bounded distance chunk.
 MAX_BLOCK_ROWS = 16_384
+# Signs that a probe may flip in a table (all subsets are tried), and vectors
+# probed at a time: each gives as many rows as it has probes.
+PROBE_BITS = 8
+PROBE_ROWS = 512
 
 
 # ---------------------------------------------------------------- K1-K3
@@ -255,27 +259,61 @@ def signatures(df: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
             .mapInPandas(sign, "id long, v array<double>, tab int, bucket long"))
 
 
+def probed(df: DataFrame, bits: int, tables: int, probes: int, seed: int) -> DataFrame:
+    """(id, v, tab, bucket): the ``probes`` buckets that each vector looks in, of all tables together.
+
+    A bucket costs the squared distances to the hyperplanes between it and the
+    vector; the cheapest are taken, the vector's own buckets (cost 0) first.
+    Of each table the ``PROBE_BITS`` signs of smallest margin may be flipped.
+    """
+    wide = min(bits, PROBE_BITS)
+    flips = (np.arange(1 << wide)[:, None] >> np.arange(wide)) & 1
+    take = min(probes, tables << wide)
+
+    def look(frames):
+        for f in frames:
+            for s in range(0, len(f), PROBE_ROWS):
+                part = f.iloc[s:s + PROBE_ROWS]
+                v = np.stack(part["v"].to_numpy())
+                planes = np.random.default_rng(seed).standard_normal((v.shape[1], tables * bits))
+                margin = (v @ planes).reshape(len(v), tables, bits)
+                order = np.argsort(np.abs(margin), axis=2, kind="stable")[:, :, :wide]
+                cost = np.take_along_axis(margin, order, 2) ** 2 @ flips.T
+                bucket = ((margin > 0) @ (1 << np.arange(bits)))[:, :, None] ^ ((1 << order) @ flips.T)
+                best = np.argsort(cost.reshape(len(v), -1), axis=1, kind="stable")[:, :take]
+                yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), take), "v": part["v"].repeat(take).to_numpy(),
+                                    "tab": (best >> wide).reshape(-1),
+                                    "bucket": np.take_along_axis(bucket.reshape(len(v), -1), best, 1).reshape(-1)})
+
+    return (df.where(F.col("v").isNotNull()).select("id", "v")
+            .mapInPandas(look, "id long, v array<double>, tab int, bucket long"))
+
+
 def knn_approx(df: DataFrame, k: int, bits: int = 6, tables: int = 12, seed: int = 42,
-               block_rows: int = 2048) -> DataFrame:
+               block_rows: int = 2048, probes: int = 60) -> DataFrame:
     """K8: approximate self k-NN (Euclidean) by hyperplane hashing: (id, neighbour, rank, distance).
 
-    Vectors meet if all ``bits`` signs of some table agree: a share of about
-    1 - (1 - 2**-bits)**tables of all pairs for vectors without structure.
-    Buckets are worked on in block pairs of ``block_rows``, so a hot bucket
-    only has more of them.  Widening: a vector with fewer than k neighbours
-    found is searched exactly against all.
+    A vector is filed under its ``bits`` signs in every table, and meets those
+    filed in the ``probes`` buckets nearest to it (``probed``).  Buckets are
+    worked on in block pairs of ``block_rows``, so a hot bucket only has more
+    of them.  Widening: a vector with fewer than k neighbours found is searched
+    exactly against all.
     """
-    sig = cut_lineage(signatures(df, bits, tables, seed))
-    sizes = sig.groupBy("tab", "bucket").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("blocks"))
-    sig = sig.join(cut_lineage(sizes), ["tab", "bucket"])
-    other = sig.toDF(*sig.columns)  # its own column identities, for the co-group
-    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    keys = ["tab", "bucket", "x", "y"]
-    qs = sig.select("tab", "bucket", F.col("id").alias("qid"), F.col("v").alias("qv"), F.lit(0).alias("fold"),
-                    own.alias("x"), every.alias("y"))
-    rs = other.select("tab", "bucket", F.col("id").alias("rid"), F.col("v").alias("rv"), F.lit(0).alias("fold"),
-                    every.alias("x"), own.alias("y"))
+    keys = ["tab", "bucket"]
+    filed = cut_lineage(signatures(df, bits, tables, seed))
+    asked = cut_lineage(probed(df, bits, tables, probes, seed))
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(block_rows)).alias(name))
+
+    sizes = cut_lineage(blocks(asked, "xs").join(blocks(filed, "ys"), keys))  # buckets with both sides
+    qs = asked.join(sizes, keys).select(
+        *keys, F.col("id").alias("qid"), F.col("v").alias("qv"), F.lit(0).alias("fold"),
+        F.pmod(F.xxhash64("id"), F.col("xs")).alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ys") - 1)).alias("y"))
+    rs = filed.join(sizes, keys).select(
+        *keys, F.col("id").alias("rid"), F.col("v").alias("rv"), F.lit(0).alias("fold"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("xs") - 1)).alias("x"), F.pmod(F.xxhash64("id"), F.col("ys")).alias("y"))
+    keys = [*keys, "x", "y"]
 
     def block(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
         return _block_topk(qp, rp, k, "euclidean", True, False)
