@@ -1,10 +1,16 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
-Vectors are cut in two halves, each quantised by its own codebook, so a pair of
-centroids names a cell.  A query ranks each half's centroids by distance and
-takes pairs in rising order of summed distance from a heap, until the cells
+Nearness is the inner product, the index works on distances: an entry v gets
+one component more, sqrt(M^2 - |v|^2) with M the greatest length of all, and a
+query is scaled to length M and gets a 0.  The squared distance of the two is
+then 2 M^2 less twice the scaled product, so rising distance is falling inner
+product whatever the lengths.
+
+These vectors are cut in two halves, each quantised by its own codebook, so a
+pair of centroids names a cell.  A query ranks each half's centroids by distance
+and takes pairs in rising order of summed distance from a heap, until the cells
 taken hold ``SHARE`` of the index; the entries of those cells are reranked by
-the exact inner product in double precision.
+the exact inner product of the original vectors in double precision.
 
 Codebooks are fitted on a bounded sample (``SAMPLE`` vectors); every vector is
 indexed.  Equal vectors are one entry with their k + 1 smallest ids, which is
@@ -101,6 +107,16 @@ def visit(d1: np.ndarray, d2: np.ndarray, sizes: np.ndarray, budget: int) -> dic
     return out
 
 
+def lifted(v: np.ndarray, longest: float) -> np.ndarray:
+    """Entries with the component that brings them all to the length ``longest``."""
+    return np.column_stack([v, np.sqrt(np.maximum(longest ** 2 - (v ** 2).sum(axis=1), 0))])
+
+
+def aimed(v: np.ndarray, longest: float) -> np.ndarray:
+    """Queries scaled to the length ``longest``, with a 0 for the entries' further component."""
+    return np.column_stack([v * (longest / np.sqrt((v ** 2).sum(axis=1)))[:, None], np.zeros(len(v))])
+
+
 def _stack(col: pa.Array) -> np.ndarray:
     flat = col.flatten().to_numpy()
     return flat.reshape(len(col), -1) if len(col) else flat.reshape(0, 0)
@@ -126,13 +142,16 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHAR
     x = np.array([r["v"] for r in sample.toLocalIterator()], dtype=np.float64)
     if not len(x):
         x = np.array([r["v"] for r in entries.select("v").limit(SAMPLE).collect()], dtype=np.float64)
+    square = F.aggregate("v", F.lit(0.0), lambda total, c: total + c * c)
+    longest = math.sqrt(entries.agg(F.max(square)).first()[0])
     cut = x.shape[1] // 2
+    x = lifted(x, longest)
     c1, c2 = (codebook(half, min(CENTROIDS, len(x)), SEED) for half in (x[:, :cut], x[:, cut:]))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                v = _stack(b.column("v"))
+                v = lifted(_stack(b.column("v")), longest)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(nearest(v[:, :cut], c1).astype(np.int32)), pa.array(nearest(v[:, cut:], c2).astype(np.int32)),
                      b.column("v"), b.column("ids")], names=["i", "j", "v", "ids"])
@@ -147,7 +166,7 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHAR
         for b in batches:
             if not b.num_rows:
                 continue
-            v, ids = _stack(b.column("v")), b.column("vec_id")
+            v, ids = aimed(_stack(b.column("v")), longest), b.column("vec_id")
             # squared distances of the halves, without the query's own norm
             d1 = (c1 ** 2).sum(axis=1) - 2 * v[:, :cut] @ c1.T
             d2 = (c2 ** 2).sum(axis=1) - 2 * v[:, cut:] @ c2.T

@@ -172,6 +172,22 @@ def test_neighbours_whole_index_is_exact(spark):
     assert neighbours.search(df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("lengths", ["lognormal", "few_long"])
+def test_neighbours_recall_at_unequal_lengths(spark, lengths):
+    rng = np.random.default_rng(8)
+    v = rng.standard_normal((1500, 32))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v *= (np.exp(0.5 * rng.standard_normal(1500)) if lengths == "lognormal" else np.where(rng.random(1500) < 0.05, 10, 1))[:, None]
+    ids = np.arange(1500)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "vec_id bigint, embedding array<double>")
+    got: dict = {}
+    for r in neighbours.search(df).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    expect = brute(ids, v)
+    assert set(got) == set(expect)
+    assert sum(len(got[q] & {i for i, _ in found}) for q, found in expect.items()) / (20 * len(expect)) >= 0.9
+
+
 def test_heap_visits_cells_in_order():
     rng = np.random.default_rng(4)
     for _ in range(50):
