@@ -3,9 +3,14 @@
 Documents fall into cells of source, language and topic.  The cells' shares of
 all tokens are raked: scaled to the target of each source, then each language,
 then each topic, ``ROUNDS`` times over.  A cell's calibrated weight over its
-present share, against the greatest such ratio of any cell, is the probability
-of each of its documents: no document is wanted more than once, and expected
-tokens stand in the calibrated proportions.  A document stays if a uniform
+present share is its ratio, and min(1, ratio / scale) the probability of each of
+its documents: no document is wanted more than once.  With the greatest ratio of
+any cell as scale, expected tokens stand in the calibrated proportions, but one
+tiny cell of a great ratio then thins the whole corpus.  So the scale is at most
+what keeps ``keep`` of all tokens in expectation: cells of greater ratios stay
+whole and fall short of their calibrated share, all others stand in proportion.
+By default ``KEEP`` is wanted with tempered targets, and nothing (the exact
+proportions) where a caller gives targets.  A document stays if a uniform
 number from the MD5 of its id is below its probability, so a sample is the same
 at every partitioning and after every retry.
 
@@ -33,6 +38,7 @@ from quarry.llm import common
 
 ROUNDS = 10
 ALPHAS = {"source": 0.7, "lang": 0.7, "topic": 1.0}
+KEEP = 0.6
 SEED = 7
 DIGITS = 9
 NONE = "(none)"
@@ -82,7 +88,31 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     return fitted
 
 
-def probabilities(rows: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS) -> DataFrame:
+def inverse_scale(fitted: DataFrame, keep: float) -> float:
+    """The least u, from 1 / the greatest ratio on, at which probabilities min(1, ratio * u) keep ``keep`` of the tokens.
+
+    What is kept is concave in u and linear between the ratios' inverses, so
+    tangents rise to the answer in a few steps; each needs two sums.  Where the
+    cells with a weight hold less than ``keep``, all of them become whole.
+    """
+    ratio = F.try_divide("weight", "share")
+    most = fitted.agg(F.max(ratio)).first()[0]
+    if not most:
+        return 1.0
+    u = 1.0 / most
+    while True:
+        whole = ratio * F.lit(u) >= 1 - 10.0 ** -DIGITS
+        full, rest = fitted.filter("share > 0").agg(F.coalesce(F.sum(F.when(whole, F.col("share"))), F.lit(0.0)),
+                                                    F.coalesce(F.sum(F.when(~whole, F.col("weight"))), F.lit(0.0))).first()
+        if rest <= 0 or (keep - full) / rest <= u * (1 + 1e-12):
+            return u
+        # not beyond the point where the least ratio is whole: rounding can leave a tangent almost flat
+        least = fitted.filter("share > 0 and weight > 0").agg(F.min(ratio)).first()[0]
+        u = min((keep - full) / rest, 1.0 / least)
+
+
+def probabilities(rows: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS,
+                  keep: float | None = None) -> DataFrame:
     """source, lang, topic, share, weight, probability of each cell of ``celled`` rows."""
     dims = list(ALPHAS)
     cells = rows.groupBy(*dims).agg(F.sum("n_words").alias("tokens"))
@@ -92,8 +122,10 @@ def probabilities(rows: DataFrame, targets: dict[str, DataFrame] | None = None,
     goals = {d: (targets or {}).get(d) for d in dims}
     fitted = rake(cells, {d: g if g is not None else tempered(cells, d, ALPHAS[d]) for d, g in goals.items()}, rounds)
     ratio = F.try_divide("weight", "share")
+    wanted = keep if keep is not None else 0.0 if targets else KEEP
     most = fitted.agg(F.max(ratio)).first()[0] or 1.0
-    p = F.when(F.col("share") == 0, 1.0).otherwise(F.round(ratio / F.lit(most), DIGITS))
+    scale = min(most, 1.0 / inverse_scale(fitted, wanted)) if wanted else most
+    p = F.when(F.col("share") == 0, 1.0).otherwise(F.round(F.least(ratio / F.lit(scale), F.lit(1.0)), DIGITS))
     return fitted.select(*dims, "share", "weight", p.alias("probability"))
 
 
@@ -103,18 +135,20 @@ def uniform(doc_id: str = "doc_id") -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, topic: Column | None = None) -> DataFrame:
+def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, topic: Column | None = None,
+           keep: float | None = None) -> DataFrame:
     """doc_id, source, lang, topic, n_words, weight (of the cell), probability, kept, text_key."""
     rows = celled(docs, topic)
-    cells = common.materialise(probabilities(rows, targets), "mix-probabilities")
+    cells = common.materialise(probabilities(rows, targets, keep=keep), "mix-probabilities")
     return (rows.join(cells, list(ALPHAS))
             .select("doc_id", "source", "lang", "topic", "n_words", F.round("weight", DIGITS).alias("weight"),
                     "probability", (uniform() < F.col("probability")).alias("kept"), "text_key"))
 
 
-def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, topic: Column | None = None) -> DataFrame:
+def mix(docs: DataFrame, targets: dict[str, DataFrame] | None = None, topic: Column | None = None,
+        keep: float | None = None) -> DataFrame:
     """The sampled rows of ``docs``, all columns kept."""
-    return common.keep_rows(docs, sample(docs, targets, topic).filter("kept").select("doc_id", "text_key"))
+    return common.keep_rows(docs, sample(docs, targets, topic, keep).filter("kept").select("doc_id", "text_key"))
 
 
 def oracle() -> str:

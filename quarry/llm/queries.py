@@ -67,7 +67,8 @@ def q_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.sample(common.read(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")).drop("text_key")
+    # its SQL twin fixes the scale: the greatest ratio
+    return mixing.sample(common.read(spark, sf_dir, "documents", "doc_id", "text", "source", "lang"), keep=0.0).drop("text_key")
 
 
 QUERIES = {

@@ -270,6 +270,25 @@ def test_mixing_meets_targets(spark):
     assert max(r.probability for r in got) == 1
 
 
+def test_mixing_one_rare_document_does_not_thin_the_rest(spark):
+    """A tiny source of a new language: the corpus keeps the stated share, cells above the scale stay whole."""
+    rows = [(i, "w " * (40 + i % 7), ["en", "fr"][i % 10 == 0], ["a", "b", "c"][min(i % 6, 2)], 0) for i in range(4000)]
+    df = plain.table(spark, [*rows, (9999, "w " * 50, "xx", "tiny", 0)])
+    got = mixing.sample(df).collect()
+    total = sum(r.n_words for r in got)
+    assert sum(r.probability * r.n_words for r in got) / total >= mixing.KEEP - 1e-6
+    assert sum(r.kept * r.n_words for r in got) / total == pytest.approx(mixing.KEEP, abs=0.03)
+    assert all(r.probability == 1 for r in got if r.source == "tiny")
+    share, cells = Counter(), {}
+    for r in got:
+        share[r.source, r.lang, r.topic] += r.n_words / total
+        cells[r.source, r.lang, r.topic] = (r.weight, r.probability)
+    scales = {round(w / share[c] / p, 4) for c, (w, p) in cells.items() if p < 1}
+    assert len(scales) == 1 and all(w / share[c] >= min(scales) - 1e-3 for c, (w, p) in cells.items() if p == 1)
+    thin = mixing.sample(df, keep=0.0).collect()
+    assert sum(r.probability * r.n_words for r in thin) / total < 0.2
+
+
 def test_mixing_odd_rows(spark, odd):
     got = mixing.sample(odd).collect()
     assert len(got) == odd.count()
