@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from quarry.llm import common, exact_dedup, mixing, near_dedup, packing, quality
 from quarry.llm.queries import vocabulary
 
+#: Similarity of near copies, in percent of the five-word shingles of both.
+NEAR_PERCENT = 80
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
@@ -26,8 +29,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component of near copies: the smallest doc_id's."""
-    return near_dedup.drop_near_copies(docs)
+    """One row of each component of near copies, of similarity 0.8 or more: the smallest doc_id's."""
+    return near_dedup.drop_near_copies(docs, percent=NEAR_PERCENT)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

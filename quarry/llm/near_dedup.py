@@ -7,9 +7,9 @@ keeps the least.  Ranks are tried in rising order, and a document stops when
 every slot holds a lower rank than the next: most need two to five.
 
 Documents of equal sets form one class; the classes' signatures are cut into
-``BANDS`` bands of ``ROWS`` slots.  At the threshold of 0.85 a link is missed
-with a chance below 1e-8 (0.85**5 per band, 25 bands).  Candidates are
-confirmed on the full sets.
+bands of ``ROWS`` slots, so many that a link at the threshold is missed with a
+chance of at most ``MISS``: 25 at 85 percent (4.3e-7), 37 at 80 (4.2e-7).
+Candidates are confirmed on the full sets.
 
 Links need not be listed, only joined up, so buckets are never expanded into
 pairs.  In each round some members of a bucket, its centres, are compared with
@@ -31,7 +31,8 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,13 +45,21 @@ from quarry.llm import common
 from quarry.llm.tokens import sub_batches
 
 SHINGLE = 5
-BANDS, ROWS = 25, 5
-SLOTS = BANDS * ROWS
-PERCENT = 85
+PERCENT = 85  # the contract of op5; callers may give another
+ROWS = 5
+MISS = 5e-7
 GROWTH = 16
 PRIVATE_PASSES = 2
 SUB_BATCH = 1 << 20
 
+
+def n_bands(percent: int) -> int:
+    """The least number of bands that miss a link at the threshold with a chance of at most ``MISS``."""
+    return math.ceil(math.log(MISS) / math.log1p(-(percent / 100) ** ROWS)) if percent < 100 else 1
+
+
+SLOTS = n_bands(PERCENT) * ROWS
+
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 _ODD = [_U(c) for c in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -127,8 +136,9 @@ def superminhash(elems: np.ndarray, doc: np.ndarray, n_docs: int, slots: int = S
 
 
 def band_hashes(sig: np.ndarray) -> np.ndarray:
-    parts = sig.reshape(len(sig), BANDS, ROWS).astype(np.uint64)
-    out = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * _GOLD, (len(sig), BANDS))
+    bands = sig.shape[1] // ROWS
+    parts = sig.reshape(len(sig), bands, ROWS).astype(np.uint64)
+    out = np.broadcast_to(np.arange(bands, dtype=np.uint64) * _GOLD, (len(sig), bands))
     for r in range(ROWS):
         out = mix(out ^ mix(parts[:, :, r] + _ODD[r]))
     return out.astype(np.int64)
@@ -138,24 +148,27 @@ _ROWS_SCHEMA = ("row bigint, doc_id bigint, text_key bigint, n_shingles bigint,
                 "f1 bigint, f2 bigint, bands array<bigint>")
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    row = TaskContext.get().partitionId() << 33
-    for b in batches:
-        texts = b.column("text").to_pylist()
-        for s, e in sub_batches(texts, SUB_BATCH):
-            sets = [shingle_set(t) for t in texts[s:e]]
-            n = np.array([len(x) for x in sets], dtype=np.int64)
-            bands = band_hashes(superminhash(np.concatenate(sets), np.repeat(np.arange(len(n)), n), len(n)))
-            marks = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets),
-                                  dtype="<i8").reshape(-1, 2)
-            ends = np.concatenate([[0], np.cumsum(np.where(n > 0, BANDS, 0))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(row, row + e - s)), b.column("doc_id").slice(s, e - s),
-                 b.column("text_key").slice(s, e - s), pa.array(n), pa.array(marks[:, 0]),
-                 pa.array(marks[:, 1]),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[n > 0].reshape(-1)))],
-                names=["row", "doc_id", "text_key", "n_shingles", "f1", "f2", "bands"])
-            row += e - s
+def _signer(bands: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
+        for b in batches:
+            texts = b.column("text").to_pylist()
+            for s, e in sub_batches(texts, SUB_BATCH):
+                sets = [shingle_set(t) for t in texts[s:e]]
+                n = np.array([len(x) for x in sets], dtype=np.int64)
+                hashes = band_hashes(superminhash(np.concatenate(sets), np.repeat(np.arange(len(n)), n), len(n), bands * ROWS))
+                marks = np.frombuffer(b"".join(xxhash.xxh3_128_digest(x.tobytes()) for x in sets),
+                                      dtype="<i8").reshape(-1, 2)
+                ends = np.concatenate([[0], np.cumsum(np.where(n > 0, bands, 0))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + e - s)), b.column("doc_id").slice(s, e - s),
+                     b.column("text_key").slice(s, e - s), pa.array(n), pa.array(marks[:, 0]),
+                     pa.array(marks[:, 1]),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes[n > 0].reshape(-1)))],
+                    names=["row", "doc_id", "text_key", "n_shingles", "f1", "f2", "bands"])
+                row += e - s
+
+    return sign
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,14 +213,15 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
                                         .alias("e")).select("e.*").filter("u <> v").distinct(), f"{name}-edges")
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_key, n_links of each row.
 
+    Documents link if their sets have a Jaccard similarity of ``percent`` / 100 or more.
     n_links counts the confirmed links that the row's class took part in; it
     tells joined classes from lone ones, not the degree in the full graph.
     """
     src = docs.select("doc_id", common.row_key().alias("text_key"), F.col("text").cast("binary").alias("text"))
-    rows = common.materialise(src.select("doc_id", "text_key", "text").mapInArrow(_sign, _ROWS_SCHEMA), "near-rows")
+    rows = common.materialise(src.select("doc_id", "text_key", "text").mapInArrow(_signer(n_bands(percent)), _ROWS_SCHEMA), "near-rows")
     classes = common.materialise(
         rows.filter("n_shingles > 0").groupBy("n_shingles", "f1", "f2").agg(F.min("row").alias("node")), "near-classes")
     member = common.materialise(
@@ -240,7 +254,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
         able = common.materialise(
             able.select("node", "n", "weight").join(own, "node", "left")
             .withColumn("most", F.col("n") - F.coalesce("own", F.lit(0)))
-            .filter(f"100 * most >= {PERCENT} * n").select("node", "n", "most", "weight"), "near-able")
+            .filter(f"100 * most >= {percent} * n").select("node", "n", "most", "weight"), "near-able")
     alive = common.materialise(alive.select("bucket", "node").join(able, "node"), "near-buckets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -248,11 +262,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
         b = sets.select(F.col("node").alias("b"), F.col("items").alias("ib"))
         both = F.size(F.array_intersect("ia", "ib"))
         return (pairs.join(b, "b").join(a, "a").withColumn("both", both)
-                .filter(100 * F.col("both") >= PERCENT * (F.size("ia") + F.size("ib") - F.col("both")))
+                .filter(100 * F.col("both") >= percent * (F.size("ia") + F.size("ib") - F.col("both")))
                 .select("a", "b"))
 
     # an intersection has at most least(most) shingles, a union at least the rest
-    fits = (f"100 * least(most, centre_most) >= {PERCENT} * (n + centre_n - least(most, centre_most))")
+    fits = (f"100 * least(most, centre_most) >= {percent} * (n + centre_n - least(most, centre_most))")
     named = [F.col("node").alias("centre"), F.col("n").alias("centre_n"), F.col("most").alias("centre_most")]
     # the member that shares most with the others: often the text that the others were made from
     first = common.materialise(
@@ -305,8 +319,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
         (F.col("row") == F.col("least.row")).alias("kept"), "text_key", "n_links")
 
 
-def drop_near_copies(docs: DataFrame) -> DataFrame:
+def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component, all columns kept."""
-    groups = common.materialise(near_groups(docs), "near-groups")
+    groups = common.materialise(near_groups(docs, percent), "near-groups")
     repeated = not groups.groupBy("doc_id", "text_key").count().filter("count > 1").isEmpty()
     return common.keep_rows(docs, groups.filter("kept"), one_per_key=repeated)

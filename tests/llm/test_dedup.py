@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from quarry.llm import common, exact_dedup, near_dedup, passage_dedup
 from tests.conftest import SF001
 from tests.llm import plain
@@ -94,6 +95,24 @@ def test_near_chain_and_unlike_buckets(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == Counter(plain.near_components(rows)[0])
 
 
+def test_near_copies_between_the_thresholds(spark):
+    """A pair of similarity 0.80 to 0.85 is one in the pipeline and two under op5's contract."""
+    base = plain.prose(17, 400).split()
+    edited = list(base)
+    for j in range(8):
+        edited[20 + j * 45] = f"new{j}"
+    rows = [(1, " ".join(base)), (2, " ".join(edited))]
+    a, b = (plain.shingles(t) for _, t in rows)
+    assert 0.80 <= len(a & b) / len(a | b) < 0.85
+    df = plain.table(spark, [(i, t, "en", "s", 1) for i, t in rows])
+    assert {r.doc_id for r in corpus_pipeline.near_stage(spark, df, "").collect()} == {1}
+    assert {r.doc_id for r in near_dedup.drop_near_copies(df).collect()} == {1, 2}
+    assert near_dedup.n_bands(85) == 25
+    for percent in (80, 85):
+        n = near_dedup.n_bands(percent)
+        assert (1 - (percent / 100) ** near_dedup.ROWS) ** n <= near_dedup.MISS < (1 - (percent / 100) ** near_dedup.ROWS) ** (n - 1)
+
+
 def test_superminhash_is_the_scalar_algorithm():
     rng = np.random.default_rng(0)
     sets = [rng.integers(0, 1 << 62, n).astype(np.uint64) for n in (1, 2, 7, 40, 0, 300)]
