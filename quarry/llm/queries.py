@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (common, exact_dedup, language, mixing, near_dedup, neighbours, packing,
-                        passage_dedup, quality, secret_scan, token_files)
+                        passage_dedup, quality, secret_scan, setm, sim_balls, token_files, turn_trie)
 
 
 def vocabulary(name: str) -> str:
@@ -71,6 +71,18 @@ def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.sample(common.read(spark, sf_dir, "documents", "doc_id", "text", "source", "lang"), keep=0.0).drop("text_key")
 
 
+def q_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setm.collocations(common.read(spark, sf_dir, "documents", "lang", "text"))
+
+
+def q_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_trie.conversation_trie(common.read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sim_balls.near_groups(common.read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_quality": q_quality,
     "op2_token_files": q_token_files,
@@ -82,10 +94,15 @@ QUERIES = {
     "op8_packing": q_packing,
     "op9_secret_scan": q_secret_scan,
     "op10_mixing": q_mixing,
+    "op11_collocations": q_collocations,
+    "op12_turn_trie": q_turn_trie,
+    "op13_simhash": q_simhash,
 }
 
 ORACLE = {
     "op10_mixing": mixing.oracle(),
+    "op11_collocations": setm.ORACLE,
+    "op12_turn_trie": turn_trie.ORACLE,
     "op7_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256

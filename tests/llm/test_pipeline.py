@@ -50,7 +50,7 @@ def test_stages_in_turn(spark, written, which):
                 expect[t or ""] = max(expect.get(t or "", (False, 0)), (i is not None, i or 0))
             assert Counter(((i is not None, i or 0), t or "") for i, t in rows) == Counter((v, k) for k, v in expect.items())
         elif name == "near_dedup":
-            found, n = plain.near_components(seen)
+            found, n = plain.near_components(seen, corpus_pipeline.NEAR_PERCENT)
             assert len(rows) == n and {i for i, _ in rows} == {c for _, _, c in found}
         else:
             sampled = mixing.sample(docs).collect()
