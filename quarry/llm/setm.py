@@ -7,7 +7,8 @@ apart and pieces never touch.  Level k merge-joins the relation of level k - 1
 with that of level 1 on the same document and the adjacent position; both lie in
 the same buckets, so neither is shuffled.  Its phrases are counted per group,
 and the occurrences are semi-joined with the groups of at least ``LEAST``, which
-leaves the relation that the next level extends.  Phrases are ids: a word's id is
+leaves the relation that the next level extends; from level 3 on, only words that
+end a frequent pair are joined.  Phrases are ids: a word's id is
 of its language and word, a longer phrase's of its first part and last word, so
 equal ids are equal phrases.  Occurrences of words come as 64-bit hashes, under a
 salt for which no word of the table has the hash of a frequent one; that is
@@ -31,12 +32,12 @@ table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import uuid
-from collections import Counter
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,14 +71,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         langs, texts = b.column("lang").to_pylist(), b.column("text").to_pylist()
         for s, e in sub_batches(texts, COUNTED):
-            found: dict[str, Counter] = {}
-            for lang, text in zip(langs[s:e], texts[s:e]):
-                found.setdefault(lang, Counter()).update((text or b"").lower().translate(_SPACED).split())
-            for lang, counts in found.items():
-                if counts:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(counts), pa.string()), pa.array(counts.keys(), pa.binary()).cast(pa.string()),
-                         pa.array(counts.values(), pa.int64())], names=["lang", "word", "f"])
+            for lang in set(langs[s:e]):
+                spaced = [(t or b"").lower().translate(_SPACED) for x, t in zip(langs[s:e], texts[s:e]) if x == lang]
+                found = pc.value_counts(pc.ascii_split_whitespace(pa.array(spaced, pa.binary()).cast(pa.string())).flatten())
+                found = found.filter(pc.not_equal(found.field("values"), ""))
+                if len(found):
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), found.field("values"), found.field("counts")],
+                                                     names=["lang", "word", "f"])
 
 
 def _occurrences(salt: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -191,8 +191,9 @@ def _relations(docs: DataFrame, longest: int, least: int, carried: int) -> tuple
         phrases = level.select("id", "lang", F.array("id").alias("words"), F.col("word").alias("phrase"), "f")
         everything = phrases
         before = first.select("doc", (F.col("pos") + 1).alias("next"), F.col("w").alias("start"))
+        after = first.withColumnRenamed("pos", "next")
         for k in range(2, longest + 1):
-            met = before.join(first.withColumnRenamed("pos", "next"), ["doc", "next"])
+            met = before.join(after, ["doc", "next"])
             level = _groups(met.groupBy("start", "w").agg(F.count("*").alias("f")).filter(F.col("f") >= least), str(k))
             part = phrases.select(F.col("id").alias("start"), "lang", F.col("words").alias("sofar"), F.col("phrase").alias("text"))
             phrases = common.materialise(
@@ -202,8 +203,11 @@ def _relations(docs: DataFrame, longest: int, least: int, carried: int) -> tuple
             everything = everything.unionByName(phrases)
             if k < longest:
                 kept, stayed = _semi(met, level.select("start", "w", "id"), ["start", "w"], carried)
-                kept = kept.select("doc", (F.col("next") + 1).alias("next"), F.col("id").alias("start"))
-                before = buckets.write(kept if stayed else kept.repartition(n, "doc"), "next")
+                kept = kept.select("doc", "next", F.col("id").alias("start"), "w")
+                kept = buckets.write(kept if stayed else kept.repartition(n, "doc"), "next")
+                before = kept.select("doc", (F.col("next") + 1).alias("next"), "start")
+                if k == 2:  # a word that ends no frequent pair can't end a longer phrase
+                    after = kept.select("doc", "next", "w")
         return total, everything.drop("id")
     finally:
         buckets.forget()
