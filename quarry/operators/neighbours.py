@@ -1,12 +1,15 @@
 """Distances and k-nearest-neighbour classification (K1-K8).
 
-Exact k-NN is a blocked all-pairs computation: queries and references are
-hashed into balanced blocks, every (query block, reference block) pair is
-one co-group, and each co-group computes its distance matrix with numpy
-and emits only its top-k per query.  A final ``row_number`` per query over
-at most (reference blocks × k) candidates gives the exact answer.  Memory
-per task is bounded by the block size; no per-pair rows are materialised
-and no broadcast of a data-sized side is needed.
+Exact k-NN prunes by pivots.  Every vector belongs to the cell of its nearest
+pivot; the references' smallest distances to each pivot bound a query's k-th
+distance from above, and triangle inequalities on pivots and rings say which
+cells can hold a neighbour.  A query is sent only to the blocks of such cells;
+each (query block, reference block) is one co-group that compares a query with a
+cell only under the bound it has by then, and emits its top-k per query.  A
+final ``row_number`` per query gives the exact answer.  Memory per task is
+bounded by the block size; pivots and cell statistics are bounded by
+``MAX_PIVOTS``; no per-pair rows are materialised.  Vectors without structure in
+many dimensions let nothing be pruned; all pairs are then compared, in blocks.
 """
 
 from __future__ import annotations
@@ -30,6 +33,13 @@ TIE_DIGITS = 9
 # memory per co-group is about 2 × MAX_BLOCK_ROWS × dim doubles plus one
 # bounded distance chunk.
 MAX_BLOCK_ROWS = 16_384
+# Pivots at most, references they are chosen from, and rounds of choosing.
+MAX_PIVOTS = 512
+PIVOT_SAMPLE = 8_192
+PIVOT_ROUNDS = 4
+# Folds that bounds are kept for, and distances or bounds computed at a time.
+MAX_FOLDS = 64
+CHUNK = 4_000_000
 # Signs that a probe may flip in a table (all subsets are tried), and vectors
 # probed at a time: each gives as many rows as it has probes.
 PROBE_BITS = 8
@@ -85,69 +95,200 @@ def scale(df: DataFrame, vec: str = "v", how: str = "minmax", out: str | None =
 
 
 # ---------------------------------------------------------------- K4
-def _block_count(n: int, block_rows: int) -> int:
-    return max(1, math.ceil(n / block_rows))
+def _spread(v: np.ndarray, metric: str) -> np.ndarray:
+    """Vectors in the space where bounds hold: unit length for the cosine, whose
+    distance is half the squared Euclidean one there; otherwise as they are."""
+    return v / np.sqrt((v * v).sum(axis=1))[:, None] if metric == "cosine" else v
 
 
-def _distances(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
-    """Distance matrix in blocks' shape (queries, references).
+def _paired(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of paired rows, by differences."""
+    if metric == "cosine":
+        den = np.sqrt((q * q).sum(axis=1)) * np.sqrt((r * r).sum(axis=1))
+        return 1 - (q * r).sum(axis=1) / den
+    gap = np.abs(q - r)
+    if metric == "euclidean":
+        return np.sqrt((gap * gap).sum(axis=1))
+    return gap.sum(axis=1) if metric == "manhattan" else gap.max(axis=1)
+
 
-    Euclidean and cosine come from one matrix product; they only choose
-    candidates, whose distances ``_exact`` computes anew.
+def _matrix(q: np.ndarray, r: np.ndarray, metric: str, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(queries, references) distances of spread vectors, and how far each row's may be off.
+
+    The Euclidean ones come from one matrix product of vectors taken from
+    ``origin``, a point near the references: a common offset of all vectors
+    cancels before anything is squared.  What rounding is left is bounded from
+    the lengths and the machine's precision.
     """
-    if metric == "euclidean":
-        d2 = (q * q).sum(axis=1)[:, None] + (r * r).sum(axis=1)[None, :] - 2 * q @ r.T
-        return np.sqrt(np.maximum(d2, 0))
-    if metric == "cosine":
-        norm = np.sqrt((q * q).sum(axis=1))[:, None] * np.sqrt((r * r).sum(axis=1))[None, :]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(norm == 0, np.inf, 1 - (q @ r.T) / norm)
+    if metric in ("euclidean", "cosine"):
+        a, b = q - origin, r - origin
+        a2, b2 = (a * a).sum(axis=1), (b * b).sum(axis=1)
+        d2 = np.maximum(a2[:, None] + b2[None, :] - 2 * a @ b.T, 0)
+        off = 4 * (q.shape[1] + 8) * np.finfo(float).eps * (np.sqrt(a2) + np.sqrt(b2.max(initial=0))) ** 2
+        d = np.sqrt(d2)
+        # sqrt(x + e) - sqrt(x) is at most e / sqrt(x) and at most sqrt(e)
+        return d, np.sqrt(off)
     out = np.zeros((len(q), len(r)))
     for j in range(q.shape[1]):
         gap = np.abs(q[:, j, None] - r[None, :, j])
         out = out + gap if metric == "manhattan" else np.maximum(out, gap)
-    return out
+    return out, np.zeros(len(q))
 
 
-def _exact(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
-    """Distances of paired rows."""
-    if metric == "cosine":
-        den = np.sqrt((q * q).sum(axis=1)) * np.sqrt((r * r).sum(axis=1))
-        return 1 - (q * r).sum(axis=1) / den
-    gap = np.abs(q - r)
-    if metric == "euclidean":
-        return np.sqrt((gap * gap).sum(axis=1))
-    return gap.sum(axis=1) if metric == "manhattan" else gap.max(axis=1)
+def _loose(bound: np.ndarray, metric: str) -> np.ndarray:
+    """Bounds that let through what rounds to the same distance, and rounding of the bound itself."""
+    tie = 4 * 10.0 ** -TIE_DIGITS
+    return (np.sqrt(bound * bound + tie) if metric == "cosine" else bound + tie) * (1 + 1e-9)
+
+
+class Cells:
+    """Pivots, and what is known of the references nearest to each.
 
+    ``least`` holds, per cell and fold, the smallest distances of references to
+    the pivot, ``rank`` of them: with a query's distance to the pivot they bound
+    the query's k-th distance from above.  All arrays have a row per pivot.
+    """
 
-def _block_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, metric: str, exclude_self: bool,
-                use_fold: bool) -> pd.DataFrame:
-    """The k nearest references of each query of one block pair: (id, neighbour, distance)."""
+    def __init__(self, pivots: np.ndarray, metric: str, rank: int):
+        self.pivots, self.metric, self.rank = pivots, metric, rank
+        self.apart = self.to_pivots(pivots)
+        n = len(pivots)
+        self.low, self.high = np.full(n, np.inf), np.full(n, -np.inf)
+        self.least: dict[int, np.ndarray] = {}
+        self.first_block, self.n_blocks, self.blocks = np.zeros(n, dtype=np.int64), np.ones(n, dtype=np.int64), 1
+
+    def to_pivots(self, v: np.ndarray) -> np.ndarray:
+        """Distances of spread vectors to all pivots, by differences."""
+        out = np.zeros((len(v), len(self.pivots)))
+        metric = "euclidean" if self.metric == "cosine" else self.metric
+        for j, p in enumerate(self.pivots):
+            out[:, j] = _paired(v, np.broadcast_to(p, v.shape), metric)
+        return out
+
+    def bound(self, far: np.ndarray, fold: np.ndarray, use_fold: bool) -> np.ndarray:
+        """Upper bounds of the queries' k-th distances; infinite where too few references are known."""
+        out = np.full(len(far), np.inf)
+        for f in np.unique(fold) if use_fold else [None]:
+            own = np.flatnonzero(fold == f) if use_fold else np.arange(len(far))
+            known = [m for g, m in self.least.items() if g != f]
+            if known and len(own):
+                reach = np.concatenate([far[own][:, :, None] + m[None] for m in known], axis=2).reshape(len(own), -1)
+                out[own] = np.partition(reach, self.rank - 1, axis=1)[:, self.rank - 1]
+        return out
+
+    def within(self, far: np.ndarray, near: np.ndarray, own: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """(queries, cells): whether a cell can hold a reference within the bound.
+
+        The triangle inequality on the ring of the cell, and on the two pivots:
+        a reference is nearer to its own pivot than to the query's.
+        """
+        b = _loose(bound, self.metric)[:, None]
+        ring = (far - b <= self.high[None]) & (far + b >= self.low[None])
+        if self.metric in ("euclidean", "cosine"):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                plane = (far - near[:, None]) * (far + near[:, None]) / (2 * self.apart[own])
+            plane[self.apart[own] == 0] = 0
+        else:
+            plane = (far - near[:, None]) / 2
+        return ring & (plane <= b)
+
+    def block_of(self, cell: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        return self.first_block[cell] + salt % self.n_blocks[cell]
+
+    def blocks_in(self, reach: np.ndarray) -> np.ndarray:
+        """(queries, blocks) from (queries, cells)."""
+        out = np.zeros((len(reach), self.blocks), dtype=bool)
+        for c in range(reach.shape[1]):
+            for b in range(self.first_block[c], self.first_block[c] + self.n_blocks[c]):
+                out[:, b] |= reach[:, c]
+        return out
+
+    def deal(self, counts: np.ndarray, block_rows: int) -> None:
+        """Neighbouring cells share a block up to ``block_rows``; a larger cell gets several of its own."""
+        left, at = set(range(len(counts))), 0
+        block, filled = 0, 0
+        while left:
+            left.discard(at)
+            own = max(1, math.ceil(counts[at] / block_rows))
+            if own > 1:
+                block += filled > 0
+                self.first_block[at], self.n_blocks[at] = block, own
+                block, filled = block + own, 0
+            else:
+                if filled and filled + counts[at] > block_rows:
+                    block, filled = block + 1, 0
+                self.first_block[at] = block
+                filled += counts[at]
+            if left:
+                rest = np.fromiter(left, dtype=np.int64)
+                at = int(rest[np.argmin(self.apart[at][rest])])
+        self.blocks = int((self.first_block + self.n_blocks).max())
+
+
+def _pivots(sample: np.ndarray, n: int) -> np.ndarray:
+    """``n`` centres of a sample by a few rounds of k-means; where they lie decides speed only."""
+    shift = sample.mean(axis=0)
+    x = sample - shift
+    centres = x[np.random.default_rng(0).choice(len(x), size=min(n, len(x)), replace=False)]
+    for _ in range(PIVOT_ROUNDS):
+        near = np.argmin((centres * centres).sum(axis=1)[None] - 2 * x @ centres.T, axis=1)
+        size = np.bincount(near, minlength=len(centres))
+        total = np.zeros_like(centres)
+        np.add.at(total, near, x)
+        centres = np.where(size[:, None] > 0, total / np.maximum(size, 1)[:, None], centres)
+    return centres + shift
+
+
+def _block_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, cells: Cells, exclude_self: bool,
+                use_fold: bool, count=None) -> pd.DataFrame:
+    """The k nearest references of each query of one block pair: (id, neighbour, distance).
+
+    Cells are taken in turn; only queries that a cell can hold a neighbour of
+    are compared with it, under a bound that falls with what was found before.
+    """
+    metric = cells.metric
     ids, others, dist = [], [], []
     if len(qp) and len(rp):
-        q, r = np.stack(qp["qv"].to_numpy()), np.stack(rp["rv"].to_numpy())
+        qv, rv = np.stack(qp["qv"].to_numpy()), np.stack(rp["rv"].to_numpy())
+        q, r = _spread(qv, metric), _spread(rv, metric)
         qid, rid = qp["qid"].to_numpy(np.int64), rp["rid"].to_numpy(np.int64)
         qf, rf = qp["fold"].to_numpy(), rp["fold"].to_numpy()
-        step = max(1, 4_000_000 // len(r))
-        for s in range(0, len(q), step):
-            d = _distances(q[s:s + step], r, metric)
-            if exclude_self:
-                d[qid[s:s + step, None] == rid[None, :]] = np.inf
-            if use_fold:
-                d[qf[s:s + step, None] == rf[None, :]] = np.inf
-            kk = min(k, d.shape[1])
-            # up to the k-th distance, with room for the product's rounding and for ties
-            kth = np.partition(d, kk - 1, axis=1)[:, kk - 1:kk]
-            i, j = np.nonzero(np.isfinite(d) & (d <= kth + 1e-6 * (1 + np.where(np.isfinite(kth), kth, 0))))
-            ids.append(qid[s + i])
-            others.append(rid[j])
-            dist.append(_exact(q[s + i], r[j], metric))
-    if not ids:
+        rc, own, near = rp["cell"].to_numpy(np.int64), qp["cell"].to_numpy(np.int64), qp["near"].to_numpy()
+        bound, best = qp["bound"].to_numpy().copy(), np.full((len(q), k), np.inf)
+        far = cells.to_pivots(q)
+        order = np.argsort(rc, kind="stable")
+        starts = np.flatnonzero(np.r_[True, rc[order][1:] != rc[order][:-1]])
+        # the cells that most queries are in come first: they lower the bounds
+        groups = sorted(np.split(order, starts[1:]), key=lambda g: -np.count_nonzero(own == rc[g[0]]))
+        for at in groups:
+            c = rc[at[0]]
+            asked = np.flatnonzero(cells.within(far, near, own, bound)[:, c])
+            step = max(1, CHUNK // len(at))
+            for s in range(0, len(asked), step):
+                some = asked[s:s + step]
+                d, off = _matrix(q[some], r[at], metric, cells.pivots[c])
+                if count is not None:
+                    count.add(d.size)
+                if exclude_self:
+                    d[qid[some, None] == rid[None, at]] = np.inf
+                if use_fold:
+                    d[qf[some, None] == rf[None, at]] = np.inf
+                # a distance and the bound it meets may each be off by ``off``
+                kept = np.partition(np.concatenate([best[some], d + off[:, None]], axis=1), k - 1, axis=1)[:, :k]
+                best[some] = kept
+                bound[some] = np.minimum(bound[some], kept.max(axis=1))
+                i, j = np.nonzero(np.isfinite(d) & (d - off[:, None] <= _loose(bound[some], metric)[:, None]))
+                ids.append(some[i])
+                others.append(at[j])
+        if ids:
+            ids, others = np.concatenate(ids), np.concatenate(others)
+            dist = _paired(qv[ids], rv[others], metric)
+            ids, others = qid[ids], rid[others]
+    if not len(ids):
         return pd.DataFrame({"id": np.zeros(0, np.int64), "neighbour": np.zeros(0, np.int64), "distance": np.zeros(0)})
-    ids, others, dist = map(np.concatenate, (ids, others, dist))
     order = np.lexsort((others, np.round(dist, TIE_DIGITS), ids))
     ids, others, dist = ids[order], others[order], dist[order]
-    first = np.r_[True, ids[1:] != ids[:-1]] if len(ids) else np.zeros(0, bool)
+    first = np.r_[True, ids[1:] != ids[:-1]]
     nth = np.arange(len(ids)) - np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))
     keep = nth < k
     return pd.DataFrame({"id": ids[keep], "neighbour": others[keep], "distance": dist[keep]})
@@ -158,46 +299,119 @@ def _ranked(cand: DataFrame, k: int) -> DataFrame:
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def complete(df: DataFrame, metric: str = "euclidean") -> DataFrame:
+    """Rows whose vector can be compared: not null, without null or non-finite components, for the cosine not all zero."""
+    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    df = df.where(F.col("v").isNotNull() & ~F.exists("v", bad))
+    return df.where(F.exists("v", lambda x: x != 0)) if metric == "cosine" else df
+
+
+def _celled(df: DataFrame, cells: Cells) -> DataFrame:
+    """``df`` (id, v, fold, ...) with its cell and the distance to the cell's pivot."""
+    def place(frames):
+        for f in frames:
+            if len(f):
+                far = cells.to_pivots(_spread(np.stack(f["v"].to_numpy()), cells.metric))
+                f["cell"] = np.argmin(far, axis=1)
+                f["near"] = far[np.arange(len(f)), f["cell"]]
+                yield f
+
+    return df.select("id", "v", "fold").mapInPandas(place, "id long, v array<double>, fold long, cell long, near double")
+
+
+def _describe(placed: DataFrame, cells: Cells, block_rows: int, use_fold: bool) -> None:
+    """Fill ``cells`` from the placed references: a row per cell, and ``rank`` a cell and fold."""
+    n = len(cells.pivots)
+    counts = np.zeros(n, dtype=np.int64)
+    for x in placed.groupBy("cell").agg(F.count("*").alias("n"), F.min("near").alias("low"), F.max("near").alias("high")).collect():
+        counts[x["cell"]], cells.low[x["cell"]], cells.high[x["cell"]] = x["n"], x["low"], x["high"]
+    fold = F.col("fold") if use_fold else F.lit(0).cast("long")
+    # past this many folds no bound is kept, and nothing is pruned by it
+    if not use_fold or placed.select("fold").distinct().limit(MAX_FOLDS + 1).count() <= MAX_FOLDS:
+        nth = F.row_number().over(Window.partitionBy("cell", fold).orderBy("near"))
+        for x in placed.select("cell", fold.alias("fold"), "near", nth.alias("nth")).where(F.col("nth") <= cells.rank).collect():
+            m = cells.least.setdefault(x["fold"], np.full((n, cells.rank), np.inf))
+            m[x["cell"], x["nth"] - 1] = x["near"]
+    cells.deal(counts, block_rows)
+
+
 def knn(q: DataFrame, r: DataFrame, k: int, exclude_self: bool = True,
-        fold_col: str | None = None, block_rows: int | None = None, metric: str = "euclidean") -> DataFrame:
+        fold_col: str | None = None, block_rows: int | None = None, metric: str = "euclidean",
+        pivots: int | None = None, count=None) -> DataFrame:
     """K4: exact k nearest references for every query, by any metric of K2.
 
     q: (id, v [, fold]); r: (id, v, label [, fold]).  ``exclude_self`` drops
     a reference with the query's id; ``fold_col`` drops references of the
-    query's own fold (cross-validation).  Rows without a vector take no part,
-    nor do all-zero vectors under the cosine; a null label stays null.
+    query's own fold (cross-validation).  A vector that is null, or has a null
+    or non-finite component, takes no part, nor does an all-zero one under the
+    cosine; a null label stays null.  ``count`` may be an accumulator; it
+    gets the number of distances computed.
     Output: (id, neighbour, rank, distance, neighbour_label), ranked by
     distance rounded to TIE_DIGITS, then neighbour id.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {sorted(METRICS)}")
     spark = q.sparkSession
+    fold = [F.col(fold_col).cast("long").alias("fold")] if fold_col else [F.lit(0).cast("long").alias("fold")]
     labels = r.select(F.col("id").alias("neighbour"), F.col("label").alias("neighbour_label"))
-    q, r = q.where(F.col("v").isNotNull()), r.where(F.col("v").isNotNull())
-    nq = q.count()
-    nr = r.count()
+    use_fold = fold_col is not None
+    qs = complete(q, metric).select("id", F.col("v").cast("array<double>").alias("v"), *fold)
+    rs = complete(r, metric).select("id", F.col("v").cast("array<double>").alias("v"), *fold)
+    nr = rs.count()
+    sample = [x["v"] for x in rs.orderBy(F.xxhash64("id")).limit(PIVOT_SAMPLE).select("v").collect()]
+    if not sample:
+        return labels.where("false").select(F.lit(0).cast("long").alias("id"), "neighbour", F.lit(0).alias("rank"),
+                                            F.lit(0.0).alias("distance"), "neighbour_label")
     if block_rows is None:
         par = max(1, spark.sparkContext.defaultParallelism)
-        side = max(1, math.ceil(math.sqrt(2 * par)))
-        block_rows = max(64, min(MAX_BLOCK_ROWS, math.ceil(max(nq, nr) / side)))
-    QB, RB = _block_count(nq, block_rows), _block_count(nr, block_rows)
-    fq = [F.col(fold_col).cast("long").alias("fold")] if fold_col else [F.lit(0).cast("long").alias("fold")]
-    qs = q.select(F.col("id").alias("qid"), F.col("v").alias("qv"), *fq,
-                  F.pmod(F.xxhash64("id"), F.lit(QB)).cast("long").alias("qb"),
-                  F.explode(F.sequence(F.lit(0).cast("long"), F.lit(RB - 1).cast("long"))).alias("rb"))
-    rs = r.select(F.col("id").alias("rid"), F.col("v").alias("rv"), *fq,
-                  F.pmod(F.xxhash64("id"), F.lit(RB)).cast("long").alias("rb"),
-                  F.explode(F.sequence(F.lit(0).cast("long"), F.lit(QB - 1).cast("long"))).alias("qb"))
-    use_fold = fold_col is not None
+        block_rows = max(64, min(MAX_BLOCK_ROWS, math.ceil(nr / math.ceil(math.sqrt(2 * par)))))
+    n = pivots or max(1, min(MAX_PIVOTS, round(math.sqrt(nr) / 2)))
+    cells = Cells(_pivots(_spread(np.array(sample), metric), n), metric, k + exclude_self)
+    placed = cut_lineage(_celled(rs, cells))
+    _describe(placed, cells, block_rows, use_fold)
+
+    def route(frames):
+        step = max(1, CHUNK // (len(cells.pivots) * cells.rank * max(1, len(cells.least))))
+        for f in frames:
+            for s in range(0, len(f), step):
+                part = f.iloc[s:s + step]
+                far = cells.to_pivots(_spread(np.stack(part["v"].to_numpy()), metric))
+                own = np.argmin(far, axis=1)
+                near, fold = far[np.arange(len(far)), own], part["fold"].to_numpy()
+                bound = cells.bound(far, fold, use_fold)
+                i, rb = np.nonzero(cells.blocks_in(cells.within(far, near, own, bound)))
+                if len(i):
+                    salt = pd.util.hash_array(part["id"].to_numpy(np.int64)).astype(np.int64) & 0xFFFF
+                    # queries of a cell go together, at most as many cells a block as the references have
+                    yield pd.DataFrame({"qid": part["id"].to_numpy()[i], "qv": part["v"].to_numpy()[i], "fold": fold[i],
+                                        "cell": own[i], "near": near[i], "bound": bound[i],
+                                        "group": cells.first_block[own][i], "salt": salt[i], "rb": rb})
+
+    asked = cut_lineage(qs.mapInPandas(route, "qid long, qv array<double>, fold long, cell long, near double, bound double, "
+                                              "group long, salt long, rb long"))
+    # queries of a block of references beyond block_rows are dealt over several tasks
+    parts = cut_lineage(asked.groupBy("group", "rb").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("parts")))
+    asked = asked.join(parts, ["group", "rb"]).withColumn("part", F.col("salt") % F.col("parts")).drop("salt", "parts")
+
+    def dealt(frames):
+        for f in frames:
+            salt = pd.util.hash_array(f["rid"].to_numpy(np.int64)).astype(np.int64) & 0xFFFF
+            f["rb"] = cells.block_of(f["cell"].to_numpy(np.int64), salt)
+            yield f
+
+    stored = (placed.select(F.col("id").alias("rid"), F.col("v").alias("rv"), "fold", "cell")
+              .mapInPandas(dealt, "rid long, rv array<double>, fold long, cell long, rb long"))
+    met = parts.select("group", "rb", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
 
     def block(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        return _block_topk(qp, rp, k, metric, exclude_self, use_fold)
+        return _block_topk(qp, rp, k, cells, exclude_self, use_fold, count)
 
-    # each (qb, rb) group is one block pair of numpy work; pin the partition
+    # each (group, part, rb) is one block pair of numpy work; pin the partition
     # count so AQE does not pack the (byte-small) block pairs into few tasks
-    qs = partition_for_expansion(qs, "qb", "rb")
-    rs = partition_for_expansion(rs, "qb", "rb")
-    cand = (qs.groupBy("qb", "rb").cogroup(rs.groupBy("qb", "rb"))
+    keys = ["group", "part", "rb"]
+    left = partition_for_expansion(asked, *keys)
+    right = partition_for_expansion(stored.join(met, "rb"), *keys)
+    cand = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
             .applyInPandas(block, "id long, neighbour long, distance double"))
     return (_ranked(cand, k).join(labels, "neighbour")
             .select("id", "neighbour", "rank", "distance", "neighbour_label"))
@@ -316,7 +530,10 @@ def knn_approx(df: DataFrame, k: int, bits: int = 6, tables: int = 12, seed: int
     keys = [*keys, "x", "y"]
 
     def block(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        return _block_topk(qp, rp, k, "euclidean", True, False)
+        qp["cell"], qp["near"], qp["bound"], rp["cell"] = 0, 0.0, np.inf, 0
+        cells = Cells(rp["rv"].iloc[0][None] if len(rp) else np.zeros((1, 1)), "euclidean", k)
+        cells.low[:], cells.high[:] = 0, np.inf
+        return _block_topk(qp, rp, k, cells, True, False)
 
     cand = (qs.groupBy(*keys).cogroup(rs.groupBy(*keys))
             .applyInPandas(block, "id long, neighbour long, distance double").dropDuplicates(["id", "neighbour"]))

@@ -112,27 +112,69 @@ def test_distance_of_given_pairs(spark):
     assert r[2]["cosine"] == 1.0
 
 
-def test_hashing_recall_share_and_widening(spark):
-    """Stated recall at a stated share of the pairs; every vector has its k rows."""
-    from quarry.plans import neighbours as PN
-    from quarry.sources.fixtures import labelled_vectors
-    from tests.conftest import SF01
-
-    df = labelled_vectors(spark, SF01)
-    n = df.count()
-    sig = K.signatures(df, PN.LSH_BITS, PN.LSH_TABLES, 42).select("id", "tab", "bucket").toPandas()
-    meets = np.zeros((n, n), dtype=bool)
-    place = {i: p for p, i in enumerate(sorted(sig["id"].unique()))}
-    for _, g in sig.groupby(["tab", "bucket"]):
-        at = g["id"].map(place).to_numpy()
-        meets[np.ix_(at, at)] = True
-    assert (meets.sum() - n) / (n * (n - 1)) < 0.2
-    approx = PN.q_lsh(spark, SF01).collect()
-    assert len(approx) == n * PN.K_NEIGHBOURS
-    exact = {(r["id"], r["neighbour"]) for r in PN.q_knn(spark, SF01).collect()}
-    assert sum((r["id"], r["neighbour"]) in exact for r in approx) / len(exact) >= 0.4
-    few = K.knn_approx(df.where("id < 30"), 5, bits=10, tables=1)
-    assert few.count() == 150  # widened to the exact answer
+def plain_neighbours(vecs, k, metric, fold=None):
+    gap = np.abs(vecs[:, None] - vecs[None])
+    if metric == "cosine":
+        norm = np.sqrt((vecs * vecs).sum(-1))
+        d = 1 - (vecs[:, None] * vecs[None]).sum(-1) / (norm[:, None] * norm[None])
+    else:
+        d = {"euclidean": np.sqrt((gap * gap).sum(-1)), "manhattan": gap.sum(-1), "chebyshev": gap.max(-1)}[metric]
+    n = range(len(vecs))
+    return {(i, r): j for i in n for r, j in enumerate(
+        sorted((j for j in n if j != i and (fold is None or i % fold != j % fold)), key=lambda j: (round(d[i, j], 9), j))[:k], 1)}
+
+
+def vectors(spark, vecs):
+    return spark.createDataFrame([(i, v.tolist(), i % 3) for i, v in enumerate(vecs)], "id long, v array<double>, label int")
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "chebyshev", "cosine"])
+@pytest.mark.parametrize("offset", [0, 1e7, 1e8])
+def test_knn_is_exact_at_any_offset(spark, offset, metric):
+    vecs = np.random.default_rng(7).standard_normal((200, 8)) + offset
+    df = vectors(spark, vecs)
+    got = {(r["id"], r["rank"]): r["neighbour"] for r in K.knn(df, df, 5, metric=metric, block_rows=60).collect()}
+    assert got == plain_neighbours(vecs, 5, metric)
+
+
+def test_knn_prunes_more_the_larger_the_table(spark):
+    """Exact on clusters, a third of the rows equal; the share of distances computed falls with size."""
+    rng = np.random.default_rng(3)
+    shares = []
+    for n in (400, 4000):
+        centres = rng.standard_normal((12, 6)) * 20
+        vecs = centres[rng.integers(0, 12, n)] + rng.standard_normal((n, 6))
+        vecs[: n // 3] = centres[0]
+        df, count = vectors(spark, vecs), spark.sparkContext.accumulator(0)
+        got = {(r["id"], r["rank"]): r["neighbour"] for r in K.knn(df, df, 4, count=count).collect()}
+        shares.append(count.value / n / n)
+        if n == 400:
+            assert got == plain_neighbours(vecs, 4, "euclidean")
+        else:
+            assert len(got) == 4 * n
+            for i in [0, 1, *range(n // 3, n, 97)]:
+                d = np.sqrt(((vecs - vecs[i]) ** 2).sum(-1))
+                near = sorted((j for j in range(n) if j != i), key=lambda j: (round(d[j], 9), j))[:4]
+                assert [got[i, r] for r in range(1, 5)] == near
+    assert shares[1] < shares[0] / 1.5 and shares[1] < 0.3
+
+
+def test_knn_of_other_folds_and_few_references(spark):
+    vecs = np.random.default_rng(5).standard_normal((90, 3))
+    df = vectors(spark, vecs).withColumn("fold", F.col("id") % 4)
+    got = {(r["id"], r["rank"]): r["neighbour"] for r in K.knn(df, df, 6, fold_col="fold", block_rows=20).collect()}
+    assert got == plain_neighbours(vecs, 6, "euclidean", fold=4)
+    few = df.where("id < 3")
+    assert K.knn(df, few, 6).count() == 3 * 90 - 3  # all there are
+
+
+def test_vectors_with_gaps_take_no_part(spark):
+    rows = [(0, [0.0, None], 1), (1, [0.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [float("nan"), 0.0], 1), (4, [0.0, 3.0], 1),
+            (5, None, 1), (6, [float("inf"), 0.0], 1)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, label int")
+    got = {(r["id"], r["rank"]): r["neighbour"] for r in K.knn(df, df, 2).collect()}
+    assert got == {(1, 1): 2, (1, 2): 4, (2, 1): 1, (2, 2): 4, (4, 1): 1, (4, 2): 2}
+    assert {(r["id"], r["neighbour"]) for r in K.knn(df, df, 2, metric="cosine").collect()} == {(2, 4), (4, 2)}
 
 
 def test_probing_recall_and_share(spark):
