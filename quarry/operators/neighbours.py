@@ -157,11 +157,12 @@ class Cells:
         self.least: dict[int, np.ndarray] = {}
         self.first_block, self.n_blocks, self.blocks = np.zeros(n, dtype=np.int64), np.ones(n, dtype=np.int64), 1
 
-    def to_pivots(self, v: np.ndarray) -> np.ndarray:
-        """Distances of spread vectors to all pivots, by differences."""
-        out = np.zeros((len(v), len(self.pivots)))
+    def to_pivots(self, v: np.ndarray, some: np.ndarray | None = None) -> np.ndarray:
+        """Distances of spread vectors to all pivots, or ``some``, by differences."""
+        pivots = self.pivots if some is None else self.pivots[some]
+        out = np.zeros((len(v), len(pivots)))
         metric = "euclidean" if self.metric == "cosine" else self.metric
-        for j, p in enumerate(self.pivots):
+        for j, p in enumerate(pivots):
             out[:, j] = _paired(v, np.broadcast_to(p, v.shape), metric)
         return out
 
@@ -176,18 +177,21 @@ class Cells:
                 out[own] = np.partition(reach, self.rank - 1, axis=1)[:, self.rank - 1]
         return out
 
-    def within(self, far: np.ndarray, near: np.ndarray, own: np.ndarray, bound: np.ndarray) -> np.ndarray:
-        """(queries, cells): whether a cell can hold a reference within the bound.
+    def within(self, far: np.ndarray, near: np.ndarray, own: np.ndarray, bound: np.ndarray,
+               some: np.ndarray | None = None) -> np.ndarray:
+        """(queries, cells): whether a cell, of all or of ``some``, can hold a reference within the bound.
 
         The triangle inequality on the ring of the cell, and on the two pivots:
         a reference is nearer to its own pivot than to the query's.
         """
         b = _loose(bound, self.metric)[:, None]
-        ring = (far - b <= self.high[None]) & (far + b >= self.low[None])
+        some = np.arange(len(self.pivots)) if some is None else some
+        ring = (far - b <= self.high[some]) & (far + b >= self.low[some])
         if self.metric in ("euclidean", "cosine"):
+            apart = self.apart[np.ix_(own, some)]
             with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (far - near[:, None]) * (far + near[:, None]) / (2 * self.apart[own])
-            plane[self.apart[own] == 0] = 0
+                plane = (far - near[:, None]) * (far + near[:, None]) / (2 * apart)
+            plane[apart == 0] = 0
         else:
             plane = (far - near[:, None]) / 2
         return ring & (plane <= b)
@@ -255,14 +259,14 @@ def _block_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, cells: Cells, exclud
         qf, rf = qp["fold"].to_numpy(), rp["fold"].to_numpy()
         rc, own, near = rp["cell"].to_numpy(np.int64), qp["cell"].to_numpy(np.int64), qp["near"].to_numpy()
         bound, best = qp["bound"].to_numpy().copy(), np.full((len(q), k), np.inf)
-        far = cells.to_pivots(q)
         order = np.argsort(rc, kind="stable")
         starts = np.flatnonzero(np.r_[True, rc[order][1:] != rc[order][:-1]])
         # the cells that most queries are in come first: they lower the bounds
         groups = sorted(np.split(order, starts[1:]), key=lambda g: -np.count_nonzero(own == rc[g[0]]))
         for at in groups:
             c = rc[at[0]]
-            asked = np.flatnonzero(cells.within(far, near, own, bound)[:, c])
+            one = np.array([c])
+            asked = np.flatnonzero(cells.within(cells.to_pivots(q, one), near, own, bound, one)[:, 0])
             step = max(1, CHUNK // len(at))
             for s in range(0, len(asked), step):
                 some = asked[s:s + step]
