@@ -11,16 +11,16 @@ bands of ``ROWS`` slots, so many that a link at the threshold is missed with a
 chance of at most ``MISS``: 25 at 85 percent (4.3e-7), 37 at 80 (4.2e-7).
 Candidates are confirmed on the full sets.
 
-Links need not be listed, only joined up, so buckets are never expanded into
-pairs.  In each round some members of a bucket, its centres, are compared with
-all others and leave it; confirmed links unite components; a bucket whose
-members lie in one component is done.  Round one takes as centre the member
-that shares most buckets with others; later rounds take centres outside the
-bucket's largest component, 16 times as many each round.  Every pair of a
-bucket that could still unite two components gets compared, unless a bound
-rules it out: shingles that no other candidate has are in no intersection, so
-copies with edits of their own can link to their original but hardly to each
-other.  A group of n near copies costs about n pairs.
+Links need not be listed, only joined up.  The member of a bucket that shares
+most buckets with others is its centre and is compared with all others, unless a
+bound rules the pair out: shingles that no other candidate has are in no
+intersection.  Confirmed links unite components.  What is left are buckets whose
+members lie in several components.  There a member is known by its difference
+from the centre, which is short where texts were made from one original, and two
+members of different components are compared only if their differences share one
+of their rarest elements, as many as the threshold asks for (``_across``).  This
+misses no pair of a bucket that links, and members that have no more in common
+than the original don't meet, however many they are.
 
 Defined results: null text, and text without words, has an empty set, is its
 own component and stays; with fewer than five words the whole sequence is the
@@ -48,7 +48,6 @@ SHINGLE = 5
 PERCENT = 85  # the contract of op5; callers may give another
 ROWS = 5
 MISS = 5e-7
-GROWTH = 16
 PRIVATE_PASSES = 2
 SUB_BATCH = 1 << 20
 
@@ -213,6 +212,51 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
                                         .alias("e")).select("e.*").filter("u <> v").distinct(), f"{name}-edges")
 
 
+def _across(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of one centre's members, of different components, that can link.
+
+    ``members``: centre, node, n, most, comp, centre_comp, centre_n.  Two sets link if their
+    difference has at most (n + n')(100 - percent) / (100 + percent) elements, and the
+    difference of two members is that of their differences from the centre.  So members far
+    from the centre must share an element of those differences among the first few in a
+    common order, rarest first: elements of the text that all were made from don't bring
+    them together.  One of a pair lies outside the centre's component and looks for the other.
+    """
+    s, c = sets.select("node", "items"), sets.select(F.col("node").alias("centre"), F.col("items").alias("of_centre"))
+    differ = common.materialise(
+        members.join(s, "node").join(c, "centre")
+        .withColumn("items", F.array_union(F.array_except("items", "of_centre"), F.array_except("of_centre", "items")))
+        .withColumn("d", F.size("items")).drop("of_centre"), "near-differences")
+    spread = differ.select("centre", "node", F.floor(F.col("n") * (100 - percent) / percent).alias("slack"), F.explode("items").alias("item"))
+    frequency = common.materialise(spread.groupBy("centre", "item").agg(F.count("*").alias("df")), "near-frequency")
+    member = Window.partitionBy("centre", "node")
+    prefix = (spread.join(frequency, ["centre", "item"])
+              .withColumn("nth", F.row_number().over(member.orderBy("df", "item")))
+              .withColumn("e", F.sum((F.col("df") > 1).cast("int")).over(member))  # elements that any other has
+              .filter("nth <= slack + 1 and df > 1").select("centre", "node", "item", "nth", "e"))
+    info = differ.drop("items")
+    entries = common.materialise(prefix.join(info, ["centre", "node"]), "near-prefixes")
+
+    def met(left: DataFrame, right: DataFrame, on: list[str], cond: str) -> DataFrame:
+        other = right.select(*on, *[F.col(x).alias(f"{x}_2") for x in right.columns if x not in (*on, "centre", "centre_comp", "centre_n", "item")])
+        fits = (f"comp <> comp_2 and 100 * least(most, most_2) >= {percent} * (n + n_2 - least(most, most_2)) and "
+                f"(100 + {percent}) * abs(d - d_2) <= (100 - {percent}) * (n + n_2)")
+        # in the join's own condition, so that only such pairs leave it
+        return left.join(other, on).filter(f"{fits} and {cond}").select(
+            F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b"))
+
+    outside = "comp <> centre_comp"
+    # with their first common element in these places, the differences have at most so many in common
+    common_most = "least(e, e_2, 1 + d - nth, 1 + d_2 - nth_2)"
+    shared = met(entries.filter(outside), entries, ["centre", "item"],
+                 f"(100 + {percent}) * (d + d_2 - 2 * {common_most}) <= (100 - {percent}) * (n + n_2)")
+    # differences so small that they need no common element: members longer than the centre
+    close = met(info.filter(outside).filter(f"{percent} * d <= {100 - percent} * n"),
+                info.filter(f"n > centre_n and (100 + {percent}) * d <= (100 - {percent}) * (n - centre_n)"), ["centre"],
+                f"(100 + {percent}) * (d + d_2) <= (100 - {percent}) * (n + n_2)")
+    return shared.unionByName(close).distinct()
+
+
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, text_key, n_links of each row.
 
@@ -275,36 +319,24 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .select("bucket", *named), "near-centres")
     alive = common.materialise(alive.join(first, "bucket").filter("node <> centre"), "near-buckets")
     pairs = alive.filter(fits).select(F.greatest("node", "centre").alias("b"), F.least("node", "centre").alias("a"))
-    tried = common.materialise(pairs.distinct().select("a", "b"), "near-pairs")
-    links = common.materialise(confirmed(tried), "near-links")
+    links = common.materialise(confirmed(common.materialise(pairs.distinct().select("a", "b"), "near-pairs")), "near-links")
     comp = components(links)
-    alive = alive.select("bucket", "node", "n", "most", "weight")
-    centres = GROWTH
-    while True:
-        placed = alive.join(comp, "node", "left").select("bucket", "node", "n", "most", "weight", F.coalesce("comp", "node").alias("comp"))
-        sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
-        mixed = common.materialise(
-            sizes.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("big"), F.count("*").alias("k"))
-            .filter("k > 1").select("bucket", F.col("big.comp").alias("big")), "near-mixed")
-        alive = common.materialise(placed.join(mixed, "bucket"), "near-buckets")
-        if alive.isEmpty():
-            break
-        order = Window.partitionBy("bucket").orderBy(F.desc("weight"), "node")
-        chosen = (alive.filter("comp <> big").withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= centres)
-                  .select("bucket", *named, F.col("comp").alias("centre_comp")))
-        chosen = common.materialise(chosen, "near-centres")
-        fresh = (alive.join(chosen, "bucket").filter("comp <> centre_comp").filter(fits)
-                 .select(F.greatest("node", "centre").alias("b"), F.least("node", "centre").alias("a")).distinct()
-                 .join(tried, ["a", "b"], "left_anti"))
-        fresh = common.materialise(fresh.select("a", "b"), "near-pairs")
+
+    # buckets whose members lie in several components: each member by its difference from the centre
+    placed = alive.join(comp, "node", "left").select("bucket", "centre", "node", "n", "most", F.coalesce("comp", "node").alias("comp"))
+    own = first.join(comp.withColumnsRenamed({"node": "centre", "comp": "linked"}), "centre", "left").select(
+        "bucket", F.coalesce("linked", "centre").alias("centre_comp"), "centre_n")
+    placed = common.materialise(placed.join(own, "bucket"), "near-placed")
+    mixed = placed.filter("comp <> centre_comp").select("bucket").distinct()
+    members = common.materialise(
+        placed.join(mixed, "bucket", "left_semi")
+        .groupBy("centre", "node").agg(*[F.first(c).alias(c) for c in ("n", "most", "comp", "centre_comp", "centre_n")]), "near-mixed")
+    if not members.isEmpty():
+        fresh = common.materialise(_across(members, sets, percent), "near-pairs")
         more = common.materialise(confirmed(fresh), "near-links")
-        spent = chosen.select("bucket", F.col("centre").alias("node"))
-        alive = alive.join(spent, ["bucket", "node"], "left_anti").select("bucket", "node", "n", "most", "weight")
-        tried = tried.unionByName(fresh)
         if not more.isEmpty():
-            links = links.unionByName(more)
+            links = common.materialise(links.unionByName(more).distinct(), "near-links")
             comp = components(links)
-        centres *= GROWTH
 
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     joined = common.materialise(comp.join(degree, "node", "full"), "near-joined")

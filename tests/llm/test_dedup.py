@@ -176,3 +176,24 @@ def test_empty_tables(spark):
     assert passage_dedup.cut_passages(none).count() == 0
     assert exact_dedup.drop_copies(none).columns == none.columns
     assert near_dedup.drop_near_copies(none).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_copies_without_their_original(spark, percent):
+    """Edits in common places, of common words, additions and cuts: components are those of all pairs."""
+    r = random.Random(percent)
+    base = plain.prose(21, 150).split()
+    rows = []
+    for i in range(160):
+        w = list(base)
+        for _ in range(r.randint(1, 4)):
+            w[r.choice([20, 21, 50, 80, 110, 140, r.randrange(len(w))])] = r.choice(["one", "two", f"edit{i}", f"edit{i // 3}"])
+        if i % 5 == 0:
+            w += plain.prose(i // 10, r.randint(1, 25)).split()
+        if i % 7 == 0:
+            w = w[r.randint(1, 20):]
+        rows.append((i, " ".join(w)))
+    found, n = plain.near_components(rows, percent)
+    got = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), percent).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == sorted(found)
+    assert 1 < n < len(rows)
