@@ -4,12 +4,15 @@ Turns are put in order, and each prefix of a conversation gets a key: the sum of
 120-bit hashes of (place, role, text) over its turns.  Sums over ordered rows
 need no group in one place, so a conversation of any length is no burden.
 
-The trie is then peeled from the greatest depth down.  At each depth the
-conversations that end there join the nodes that survived from below; each
-survivor strips its last turn, which leaves the key of its smallest member's
-shorter prefix, and all are regrouped by that key.  Regrouping adds up members,
-children, leaves and saved tokens, so a depth's nodes are found and finished in
-one pass, and work follows the nodes alive at a depth, not the turns.
+The trie is then peeled from the greatest depth down.  Below the last prefix
+that a conversation shares with any other its nodes are a chain of one member,
+cut off in one step whatever its length.  From the greatest shared depth on, a
+round a depth: the conversations that end there, or lost such a tail, join the
+nodes that survived from below; each survivor strips its last turn, which leaves
+the key of its smallest member's shorter prefix, and all are regrouped by that
+key.  Regrouping adds up members, children, leaves and saved tokens, so a depth's
+nodes are found and finished in one pass.  There are as many rounds as the longest
+prefix that two conversations share has turns.
 
 ``rebuild`` makes the conversations: the first h turns of the conversation
 that opens a block of 100 ids, then the own turns after the first h, with h the
@@ -95,24 +98,35 @@ def prefixes(lengths: DataFrame, turns: DataFrame) -> DataFrame:
 
 def peel(lengths: DataFrame, prefix: DataFrame) -> DataFrame:
     """Nodes (depth, k1, k2, up1, up2, conv_id, n_convs, n_children, n_leaves, saved_tokens), root included."""
+    keys = ["depth", "k1", "k2"]
+    company = prefix.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    # prefixes of a shared prefix are shared: a conversation is alone from one depth on
+    last = prefix.select("conv", *keys).join(company, keys, "left_semi").groupBy("conv").agg(F.max("depth").alias("shared"))
+    last = cut_lineage(lengths.join(last, "conv", "left").select("conv", "length", F.coalesce("shared", F.lit(0)).alias("shared")))
+    rows = cut_lineage(prefix.join(last.select("conv", "shared"), "conv"))
+    tails = rows.filter("depth > shared").select(
+        *keys, "up1", "up2", "conv", F.lit(1).cast("bigint").alias("n_convs"),
+        (F.col("depth") < F.col("length")).cast("bigint").alias("n_children"),
+        F.lit(1).cast("bigint").alias("n_leaves"), F.lit(0).cast("bigint").alias("saved"))
     path = common.scratch(prefix.sparkSession, "trie-prefixes")
     # ranges of (depth, conv): a round opens only its own depth's files
-    (prefix.withColumn("at", F.col("depth")).repartitionByRange("depth", "conv")
+    (rows.filter("depth <= shared").withColumn("at", F.col("depth")).repartitionByRange("depth", "conv")
      .write.partitionBy("at").parquet(path))
-    stored = prefix.sparkSession.read.schema(StructType([*prefix.schema.fields, StructField("at", LongType())])).parquet(path)
+    stored = prefix.sparkSession.read.schema(StructType([*rows.schema.fields, StructField("at", LongType())])).parquet(path)
     deepest = stored.agg(F.max("depth")).first()[0] or 0
     zero = F.lit(0).cast("decimal(38,0)")
-    root = lengths.select("conv", F.lit(0).cast("bigint").alias("depth"), *[zero.alias(c) for c in ("k1", "k2", "up1", "up2")],
-                          F.lit(0).cast("bigint").alias("chars"), "length")
-    nodes, survivors = None, None
+    root = last.select("conv", F.lit(0).cast("bigint").alias("depth"), *[zero.alias(c) for c in ("k1", "k2", "up1", "up2")],
+                       F.lit(0).cast("bigint").alias("chars"), "length", "shared")
+    below = F.col("length") > F.col("depth")  # a tail of its own hangs there
+    counted = {"n_convs": F.lit(1), "n_children": below, "n_leaves": below, "saved": F.lit(0)}
+    nodes, survivors = tails, None
     for depth in range(deepest, -1, -1):
         here = (stored.filter(F.col("at") == depth).drop("at") if depth else root).select(
-            "conv", "depth", *[F.col(c).cast("decimal(38,0)").alias(c) for c in ("k1", "k2", "up1", "up2")], "chars", "length")
-        counted = {"n_convs": 1, "n_children": 0, "n_leaves": 0, "saved": 0}
-        met = here.filter(F.col("length") == depth).select(
-            *[c for c in here.columns if c != "length"], *[F.lit(v).cast("bigint").alias(c) for c, v in counted.items()])
+            "conv", "depth", *[F.col(c).cast("decimal(38,0)").alias(c) for c in ("k1", "k2", "up1", "up2")], "chars", "length", "shared")
+        met = here.filter(F.col("shared") == depth).select(
+            *[c for c in here.columns if c not in ("length", "shared")], *[v.cast("bigint").alias(c) for c, v in counted.items()])
         if survivors is not None:
-            met = met.unionByName(here.drop("length").join(survivors, "conv"))
+            met = met.unionByName(here.drop("length", "shared").join(survivors, "conv"))
         found = met.groupBy("depth", "k1", "k2", "up1", "up2", "chars").agg(
             F.min("conv").alias("conv"), *[F.sum(c).alias(c) for c in counted])
         found = common.materialise(found.select(
@@ -120,7 +134,7 @@ def peel(lengths: DataFrame, prefix: DataFrame) -> DataFrame:
             F.when(F.col("n_children") == 0, 1).otherwise(F.col("n_leaves")).cast("bigint").alias("n_leaves"),
             (F.col("saved") + (F.col("n_convs") - 1) * F.col("chars")).alias("saved")), "trie-nodes")
         survivors = found.select("conv", "n_convs", F.lit(1).cast("bigint").alias("n_children"), "n_leaves", "saved")
-        nodes = found if nodes is None else nodes.unionByName(found)
+        nodes = nodes.unionByName(found)
     return nodes.withColumnsRenamed({"conv": "conv_id", "saved": "saved_tokens"})
 
 
