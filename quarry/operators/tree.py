@@ -101,10 +101,14 @@ def split_scores(df: DataFrame, features: list[str], criterion: str = "gini",
 
 
 def split_scores_categorical(df: DataFrame, feature: str, classes: list) -> DataFrame:
-    """T4: one-vs-rest Gini split for every category of ``feature``."""
-    hist = (df.groupBy("node", F.col(feature).alias("category")).pivot("y", classes)
-            .agg(F.count("y")).na.fill(0))
+    """T4: one-vs-rest Gini split for every category of ``feature``.
+
+    Null is a category of its own, whatever the feature's type.  As in
+    ``split_scores``, rows of a label outside ``classes`` count nowhere.
+    """
     cls = [str(c) for c in classes]
+    hist = (df.where(F.col("y").isin(*classes)).groupBy("node", F.col(feature).alias("category"))
+            .agg(*[F.count(F.when(F.col("y") == c, 1)).alias(str(c)) for c in classes]))
     hist = hist.withColumn("n", reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in cls]))
     # node totals are an aggregate (one row per node), not a
     # window: a node may have any number of categories

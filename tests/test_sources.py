@@ -43,3 +43,21 @@ def test_checkpoint_dir_comes_from_session(spark):
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         assert conf.rstrip("/").split("/")[-1] in d
+
+
+def test_entry_without_the_optional_part(monkeypatch):
+    """A missing folder or library costs only the queries that need it."""
+    import importlib
+
+    import __spark_entry__ as entry
+
+    real = importlib.import_module
+
+    def absent(name, *args):
+        if name.startswith(("quarry.llm", "corpus_pipeline")):
+            raise ModuleNotFoundError(f"No module named {name}")
+        return real(name, *args)
+
+    monkeypatch.setattr(importlib, "import_module", absent)
+    assert "knn" in entry.queries() and "pipeline" not in entry.queries()
+    assert not [k for k in entry.oracle_sql() if k.startswith("op")]

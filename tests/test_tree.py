@@ -142,3 +142,12 @@ def test_regression_trees_agree_with_spark_ml(spark):
     assert err(lambda i, p: exact[i]) <= 1.2 * err(lambda i, p: p)
     assert err(lambda i, p: p) < err(lambda i, p: mean)
 
+
+
+def test_null_category_is_its_own(spark):
+    rows = [(1, None, 1), (1, None, 1), (1, 0, 0), (1, 0, 1), (1, 2, 0), (1, 2, 0), (1, 2, 7), (1, None, None)]
+    df = spark.createDataFrame(rows, "node long, c int, y int")
+    got = {r["category"]: (r["n_left"], r["n_right"], round(r["gain"], 6))
+           for r in T.split_scores_categorical(df, "c", [0, 1]).collect()}
+    # six rows of the listed classes, three of each
+    assert got == {None: (2, 4, 0.25), 0: (2, 4, 0.0), 2: (2, 4, 0.25)}
