@@ -185,6 +185,93 @@ def fit_levelwise(df: DataFrame, features: list[str], max_depth: int = 2,
     return reduce(DataFrame.unionByName, levels)
 
 
+def _shared_out(data: DataFrame, categorical: list[str], positive) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """``data`` with each category replaced by its node's share of ``positive``, and the shares (node, category, share)."""
+    encoded, shares = data, {}
+    for c in categorical:
+        by = cut_lineage(data.groupBy("node", F.col(c).alias("category"))
+                         .agg(F.avg((F.col("y") == positive).cast("double")).alias("share")))
+        shares[c] = by
+        other = by.select(F.col("node").alias("_node"), F.col("category").alias("_category"), F.col("share").alias("_share"))
+        encoded = (encoded.join(other, (F.col("node") == F.col("_node")) & F.col(c).eqNullSafe(F.col("_category")))
+                   .withColumn(f"{c}_share", F.col("_share")).drop("_node", "_category", "_share"))
+    return encoded, shares
+
+
+def fit_mixed(df: DataFrame, numeric: list[str], categorical: list[str], max_depth: int = 2,
+              criterion: str = "gini", classes: list | tuple = (0, 1)) -> DataFrame:
+    """Exact tree of two classes over numeric and categorical features.
+
+    Of all subsets of a node's categories, the best one is a prefix of their order by
+    share of the second class, so a level replaces each category by that share in
+    its node and scores thresholds on it like any number's; categories of equal
+    share go together.  Null is a category of its own.  Rows of other labels are
+    left out.  Output: node, depth, n, prediction, feature, threshold (numeric
+    splits), categories (those that go left, sorted; categorical splits), null_left
+    (whether null goes left), gain.
+    """
+    if len(classes) != 2:
+        raise ValueError("categories are ordered by the share of one of two classes")
+    base = cut_lineage(df.where(F.col("y").isin(*classes))
+                       .select("id", "y", *numeric, *[F.col(c).cast("string").alias(c) for c in categorical]))
+    data = base.withColumn("node", F.lit(1).cast("long"))
+    names = {**{f: f for f in numeric}, **{f"{c}_share": c for c in categorical}}
+    split_columns = {"feature": "string", "threshold": "double", "categories": "array<string>", "null_left": "boolean", "gain": "double"}
+    levels = []
+    for depth in range(max_depth + 1):
+        stats = _node_stats(data, criterion).withColumn("depth", F.lit(depth))
+        if depth == max_depth:
+            levels.append(stats.select("node", "depth", "n", "prediction", *[F.lit(None).cast(t).alias(c) for c, t in split_columns.items()]))
+            break
+        encoded, shares = _shared_out(data, categorical, classes[1])
+        encoded = cut_lineage(encoded)
+        scores = split_scores(encoded, list(names), criterion, list(classes))
+        scores = scores.replace(names, subset=["feature"])
+        best = cut_lineage(best_split(scores).where(F.col("gain") > MIN_GAIN * (F.col("gain") + F.col("impurity")))
+                           .select("node", "feature", F.col("threshold").alias("bound"), "gain"))
+        sets = None
+        for c, by in shares.items():
+            left = (by.join(best.where(F.col("feature") == c), "node").where(F.col("share") <= F.col("bound"))
+                    .groupBy("node").agg(F.array_sort(F.collect_list("category")).alias("categories"),
+                                         F.max(F.col("category").isNull()).alias("null_left")))
+            sets = left if sets is None else sets.unionByName(left)
+        if sets is None:
+            best = best.withColumns({"categories": F.lit(None).cast("array<string>"), "null_left": F.lit(None).cast("boolean")})
+        else:
+            best = best.join(sets, "node", "left")
+        best = cut_lineage(best.select(
+            "node", "feature", F.when(F.col("categories").isNull(), F.col("bound")).alias("threshold"), "categories",
+            F.coalesce("null_left", F.lit(False)).alias("null_left"), "gain"))
+        levels.append(stats.join(best, "node", "left").select("node", "depth", "n", "prediction", *split_columns))
+        data = _descend(data, best, numeric, categorical, "inner").select(*data.columns)
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _descend(data: DataFrame, splits: DataFrame, numeric: list[str], categorical: list[str], how: str) -> DataFrame:
+    """``data`` with ``node`` moved to the child; without a split (``how`` left) it stays."""
+    word = F.coalesce(*[F.when(F.col("feature") == c, F.col(c).cast("string")) for c in categorical], F.lit(None).cast("string"))
+    number = F.coalesce(*[F.when(F.col("feature") == f, F.col(f).cast("double")) for f in numeric], F.lit(None).cast("double"))
+    left = F.when(F.col("categories").isNull(), F.coalesce(number <= F.col("threshold"), F.lit(False))) \
+        .when(word.isNull(), F.col("null_left")).otherwise(F.array_contains("categories", word))
+    child = F.col("node") * 2 + F.when(left, 0).otherwise(1)
+    routed = data.join(splits.select("node", "feature", "threshold", "categories", "null_left"), "node", how)
+    return routed.withColumn("node", F.when(F.col("feature").isNull(), F.col("node")).otherwise(child)) \
+        .drop("feature", "threshold", "categories", "null_left")
+
+
+def predict_mixed(df: DataFrame, nodes: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
+    """``df`` with ``node`` and ``prediction`` of ``fit_mixed``'s table, a join a level.
+
+    A category that the node has not seen in training goes right.
+    """
+    nodes = cut_lineage(nodes)
+    deepest = nodes.agg(F.max("depth")).first()[0] or 0
+    data = df.withColumn("node", F.lit(1).cast("long"))
+    for depth in range(deepest):
+        data = _descend(data, nodes.where((F.col("depth") == depth) & F.col("feature").isNotNull()), numeric, categorical, "left")
+    return data.join(nodes.select("node", "prediction"), "node", "left")
+
+
 def predict(df: DataFrame, nodes: DataFrame) -> Column:
     """The fitted node table as one ``when`` chain (a Column).
 

@@ -14,6 +14,7 @@ from quarry.operators import tree as T
 from quarry.sources.fixtures import feature_rows
 
 CLF_FEATURES = ["letter_share", "n_words", "n_chars"]
+MIXED_CATEGORIES = ["lang"]
 REG_FEATURES = ["letter_share", "n_words"]
 CLASSES = [0, 1]
 DEPTH = 2
@@ -92,6 +93,23 @@ def q_predict(spark, sf_dir):
                        T.predict(test, nodes).cast("int").alias("predicted"))
 
 
+def fitted_mixed(spark, sf_dir):
+    train, test = _train_test(spark, sf_dir)
+    return test, T.fit_mixed(train, CLF_FEATURES, MIXED_CATEGORIES, DEPTH, "gini", CLASSES)
+
+
+def q_fit_mixed(spark, sf_dir):
+    nodes = fitted_mixed(spark, sf_dir)[1]
+    return nodes.select("node", "depth", "n", F.round("prediction", 6).alias("prediction"), "feature", "threshold",
+                        F.array_join("categories", ",").alias("categories"), F.round("gain", 6).alias("gain"))
+
+
+def q_predict_mixed(spark, sf_dir):
+    test, nodes = fitted_mixed(spark, sf_dir)
+    return T.predict_mixed(test, nodes, CLF_FEATURES, MIXED_CATEGORIES).select(
+        "id", F.col("y").alias("actual"), F.col("prediction").cast("int").alias("predicted"))
+
+
 def q_importance(spark, sf_dir):
     nodes = fitted(spark, sf_dir)[2]
     return T.importance(nodes).select("feature", F.round("importance", 6).alias("importance"))
@@ -128,6 +146,8 @@ QUERIES = {
     "tree_reg_ml": q_reg_ml,
     "tree_predict": q_predict,
     "tree_importance": q_importance,
+    "tree_fit_mixed": q_fit_mixed,
+    "tree_predict_mixed": q_predict_mixed,
     "eval_regression": q_eval_regression,
 }
 
@@ -233,6 +253,39 @@ def tree_sql(task="classification", depth=DEPTH):
     return ",\n  ".join(parts)
 
 
+def mixed_sql(depth=DEPTH):
+    """As ``tree_sql``, with lang by its node's share of class 1 and the set of languages that go left."""
+    cols, scored = ", ".join([*CLF_FEATURES, "lang"]), [*CLF_FEATURES, "lang"]
+    parts = [_feat_sql("classification"), f"d0 AS (SELECT id, y, {cols}, CAST(1 AS BIGINT) AS node FROM train)"]
+    node_sel = []
+    value = "CASE b.feature " + " ".join(f"WHEN '{f}' THEN CAST(s.{f} AS DOUBLE)" for f in CLF_FEATURES) + " END"
+    child = (f"s.node * 2 + CASE WHEN (CASE WHEN b.feature = 'lang' THEN list_contains(b.categories, s.lang) "
+             f"ELSE {value} <= b.threshold END) THEN 0 ELSE 1 END")
+    for lv in range(depth + 1):
+        parts.append(_stats_sql(f"st{lv}", f"d{lv}", "gini", lv))
+        if lv == depth:
+            node_sel.append(f"SELECT node, depth, n, prediction, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS threshold, "
+                            f"CAST(NULL AS VARCHAR[]) AS categories, CAST(NULL AS DOUBLE) AS gain FROM st{lv}")
+            break
+        parts.append(f"e{lv} AS (SELECT id, y, node, {', '.join(CLF_FEATURES)}, avg(y) OVER (PARTITION BY node, lang) AS lang, lang AS word FROM d{lv})")
+        parts.append(scores_sql(f"sc{lv}", f"e{lv}", scored, "gini"))
+        parts.append(_best_sql(f"w{lv}", f"sc{lv}"))
+        parts.append(f"l{lv} AS (SELECT w.node, list(DISTINCT word ORDER BY word) AS categories FROM w{lv} w JOIN e{lv} e "
+                     f"ON e.node = w.node AND w.feature = 'lang' AND e.lang <= w.threshold GROUP BY w.node)")
+        parts.append(f"b{lv} AS (SELECT w.node, feature, CASE WHEN feature <> 'lang' THEN threshold END AS threshold, categories, gain "
+                     f"FROM w{lv} w LEFT JOIN l{lv} USING (node))")
+        parts.append(f"d{lv + 1} AS (SELECT s.id, s.y, {', '.join('s.' + c for c in scored)}, {child} AS node "
+                     f"FROM d{lv} s JOIN b{lv} b ON s.node = b.node)")
+        node_sel.append(f"SELECT st{lv}.node, depth, n, prediction, feature, threshold, categories, gain FROM st{lv} LEFT JOIN b{lv} USING (node)")
+    parts.append("nodes AS (" + " UNION ALL ".join(node_sel) + ")")
+    parts.append(f"t0 AS (SELECT id, y, {cols}, CAST(1 AS BIGINT) AS node FROM test)")
+    for lv in range(depth):
+        parts.append(f"t{lv + 1} AS (SELECT s.id, s.y, {', '.join('s.' + c for c in scored)}, "
+                     f"CASE WHEN b.node IS NULL THEN s.node ELSE {child} END AS node FROM t{lv} s LEFT JOIN b{lv} b ON s.node = b.node)")
+    parts.append(f"pred AS (SELECT t.id, t.y AS actual, nodes.prediction AS predicted FROM t{depth} t JOIN nodes USING (node))")
+    return ",\n  ".join(parts)
+
+
 _ROOT_CLF = f"{_feat_sql('classification')}, r AS (SELECT *, 1 AS node FROM train)"
 _SCORE_COLS = "feature, threshold, n_left, n_right, round(impurity, 6) AS impurity, round(gain, 6) AS gain"
 
@@ -260,6 +313,9 @@ ORACLE = {
     "tree_importance": f"""WITH {tree_sql()}, inner_nodes AS (SELECT * FROM nodes WHERE feature IS NOT NULL)
   SELECT feature, round(sum(gain * n) / (SELECT sum(gain * n) FROM inner_nodes), 6) AS importance
   FROM inner_nodes GROUP BY feature""",
+    "tree_fit_mixed": f"""WITH {mixed_sql()} SELECT node, CAST(depth AS INTEGER) AS depth, n, round(prediction, 6) AS prediction,
+  feature, threshold, array_to_string(categories, ',') AS categories, round(gain, 6) AS gain FROM nodes""",
+    "tree_predict_mixed": f"WITH {mixed_sql()} SELECT id, actual, CAST(predicted AS INTEGER) AS predicted FROM pred",
     "eval_regression": f"""WITH {tree_sql('regression')}, m AS (SELECT avg(actual) AS mu FROM pred)
   SELECT count(*) AS n, round(sqrt(sum((actual - predicted) * (actual - predicted)) / count(*)), 6) AS rmse,
     round(sum(abs(actual - predicted)) / count(*), 6) AS mae,

@@ -151,3 +151,45 @@ def test_null_category_is_its_own(spark):
            for r in T.split_scores_categorical(df, "c", [0, 1]).collect()}
     # six rows of the listed classes, three of each
     assert got == {None: (2, 4, 0.25), 0: (2, 4, 0.0), 2: (2, 4, 0.25)}
+
+
+def test_mixed_tree_takes_the_best_subset(spark):
+    """The subset of categories equals the best of all subsets; null and unseen categories, numbers below."""
+    from itertools import combinations
+
+    share = {"a": (9, 1), "b": (2, 8), "c": (4, 6), "d": (1, 9), None: (8, 2)}
+    rows, i = [], 0
+    for c, (zeros, ones) in share.items():
+        for y in [0] * zeros + [1] * ones:
+            rows.append((i, y, float(i % 7), c))
+            i += 1
+    rows += [(i, 5, 0.0, "a"), (i + 1, None, 0.0, "a")]  # labels outside the classes
+    df = spark.createDataFrame(rows, "id long, y int, x double, c string")
+    nodes = T.fit_mixed(df, ["x"], ["c"], 1)
+    root = next(r for r in nodes.collect() if r["node"] == 1)
+
+    def impurity(sides):
+        n = sum(sum(s) for s in sides)
+        return sum(sum(s) / n * (1 - sum((v / sum(s)) ** 2 for v in s)) for s in sides)
+
+    def split(left):
+        side = [tuple(sum(v) for v in zip(*(share[c] for c in part))) for part in (left, set(share) - set(left))]
+        return impurity(side)
+
+    best = min(split(s) for n in range(1, 5) for s in combinations(share, n))
+    assert best == split(("a", None))
+    assert root["n"] == 50 and root["feature"] == "c" and root["threshold"] is None
+    assert root["categories"] == ["a"] and root["null_left"]
+    assert impurity([(24, 26)]) - root["gain"] == pytest.approx(best)
+    asked = spark.createDataFrame([(1, 0.0, "a"), (2, 0.0, "d"), (3, 0.0, None), (4, 0.0, "never seen")], "id long, x double, c string")
+    got = {r["id"]: (r["node"], r["prediction"]) for r in T.predict_mixed(asked, nodes, ["x"], ["c"]).collect()}
+    assert got == {1: (2, 0.0), 2: (3, 1.0), 3: (2, 0.0), 4: (3, 1.0)}
+
+
+def test_mixed_tree_without_categories_is_the_numeric_one(spark):
+    rows = [(i, int(i % 10 > 6), float(i % 10), float(i % 3)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, y int, x double, z double")
+    cols = ["node", "depth", "n", "prediction", "feature", "threshold", "gain"]
+    a = T.fit_mixed(df, ["x", "z"], [], 2).select(*cols).collect()
+    b = T.fit_levelwise(df, ["x", "z"], 2, classes=[0, 1]).select(*cols).collect()
+    assert sorted(map(str, a)) == sorted(map(str, b))
