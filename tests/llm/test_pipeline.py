@@ -87,6 +87,6 @@ def test_empty_documents(spark, written, tmp_path):
 def test_registered():
     q, o = entry.queries(), entry.oracle_sql()
     assert q["pipeline"] is corpus_pipeline.run and "pipeline" not in o
-    assert sorted(int(k[2:].split("_")[0]) for k in q if k.startswith("op")) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in q if k.startswith("op")) == list(range(1, 14))
     assert set(o) <= set(q)
     assert np.dtype("<u2").itemsize == 2 and vocabulary(BYTE).endswith(BYTE)
