@@ -176,21 +176,22 @@ def itemsets(b: DataFrame, min_count: int, max_k: int = 3,
 def itemsets_fp(b: DataFrame, min_count: int, n_baskets: int | None = None) -> DataFrame:
     """Frequent itemsets of any size by parallel FP-growth.
 
-    FPGrowth needs one item array per basket; the array holds the basket's
-    distinct items, so its length is bounded by the item vocabulary.  The
-    share threshold is placed half-way between integer counts so it selects
-    exactly ``n >= min_count``.
+    FPGrowth needs one item array per basket; infrequent items go first, so the
+    array holds the basket's distinct frequent items only, and baskets without one
+    aren't read.  The share threshold is placed half-way between integer counts of
+    the baskets that are left, so it selects exactly ``n >= min_count``.
+    ``n_baskets`` may tell that there are no baskets at all.
     """
     from pyspark.ml.fpm import FPGrowth
 
-    txn = b.groupBy("basket").agg(F.collect_set("item").alias("items"))
-    if n_baskets is None:
-        n_baskets = b.select(F.count_distinct("basket")).first()[0]
-    if not n_baskets:
+    frequent = cut_lineage(b.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= min_count).select("item"))
+    txn = cut_lineage(b.join(frequent, "item", "left_semi").groupBy("basket").agg(F.collect_set("item").alias("items")))
+    n_read = 0 if n_baskets == 0 else txn.count()
+    if not n_read:
         return b.sparkSession.createDataFrame([], f"itemset string, k int, n bigint, items array<{dict(b.dtypes)['item']}>")
     # the conditional trees are spread over the shuffle partition count, not
     # over the (AQE-coalesced) partitions of the grouped input
-    fp = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n_baskets,
+    fp = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / n_read,
                   minConfidence=1.0,
                   numPartitions=int(b.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     sets = fp.fit(txn).freqItemsets
