@@ -1,12 +1,14 @@
 """Quality, language, neighbours, secrets and mixing against labels, plain Python and SQL."""
 
 import math
+import struct
 import zlib
 from collections import Counter
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from quarry.llm import common, language, mixing, neighbours, quality, secret_scan
@@ -108,6 +110,54 @@ def test_language_odd_rows(spark, odd):
     assert language.predict_language(odd.filter("false")).count() == 0
 
 
+def test_language_learns_from_whole_texts(spark, monkeypatch):
+    """Against a plain ``learn``: rows and chunks of least hash, wherever in the text they are."""
+    monkeypatch.setattr(language, "SAMPLE_TEXTS", 6)
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(60):
+        lang = ("en", "fr", None, "xx")[i % 4]
+        text = " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range([1, 40, 9000][i % 3]))
+        rows.append((None if i == 8 else i, None if i in (3, 4) else text, lang))
+    rows += [rows[1], rows[5]]  # repeated rows
+    docs = spark.createDataFrame([(i, t, "s", lang) for i, t, lang in rows], "doc_id long, text string, source string, lang string")
+
+    def row_hash(i, t):
+        seed = xxhash.xxh64_intdigest(struct.pack("<q", i), seed=42)
+        return seed if t is None else xxhash.xxh64_intdigest(t.encode(), seed=seed)
+
+    train = [(i, t, lang) for i, t, lang in rows if lang and i is not None and zlib.crc32(str(i).encode()) % 5]
+    monkeypatch.setattr(language, "MODEL", 60_000)  # three dictionaries of 20,000 bytes
+    langs, dicts, bits = language.learn(docs)
+    assert langs == sorted({lang for *_, lang in train}) and sum(map(len, dicts)) <= 60_000
+    for lang, d, b in zip(langs, dicts, bits):
+        own = [(i, t) for i, t, g in train if g == lang]
+        assert b == pytest.approx(-math.log2(len(own) / len(train)))
+        signed = lambda h: h - (1 << 64) if h >> 63 else h
+        picked = sorted(set(own), key=lambda r: (row_hash(*r) % (1 << 20), signed(row_hash(*r)), r[0]))[:6]
+        found = {c for _, t in picked for c in language.chunks((t or "").encode())}
+        expect, used = [], 0
+        for _, c in sorted(found):
+            if used + len(c) > 20_000:
+                break
+            expect.append(c)
+            used += len(c) + 1
+        assert d == b" ".join(expect)
+        if sum(len(c) for _, c in found) > 20_000:
+            assert len(d) > 20_000 - language.CHUNK - 1
+
+
+def test_language_reads_beyond_the_opening(spark):
+    """The languages differ only after 5,000 characters of what all share."""
+    shared = " ".join(plain.prose(1, 900).split())[:5000]
+    ends = {"aa": "the quick brown fox jumps over lazy dogs ", "bb": "portez ce vieux whisky au juge blond "}
+    rows = [(i, shared + " " + ends["aa" if i % 2 else "bb"] * 60, "s", "aa" if i % 2 else "bb") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    asked = spark.createDataFrame([(100, ends["aa"] * 3, "s", None), (101, ends["bb"] * 3, "s", None)], docs.schema)
+    got = {r.doc_id: r.lang_pred for r in language.predict_language(docs.unionByName(asked)).collect()}
+    assert got[100] == "aa" and got[101] == "bb"
+
+
 def test_language_takes_the_shortest_code():
     dicts = [b"the quick brown fox jumps over the lazy dog " * 3, b"portez ce vieux whisky au juge blond qui fume " * 3]
     by_lang = language.compressors(dicts)
