@@ -7,6 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from quarry.operators import affinity as A
+from quarry.operators import item_bits as I
 from quarry.session import cut_lineage
 from quarry.sources.fixtures import order_baskets
 
@@ -88,6 +89,19 @@ def q_rule_holdout(spark, sf_dir):
     return A.rule_holdout(_brands(spark, sf_dir), folds=5)
 
 
+def _bit_sets(spark, sf_dir):
+    b = _brands(spark, sf_dir)
+    return I.itemsets_bits(b, _min_count(b, ITEMSET_MIN_SUPPORT))
+
+
+def q_itemsets_bits(spark, sf_dir):
+    return _bit_sets(spark, sf_dir).select(F.array_join("items", A.ITEM_SEP).alias("itemset"), "k", "n")
+
+
+def q_closed(spark, sf_dir):
+    return I.closed(_bit_sets(spark, sf_dir)).select(F.array_join("items", A.ITEM_SEP).alias("itemset"), "k", "n", "maximal")
+
+
 QUERIES = {
     "aff_baskets": q_baskets,
     "aff_item_support": q_item_support,
@@ -96,6 +110,8 @@ QUERIES = {
     "aff_top_rules": q_top_rules,
     "aff_itemsets_l3": q_itemsets_l3,
     "aff_itemsets_fp": q_itemsets_fp,
+    "aff_itemsets_bits": q_itemsets_bits,
+    "aff_closed": q_closed,
     "aff_multi_rules": q_multi_rules,
     "aff_apply_rules": q_apply_rules,
     "aff_apply_multi": q_apply_multi,
@@ -153,6 +169,11 @@ ORACLE = {
                      f"ORDER BY confidence DESC, antecedent, consequent LIMIT {TOP_K}",
     "aff_itemsets_l3": f"WITH {_B}, {_N}, {_SETS} SELECT itemset, k, n FROM sets",
     "aff_itemsets_fp": f"WITH {_B}, {_N}, {_sets_sql(FP_ORACLE_MAX_K)} SELECT itemset, k, n FROM sets",
+    "aff_itemsets_bits": f"WITH {_B}, {_N}, {_sets_sql(FP_ORACLE_MAX_K)} SELECT itemset, k, n FROM sets",
+    "aff_closed": f"""WITH {_B}, {_N}, {_sets_sql(FP_ORACLE_MAX_K)},
+  l AS (SELECT *, string_split(itemset, '|') AS items FROM sets)
+  SELECT itemset, k, n, NOT EXISTS (SELECT 1 FROM l m WHERE m.k > l.k AND list_has_all(m.items, l.items)) AS maximal
+  FROM l WHERE NOT EXISTS (SELECT 1 FROM l m WHERE m.k > l.k AND m.n = l.n AND list_has_all(m.items, l.items))""",
     "aff_multi_rules": f"""WITH {_B}, {_N}, {_MULTI}
   SELECT antecedent, consequent, n, confidence, lift FROM mr""",
     "aff_apply_multi": f"""WITH {_B}, {_N}, {_MULTI},

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import affinity as A
+from quarry.operators import cosine_join as C
 from quarry.operators import recommend as M
 from quarry.session import cut_lineage, partition_for_expansion
 from quarry.sources.tables import read_table
@@ -13,6 +14,7 @@ from quarry.sources.tables import read_table
 FAV_MIN = 40.0          # favourite = mean rating above 40 (five stars)
 RULE_MIN_CONFIDENCE = 0.1
 TOP_N = 5
+MIN_COSINE = 0.2
 FOLDS = 5
 
 
@@ -51,17 +53,22 @@ def q_pairs(spark, sf_dir):
     return A.pair_counts(_favourites(spark, sf_dir))
 
 
+def _part_ratings(spark, sf_dir):
+    """Ratings of single parts; a part belongs to one title."""
+    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity"])
+    od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
+    facts = li.join(od, li.l_orderkey == od.o_orderkey).select(
+        F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"), F.col("l_quantity").alias("rating"))
+    return M.ratings(facts)
+
+
 def q_part_pairs(spark, sf_dir):
     """M3 at part granularity: users favouring both parts (item = l_partkey).
 
     The part vocabulary exceeds the hot-key threshold, so this is the pair
     count that runs through the salted hot-key split path.
     """
-    li = read_table(spark, sf_dir, "lineitem", ["l_orderkey", "l_partkey", "l_quantity"])
-    od = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey"])
-    facts = li.join(od, li.l_orderkey == od.o_orderkey).select(
-        F.col("o_custkey").alias("user"), F.col("l_partkey").alias("item"), F.col("l_quantity").alias("rating"))
-    return A.pair_counts(cut_lineage(M.favourites(M.ratings(facts), FAV_MIN)))
+    return A.pair_counts(cut_lineage(M.favourites(_part_ratings(spark, sf_dir), FAV_MIN)))
 
 
 def _rules(fav):
@@ -77,6 +84,12 @@ def q_item_cosine(spark, sf_dir):
     return s.select("item_a", "item_b", "n_common", F.round("similarity", 6).alias("similarity"))
 
 
+def q_similar_items(spark, sf_dir):
+    """M5 at part granularity: the pairs of a cosine of ``MIN_COSINE`` or more."""
+    return C.similar_items(_part_ratings(spark, sf_dir), MIN_COSINE).select(
+        "item_a", "item_b", "n_common", F.round("similarity", 6).alias("similarity"))
+
+
 def q_recommend_rules(spark, sf_dir):
     r = _ratings(spark, sf_dir, materialise=True)
     fav = cut_lineage(M.favourites(r, FAV_MIN))
@@ -112,6 +125,7 @@ QUERIES = {
     "mov_part_pairs": q_part_pairs,
     "mov_rules": q_rules,
     "mov_item_cosine": q_item_cosine,
+    "mov_similar_items": q_similar_items,
     "mov_recommend_rules": q_recommend_rules,
     "mov_recommend_items": q_recommend_items,
     "mov_hit_rate": q_hit_rate,
@@ -154,19 +168,23 @@ def _item_recs_sql(r="r", sim="sim", name="recs"):
     AND {r}.item = s.item)) WHERE rank <= {TOP_N})"""
 
 
+_PART_RATINGS = """rp AS (SELECT o_custkey AS "user", l_partkey AS item, avg(l_quantity) AS rating
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"""
+
 ORACLE = {
     "mov_ratings": f"WITH {_r_sql()} SELECT \"user\", item, round(rating, 6) AS rating FROM r",
     "mov_favourites": f"WITH {_r_sql()}, {_FAV} SELECT basket AS \"user\", item FROM fav",
     "mov_pairs": f"""WITH {_r_sql()}, {_FAV} SELECT x.item AS item_a, y.item AS item_b, count(*) AS n_ab
   FROM fav x JOIN fav y ON x.basket = y.basket AND x.item < y.item GROUP BY 1, 2""",
-    "mov_part_pairs": f"""WITH rp AS (SELECT o_custkey AS "user", l_partkey AS item, avg(l_quantity) AS rating
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
+    "mov_part_pairs": f"""WITH {_PART_RATINGS},
   fav AS (SELECT DISTINCT "user" AS basket, item FROM rp WHERE rating > {FAV_MIN})
   SELECT x.item AS item_a, y.item AS item_b, count(*) AS n_ab
   FROM fav x JOIN fav y ON x.basket = y.basket AND x.item < y.item GROUP BY 1, 2""",
     "mov_rules": f"WITH {_r_sql()}, {_FAV}, {_RULES} SELECT * FROM rules",
     "mov_item_cosine": f"""WITH {_r_sql()}, {_sim_sql()} SELECT item_a, item_b, n_common,
   round(similarity, 6) AS similarity FROM sim""",
+    "mov_similar_items": f"""WITH {_PART_RATINGS}, {_sim_sql('rp')} SELECT item_a, item_b, n_common,
+  round(similarity, 6) AS similarity FROM sim WHERE similarity >= {MIN_COSINE}""",
     "mov_recommend_rules": f"""WITH {_r_sql()}, {_FAV}, {_RULES},
   cand AS (SELECT fav.basket AS "user", consequent AS item, max(confidence) AS confidence
     FROM fav JOIN rules ON fav.item = rules.antecedent
