@@ -26,8 +26,8 @@ less.
 Defined results: vectors that are null, empty, all zero, or hold a null, NaN or
 infinite component take no part, nor do rows without a vec_id or of another
 length than the commonest (the larger at a tie); rows of one vec_id are
-candidates of their own but never for that id's query, which is searched once
-per distinct vector; fewer candidates give shorter lists; an empty table gives
+candidates of their own but never for that id's query; an id of several distinct
+vectors has a list for each, told apart by query_key; fewer candidates give shorter lists; an empty table gives
 no rows; other columns are ignored.
 """
 
@@ -127,14 +127,18 @@ def _lists(a: np.ndarray) -> pa.ListArray:
 
 
 def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHARE) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found of each vec_id divisible by ``every``."""
+    """query_id, rank, vec_id, score, query_key: the k nearest found of each vec_id divisible by ``every``.
+
+    A vec_id with several vectors has a list for each of them, told apart by
+    ``query_key``, a hash of the vector.
+    """
     spark = vectors.sparkSession
     ranked = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
     entries = common.materialise(
         usable(vectors).withColumn("nth", ranked).filter(F.col("nth") <= k + 1)
         .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")), "ann-entries")
     n = entries.count()
-    empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double, query_key bigint")
     if not n:
         return empty
     h = F.pmod(F.xxhash64("v"), F.lit(1 << 30))
@@ -178,12 +182,12 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHAR
                     mask.append(m - (1 << 64) if m >> 63 else m)
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [ids.take(take), pa.array(first, pa.int32()), pa.array(mask, pa.int64()), b.column("v").take(take)],
-                names=["query_id", "i", "mask", "v"])
+                [ids.take(take), b.column("query_key").take(take), pa.array(first, pa.int32()), pa.array(mask, pa.int64()),
+                 b.column("v").take(take)], names=["query_id", "query_key", "i", "mask", "v"])
 
-    queries = usable(vectors).filter(F.col("vec_id") % every == 0).distinct()
+    queries = usable(vectors).filter(F.col("vec_id") % every == 0).distinct().withColumn("query_key", F.xxhash64("v"))
     n_queries = max(1, queries.count())
-    visits = common.materialise(queries.mapInArrow(route, "query_id bigint, i int, mask bigint, v array<double>"), "ann-visits")
+    visits = common.materialise(queries.mapInArrow(route, "query_id bigint, query_key bigint, i int, mask bigint, v array<double>"), "ann-visits")
 
     # blocks: entries of a first centroid in s parts, its queries in t parts
     parts = [max(1, math.ceil(int(s) / BLOCK)) for s in sizes.sum(axis=1)]
@@ -191,15 +195,16 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHAR
     n_parts = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("i") + 1)
     left = (index.withColumn("s", F.pmod(F.xxhash64("v"), n_parts).cast("int"))
             .withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(t - 1)))))
-    right = (visits.withColumn("t", F.pmod(F.xxhash64("query_id"), F.lit(t)).cast("int"))
+    right = (visits.withColumn("t", F.pmod(F.xxhash64("query_id", "query_key"), F.lit(t)).cast("int"))
              .withColumn("s", F.explode(F.sequence(F.lit(0), n_parts - 1))))
 
     def rerank(entry: pa.Table, query: pa.Table) -> pa.Table:
-        out_q, out_id, out_s = [], [], []
+        out_q, out_key, out_id, out_s = [], [], [], []
         if entry.num_rows and query.num_rows:
             v, j = _stack(entry.column("v").combine_chunks()), entry.column("j").to_numpy()
             members = entry.column("ids").to_pylist()
             qv, qid = _stack(query.column("v").combine_chunks()), query.column("query_id").to_pylist()
+            key = query.column("query_key").to_pylist()
             masks = query.column("mask").to_numpy().view(np.uint64)
             for s in range(0, len(qv), 256):
                 open_ = (masks[s:s + 256, None] >> j[None, :].astype(np.uint64)) & np.uint64(1)
@@ -212,14 +217,15 @@ def search(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHAR
                     own = qid[s + r]
                     found = sorted((-row[e], m) for e in keep.tolist() if row[e] > -np.inf for m in members[e] if m != own)[:k]
                     out_q += [own] * len(found)
+                    out_key += [key[s + r]] * len(found)
                     out_id += [m for _, m in found]
                     out_s += [-x for x, _ in found]
-        return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_id, pa.int64()),
+        return pa.table({"query_id": pa.array(out_q, pa.int64()), "query_key": pa.array(out_key, pa.int64()), "vec_id": pa.array(out_id, pa.int64()),
                          "score": pa.array(out_s, pa.float64())})
 
     found = (left.select("i", "s", "t", "j", "v", "ids").groupBy("i", "s", "t")
-             .cogroup(right.select("i", "s", "t", "query_id", "mask", "v").groupBy("i", "s", "t"))
-             .applyInArrow(rerank, "query_id bigint, vec_id bigint, score double"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+             .cogroup(right.select("i", "s", "t", "query_id", "query_key", "mask", "v").groupBy("i", "s", "t"))
+             .applyInArrow(rerank, "query_id bigint, query_key bigint, vec_id bigint, score double"))
+    rank = F.row_number().over(Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id"))
     return (found.withColumn("rank", rank).filter(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", "query_key"))

@@ -222,6 +222,26 @@ def test_neighbours_whole_index_is_exact(spark):
     assert neighbours.search(df.filter("false")).count() == 0
 
 
+def test_neighbours_of_an_id_with_several_vectors(spark):
+    """One list for each of an id's vectors; a row that is repeated as it is has one."""
+    rng = np.random.default_rng(9)
+    v = rng.integers(-9, 10, (120, 6)) / 2
+    ids = np.arange(120)
+    ids[61:63] = 20
+    rows = [(int(i), x.tolist()) for i, x in zip(ids, v)]
+    df = spark.createDataFrame(rows + rows[40:41], "vec_id bigint, embedding array<double>")
+    got: dict = {}
+    for r in neighbours.search(df, share=1.0).collect():
+        got.setdefault((r.query_id, r.query_key), []).append((r["rank"], r.vec_id, r.score))
+    assert Counter(q for q, _ in got) == {0: 1, 20: 3, 40: 1, 60: 1, 80: 1, 100: 1}
+    lists = [[(i, s) for _, i, s in sorted(f)] for (q, _), f in got.items() if q == 20]
+    everyone = np.append(ids, 40), np.vstack([v, v[40:41]])
+    for at in (20, 61, 62):
+        s = everyone[1] @ v[at]
+        o = [(int(everyone[0][i]), float(s[i])) for i in np.lexsort((everyone[0], -s)) if everyone[0][i] != 20][:20]
+        assert o in lists
+
+
 @pytest.mark.parametrize("lengths", ["lognormal", "few_long"])
 def test_neighbours_recall_at_unequal_lengths(spark, lengths):
     rng = np.random.default_rng(8)
