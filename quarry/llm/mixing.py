@@ -71,21 +71,25 @@ def tempered(cells: DataFrame, dim: str, alpha: float) -> DataFrame:
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (dims, share, ...) with ``weight``, shares fitted to the marginal targets in turn."""
+    """``cells`` (dims, share, ...) with ``weight``, shares fitted to the marginal targets in turn.
+
+    Targets become columns of the cells once, so a step is one aggregate and one
+    join with its sums, whose size AQE measures; a round is written as it ends.
+    """
     fitted = cells.withColumn("weight", F.col("share"))
-    goals = {}
     for dim, goal in targets.items():
-        goal = cells.groupBy(dim).agg(F.sum("share").alias("now")).filter("now > 0").join(goal, dim)
-        total = goal.agg(F.sum("target")).first()[0] or 1.0
-        goals[dim] = common.materialise(goal.select(dim, (F.col("target") / F.lit(total)).alias("target")), f"mix-{dim}")
+        held = cells.groupBy(dim).agg(F.sum("share").alias("now")).filter("now > 0").select(dim)
+        held = common.materialise(held.join(goal, dim).select(dim, F.col("target").cast("double").alias("target")), f"mix-{dim}")
+        total = held.agg(F.sum("target")).first()[0] or 1.0
+        fitted = fitted.join(held.select(dim, (F.col("target") / F.lit(total)).alias(f"target_{dim}")), dim, "left")
+    fitted = common.materialise(fitted.na.fill(0.0, [f"target_{dim}" for dim in targets]), "mix-start")
     for _ in range(rounds):
-        for dim, goal in goals.items():
+        for dim in targets:
             now = fitted.groupBy(dim).agg(F.sum("weight").alias("now"))
-            scale = now.join(goal, dim, "left").select(
-                dim, F.coalesce(F.try_divide(F.coalesce("target", F.lit(0.0)), "now"), F.lit(0.0)).alias("scale"))
-            fitted = fitted.join(scale, dim).withColumn("weight", F.col("weight") * F.col("scale")).drop("scale")
+            scaled = F.coalesce(F.try_divide(F.col("weight") * F.col(f"target_{dim}"), F.col("now")), F.lit(0.0))
+            fitted = fitted.join(now, dim).withColumn("weight", scaled).drop("now")
         fitted = common.materialise(fitted, "mix-round")
-    return fitted
+    return fitted.drop(*[f"target_{dim}" for dim in targets])
 
 
 def inverse_scale(fitted: DataFrame, keep: float) -> float:
@@ -138,7 +142,7 @@ def uniform(doc_id: str = "doc_id") -> Column:
 def sample(docs: DataFrame, targets: dict[str, DataFrame] | None = None, topic: Column | None = None,
            keep: float | None = None) -> DataFrame:
     """doc_id, source, lang, topic, n_words, weight (of the cell), probability, kept, text_key."""
-    rows = celled(docs, topic)
+    rows = common.materialise(celled(docs, topic), "mix-rows")  # words are counted once
     cells = common.materialise(probabilities(rows, targets, keep=keep), "mix-probabilities")
     return (rows.join(cells, list(ALPHAS))
             .select("doc_id", "source", "lang", "topic", "n_words", F.round("weight", DIGITS).alias("weight"),
