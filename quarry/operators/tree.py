@@ -272,6 +272,12 @@ def predict_mixed(df: DataFrame, nodes: DataFrame, numeric: list[str], categoric
     return data.join(nodes.select("node", "prediction"), "node", "left")
 
 
+def route(df: DataFrame, nodes: DataFrame, numeric: list[str], categorical: list[str] = ()) -> DataFrame:
+    """``df`` with the leaf (``node``) and ``prediction`` that a numeric or mixed node table gives it, a join a level."""
+    missing = {c: F.lit(None).cast(t) for c, t in (("categories", "array<string>"), ("null_left", "boolean")) if c not in nodes.columns}
+    return predict_mixed(df, nodes.withColumns(missing) if missing else nodes, numeric, list(categorical))
+
+
 def predict(df: DataFrame, nodes: DataFrame) -> Column:
     """The fitted node table as one ``when`` chain (a Column).
 

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import evaluate as V
+from quarry.operators import pruning as P
 from quarry.operators import tree as T
+from quarry.session import cut_lineage
 from quarry.sources.fixtures import feature_rows
 
 CLF_FEATURES = ["letter_share", "n_words", "n_chars"]
@@ -18,6 +20,7 @@ MIXED_CATEGORIES = ["lang"]
 REG_FEATURES = ["letter_share", "n_words"]
 CLASSES = [0, 1]
 DEPTH = 2
+PRUNE_DEPTH = 3
 FOLDS = 5
 
 
@@ -110,6 +113,14 @@ def q_predict_mixed(spark, sf_dir):
         "id", F.col("y").alias("actual"), F.col("prediction").cast("int").alias("predicted"))
 
 
+def q_prune(spark, sf_dir):
+    """A deeper tree on fewer features, its weakest-link sequence, and the tree that errs least on the holdout."""
+    train, test = (cut_lineage(d) for d in _train_test(spark, sf_dir))
+    nodes = cut_lineage(T.fit_levelwise(train, CLF_FEATURES, PRUNE_DEPTH, "gini", CLASSES))
+    routed = (T.route(d, nodes, CLF_FEATURES).select("node", "y") for d in (train, test))
+    return P.prune_sequence(nodes, *routed).withColumn("alpha", F.round("alpha", 6))
+
+
 def q_importance(spark, sf_dir):
     nodes = fitted(spark, sf_dir)[2]
     return T.importance(nodes).select("feature", F.round("importance", 6).alias("importance"))
@@ -148,6 +159,7 @@ QUERIES = {
     "tree_importance": q_importance,
     "tree_fit_mixed": q_fit_mixed,
     "tree_predict_mixed": q_predict_mixed,
+    "tree_prune": q_prune,
     "eval_regression": q_eval_regression,
 }
 
@@ -286,6 +298,28 @@ def mixed_sql(depth=DEPTH):
     return ",\n  ".join(parts)
 
 
+def prune_sql(depth=PRUNE_DEPTH):
+    """All ways to prune, built level by level; a way is in the sequence if some alpha makes it the cheapest (the smallest at a tie)."""
+    parts = [tree_sql(depth=depth), f"u0 AS (SELECT id, y, {', '.join(CLF_FEATURES)}, CAST(1 AS BIGINT) AS node FROM train)"]
+    for lv in range(depth):
+        parts.append(f"u{lv + 1} AS ({_route(CLF_FEATURES, f'u{lv}', f'b{lv}', inner=False)})")
+    below = lambda rows: (f"(SELECT count(*) FROM {rows} r WHERE r.y <> n.prediction AND EXISTS (SELECT 1 FROM range({depth + 1}) k(i) "
+                          f"WHERE r.node >> CAST(k.i AS INTEGER) = n.node))")
+    parts.append(f"judged AS (SELECT node, depth, feature, {below(f'u{depth}')} AS e, {below(f't{depth}')} AS h FROM nodes n)")
+    for lv in range(depth, -1, -1):
+        ways = f"SELECT node, e, h, 1 AS m FROM judged WHERE depth = {lv}"
+        if lv < depth:
+            ways += (f" UNION SELECT n.node, l.e + r.e, l.h + r.h, l.m + r.m FROM judged n JOIN way{lv + 1} l ON l.node = 2 * n.node "
+                     f"JOIN way{lv + 1} r ON r.node = 2 * n.node + 1 WHERE n.depth = {lv} AND n.feature IS NOT NULL")
+        parts.append(f"way{lv} AS ({ways})")
+    parts.append("""priced AS (SELECT a.e, a.h, a.m,
+      greatest(0.0, coalesce((SELECT max((a.e - b.e) / (b.m - a.m)) FROM way0 b WHERE b.m > a.m), 0.0)) AS alpha,
+      (SELECT min((b.e - a.e) / (a.m - b.m)) FROM way0 b WHERE b.m < a.m) AS until,
+      (SELECT min(b.e) FROM way0 b WHERE b.m = a.m) AS least FROM way0 a),
+  trees AS (SELECT * FROM priced WHERE e = least AND (until IS NULL OR alpha < until))""")
+    return ",\n  ".join(parts)
+
+
 _ROOT_CLF = f"{_feat_sql('classification')}, r AS (SELECT *, 1 AS node FROM train)"
 _SCORE_COLS = "feature, threshold, n_left, n_right, round(impurity, 6) AS impurity, round(gain, 6) AS gain"
 
@@ -316,6 +350,8 @@ ORACLE = {
     "tree_fit_mixed": f"""WITH {mixed_sql()} SELECT node, CAST(depth AS INTEGER) AS depth, n, round(prediction, 6) AS prediction,
   feature, threshold, array_to_string(categories, ',') AS categories, round(gain, 6) AS gain FROM nodes""",
     "tree_predict_mixed": f"WITH {mixed_sql()} SELECT id, actual, CAST(predicted AS INTEGER) AS predicted FROM pred",
+    "tree_prune": f"""WITH {prune_sql()} SELECT round(alpha, 6) AS alpha, CAST(m AS BIGINT) AS leaves, CAST(e AS BIGINT) AS train_errors,
+  CAST(h AS BIGINT) AS holdout_errors, row_number() OVER (ORDER BY h, alpha DESC) = 1 AS chosen FROM trees""",
     "eval_regression": f"""WITH {tree_sql('regression')}, m AS (SELECT avg(actual) AS mu FROM pred)
   SELECT count(*) AS n, round(sqrt(sum((actual - predicted) * (actual - predicted)) / count(*)), 6) AS rmse,
     round(sum(abs(actual - predicted)) / count(*), 6) AS mae,
