@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.operators import distinct as D
 from quarry.operators import relational as R
 from quarry.session import cut_lineage
 from quarry.sources.fixtures import rating_events
@@ -223,6 +224,13 @@ def q_distinct_raters(spark, sf_dir):
     return ev.groupBy("item").agg(F.count_distinct("user").alias("n_raters"))
 
 
+def q_raters_rollup(spark, sf_dir):
+    """Distinct raters per item and month, item, month and in all, from one sketch per item and month."""
+    ev = _with_item(spark, sf_dir, _events(spark, sf_dir)).select("user", "item", F.date_format("rated_at", "yyyy-MM").alias("month"))
+    cells = cut_lineage(D.sketches(ev, ["item", "month"], "user"))
+    return D.roll_up(cells, [["item", "month"], ["item"], ["month"], []], ["item", "month"]).withColumnRenamed("n_distinct", "n_raters")
+
+
 def q_json_attr(spark, sf_dir):
     """Mean event value per JSON attribute ``k`` of events.props."""
     ev = read_table(spark, sf_dir, "events", ["props", "value"])
@@ -251,6 +259,7 @@ QUERIES = {
     "sql_summary_stats": q_summary_stats,
     "sql_region_rating": q_region_rating,
     "sql_distinct_raters": q_distinct_raters,
+    "sql_raters_rollup": q_raters_rollup,
     "sql_json_attr": q_json_attr,
 }
 

@@ -121,6 +121,17 @@ def q_prune(spark, sf_dir):
     return P.prune_sequence(nodes, *routed).withColumn("alpha", F.round("alpha", 6))
 
 
+def q_split_sketch(spark, sf_dir):
+    """Thresholds from sketches; tests compare their scores with the exact ones."""
+    train, _ = _train_test(spark, sf_dir)
+    return _scores_out(T.sketched_scores(_root(cut_lineage(train)), CLF_FEATURES, "gini", CLASSES))
+
+
+def q_fit_sketch(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    return _nodes_out(T.fit_levelwise(train, CLF_FEATURES, DEPTH, "gini", CLASSES, T.sketched_scores))
+
+
 def q_importance(spark, sf_dir):
     nodes = fitted(spark, sf_dir)[2]
     return T.importance(nodes).select("feature", F.round("importance", 6).alias("importance"))
@@ -160,6 +171,8 @@ QUERIES = {
     "tree_fit_mixed": q_fit_mixed,
     "tree_predict_mixed": q_predict_mixed,
     "tree_prune": q_prune,
+    "sketch_tree_split": q_split_sketch,
+    "sketch_tree_fit": q_fit_sketch,
     "eval_regression": q_eval_regression,
 }
 
