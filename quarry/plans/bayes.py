@@ -8,14 +8,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import bayes as NB
+from quarry.operators import bayes_em as EM
 from quarry.functions.text import words
 from quarry.operators import evaluate as V
 from quarry.session import cut_lineage
-from quarry.sources.fixtures import labelled_text
+from quarry.sources.fixtures import labelled_text, partly_labelled_text
 
 MIN_DF = 2
 TOP_K = 20
 FOLDS = 5
+EM_ROUNDS = 2
 
 
 def _split(spark, sf_dir):
@@ -101,6 +103,18 @@ def q_top_words(spark, sf_dir):
     return t.select("w", F.round("log_odds", 6).alias("log_odds"))
 
 
+def q_em(spark, sf_dir):
+    """Learns from all documents but the labelled ones of the test fold, and classifies those."""
+    docs = cut_lineage(partly_labelled_text(spark, sf_dir).select("id", "y", words("text").alias("words")))
+    is_test = F.coalesce(F.col("y").isNotNull() & (F.col("id") % FOLDS == 0), F.lit(False))
+    tok = _counted(docs).drop("y")
+    train, test = docs.where(~is_test), docs.where(is_test)
+    model, priors, classes = EM.fit(train, tok.join(train.select("id"), "id", "left_semi"), MIN_DF, EM_ROUNDS)
+    s = NB.score(tok.join(test.select("id"), "id", "left_semi"), model, priors, classes, "multinomial", test)
+    return NB.predict(s).join(test.select("id", F.col("y").alias("actual")), "id").select(
+        "id", "actual", "predicted", F.round("score", 3).alias("score"))
+
+
 def q_ml(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     return NB.fit_ml(train, test, MIN_DF, "bernoulli")
@@ -117,6 +131,7 @@ QUERIES = {
     "nb_predict": q_predict,
     "nb_top_words": q_top_words,
     "nb_ml": q_ml,
+    "nb_em": q_em,
 }
 
 TEXT = "txt AS (SELECT doc_id AS id, text, toxic AS y FROM labels JOIN documents USING (doc_id))"
@@ -147,7 +162,40 @@ FIT = f"""{TEXT}, {TOK},
            (PARTITION BY id ORDER BY score DESC, y) AS rn FROM sc) WHERE rn = 1),
   pa AS (SELECT pred.id, txt.y AS actual, predicted FROM pred JOIN txt USING (id))"""
 
+
+
+def _em_sql():
+    """The rounds written out."""
+    parts = [f"""alltxt AS MATERIALIZED (SELECT doc_id AS id, text, toxic AS y FROM documents LEFT JOIN labels USING (doc_id)),
+  atok AS MATERIALIZED (SELECT id, y, w, count(*) AS tf FROM (SELECT id, y, unnest(regexp_extract_all(lower(text), '(\\p{{L}}+)', 1)) AS w
+          FROM alltxt) GROUP BY id, y, w),
+  et AS MATERIALIZED (SELECT * FROM atok WHERE y IS NOT NULL AND id % {FOLDS} = 0),
+  tr AS MATERIALIZED (SELECT * FROM atok WHERE y IS NULL OR id % {FOLDS} <> 0),
+  ev AS MATERIALIZED (SELECT w FROM tr GROUP BY w HAVING count(*) >= {MIN_DF}),
+  tv AS MATERIALIZED (SELECT tr.* FROM tr JOIN ev USING (w)),
+  trd AS (SELECT id, y FROM alltxt WHERE y IS NOT NULL AND id % {FOLDS} <> 0),
+  cl AS (SELECT DISTINCT y FROM trd)"""]
+    for r in range(EM_ROUNDS + 1):
+        more_w = f" UNION ALL SELECT w, p.y, tf * p AS n FROM tv JOIN post{r} p USING (id) WHERE tv.y IS NULL" if r else ""
+        more_d = f" UNION ALL SELECT y, p AS n FROM post{r}" if r else ""
+        parts.append(f"""held{r} AS (SELECT w, y, sum(n) AS n FROM (SELECT w, y, CAST(tf AS DOUBLE) AS n FROM tv WHERE y IS NOT NULL{more_w}) GROUP BY w, y),
+  occ{r} AS MATERIALIZED (SELECT ev.w, cl.y, coalesce(h.n, 0.0) AS n FROM ev CROSS JOIN cl LEFT JOIN held{r} h ON h.w = ev.w AND h.y = cl.y),
+  em{r} AS MATERIALIZED (SELECT w, y, ln((n + 1.0) / (sum(n) OVER (PARTITION BY y) + count(*) OVER (PARTITION BY y))) AS log_p FROM occ{r}),
+  mass{r} AS (SELECT y, sum(n) AS n FROM (SELECT y, 1.0::DOUBLE AS n FROM trd{more_d}) GROUP BY y),
+  pr{r} AS MATERIALIZED (SELECT y, ln((n + 1.0) / ((SELECT sum(n) FROM mass{r}) + (SELECT count(*) FROM cl))) AS log_prior FROM mass{r})""")
+        rows, ids = ("tv", "SELECT id FROM alltxt WHERE y IS NULL") if r < EM_ROUNDS else (
+            "et", f"SELECT id FROM alltxt WHERE y IS NOT NULL AND id % {FOLDS} = 0")
+        parts.append(f"""es{r} AS MATERIALIZED (SELECT i.id, pr{r}.y, log_prior + coalesce(part, 0) AS score FROM ({ids}) i CROSS JOIN pr{r}
+    LEFT JOIN (SELECT id, em{r}.y, sum(tf * log_p) AS part FROM {rows} JOIN em{r} USING (w) GROUP BY id, em{r}.y) q ON q.id = i.id AND q.y = pr{r}.y)""")
+        if r < EM_ROUNDS:
+            parts.append(f"""odd{r} AS (SELECT id, y, exp(score - max(score) OVER (PARTITION BY id)) AS o FROM es{r}),
+  post{r + 1} AS MATERIALIZED (SELECT id, y, o / sum(o) OVER (PARTITION BY id) AS p FROM odd{r})""")
+    return ("WITH " + ",\n  ".join(parts) + f""" SELECT b.id, a.y AS actual, b.y AS predicted, round(b.score, 3) AS score
+  FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, y) AS rn FROM es{EM_ROUNDS}) b JOIN alltxt a ON a.id = b.id WHERE rn = 1""")
+
+
 ORACLE = {
+    "nb_em": _em_sql(),
     "nb_tokens": f"WITH {TEXT}, {TOK} SELECT * FROM tok",
     "nb_tokens_social": rf"""WITH {TEXT} SELECT id, y, w, count(*) AS tf FROM (SELECT id, y,
     unnest(regexp_extract_all(regexp_replace(lower(text), '(https?://|www\.)\S+', ' ', 'g'), '([@#]?\p{{L}}+)', 1)) AS w

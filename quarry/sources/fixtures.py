@@ -80,6 +80,14 @@ def labelled_text(spark: SparkSession, sf_dir: str, label: str = "toxic") -> Dat
             .select(F.col("doc_id").alias("id"), "text", F.col(label).cast("int").alias("y")))
 
 
+def partly_labelled_text(spark: SparkSession, sf_dir: str, label: str = "toxic") -> DataFrame:
+    """(id, text, y) of all ``documents``, y null where ``labels`` has none."""
+    lab = read_table(spark, sf_dir, "labels", ["doc_id", label])
+    doc = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
+    return (doc.join(lab, "doc_id", "left")
+            .select(F.col("doc_id").alias("id"), "text", F.col(label).cast("int").alias("y")))
+
+
 def labelled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, v array<double>, label) from ``embeddings``."""
     emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
