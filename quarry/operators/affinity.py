@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quarry.operators.prefix import dense_index
 from quarry.operators.skew import HOT_KEY_ROWS, hot_split_join
 from quarry.session import cut_lineage, partition_for_expansion
 
@@ -232,28 +233,31 @@ def apply_rules(b: DataFrame, rules: DataFrame) -> DataFrame:
 
     ``rules`` has consequent, confidence, and ante_items (array) or else
     antecedent, a single item.  A rule fires when the basket holds every
-    antecedent item: antecedent items are joined to the basket on item, and
-    the matched count must reach the antecedent size.  Held items enter the
-    same aggregate as flagged rows, instead of an anti-join.  The rule tables
-    are materialised, so AQE broadcasts them by their size or else splits a
-    hot item.  Best confidence wins, ties by consequent.
+    antecedent item.  Best confidence wins, ties by consequent: rules get
+    their place in that order as a number, and each antecedent one row with
+    its consequents, best first.  A basket is one row with its items; it meets
+    the antecedents that begin with one of them, which are tested and reduced
+    to their first unheld consequent as the rows pass, so only the least
+    number per basket is aggregated.  No row per basket and rule is shuffled.
+    The rule table is materialised, so AQE broadcasts it by its size or else
+    splits a hot item.
     """
     ante = F.col("ante_items") if "ante_items" in rules.columns else F.array("antecedent")
-    rt = cut_lineage(rules.select(F.array_sort(F.array_distinct(ante)).alias("ante_items"), "consequent", "confidence"))
-    parts = cut_lineage(rt.select("ante_items").distinct()
-                        .select("ante_items", F.size("ante_items").alias("ante_size"), F.explode("ante_items").alias("item")))
-    matched = (b.join(parts, "item")
-               .groupBy("basket", "ante_items", "ante_size").agg(F.count("*").alias("hit"))
-               .where(F.col("hit") == F.col("ante_size")))
-    fired = matched.join(rt, "ante_items").select(
-        "basket", F.col("consequent").alias("item"), "confidence", F.lit(0).alias("held"))
-    held = b.select("basket", "item", F.lit(None).cast("double").alias("confidence"), F.lit(1).alias("held"))
-    best = (fired.unionByName(held).groupBy("basket", "item")
-            .agg(F.max("confidence").alias("confidence"), F.max("held").alias("held"))
-            .where(F.col("held") == 0))
-    w = Window.partitionBy("basket").orderBy(F.col("confidence").desc(), "item")
-    return (best.withColumn("rn", F.row_number().over(w)).where("rn = 1")
-            .select("basket", "item", "confidence"))
+    # nulls last, then by falling confidence
+    order = F.struct(F.col("confidence").isNull().alias("unknown"), (-F.col("confidence")).alias("down"), F.col("consequent").alias("item"))
+    rt = cut_lineage(rules.select(F.array_sort(F.array_distinct(ante)).alias("ante_items"), order.alias("order")))
+    places = cut_lineage(dense_index(rt, "order", "place"))
+    lists = cut_lineage(rt.join(places, rt["order"].eqNullSafe(places["order"]))
+                        .select("ante_items", F.struct("place", rt["order"]["item"].alias("item")).alias("then"))
+                        .groupBy("ante_items").agg(F.sort_array(F.collect_set("then")).alias("then"))
+                        .select(F.get("ante_items", F.lit(0)).alias("item"), "ante_items", "then"))
+    held = b.groupBy("basket").agg(F.collect_set("item").alias("held"))
+    met = held.select("basket", "held", F.explode("held").alias("item")).join(lists, "item")
+    fired = met.where(F.forall("ante_items", lambda x: F.array_contains("held", x)))
+    unheld = F.filter("then", lambda x: ~F.coalesce(F.array_contains("held", x["item"]), F.lit(False)))
+    best = (fired.select("basket", F.try_element_at(unheld, F.lit(1))["place"].alias("place"))
+            .groupBy("basket").agg(F.min("place").alias("place")))
+    return best.join(places, "place").select("basket", F.col("order")["item"].alias("item"), (-F.col("order")["down"]).alias("confidence"))
 
 
 def rule_holdout(b: DataFrame, folds: int = 5, min_count: int = 1) -> DataFrame:

@@ -150,3 +150,20 @@ def test_hot_left_side_is_split(spark):
     right = spark.range(3).select(F.lit(1).alias("k"), F.col("id").alias("y"))
     cond = lambda c, l, r: c(f"{l}.x") >= c(f"{r}.y")
     assert rows(hot_split_join(left, right, "k", cond, "x", "y", 10)) == rows(plain_join(left, right, "k", cond))
+
+
+def test_apply_rules_best_unheld_and_shuffled_rows(spark):
+    """Against plain Python; a basket is shuffled once, never as a row per basket and rule."""
+    held = {1: "abc", 2: "abd", 3: "ab", 4: "cd", 5: "e", 6: "abcde"}
+    b = spark.createDataFrame([(k, x) for k, v in held.items() for x in v], "basket long, item string")
+    rules = [(["a", "b"], "c", 0.5), (["b", "a"], "d", 0.5), (["a", "b"], "d", 0.25), (["a", "b"], "e", None),
+             (["c", "d"], "a", 0.125), (["c", "d"], "b", 0.75), (["a", None], "e", 1.0), ([], "e", 1.0), (["a", "a"], "e", 0.1)]
+    want = []
+    for k, v in held.items():
+        fired = [(-(c if c is not None else -1.0), x, c) for ante, x, c in rules if ante and set(ante) <= set(v) and x not in v]
+        if fired:
+            want.append((k, min(fired)[1], min(fired)[2]))
+    got = A.apply_rules(b, spark.createDataFrame(rules, "ante_items array<string>, consequent string, confidence double"))
+    assert rows(got) == sorted(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "hashpartitioning(" in line and "basket" in line and "ante_items" in line]
