@@ -33,13 +33,21 @@ TIE_DIGITS = 9
 # memory per co-group is about 2 × MAX_BLOCK_ROWS × dim doubles plus one
 # bounded distance chunk.
 MAX_BLOCK_ROWS = 16_384
+# Components of a block's vectors at most: long vectors get smaller blocks.
+MAX_BLOCK_VALUES = 1 << 20
 # Pivots at most, references they are chosen from, and rounds of choosing.
 MAX_PIVOTS = 512
 PIVOT_SAMPLE = 8_192
 PIVOT_ROUNDS = 4
 # Folds that bounds are kept for, and distances or bounds computed at a time.
 MAX_FOLDS = 64
-CHUNK = 4_000_000
+CHUNK = 1_000_000
+# Pairs whose components are summed at a time (they stay in the processor's cache),
+# components between two looks at the bounds, and the share of pairs left
+# below which they are finished one by one.
+TILE = 1 << 16
+LOOK = 8
+FEW = 0.03
 # Signs that a probe may flip in a table (all subsets are tried), and vectors
 # probed at a time: each gives as many rows as it has probes.
 PROBE_BITS = 8
@@ -112,9 +120,11 @@ def _paired(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
     return gap.sum(axis=1) if metric == "manhattan" else gap.max(axis=1)
 
 
-def _matrix(q: np.ndarray, r: np.ndarray, metric: str, origin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(q: np.ndarray, r: np.ndarray, metric: str, origin: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(queries, references) distances of spread vectors, and how far each row's may be off.
 
+    A distance beyond its row's ``reach`` may be given as infinite.
+
     The Euclidean ones come from one matrix product of vectors taken from
     ``origin``, a point near the references: a common offset of all vectors
     cancels before anything is squared.  What rounding is left is bounded from
@@ -128,11 +138,58 @@ def _matrix(q: np.ndarray, r: np.ndarray, metric: str, origin: np.ndarray) -> tu
         d = np.sqrt(d2)
         # sqrt(x + e) - sqrt(x) is at most e / sqrt(x) and at most sqrt(e)
         return d, np.sqrt(off)
-    out = np.zeros((len(q), len(r)))
-    for j in range(q.shape[1]):
-        gap = np.abs(q[:, j, None] - r[None, :, j])
-        out = out + gap if metric == "manhattan" else np.maximum(out, gap)
-    return out, np.zeros(len(q))
+    return _by_component(q - origin, r - origin, metric, reach)
+
+
+def _by_component(a: np.ndarray, b: np.ndarray, metric: str, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_matrix`` for sums and maxima of gaps: in single precision, tile by tile.
+
+    What rounding is left is bounded as for the products.  Components of the
+    largest spread come first; a pair beyond its row's ``reach`` is infinite as
+    soon as few pairs of its tile are within.
+    """
+    size = lambda v: (np.abs(v).sum(axis=1) if metric == "manhattan" else np.abs(v).max(axis=1, initial=0))
+    most = size(b).max(initial=0)
+    single = max(size(a).max(initial=0), most) < 1e30
+    kind = np.dtype(np.float32 if single else np.float64)
+    off = (a.shape[1] + 8) * (np.finfo(kind).eps * (size(a) + most) + np.finfo(kind).tiny)
+    add = np.add if metric == "manhattan" else np.maximum
+    order = np.argsort(-np.ptp(b, axis=0), kind="stable")
+    a, b = np.ascontiguousarray(a[:, order], kind), np.ascontiguousarray(b[:, order], kind)
+    at, bt = np.ascontiguousarray(a.T), np.ascontiguousarray(b.T)
+    dim = a.shape[1]
+    with np.errstate(over="ignore"):
+        limit = ((reach + off) * (1 + 1e-6)).astype(kind)[:, None]
+    out = np.zeros((len(a), len(b)), kind)
+    # the longer side of a tile is the inner one
+    turned = len(a) > len(b)
+    width, height = (len(a), len(b)) if turned else (len(b), len(a))
+    wide = min(width, 2048)
+    tall = max(1, TILE // max(1, wide))
+    for s in range(0, height, tall):
+        for t in range(0, width, wide):
+            rows, cols = (slice(t, t + wide), slice(s, s + tall)) if turned else (slice(s, s + tall), slice(t, t + wide))
+            x, y, lim = a[rows], b[cols], limit[rows]
+            xt, yt = (at[:, None, rows], bt[:, cols, None]) if turned else (at[:, rows, None], bt[:, None, cols])
+            lim = lim.T if turned else lim
+            total = np.zeros((len(y), len(x)) if turned else (len(x), len(y)), kind)
+            gap = np.empty_like(total)
+            for j in range(dim):
+                np.subtract(xt[j], yt[j], out=gap)
+                np.abs(gap, out=gap)
+                add(total, gap, out=total)
+                done = j + 1
+                if done % LOOK == 0 and LOOK < done < dim:
+                    left = total <= lim
+                    if np.count_nonzero(left) < FEW * left.size:
+                        at_a, at_b = np.nonzero(left)[::-1] if turned else np.nonzero(left)
+                        rest = np.abs(x[at_a, done:] - y[at_b, done:])
+                        known = total[left]
+                        total.fill(np.inf)
+                        total[left] = add(known, rest.sum(axis=1) if metric == "manhattan" else rest.max(axis=1))
+                        break
+            out[rows, cols] = total.T if turned else total
+    return out, off
 
 
 def _loose(bound: np.ndarray, metric: str) -> np.ndarray:
@@ -251,51 +308,68 @@ def _block_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, cells: Cells, exclud
     are compared with it, under a bound that falls with what was found before.
     """
     metric = cells.metric
-    ids, others, dist = [], [], []
-    if len(qp) and len(rp):
-        qv, rv = np.stack(qp["qv"].to_numpy()), np.stack(rp["rv"].to_numpy())
-        q, r = _spread(qv, metric), _spread(rv, metric)
-        qid, rid = qp["qid"].to_numpy(np.int64), rp["rid"].to_numpy(np.int64)
-        qf, rf = qp["fold"].to_numpy(), rp["fold"].to_numpy()
-        rc, own, near = rp["cell"].to_numpy(np.int64), qp["cell"].to_numpy(np.int64), qp["near"].to_numpy()
-        bound, best = qp["bound"].to_numpy().copy(), np.full((len(q), k), np.inf)
-        order = np.argsort(rc, kind="stable")
-        starts = np.flatnonzero(np.r_[True, rc[order][1:] != rc[order][:-1]])
-        # the cells that most queries are in come first: they lower the bounds
-        groups = sorted(np.split(order, starts[1:]), key=lambda g: -np.count_nonzero(own == rc[g[0]]))
-        for at in groups:
-            c = rc[at[0]]
-            one = np.array([c])
-            asked = np.flatnonzero(cells.within(cells.to_pivots(q, one), near, own, bound, one)[:, 0])
-            step = max(1, CHUNK // len(at))
-            for s in range(0, len(asked), step):
-                some = asked[s:s + step]
-                d, off = _matrix(q[some], r[at], metric, cells.pivots[c])
-                if count is not None:
-                    count.add(d.size)
-                if exclude_self:
-                    d[qid[some, None] == rid[None, at]] = np.inf
-                if use_fold:
-                    d[qf[some, None] == rf[None, at]] = np.inf
-                # a distance and the bound it meets may each be off by ``off``
-                kept = np.partition(np.concatenate([best[some], d + off[:, None]], axis=1), k - 1, axis=1)[:, :k]
-                best[some] = kept
-                bound[some] = np.minimum(bound[some], kept.max(axis=1))
-                i, j = np.nonzero(np.isfinite(d) & (d - off[:, None] <= _loose(bound[some], metric)[:, None]))
-                ids.append(some[i])
-                others.append(at[j])
-        if ids:
-            ids, others = np.concatenate(ids), np.concatenate(others)
-            dist = _paired(qv[ids], rv[others], metric)
-            ids, others = qid[ids], rid[others]
-    if not len(ids):
-        return pd.DataFrame({"id": np.zeros(0, np.int64), "neighbour": np.zeros(0, np.int64), "distance": np.zeros(0)})
-    order = np.lexsort((others, np.round(dist, TIE_DIGITS), ids))
-    ids, others, dist = ids[order], others[order], dist[order]
-    first = np.r_[True, ids[1:] != ids[:-1]]
-    nth = np.arange(len(ids)) - np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))
-    keep = nth < k
-    return pd.DataFrame({"id": ids[keep], "neighbour": others[keep], "distance": dist[keep]})
+    empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    if not len(qp) or not len(rp):
+        return pd.DataFrame(dict(zip(("id", "neighbour", "distance"), empty)))
+    qv, rv = np.stack(qp["qv"].to_numpy()), np.stack(rp["rv"].to_numpy())
+    q, r = (qv, rv) if metric != "cosine" else (_spread(qv, metric), _spread(rv, metric))
+    qid, rid = qp["qid"].to_numpy(np.int64), rp["rid"].to_numpy(np.int64)
+    qf, rf = qp["fold"].to_numpy(), rp["fold"].to_numpy()
+    rc, own, near = rp["cell"].to_numpy(np.int64), qp["cell"].to_numpy(np.int64), qp["near"].to_numpy()
+    bound, best = qp["bound"].to_numpy().copy(), np.full((len(q), k), np.inf)
+    kept, found, n_found = empty, [], 0  # ranked so far; and (query, reference, least distance) since
+
+    def ranked() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k nearest of each query among those ranked before and those found since."""
+        i, j, least = (np.concatenate(x) for x in zip(*found))
+        within = np.flatnonzero(least <= _loose(bound[i], metric))
+        i, j = i[within], j[within]
+        dist, step = np.empty(len(i)), max(1, CHUNK // qv.shape[1])
+        for s in range(0, len(i), step):
+            dist[s:s + step] = _paired(qv[i[s:s + step]], rv[j[s:s + step]], metric)
+        i, j, dist = (np.concatenate(x) for x in zip(kept, (i, j, dist)))
+        order = np.lexsort((rid[j], np.round(dist, TIE_DIGITS), i))
+        i, j, dist = i[order], j[order], dist[order]
+        first = np.r_[True, i[1:] != i[:-1]] if len(i) else np.zeros(0, bool)
+        nth = np.arange(len(i)) - np.maximum.accumulate(np.where(first, np.arange(len(i)), 0))
+        return i[nth < k], j[nth < k], dist[nth < k]
+
+    order = np.argsort(rc, kind="stable")
+    starts = np.flatnonzero(np.r_[True, rc[order][1:] != rc[order][:-1]])
+    # the cells that most queries are in come first: they lower the bounds
+    groups = sorted(np.split(order, starts[1:]), key=lambda g: -np.count_nonzero(own == rc[g[0]]))
+    for at in groups:
+        c = rc[at[0]]
+        one = np.array([c])
+        asked = np.flatnonzero(cells.within(cells.to_pivots(q, one), near, own, bound, one)[:, 0])
+        step = max(1, CHUNK // len(at))
+        for s in range(0, len(asked), step):
+            some = asked[s:s + step]
+            d, off = _matrix(q[some], r[at], metric, cells.pivots[c], _loose(bound[some], metric))
+            if count is not None:
+                count.add(d.size)
+            if exclude_self:
+                d[qid[some, None] == rid[None, at]] = np.inf
+            if use_fold:
+                d[qf[some, None] == rf[None, at]] = np.inf
+            hit = (d <= (_loose(bound[some], metric) + off)[:, None]).any(axis=1)
+            some, d, off = some[hit], d[hit], off[hit, None]
+            if not len(some):
+                continue
+            # a distance and the bound it meets may each be off by ``off``
+            top = np.partition(d, k - 1, axis=1)[:, :k] if d.shape[1] > k else d
+            top = np.partition(np.concatenate([best[some], top + off], axis=1), k - 1, axis=1)[:, :k]
+            best[some] = top
+            bound[some] = np.minimum(bound[some], top.max(axis=1))
+            i, j = np.nonzero(np.isfinite(d) & (d <= _loose(bound[some], metric)[:, None] + off))
+            found.append((some[i], at[j], d[i, j] - off[i, 0]))
+            n_found += len(i)
+            if n_found > CHUNK:
+                kept, found, n_found = ranked(), [], 0
+    if found:
+        kept = ranked()
+    ids, others, dist = kept
+    return pd.DataFrame({"id": qid[ids], "neighbour": rid[others], "distance": dist})
 
 
 def _ranked(cand: DataFrame, k: int) -> DataFrame:
@@ -368,7 +442,7 @@ def knn(q: DataFrame, r: DataFrame, k: int, exclude_self: bool = True,
                                             F.lit(0.0).alias("distance"), "neighbour_label")
     if block_rows is None:
         par = max(1, spark.sparkContext.defaultParallelism)
-        block_rows = max(64, min(MAX_BLOCK_ROWS, math.ceil(nr / math.ceil(math.sqrt(2 * par)))))
+        block_rows = max(64, min(MAX_BLOCK_ROWS, MAX_BLOCK_VALUES // max(1, len(sample[0])), math.ceil(nr / math.ceil(math.sqrt(2 * par)))))
     n = pivots or max(1, min(MAX_PIVOTS, round(math.sqrt(nr) / 2)))
     cells = Cells(_pivots(_spread(np.array(sample), metric), n), metric, k + exclude_self)
     placed = cut_lineage(_celled(rs, cells))

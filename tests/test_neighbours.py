@@ -194,3 +194,49 @@ def test_probing_recall_and_share(spark):
     exact = {(r["id"], r["neighbour"]) for r in PN.q_knn(spark, SF01).collect()}
     assert len(approx) == len(exact) == n * PN.K_NEIGHBOURS
     assert len(approx & exact) / len(exact) >= 0.9
+
+
+def _one_block(vecs, metric, k):
+    """``vecs`` as both sides of one block pair, all in one cell; result and peak of traced memory in MB."""
+    import tracemalloc
+
+    import pandas as pd
+
+    ids = np.arange(len(vecs))
+    cells = K.Cells(K._spread(vecs[:1], metric), metric, k + 1)
+    near = cells.to_pivots(K._spread(vecs, metric))[:, 0]
+    cells.low[:], cells.high[:] = near.min(), near.max()
+    qp = pd.DataFrame({"qid": ids, "qv": list(vecs), "fold": 0, "cell": 0, "near": near, "bound": np.inf})
+    rp = pd.DataFrame({"rid": ids, "rv": list(vecs), "fold": 0, "cell": 0})
+    tracemalloc.start()
+    got = K._block_topk(qp, rp, k, cells, True, False)
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return got, peak
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "chebyshev", "cosine"])
+def test_block_memory_is_bounded(metric):
+    """Neither many candidates nor groups of equal vectors are held at once."""
+    rng = np.random.default_rng(3)
+    loose = rng.standard_normal((3000, 32))
+    got, peak = _one_block(loose, metric, 9)
+    assert peak < 130 and len(got) == 9 * 3000
+    equal = np.repeat(rng.standard_normal((2, 32)), 1500, axis=0)
+    got, peak = _one_block(equal, metric, 3)
+    assert peak < 170
+    first = got.groupby("id")["neighbour"].apply(list)
+    assert first[0] == [1, 2, 3] and first[2] == [0, 1, 3] and first[2999] == [1500, 1501, 1502]
+
+
+@pytest.mark.parametrize("metric", ["manhattan", "chebyshev"])
+@pytest.mark.parametrize("scale,offset", [(1.0, 0.0), (1.0, 1e8), (1e35, 0.0), (1e-42, 0.0)])
+def test_block_by_component_equals_brute_force(metric, scale, offset):
+    """Single precision only sorts out: small gaps beside large values, and values beyond its range, lose no neighbour."""
+    rng = np.random.default_rng(5)
+    vecs = (rng.standard_normal((400, 40)) + 4 * rng.integers(0, 4, (400, 1))) * scale + offset
+    gaps = np.abs(vecs[:, None] - vecs[None])
+    d = np.round(gaps.sum(axis=2) if metric == "manhattan" else gaps.max(axis=2), K.TIE_DIGITS)
+    got, _ = _one_block(vecs, metric, 4)
+    want = [(i, j) for i in range(400) for j in sorted(set(range(400)) - {i}, key=lambda j: (d[i, j], j))[:4]]
+    assert list(zip(got["id"], got["neighbour"])) == want
