@@ -4,10 +4,13 @@ Item vectors are scaled to length 1 and their components put in one order of
 users, those with few ratings first.  An item's head ends where the length of
 the rest falls below the threshold.  Of two items the one whose head ends first
 has a rest that meets the other in a product below the threshold, so a pair at
-or above it shares a user of both heads.  Pairs come from the heads alone; each
-carries its product over the shared heads, and the length of that rest bounds
-what is missing.  Pairs that can't reach the threshold go, the others get their
-whole product.
+or above it shares a user of both heads.  Pairs come from the heads alone, in
+compact form: each component of a user's list goes to its item with the later
+components of the list as arrays, and becomes pairs where these are summed, so no
+row per pair and user is shuffled.  A pair carries its product over the shared
+heads; the length of that rest, times what the other item has left after the last
+shared user, bounds what is missing.  Pairs that can't reach the threshold go, the
+others get their whole product.
 
 Defined results: ratings that are null or not finite take no part; an item
 whose ratings are all zero has no direction and no pairs; of repeated
@@ -25,6 +28,8 @@ from quarry.session import cut_lineage, partition_for_expansion
 
 #: Slack of the bounds, above what sums of unit vectors' products lose to rounding.
 SLACK = 1e-6
+#: Steps that lengths are rounded up to in the lists, to fit a byte.
+STEPS = 126
 
 
 def unit_vectors(r: DataFrame) -> DataFrame:
@@ -40,10 +45,10 @@ def unit_vectors(r: DataFrame) -> DataFrame:
 
 
 def heads(v: DataFrame, threshold: float) -> DataFrame:
-    """(item, place, x, end, rest): components up to where the rest is shorter than ``threshold``.
+    """(item, place, x, after, n, rest): components up to where the rest is shorter than ``threshold``.
 
-    ``end`` is the place of the head's last component, ``rest`` the length of
-    what follows it.
+    ``after`` is the length of what follows the component, ``rest`` of what follows the
+    head, ``n`` the head's number of components.
     """
     squares = v.select("item", "place", "x", (F.col("x") * F.col("x")).alias("xx"))
     upto = running_totals(squares, ["item"], "place", ["xx"])
@@ -52,21 +57,39 @@ def heads(v: DataFrame, threshold: float) -> DataFrame:
         # the length from this component on: it is in the head while that could reach the threshold
         F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("L_xx") + F.col("xx"))).alias("from_here"))
     head = cut_lineage(before.where(F.col("from_here") >= threshold - SLACK))
-    ends = cut_lineage(head.groupBy("item").agg(F.max("place").alias("end"), F.min("after").alias("rest")))
-    return head.join(ends, "item").select("item", "place", "x", "end", "rest")
+    ends = cut_lineage(head.groupBy("item").agg(F.count("*").alias("n"), F.min("after").alias("rest")))
+    return head.join(ends, "item").select("item", "place", "x", "after", "n", "rest")
 
 
 def candidates(h: DataFrame, threshold: float, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """(item_a, item_b): pairs of items that share a place of both heads and can reach the threshold."""
-    h = partition_for_expansion(h, "place")
-    a = h.select("place", F.col("item").alias("item_a"), F.col("x").alias("xa"), F.col("end").alias("end_a"), F.col("rest").alias("rest_a"))
-    b = h.select("place", F.col("item").alias("item_b"), F.col("x").alias("xb"), F.col("end").alias("end_b"), F.col("rest").alias("rest_b"))
-    met = hot_split_join(a, b, "place", lambda c, left, right: c(f"{left}.item_a") < c(f"{right}.item_b"),
-                         "item_a", "item_b", hot_rows)
-    missing = F.when(F.col("end_a") <= F.col("end_b"), F.col("rest_a")).otherwise(F.col("rest_b"))
-    return (met.groupBy("item_a", "item_b")
-            .agg(F.sum(F.col("xa") * F.col("xb")).alias("shared"), F.max(missing).alias("missing"))
-            .where(F.col("shared") + F.col("missing") >= threshold - SLACK).select("item_a", "item_b"))
+    def steps(c):  # up to the next step, past what rounding may have lost
+        return F.ceil((F.least(F.col(c), F.lit(1.0)) + SLACK) * (STEPS - 1)).cast("tinyint").alias(c)
+
+    h = cut_lineage(h.select("place", F.struct("n", "item", F.col("x").cast("float").alias("x"), steps("after"), steps("rest")).alias("c")))
+    hot = cut_lineage(h.groupBy("place").agg(F.count("*").alias("size")).where(F.col("size") > hot_rows)
+                      .select("place", F.ceil(F.col("size") / F.lit(hot_rows)).alias("pieces")))
+    # a list beyond ``hot_rows`` is cut in pieces, and every piece meets every other; lists are
+    # ordered by the items' sizes, so that an item with very many ratings has few later ones
+    names = hot.select("place")
+    whole = h.join(names, "place", "left_anti").groupBy("place").agg(F.sort_array(F.collect_list("c")).alias("list"))
+    own = whole.where(F.size("list") > 1).select("list", F.posexplode("list").alias("at", "l")).select(
+        "l", F.slice("list", F.col("at") + 2, F.size("list")).alias("r"))
+    pieces = cut_lineage(h.join(hot, "place").withColumn("piece", F.pmod(F.xxhash64("c.item"), F.col("pieces")))
+                         .groupBy("place", "piece").agg(F.collect_list("c").alias("r")))
+    later = F.filter("r", lambda c: F.struct(c["n"], c["item"]) > F.struct(F.col("l.n"), F.col("l.item")))
+    crossed = h.join(names, "place").select("place", F.col("c").alias("l")).join(pieces, "place").select("l", later.alias("r"))
+    lists = own.unionByName(crossed).where(F.size("r") > 0)
+    fields = ["item", "x", "after", "rest"]
+    sent = partition_for_expansion(lists.select(F.col("l.item").alias("a"), *[F.col(f"l.{f}").alias(f"a_{f}") for f in fields[1:]],
+                                                *[F.col(f"r.{f}").alias(f"r_{f}") for f in fields]), "a")
+    met = sent.select("a", *[f"a_{f}" for f in fields[1:]], F.explode(F.arrays_zip(*[f"r_{f}" for f in fields])).alias("r")).select(
+        "a", F.col("r.r_item").alias("b"), (F.col("a_x").cast("double") * F.col("r.r_x")).alias("product"),
+        # whichever head ends first; ``after`` falls along a list's users, so the last shared one has the least
+        F.greatest(F.col("a_rest").cast("int") * F.col("r.r_after"), F.col("r.r_rest").cast("int") * F.col("a_after")).alias("missing"))
+    return (met.groupBy("a", "b").agg(F.sum("product").alias("shared"), F.min("missing").alias("missing"))
+            .where(F.col("shared") + F.col("missing") / F.lit(float((STEPS - 1) ** 2)) >= threshold - 2 * SLACK)
+            .select(F.least("a", "b").alias("item_a"), F.greatest("a", "b").alias("item_b")))
 
 
 def similar_items(r: DataFrame, threshold: float, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:

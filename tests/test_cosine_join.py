@@ -68,3 +68,11 @@ def test_empty_and_bounds(spark):
     assert C.similar_items(none, 0.5).count() == 0
     with pytest.raises(ValueError):
         C.similar_items(none, 0.0)
+
+
+def test_no_row_per_pair_is_shuffled(spark):
+    """Pairs are made where they are summed: no exchange of the candidates is by both items."""
+    got = C.candidates(C.heads(C.unit_vectors(spark.createDataFrame(rows_of(8), SCHEMA)), 0.5), 0.5)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    by = [line.split("hashpartitioning(")[1].split(")")[0] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert [x for x in by if x.startswith("a#")] and not [x for x in by if "item_b" in x or "b#" in x]
