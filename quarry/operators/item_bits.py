@@ -4,7 +4,9 @@ Baskets get dense numbers; each frequent item has one bitmap of 32,768 baskets
 per (item, part).  The support of an itemset is the bit count of the
 intersection of its two parents' bitmaps, part by part, so a level reads the
 bitmaps of the level before instead of the baskets, and the work of one itemset
-spreads over its parts.
+spreads over its parts.  Bitmaps are dealt by part over at least as many partitions as
+there are parts: they compress so well that partitions sized by bytes would hold
+far more than a task's memory, and a part's sets meet where they lie.
 
 An itemset is closed if no larger set has its support, and maximal if no larger
 set is frequent.  Supersets with one item more decide both: support never rises
@@ -27,22 +29,28 @@ from quarry.operators.skew import HOT_KEY_ROWS, hot_split_join
 from quarry.session import cut_lineage, partition_for_expansion
 
 
-def item_bitmaps(b: DataFrame) -> DataFrame:
-    """(items, part, bits): the baskets of every item of ``b`` (basket, item), ``items`` an array of one."""
-    numbers = dense_index(b, "basket", "nth")
+def by_part(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows`` dealt by part, one or a few of the ``parts`` to a task."""
+    return rows.repartition(max(parts, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "part")
+
+
+def item_bitmaps(b: DataFrame) -> tuple[DataFrame, int]:
+    """(items, part, bits): the baskets of every item of ``b`` (basket, item), ``items`` an array of one; and the greatest part."""
+    numbers = cut_lineage(dense_index(b, "basket", "nth"))
     nth = F.col("nth") + 1  # bit 0 of part 1 is the first basket
-    return (b.join(numbers, "basket")
-            .groupBy(F.array("item").alias("items"), F.bitmap_bucket_number(nth).alias("part"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(nth)).alias("bits")))
+    parts = numbers.select(F.max(F.bitmap_bucket_number(nth))).first()[0] or 1
+    places = b.join(numbers, "basket").select(F.array("item").alias("items"), F.bitmap_bucket_number(nth).alias("part"),
+                                              F.bitmap_bit_position(nth).alias("bit"))
+    return by_part(places, parts).groupBy("items", "part").agg(F.bitmap_construct_agg("bit").alias("bits")), parts
 
 
-def intersect(pairs: DataFrame, bitmaps: DataFrame) -> DataFrame:
+def intersect(pairs: DataFrame, bitmaps: DataFrame, parts: int) -> DataFrame:
     """(items, part, bits) of every ``items`` of ``pairs`` (items, left, right), from both parents' bitmaps.
 
     Parts in which a parent has no basket hold none of the itemset.
     """
     sides = pairs.select("items", F.explode(F.array("left", "right")).alias("parent"))
-    parents = bitmaps.withColumnRenamed("items", "parent")
+    parents = by_part(bitmaps.withColumnRenamed("items", "parent"), parts)
     return (sides.join(parents, "parent").groupBy("items", "part")
             .agg(F.bitmap_and_agg("bits").alias("bits"), F.count("*").alias("sides"))
             .where("sides = 2").drop("sides"))
@@ -88,15 +96,16 @@ def itemsets_bits(b: DataFrame, min_count: int, hot_rows: int = HOT_KEY_ROWS) ->
     two = cut_lineage(A.pair_counts(b1).where(F.col("n_ab") >= min_count)
                       .select(F.array("item_a", "item_b").alias("items"), F.col("n_ab").alias("n")))
     levels = [one.withColumn("k", F.lit(1)), two.withColumn("k", F.lit(2))]
-    sets, bitmaps, k = two, None, 3
+    sets, bitmaps, parts, k = two, None, 1, 3
     while sets.count() >= k:  # a set of k items has k frequent parts
         pairs = cut_lineage(_all_parts_frequent(_extended(sets, k, hot_rows), sets, k))
         if pairs.isEmpty():
             break
         if bitmaps is None:
             halves = two.select("items", F.array(F.col("items")[0]).alias("left"), F.array(F.col("items")[1]).alias("right"))
-            bitmaps = cut_lineage(intersect(halves, cut_lineage(item_bitmaps(b1))))
-        met = cut_lineage(intersect(pairs, bitmaps))
+            single, parts = item_bitmaps(b1)
+            bitmaps = cut_lineage(intersect(halves, cut_lineage(single), parts))
+        met = cut_lineage(intersect(pairs, bitmaps, parts))
         sets = cut_lineage(met.groupBy("items").agg(F.sum(F.bitmap_count("bits")).alias("n")).where(F.col("n") >= min_count))
         bitmaps = met.join(sets.select("items"), "items", "left_semi")
         levels.append(sets.withColumn("k", F.lit(k)))

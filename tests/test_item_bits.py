@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import affinity as A
 from quarry.operators import item_bits as I
@@ -67,3 +68,15 @@ def test_empty_and_bounds(spark):
         I.itemsets_bits(none, 0)
     one = spark.createDataFrame([("b", "x", 1)], SCHEMA)
     assert [tuple(r) for r in I.closed(A.itemsets(A.baskets(one, "basket", "item"), 1)).collect()] == [(["x"], 1, 1, True)]
+
+
+def test_bitmaps_are_dealt_by_part(spark):
+    """A task holds a few parts, however well their bitmaps compress."""
+    sets = spark.createDataFrame([(["a", "b"], ["a"], ["b"])], "items array<string>, left array<string>, right array<string>")
+    bits = spark.range(300).select(F.explode(F.array(F.array(F.lit("a")), F.array(F.lit("b")))).alias("items"), F.col("id").alias("part"),
+                                   F.lit(b"\x01" + bytes(4095)).alias("bits"))
+    got = I.intersect(sets, bits, 300)
+    assert got.count() == 300
+    assert "hashpartitioning(part" in (plan := got._jdf.queryExecution().executedPlan().toString())
+    assert any("hashpartitioning(part" in line and ", 300)" in line for line in plan.splitlines())
+    assert not any("Exchange hashpartitioning(items" in line for line in plan.splitlines())
