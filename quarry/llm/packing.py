@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -64,23 +65,23 @@ def hilbert_key(cells: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def projection(vocab: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per id: its hashed place and sign; per place: its projected coordinates."""
+def projection(vocab: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per id: its hashed place, ``HASH_DIMS`` further on if its sign is minus; per place: its projected coordinates."""
     with np.errstate(over="ignore"):
         h = (np.arange(vocab, dtype=np.uint64) + np.uint64(SEED)) * np.uint64(0x9E3779B97F4A7C15)
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
     place = (h >> np.uint64(40)) % np.uint64(HASH_DIMS)
-    sign = 1.0 - 2.0 * ((h >> np.uint64(33)) & np.uint64(1)).astype(np.float64)
-    return place.astype(np.int64), sign, np.random.default_rng(SEED).standard_normal((HASH_DIMS, DIMS))
+    minus = (h >> np.uint64(33)) & np.uint64(1)
+    return (place + minus * np.uint64(HASH_DIMS)).astype(np.int64), np.random.default_rng(SEED).standard_normal((HASH_DIMS, DIMS))
 
 
-def curve_keys(ids: np.ndarray, counts: np.ndarray, tables) -> np.ndarray:
-    """Hilbert keys of documents given by their joined ids and id counts."""
-    place, sign, matrix = tables
-    n = len(counts)
-    doc = np.repeat(np.arange(n), counts)
-    vec = np.bincount(doc * HASH_DIMS + place[ids], weights=sign[ids],
-                      minlength=n * HASH_DIMS).reshape(n, HASH_DIMS)
+def curve_keys(docs: list[np.ndarray], tables) -> np.ndarray:
+    """Hilbert keys of documents given by their ids."""
+    place, matrix = tables
+    vec = np.empty((len(docs), HASH_DIMS))
+    for row, ids in zip(vec, docs):
+        n = np.bincount(place[ids], minlength=2 * HASH_DIMS)
+        np.subtract(n[:HASH_DIMS], n[HASH_DIMS:], out=row, casting="unsafe")
     norm = np.linalg.norm(vec, axis=1, keepdims=True)
     xy = (vec / np.where(norm == 0, 1, norm)) @ matrix
     unit = 1 / (1 + np.exp(-1.702 * xy))  # near the normal distribution function
@@ -101,11 +102,11 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int, length: int =
         tables, tail = projection(tk.tk.get_vocab_size()), end.astype(tk.dtype).tobytes()
         row = TaskContext.get().partitionId() << 33
         for b in batches:
-            texts = b.column("text").to_pylist()
-            for s, e in sub_batches(texts):
-                raw = tk.encode_batch(texts[s:e])
+            sizes = pc.fill_null(pc.binary_length(b.column("text")), 0).to_pylist()
+            for s, e in sub_batches(sizes):
+                raw = tk.encode_batch(b.column("text").slice(s, e - s).to_pylist())
                 counts = np.array([len(r) // tk.dtype.itemsize for r in raw])
-                keys = curve_keys(np.frombuffer(b"".join(raw), tk.dtype), counts, tables)
+                keys = curve_keys([np.frombuffer(r, tk.dtype) for r in raw], tables)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(row, row + e - s)), b.column("doc_id").slice(s, e - s),
                      pa.array(keys), pa.array(counts.astype(np.int64) + 1),

@@ -162,11 +162,11 @@ def tokenizer(path: str, byte: bool) -> PieceTokenizer:
     return _LOADED[path, byte]
 
 
-def sub_batches(texts: list[bytes | None], limit: int = 4 << 20):
-    """Index ranges of about ``limit`` bytes, so that long texts don't pile up."""
+def sub_batches(texts: list[bytes | int | None], limit: int = 4 << 20):
+    """Index ranges of about ``limit`` bytes, so that long texts don't pile up; of texts or their lengths."""
     start = size = 0
     for i, t in enumerate(texts):
-        size += len(t or b"")
+        size += t if isinstance(t, int) else len(t or b"")
         if size >= limit:
             yield start, i + 1
             start, size = i + 1, 0

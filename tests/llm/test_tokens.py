@@ -164,3 +164,33 @@ def test_documents_of_the_small_tables(spark):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = whole(packing.pack_documents(docs, vocabulary(BYTE), 1).collect(), 2048)
     assert Counter(got) == Counter((i, tuple(x)) for (i, _), x in zip(rows, library(BYTE, [t for _, t in rows], 1)))
+
+
+def test_sub_batches_of_lengths():
+    texts = [b"a" * n for n in (3, 0, 30, 5, 5, 9, 1)] + [None]
+    assert list(sub_batches([len(t or b"") for t in texts], 10)) == list(sub_batches(texts, 10))
+
+
+def test_curve_keys_hold_no_row_per_id():
+    """Against sums written out, without arrays as long as all ids of a batch in wide types."""
+    import tracemalloc
+
+    from quarry.llm import packing
+
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, 500, n).astype("<u2") for n in (0, 1, 40, 2000)]
+    tables = place, matrix = packing.projection(500)
+    want = []
+    for ids in docs:
+        vec = np.zeros(packing.HASH_DIMS)
+        for p in place[ids]:
+            vec[p % packing.HASH_DIMS] += 1 if p < packing.HASH_DIMS else -1
+        xy = vec / (np.linalg.norm(vec) or 1) @ matrix
+        cells = np.minimum((1 / (1 + np.exp(-1.702 * xy)) * (1 << packing.BITS)).astype(np.int64), (1 << packing.BITS) - 1)
+        want.append(packing.hilbert_key(cells[None])[0])
+    assert packing.curve_keys(docs, tables).tolist() == want
+    many = [rng.integers(0, 500, 1000).astype("<u2") for _ in range(1000)]
+    tracemalloc.start()
+    packing.curve_keys(many, tables)
+    assert tracemalloc.get_traced_memory()[1] < 8e6  # a million ids
+    tracemalloc.stop()
