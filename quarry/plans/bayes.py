@@ -107,10 +107,9 @@ def q_em(spark, sf_dir):
     """Learns from all documents but the labelled ones of the test fold, and classifies those."""
     docs = cut_lineage(partly_labelled_text(spark, sf_dir).select("id", "y", words("text").alias("words")))
     is_test = F.coalesce(F.col("y").isNotNull() & (F.col("id") % FOLDS == 0), F.lit(False))
-    tok = _counted(docs).drop("y")
-    train, test = docs.where(~is_test), docs.where(is_test)
-    model, priors, classes = EM.fit(train, tok.join(train.select("id"), "id", "left_semi"), MIN_DF, EM_ROUNDS)
-    s = NB.score(tok.join(test.select("id"), "id", "left_semi"), model, priors, classes, "multinomial", test)
+    train, test = docs.where(~is_test & F.col("id").isNotNull()), docs.where(is_test)
+    model, priors, classes = EM.fit(train, _counted(train).drop("y"), MIN_DF, EM_ROUNDS)
+    s = NB.score(_counted(test).drop("y"), model, priors, classes, "multinomial", test)
     return NB.predict(s).join(test.select("id", F.col("y").alias("actual")), "id").select(
         "id", "actual", "predicted", F.round("score", 3).alias("score"))
 
