@@ -39,9 +39,14 @@ MAX_BLOCK_VALUES = 1 << 20
 MAX_PIVOTS = 512
 PIVOT_SAMPLE = 8_192
 PIVOT_ROUNDS = 4
-# Folds that bounds are kept for, and distances or bounds computed at a time.
+# Folds that bounds are kept for, and bounds computed at a time.
 MAX_FOLDS = 64
 CHUNK = 1_000_000
+# Pairs of a block compared at a time, and candidates kept before they are ranked;
+# references of a cell compared at a time, and those that start a block.
+PAIRS = 1 << 18
+PIECE = 2_048
+FIRST = 256
 # Pairs whose components are summed at a time (they stay in the processor's cache),
 # components between two looks at the bounds, and the share of pairs left
 # below which they are finished one by one.
@@ -120,29 +125,39 @@ def _paired(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
     return gap.sum(axis=1) if metric == "manhattan" else gap.max(axis=1)
 
 
-def _matrix(q: np.ndarray, r: np.ndarray, metric: str, origin: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(queries, references) distances of spread vectors, and how far each row's may be off.
+def _finder(r: np.ndarray, metric: str, origin: np.ndarray):
+    """A function of (queries, reach) over references ``r``, all spread: the pairs that may be within their
+    query's ``reach``, as (query, reference, distance, how far it may be off), sorted by query.
 
-    A distance beyond its row's ``reach`` may be given as infinite.
-
-    The Euclidean ones come from one matrix product of vectors taken from
+    The Euclidean distances come from one matrix product of vectors taken from
     ``origin``, a point near the references: a common offset of all vectors
     cancels before anything is squared.  What rounding is left is bounded from
-    the lengths and the machine's precision.
+    the lengths and the machine's precision.  Sums and maxima of gaps go by ``_by_component``.
     """
-    if metric in ("euclidean", "cosine"):
-        a, b = q - origin, r - origin
-        a2, b2 = (a * a).sum(axis=1), (b * b).sum(axis=1)
-        d2 = np.maximum(a2[:, None] + b2[None, :] - 2 * a @ b.T, 0)
-        off = 4 * (q.shape[1] + 8) * np.finfo(float).eps * (np.sqrt(a2) + np.sqrt(b2.max(initial=0))) ** 2
-        d = np.sqrt(d2)
+    b = r - origin
+    b2 = (b * b).sum(axis=1)
+    longest, bt = math.sqrt(b2.max(initial=0)), np.ascontiguousarray(b.T)
+
+    def product(q: np.ndarray, reach: np.ndarray):
+        a = q - origin
+        a2 = (a * a).sum(axis=1)
         # sqrt(x + e) - sqrt(x) is at most e / sqrt(x) and at most sqrt(e)
-        return d, np.sqrt(off)
-    return _by_component(q - origin, r - origin, metric, reach)
+        off = np.sqrt(4 * (q.shape[1] + 8) * np.finfo(float).eps * (np.sqrt(a2) + longest) ** 2)
+        d2 = (-2 * a) @ bt
+        d2 += b2
+        i, j = np.nonzero(d2 <= ((reach + off) ** 2 * (1 + 1e-9) - a2 + off * off)[:, None])
+        return i, j, np.sqrt(np.maximum(d2[i, j] + a2[i], 0)), off[i]
+
+    def gaps(q: np.ndarray, reach: np.ndarray):
+        d, off = _by_component(q - origin, b, metric, reach)
+        i, j = np.nonzero(np.isfinite(d) & (d <= (reach + off)[:, None]))
+        return i, j, d[i, j].astype(float), off[i]
+
+    return product if metric in ("euclidean", "cosine") else gaps
 
 
 def _by_component(a: np.ndarray, b: np.ndarray, metric: str, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``_matrix`` for sums and maxima of gaps: in single precision, tile by tile.
+    """(queries, references) sums or maxima of gaps, and how far each row's may be off: in single precision, tile by tile.
 
     What rounding is left is bounded as for the products.  Components of the
     largest spread come first; a pair beyond its row's ``reach`` is infinite as
@@ -300,6 +315,12 @@ def _pivots(sample: np.ndarray, n: int) -> np.ndarray:
     return centres + shift
 
 
+def _numbered(i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each run of equal values, and of each value in its run."""
+    first = np.r_[True, i[1:] != i[:-1]] if len(i) else np.zeros(0, bool)
+    return np.cumsum(first) - 1, np.arange(len(i)) - np.maximum.accumulate(np.where(first, np.arange(len(i)), 0))
+
+
 def _block_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, cells: Cells, exclude_self: bool,
                 use_fold: bool, count=None) -> pd.DataFrame:
     """The k nearest references of each query of one block pair: (id, neighbour, distance).
@@ -324,47 +345,59 @@ def _block_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, cells: Cells, exclud
         i, j, least = (np.concatenate(x) for x in zip(*found))
         within = np.flatnonzero(least <= _loose(bound[i], metric))
         i, j = i[within], j[within]
-        dist, step = np.empty(len(i)), max(1, CHUNK // qv.shape[1])
+        dist, step = np.empty(len(i)), max(1, PAIRS // qv.shape[1])
         for s in range(0, len(i), step):
             dist[s:s + step] = _paired(qv[i[s:s + step]], rv[j[s:s + step]], metric)
         i, j, dist = (np.concatenate(x) for x in zip(kept, (i, j, dist)))
         order = np.lexsort((rid[j], np.round(dist, TIE_DIGITS), i))
         i, j, dist = i[order], j[order], dist[order]
-        first = np.r_[True, i[1:] != i[:-1]] if len(i) else np.zeros(0, bool)
-        nth = np.arange(len(i)) - np.maximum.accumulate(np.where(first, np.arange(len(i)), 0))
+        _, nth = _numbered(i)
         return i[nth < k], j[nth < k], dist[nth < k]
 
     order = np.argsort(rc, kind="stable")
     starts = np.flatnonzero(np.r_[True, rc[order][1:] != rc[order][:-1]])
-    # the cells that most queries are in come first: they lower the bounds
+    # the cells that most queries are in come first, the first by a few references: they lower the bounds
     groups = sorted(np.split(order, starts[1:]), key=lambda g: -np.count_nonzero(own == rc[g[0]]))
-    for at in groups:
+    pieces = [groups[0][:FIRST], groups[0][FIRST:], *groups[1:]]
+    for at in (g[s:s + PIECE] for g in pieces for s in range(0, len(g), PIECE)):
         c = rc[at[0]]
         one = np.array([c])
         asked = np.flatnonzero(cells.within(cells.to_pivots(q, one), near, own, bound, one)[:, 0])
-        step = max(1, CHUNK // len(at))
+        if not len(asked):
+            continue
+        find = _finder(r[at], metric, cells.pivots[c])
+        step = max(1, PAIRS // len(at))
         for s in range(0, len(asked), step):
             some = asked[s:s + step]
-            d, off = _matrix(q[some], r[at], metric, cells.pivots[c], _loose(bound[some], metric))
+            i, j, d, off = find(q[some], _loose(bound[some], metric))
             if count is not None:
-                count.add(d.size)
+                count.add(len(some) * len(at))
+            valid = np.ones(len(i), bool)
             if exclude_self:
-                d[qid[some, None] == rid[None, at]] = np.inf
+                valid &= qid[some[i]] != rid[at[j]]
             if use_fold:
-                d[qf[some, None] == rf[None, at]] = np.inf
-            hit = (d <= (_loose(bound[some], metric) + off)[:, None]).any(axis=1)
-            some, d, off = some[hit], d[hit], off[hit, None]
-            if not len(some):
+                valid &= qf[some[i]] != rf[at[j]]
+            i, j, d, off = i[valid], j[valid], d[valid], off[valid]
+            if not len(i):
                 continue
             # a distance and the bound it meets may each be off by ``off``
-            top = np.partition(d, k - 1, axis=1)[:, :k] if d.shape[1] > k else d
-            top = np.partition(np.concatenate([best[some], top + off], axis=1), k - 1, axis=1)[:, :k]
-            best[some] = top
-            bound[some] = np.minimum(bound[some], top.max(axis=1))
-            i, j = np.nonzero(np.isfinite(d) & (d <= _loose(bound[some], metric)[:, None] + off))
-            found.append((some[i], at[j], d[i, j] - off[i, 0]))
-            n_found += len(i)
-            if n_found > CHUNK:
+            row, nth = _numbered(i)
+            rows = some[i[nth == 0]]
+            if len(i) * 8 > len(rows) * len(at):
+                top = np.full((len(rows), max(k, len(at))), np.inf)
+                top[row, j] = d + off
+                top = np.partition(top, k - 1, axis=1)[:, :k]
+            else:
+                order = np.lexsort((d, i))
+                top = np.full((len(rows), k), np.inf)
+                first = nth < k
+                top[row[first], nth[first]] = (d + off)[order][first]
+            best[rows] = top = np.partition(np.concatenate([best[rows], top], axis=1), k - 1, axis=1)[:, :k]
+            bound[rows] = np.minimum(bound[rows], top.max(axis=1))
+            within = d <= _loose(bound[some], metric)[i] + off
+            found.append((some[i[within]], at[j[within]], (d - off)[within]))
+            n_found += np.count_nonzero(within)
+            if n_found > PAIRS:
                 kept, found, n_found = ranked(), [], 0
     if found:
         kept = ranked()
