@@ -18,6 +18,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -57,6 +58,15 @@ FEW = 0.03
 # probed at a time: each gives as many rows as it has probes.
 PROBE_BITS = 8
 PROBE_ROWS = 512
+# Hashed vectors go to blocks where they look in 1 / MEET_SHARE of a table's buckets or more:
+# rows and components of such a block at most, buckets of all tables at most, references
+# that start a block, and the share (1 / MANY) of a tile's pairs from which buckets are read for all of it.
+MEET_SHARE = 8
+MEET_ROWS = 65_536
+MEET_VALUES = 4 << 20
+MEET_BUCKETS = 16_384
+MEET_FIRST = 512
+MANY = 16
 
 
 # ---------------------------------------------------------------- K1-K3
@@ -567,18 +577,38 @@ def cross_val(df: DataFrame, k: int, folds: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------- K8
+def _margins(v: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
+    """(vectors, tables, bits): where each vector lies by ``bits`` random hyperplanes a table."""
+    planes = np.random.default_rng(seed).standard_normal((v.shape[1], tables * bits))
+    return (v @ planes).reshape(len(v), tables, bits)
+
+
+def _own_buckets(v: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
+    """(vectors, tables): the bucket of each vector in every table."""
+    return (_margins(v, bits, tables, seed) > 0) @ (1 << np.arange(bits))
+
+
+def _looked_in(v: np.ndarray, bits: int, tables: int, probes: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Table and bucket, each (vectors, probes), of the buckets nearest to each vector (see ``probed``)."""
+    wide = min(bits, PROBE_BITS)
+    flips = (np.arange(1 << wide)[:, None] >> np.arange(wide)) & 1
+    margin = _margins(v, bits, tables, seed)
+    order = np.argsort(np.abs(margin), axis=2, kind="stable")[:, :, :wide]
+    cost = np.take_along_axis(margin, order, 2) ** 2 @ flips.T
+    bucket = ((margin > 0) @ (1 << np.arange(bits)))[:, :, None] ^ ((1 << order) @ flips.T)
+    best = np.argsort(cost.reshape(len(v), -1), axis=1, kind="stable")[:, :min(probes, tables << wide)]
+    return best >> wide, np.take_along_axis(bucket.reshape(len(v), -1), best, 1)
+
+
 def signatures(df: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
     """(id, v, tab, bucket): each vector's side of ``bits`` random hyperplanes, per table."""
     def sign(frames):
         for f in frames:
             if not len(f):
                 continue
-            v = np.stack(f["v"].to_numpy())
-            planes = np.random.default_rng(seed).standard_normal((v.shape[1], tables * bits))
-            side = (v @ planes > 0).reshape(len(v), tables, bits)
-            bucket = side @ (1 << np.arange(bits))
+            bucket = _own_buckets(np.stack(f["v"].to_numpy()), bits, tables, seed)
             yield pd.DataFrame({"id": np.repeat(f["id"].to_numpy(), tables), "v": f["v"].repeat(tables).to_numpy(),
-                                "tab": np.tile(np.arange(tables), len(v)), "bucket": bucket.reshape(-1)})
+                                "tab": np.tile(np.arange(tables), len(f)), "bucket": bucket.reshape(-1)})
 
     return (df.where(F.col("v").isNotNull()).select("id", "v")
             .mapInPandas(sign, "id long, v array<double>, tab int, bucket long"))
@@ -591,42 +621,164 @@ def probed(df: DataFrame, bits: int, tables: int, probes: int, seed: int) -> Dat
     vector; the cheapest are taken, the vector's own buckets (cost 0) first.
     Of each table the ``PROBE_BITS`` signs of smallest margin may be flipped.
     """
-    wide = min(bits, PROBE_BITS)
-    flips = (np.arange(1 << wide)[:, None] >> np.arange(wide)) & 1
-    take = min(probes, tables << wide)
-
     def look(frames):
         for f in frames:
             for s in range(0, len(f), PROBE_ROWS):
                 part = f.iloc[s:s + PROBE_ROWS]
-                v = np.stack(part["v"].to_numpy())
-                planes = np.random.default_rng(seed).standard_normal((v.shape[1], tables * bits))
-                margin = (v @ planes).reshape(len(v), tables, bits)
-                order = np.argsort(np.abs(margin), axis=2, kind="stable")[:, :, :wide]
-                cost = np.take_along_axis(margin, order, 2) ** 2 @ flips.T
-                bucket = ((margin > 0) @ (1 << np.arange(bits)))[:, :, None] ^ ((1 << order) @ flips.T)
-                best = np.argsort(cost.reshape(len(v), -1), axis=1, kind="stable")[:, :take]
+                tab, bucket = _looked_in(np.stack(part["v"].to_numpy()), bits, tables, probes, seed)
+                take = tab.shape[1]
                 yield pd.DataFrame({"id": np.repeat(part["id"].to_numpy(), take), "v": part["v"].repeat(take).to_numpy(),
-                                    "tab": (best >> wide).reshape(-1),
-                                    "bucket": np.take_along_axis(bucket.reshape(len(v), -1), best, 1).reshape(-1)})
+                                    "tab": tab.reshape(-1), "bucket": bucket.reshape(-1)})
 
     return (df.where(F.col("v").isNotNull()).select("id", "v")
             .mapInPandas(look, "id long, v array<double>, tab int, bucket long"))
 
 
-def knn_approx(df: DataFrame, k: int, bits: int = 6, tables: int = 12, seed: int = 42,
-               block_rows: int = 2048, probes: int = 60) -> DataFrame:
-    """K8: approximate self k-NN (Euclidean) by hyperplane hashing: (id, neighbour, rank, distance).
+def _hashed(df: DataFrame, bits: int, tables: int, probes: int, seed: int) -> DataFrame:
+    """(id, v, files, asks, salt), a row a vector: its bucket in every table as 16-bit numbers,
+    the buckets it looks in as a bit string over the buckets of all tables, and a number to deal it by."""
+    def code(frames):
+        seen = TaskContext.get().partitionId()
+        for f in frames:
+            for s in range(0, len(f), PROBE_ROWS):
+                part = f.iloc[s:s + PROBE_ROWS]
+                v = np.stack(part["v"].to_numpy())
+                own = (_own_buckets(v, bits, tables, seed) + (np.arange(tables) << bits)).astype(np.uint16)
+                tab, bucket = _looked_in(v, bits, tables, probes, seed)
+                asks = np.zeros((len(v), tables << bits), bool)
+                np.put_along_axis(asks, (tab << bits) + bucket, True, axis=1)
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "v": part["v"].to_numpy(), "files": [x.tobytes() for x in own],
+                                    "asks": [x.tobytes() for x in np.packbits(asks, axis=1)], "salt": np.arange(seen, seen + len(v))})
+                seen += len(v)
 
-    A vector is filed under its ``bits`` signs in every table, and meets those
-    filed in the ``probes`` buckets nearest to it (``probed``).  Buckets are
-    worked on in block pairs of ``block_rows``, so a hot bucket only has more
-    of them.  Widening: a vector with fewer than k neighbours found is searched
-    exactly against all.
+    return df.select("id", "v").mapInPandas(code, "id long, v array<double>, files binary, asks binary, salt long")
+
+
+def _met_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, buckets: int) -> pd.DataFrame:
+    """The k nearest of the references that each query of one block pair meets: (id, neighbour, distance).
+
+    A piece of the references is compared with the queries that look in one of its
+    buckets.  Products in single precision only sort out what lies beyond a query's
+    bound, with their rounding allowed for; what is left must be filed in a bucket
+    that the query looks in, and is ranked by distances in double precision.
+    """
+    if not len(qp) or not len(rp):
+        return pd.DataFrame({"id": np.zeros(0, np.int64), "neighbour": np.zeros(0, np.int64), "distance": np.zeros(0)})
+    qv, rv = np.stack(qp["qv"].to_numpy()), np.stack(rp["rv"].to_numpy())
+    qid, rid = qp["qid"].to_numpy(np.int64), rp["rid"].to_numpy(np.int64)
+    asks = np.frombuffer(b"".join(qp["asks"]), np.uint8).reshape(len(qv), -1)
+    files = np.frombuffer(b"".join(rp["files"]), np.uint16).reshape(len(rv), -1)
+    # around the references' mean, and scaled: nothing overflows in single precision
+    origin, dim = rv.mean(axis=0), rv.shape[1]
+    size = max(np.abs(qv - origin).max(initial=0), np.abs(rv - origin).max(initial=0)) or 1.0
+    a, b = (((v - origin) / size).astype(np.float32) for v in (qv, rv))
+    a2, b2 = ((v * v).sum(axis=1, dtype=float) for v in (a, b))
+    off = 4 * (dim + 8) * float(np.finfo(np.float32).eps) * (np.sqrt(a2) + math.sqrt(b2.max(initial=0))) ** 2
+    # a row's product with a column is the squared distance less the query's square
+    a, b = np.column_stack([-2 * a, np.ones(len(a), np.float32)]), np.column_stack([b, b2.astype(np.float32)])
+    bound = np.full(len(qv), np.inf)
+    none = np.zeros(0, np.int64)
+    kept, found, n_found = (none, none, np.zeros(0)), [], 0  # ranked so far; and (query, reference) since
+
+    def limit(i: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((_loose(bound[i], "euclidean") / size) ** 2 - a2[i] + off[i]).astype(np.float32)[:, None]
+
+    def ranked() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The k nearest of each query among those ranked before and those found since; bounds fall to the k-th."""
+        i, j = (np.concatenate(x) for x in zip(*found))
+        dist, step = np.empty(len(i)), max(1, PAIRS // dim)
+        for s in range(0, len(i), step):
+            dist[s:s + step] = _paired(qv[i[s:s + step]], rv[j[s:s + step]], "euclidean")
+        i, j, dist = (np.concatenate(x) for x in zip(kept, (i, j, dist)))
+        order = np.lexsort((rid[j], np.round(dist, TIE_DIGITS), i))
+        i, j, dist = i[order], j[order], dist[order]
+        _, nth = _numbered(i)
+        last = nth == k - 1
+        bound[i[last]] = np.minimum(bound[i[last]], dist[last])
+        return i[nth < k], j[nth < k], dist[nth < k]
+
+    # the first references come from all over the block, the others by their buckets
+    order = np.lexsort(files.T[::-1])
+    first = np.zeros(len(order), bool)
+    first[::max(1, len(order) // MEET_FIRST)] = True
+    order = np.r_[order[first], order[~first]]
+    n_first = np.count_nonzero(first)
+    for s in [*range(0, n_first, PIECE), *range(n_first, len(order), PIECE)]:
+        at = order[s:min(s + PIECE, n_first if s < n_first else len(order))]
+        there = np.zeros(buckets, bool)
+        there[files[at]] = True
+        asked = np.flatnonzero((asks & np.packbits(there)).any(axis=1))
+        piece = np.ascontiguousarray(b[at].T)
+        step = max(1, PAIRS // len(at))
+        for t in range(0, len(asked), step):
+            some = asked[t:t + step]
+            d2, reach = a[some] @ piece, limit(some)
+            near = d2 <= reach
+            n_near = np.count_nonzero(near)
+            if not n_near:
+                continue
+            if n_near * MANY > near.size:
+                looks = np.unpackbits(asks[some], axis=1, count=buckets).view(bool)
+                met = np.zeros(near.shape, bool)
+                for tab in range(files.shape[1]):
+                    met |= looks[:, files[at, tab]]
+                met &= qid[some][:, None] != rid[at]
+                d2[~met] = np.inf
+                if len(at) >= k:
+                    kth = np.partition(d2, k - 1, axis=1)[:, k - 1]
+                    bound[some] = np.minimum(bound[some], np.sqrt(np.maximum(kth + a2[some] + off[some], 0)) * size)
+                    reach = limit(some)
+                i, j = np.divmod(np.flatnonzero(met & (d2 <= reach)), len(at))
+            else:
+                i, j = np.divmod(np.flatnonzero(near), len(at))
+                filed = files[at[j]]
+                met = ((asks[some[i][:, None], filed >> 3] >> (7 - (filed & 7))) & 1).any(axis=1)
+                met &= qid[some[i]] != rid[at[j]]
+                i, j = i[met], j[met]
+            found.append((some[i], at[j]))
+            n_found += len(i)
+            if n_found > PAIRS:
+                kept, found, n_found = ranked(), [], 0
+    if found:
+        kept = ranked()
+    ids, others, dist = kept
+    return pd.DataFrame({"id": qid[ids], "neighbour": rid[others], "distance": dist})
+
+
+def _by_blocks(df: DataFrame, k: int, bits: int, tables: int, seed: int, probes: int) -> DataFrame:
+    """Every vector's k nearest rows among those filed in the buckets it looks in: (id, neighbour, rank, distance).
+
+    A vector is sent once to each block of the other side, with its buckets, and not once to each bucket;
+    a pair is compared once however many buckets it meets in.
+    """
+    hashed = cut_lineage(_hashed(df, bits, tables, probes, seed))
+    n, dim = hashed.agg(F.count("*"), F.max(F.size("v"))).first()
+    par = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    rows = max(64, min(MEET_ROWS, MEET_VALUES // max(1, dim or 1), math.ceil(n / math.ceil(math.sqrt(2 * par)))))
+    blocks = max(1, math.ceil(n / rows))
+    own, others = F.col("salt") % blocks, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+    qs = hashed.select(F.col("id").alias("qid"), F.col("v").alias("qv"), "asks", own.alias("x"), others.alias("y"))
+    rs = hashed.select(F.col("id").alias("rid"), F.col("v").alias("rv"), "files", others.alias("x"), own.alias("y"))
+
+    def block(qp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        return _met_topk(qp, rp, k, tables << bits)
+
+    # few block pairs of much work each: with more partitions than pairs, few tasks get several
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * blocks * blocks)
+    cand = (qs.repartition(parts, "x", "y").groupBy("x", "y").cogroup(rs.repartition(parts, "x", "y").groupBy("x", "y"))
+            .applyInPandas(block, "id long, neighbour long, distance double"))
+    return _ranked(cand, k).select("id", "neighbour", "rank", "distance")
+
+
+def _by_bucket(queries: DataFrame, df: DataFrame, k: int, bits: int, tables: int, seed: int, block_rows: int, probes: int) -> DataFrame:
+    """The k nearest ids among the k nearest rows of each bucket that a vector looks in: (id, neighbour, rank, distance).
+
+    Buckets are worked on in block pairs of ``block_rows``, so a hot bucket only has more of them.
     """
     keys = ["tab", "bucket"]
     filed = cut_lineage(signatures(df, bits, tables, seed))
-    asked = cut_lineage(probed(df, bits, tables, probes, seed))
+    asked = cut_lineage(probed(queries, bits, tables, probes, seed))
 
     def blocks(rows: DataFrame, name: str) -> DataFrame:
         return rows.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(block_rows)).alias(name))
@@ -648,7 +800,36 @@ def knn_approx(df: DataFrame, k: int, bits: int = 6, tables: int = 12, seed: int
 
     cand = (qs.groupBy(*keys).cogroup(rs.groupBy(*keys))
             .applyInPandas(block, "id long, neighbour long, distance double").dropDuplicates(["id", "neighbour"]))
-    found = cut_lineage(_ranked(cand, k).select("id", "neighbour", "rank", "distance"))
+    return _ranked(cand, k).select("id", "neighbour", "rank", "distance")
+
+
+def knn_approx(df: DataFrame, k: int, bits: int = 6, tables: int = 12, seed: int = 42,
+               block_rows: int = 2048, probes: int = 60) -> DataFrame:
+    """K8: approximate self k-NN (Euclidean) by hyperplane hashing: (id, neighbour, rank, distance).
+
+    A vector is filed under its ``bits`` signs in every table, and meets those
+    filed in the ``probes`` buckets nearest to it (``probed``).  Where these are
+    many of all buckets, vectors are dealt to blocks (``_by_blocks``), otherwise
+    to each bucket (``_by_bucket``); both give the same rows.  An id that is
+    there more than once takes several places of a bucket's k, so vectors with
+    such an id, or near one, are always searched bucket by bucket.  A vector
+    that is null, or has a null or non-finite component, takes no part.
+    Widening: a vector with fewer than k neighbours found is searched exactly
+    against all.
+    """
+    df = complete(df)
+    if probes * MEET_SHARE < 1 << bits or tables << bits > MEET_BUCKETS:
+        found = cut_lineage(_by_bucket(df, df, k, bits, tables, seed, block_rows, probes))
+    else:
+        found = cut_lineage(_by_blocks(df, k, bits, tables, seed, probes))
+        named = F.coalesce("id", F.lit(-1 << 63))  # what a null id is in a block's results
+        twice = cut_lineage(df.groupBy(named.alias("id")).count().where("count > 1").select("id"))
+        if not twice.isEmpty():
+            near = found.join(twice.withColumnRenamed("id", "neighbour"), "neighbour", "left_semi").select("id")
+            again = cut_lineage(twice.union(near).distinct())
+            some = df.join(again.withColumnRenamed("id", "again"), named == F.col("again"), "left_semi")
+            rest = _by_bucket(some, df, k, bits, tables, seed, block_rows, probes)
+            found = cut_lineage(found.join(again, "id", "left_anti").unionByName(rest))
     full = found.groupBy("id").count().where(F.col("count") >= k).select("id")
     short = cut_lineage(df.where(F.col("v").isNotNull()).join(full, "id", "left_anti"))
     if short.isEmpty():
