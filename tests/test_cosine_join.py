@@ -76,3 +76,46 @@ def test_no_row_per_pair_is_shuffled(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     by = [line.split("hashpartitioning(")[1].split(")")[0] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
     assert [x for x in by if x.startswith("a#")] and not [x for x in by if "item_b" in x or "b#" in x]
+
+
+def stored(spark, work):
+    """Bytes shuffled and written below the checkpoint folder by ``work``."""
+    import os
+
+    from quarry.session import checkpoint_dir
+
+    top = checkpoint_dir(spark).removeprefix("file:")
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def now():
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        shuffled = sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+        return shuffled + sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(top) for f in files)
+
+    before = now()
+    work()
+    return now() - before
+
+
+def test_what_is_stored_grows_with_the_ratings(spark):
+    """Lists of a user's items are neither shuffled nor written: ten times longer ones take as much a rating."""
+    def rows(users, items, seed=1):
+        rng = np.random.default_rng(seed)
+        return [(u, f"i{i}", float(rng.integers(1, 51)), 1) for u in range(users) for i in rng.choice(1000, items, replace=False)]
+
+    def size(r):
+        return stored(spark, lambda: C.similar_items(spark.createDataFrame(r, SCHEMA).repartition(8), 0.2).collect()) / len(r)
+
+    short, long = size(rows(600, 20)), size(rows(60, 200))
+    assert long < 1.5 * short and long < 150
+
+
+def test_items_of_many_pieces_and_blocks(spark, monkeypatch):
+    """Blocks and pieces decide nothing, whatever the items' sizes."""
+    rows = rows_of(5)
+    df = spark.createDataFrame([(u, None if i is None else int(i.encode().hex()[:12], 16), x, e) for u, i, x, e in rows], "user long, item long, rating double, extra int")
+    want = {(r.item_a, r.item_b, r.n_common, round(r.similarity, 9)) for r in C.similar_items(df, 0.3).collect()}
+    monkeypatch.setattr(C, "PIECE_ROWS", 7)
+    monkeypatch.setattr(C, "PRODUCTS", 64)
+    got = C.similar_items(df, 0.3, hot_rows=20).collect()
+    assert {(r.item_a, r.item_b, r.n_common, round(r.similarity, 9)) for r in got} == want and len(got) == len(want) > 10
