@@ -54,6 +54,19 @@ FIRST = 256
 TILE = 1 << 16
 LOOK = 8
 FEW = 0.03
+# Steps that a component is cut in to sift pairs, bytes of a tile sifted at a time, queries and references
+# from which a piece is sifted, the share of a query's pairs that may be left, how many times PAIRS are compared
+# at a time while few are, and how many times the rows and values of a block are met then.
+SIFTED = ("manhattan", "chebyshev")
+SIFT_STEPS = 64
+SIFT_TILE = 1 << 18
+SIFT_QUERIES = 256
+SIFT_REFS = 32
+SIFT_FEW = 0.15
+SIFT_PAIRS = 4
+SIFT_BLOCKS = 2
+# One reference in so many, up to PIVOT_SAMPLE, is compared with every query first, to bound its k-th distance.
+SAMPLE_SHARE = 16
 # Signs that a probe may flip in a table (all subsets are tried), and vectors
 # probed at a time: each gives as many rows as it has probes.
 PROBE_BITS = 8
@@ -135,14 +148,15 @@ def _paired(q: np.ndarray, r: np.ndarray, metric: str) -> np.ndarray:
     return gap.sum(axis=1) if metric == "manhattan" else gap.max(axis=1)
 
 
-def _finder(r: np.ndarray, metric: str, origin: np.ndarray):
+def _finder(r: np.ndarray, metric: str, origin: np.ndarray, asked: int = 0):
     """A function of (queries, reach) over references ``r``, all spread: the pairs that may be within their
     query's ``reach``, as (query, reference, distance, how far it may be off), sorted by query.
 
     The Euclidean distances come from one matrix product of vectors taken from
     ``origin``, a point near the references: a common offset of all vectors
     cancels before anything is squared.  What rounding is left is bounded from
-    the lengths and the machine's precision.  Sums and maxima of gaps go by ``_by_component``.
+    the lengths and the machine's precision.  Sums and maxima of gaps go by ``_by_component``,
+    where ``asked`` queries or references are many only for queries that ``_sift`` leaves too many pairs of.
     """
     b = r - origin
     b2 = (b * b).sum(axis=1)
@@ -163,7 +177,152 @@ def _finder(r: np.ndarray, metric: str, origin: np.ndarray):
         i, j = np.nonzero(np.isfinite(d) & (d <= (reach + off)[:, None]))
         return i, j, d[i, j].astype(float), off[i]
 
-    return product if metric in ("euclidean", "cosine") else gaps
+    def sifted(q: np.ndarray, reach: np.ndarray):
+        i, j, crowded = sift(q - origin, reach)
+        d, off = np.empty(len(i)), np.zeros(len(i))
+        step = max(1, PAIRS // max(1, q.shape[1]))
+        for s in range(0, len(i), step):
+            x, y = q[i[s:s + step]], r[j[s:s + step]]
+            d[s:s + step] = _paired(x, y, metric)
+        near = d <= reach[i]
+        i, j, d, off = i[near], j[near], d[near], off[near]
+        if len(crowded):
+            rows, cols, dense, dense_off = gaps(q[crowded], reach[crowded])
+            i, j, d, off = (np.concatenate(x) for x in ((i, crowded[rows]), (j, cols), (d, dense), (off, dense_off)))
+        order = np.argsort(i, kind="stable")
+        return i[order], j[order], d[order], off[order]
+
+    if metric in ("euclidean", "cosine"):
+        return product
+    sift = _sift(b, metric) if asked >= SIFT_QUERIES and len(r) >= SIFT_REFS else None
+    return sifted if sift else gaps
+
+
+def _true(of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where ``of``, rows of a multiple of 8, is true: as ``nonzero``, faster where little is."""
+    word = np.flatnonzero(of.reshape(-1).view(np.uint64))
+    at, byte = np.nonzero(of.reshape(-1, 8)[word])
+    return np.divmod(word[at] * 8 + byte, of.shape[1])
+
+
+def _sift(b: np.ndarray, metric: str):
+    """A function of (queries, reach) that gives (query, reference) of the pairs that may be within reach, and the
+    queries of which too many are; None if components can't be cut in steps.
+
+    Every component is cut in equal steps.  For the greatest gap, a bit a reference says for every step
+    whether the reference is up to it, and from it on: two ands a component leave those within reach.
+    For the sum, a byte a reference has the steps between it and every step; their sum, less how
+    far query and reference lie from their steps, bounds the distance from below.
+    """
+    n, dim = b.shape
+    low, most = b.min(axis=0), np.abs(b).max(initial=0)
+    span = np.ptp(b, axis=0) if most < 1e150 else np.zeros(dim)
+    steps = max(2, min(SIFT_STEPS, 60_000 // max(1, dim)))
+    if not span.max(initial=0) > 0 or not 0 < dim < 30_000:
+        return None
+    order = np.argsort(-span, kind="stable")  # components of the largest spread come first
+    b, low, span = b[:, order], low[order], span[order]
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        scale = np.where(span > 0, (steps if metric == "chebyshev" else 0) / span, 0.0)
+    step = span.max() / (steps - 1)
+    if not np.isfinite(scale).all() or not step > 0 or not np.isfinite(1 / step):
+        return None
+
+    def cut(v: np.ndarray) -> np.ndarray:
+        """The steps of values; a value never has a later step than a greater one."""
+        with np.errstate(over="ignore"):
+            at = np.floor((v - low) * scale) if metric == "chebyshev" else np.rint((v - low) / step)
+        return np.clip(at, 0, steps - 1).astype(np.uint8)
+
+    own = cut(b).T
+    some = max(1, SIFT_TILE // n)
+
+    if metric == "chebyshev":
+        wide = -(-n // 64) * 64
+        bits = np.zeros((dim, steps, wide // 8), np.uint8)
+        bits[:, :, :-(-n // 8)] = np.packbits(own[:, None] <= np.arange(steps, dtype=np.uint8)[None, :, None], axis=2, bitorder="little")
+        upto = bits.view(np.uint64)
+        since = np.full_like(upto, np.iinfo(np.uint64).max)
+        since[:, 1:] = ~upto[:, :-1]
+        some *= 8
+
+        def few(a: np.ndarray, reach: np.ndarray):
+            first, last = (np.ascontiguousarray(cut(a + side * reach[:, None]).T) for side in (-1, 1))
+            rows, left = np.arange(len(a)), np.full((len(a), wide // 64), np.iinfo(np.uint64).max)
+            buffer = np.empty_like(left)
+            for c in range(dim):
+                for table, at in ((upto, last), (since, first)):
+                    np.take(table[c], at[c], axis=0, out=buffer, mode="clip")
+                    np.bitwise_and(left, buffer, out=left)
+                if c % LOOK == LOOK - 1:
+                    alive = np.flatnonzero(left.any(axis=1))
+                    if 2 * len(alive) < len(rows):
+                        rows, left, first, last = rows[alive], left[alive], first[:, alive], last[:, alive]
+                        buffer = np.empty_like(left)
+                        if not len(rows):
+                            break
+            count = np.bitwise_count(left).sum(axis=1)
+            crowded = count > max(4, SIFT_FEW * n)
+            i, w = np.nonzero(left * ~crowded[:, None])
+            at, bit = np.nonzero(np.unpackbits(left[i, w].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+            return rows[i[at]], w[at] * 64 + bit, rows[crowded]
+    else:
+        wide = -(-n // 16) * 16
+        table = np.zeros((dim, steps, wide), np.uint8)
+        levels = np.arange(steps, dtype=np.uint8)[None, :, None]
+        np.subtract(np.maximum(levels, own[:, None]), np.minimum(levels, own[:, None]), out=table[:, :, :n])
+        far = lambda v, at: np.abs(v - (low + at * step)).sum(axis=1) / step * (1 + 1e-9)
+        # what a reference lies off its steps is taken from its sum at the start
+        off = np.zeros(wide, np.int64)
+        off[:n] = np.ceil(far(b, own.T))
+        spare = int(off.max())
+        start = (spare - off).astype(np.uint16).reshape(-1, 2).T
+        together = max(1, 255 // (steps - 1))
+
+        def few(a: np.ndarray, reach: np.ndarray):
+            at = cut(a)
+            with np.errstate(over="ignore"):
+                limit = np.minimum(np.floor(reach / step * (1 + 1e-9) + far(a, at) + 1e-6) + spare, 65_535).astype(np.uint16)
+            at, rows = np.ascontiguousarray(at.T), np.arange(len(a))
+            odd = [np.repeat(x[None], len(a), axis=0) for x in start]
+            total, buffer = np.empty((len(a), wide), np.uint8), np.empty((len(a), wide), np.uint8)
+            half = np.empty((len(a), wide // 2), np.uint16)
+            for c in range(0, dim, together):
+                np.take(table[c], at[c], axis=0, out=total, mode="clip")
+                for d in range(c + 1, min(dim, c + together)):
+                    np.take(table[d], at[d], axis=0, out=buffer, mode="clip")
+                    np.add(total, buffer, out=total)
+                pairs = total.view(np.uint16)
+                np.bitwise_and(pairs, 255, out=half)
+                np.add(odd[0], half, out=odd[0])
+                np.right_shift(pairs, 8, out=half)
+                np.add(odd[1], half, out=odd[1])
+                if c // together % 4 == 3 and c + together < dim:
+                    alive = np.flatnonzero(np.minimum(odd[0], odd[1], out=half).min(axis=1) <= limit)
+                    if 2 * len(alive) < len(rows):
+                        rows, limit, at, odd = rows[alive], limit[alive], at[:, alive], [x[alive] for x in odd]
+                        total, buffer, half = total[:len(rows)], buffer[:len(rows)], half[:len(rows)]
+                        if not len(rows):
+                            break
+            found = [_true(x <= limit[:, None]) for x in odd]
+            i, j = np.concatenate([x[0] for x in found]), np.concatenate([2 * x[1] + k for k, x in enumerate(found)])
+            i, j = i[j < n], j[j < n]
+            crowded = np.bincount(i, minlength=len(rows)) > max(4, SIFT_FEW * n)
+            few_left = ~crowded[i]
+            return rows[i[few_left]], j[few_left], rows[crowded]
+
+    def sift(a: np.ndarray, reach: np.ndarray):
+        # past rounding of the sums above
+        size = np.abs(a).max(axis=1, initial=0) + most
+        reach = np.minimum(reach, 1e300) * (1 + 1e-9) + 8 * (dim + 8) * np.finfo(float).eps * size * (1 if metric == "chebyshev" else dim)
+        a = a[:, order]
+        out = []
+        for s in range(0, len(a), some):
+            i, j, crowded = few(a[s:s + some], reach[s:s + some])
+            out.append((i + s, j, crowded + s))
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+
+    return sift
 
 
 def _by_component(a: np.ndarray, b: np.ndarray, metric: str, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -333,21 +492,28 @@ def _numbered(i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _block_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, cells: Cells, exclude_self: bool,
                 use_fold: bool, count=None) -> pd.DataFrame:
-    """The k nearest references of each query of one block pair: (id, neighbour, distance).
+    """The k nearest references of each query of one block pair: (id, neighbour, distance)."""
+    if not len(qp) or not len(rp):
+        return pd.DataFrame({"id": np.zeros(0, np.int64), "neighbour": np.zeros(0, np.int64), "distance": np.zeros(0)})
+    i, j, distance, _ = _search(qp, rp, k, cells, exclude_self, use_fold, count)
+    return pd.DataFrame({"id": qp["qid"].to_numpy(np.int64)[i], "neighbour": rp["rid"].to_numpy(np.int64)[j], "distance": distance})
+
+
+def _search(qp: pd.DataFrame, rp: pd.DataFrame, k: int, cells: Cells, exclude_self: bool, use_fold: bool, count=None):
+    """(query, reference, distance) of the k nearest references of each query, and bounds of the k-th distances.
 
     Cells are taken in turn; only queries that a cell can hold a neighbour of
     are compared with it, under a bound that falls with what was found before.
     """
     metric = cells.metric
     empty = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-    if not len(qp) or not len(rp):
-        return pd.DataFrame(dict(zip(("id", "neighbour", "distance"), empty)))
     qv, rv = np.stack(qp["qv"].to_numpy()), np.stack(rp["rv"].to_numpy())
     q, r = (qv, rv) if metric != "cosine" else (_spread(qv, metric), _spread(rv, metric))
     qid, rid = qp["qid"].to_numpy(np.int64), rp["rid"].to_numpy(np.int64)
     qf, rf = qp["fold"].to_numpy(), rp["fold"].to_numpy()
     rc, own, near = rp["cell"].to_numpy(np.int64), qp["cell"].to_numpy(np.int64), qp["near"].to_numpy()
     bound, best = qp["bound"].to_numpy().copy(), np.full((len(q), k), np.inf)
+    few = False  # whether the last comparison left few pairs
     kept, found, n_found = empty, [], 0  # ranked so far; and (query, reference, least distance) since
 
     def ranked() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -375,11 +541,13 @@ def _block_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, cells: Cells, exclud
         asked = np.flatnonzero(cells.within(cells.to_pivots(q, one), near, own, bound, one)[:, 0])
         if not len(asked):
             continue
-        find = _finder(r[at], metric, cells.pivots[c])
-        step = max(1, PAIRS // len(at))
-        for s in range(0, len(asked), step):
-            some = asked[s:s + step]
+        find = _finder(r[at], metric, cells.pivots[c], len(asked))
+        done = 0
+        while done < len(asked):
+            some = asked[done:done + max(1, PAIRS * (SIFT_PAIRS if few else 1) // len(at))]
+            done += len(some)
             i, j, d, off = find(q[some], _loose(bound[some], metric))
+            few = metric in SIFTED and len(i) * 32 < len(some) * len(at)
             if count is not None:
                 count.add(len(some) * len(at))
             valid = np.ones(len(i), bool)
@@ -409,10 +577,7 @@ def _block_topk(qp: pd.DataFrame, rp: pd.DataFrame, k: int, cells: Cells, exclud
             n_found += np.count_nonzero(within)
             if n_found > PAIRS:
                 kept, found, n_found = ranked(), [], 0
-    if found:
-        kept = ranked()
-    ids, others, dist = kept
-    return pd.DataFrame({"id": qid[ids], "neighbour": rid[others], "distance": dist})
+    return (*(ranked() if found else kept), bound)
 
 
 def _ranked(cand: DataFrame, k: int) -> DataFrame:
@@ -479,27 +644,38 @@ def knn(q: DataFrame, r: DataFrame, k: int, exclude_self: bool = True,
     qs = complete(q, metric).select("id", F.col("v").cast("array<double>").alias("v"), *fold)
     rs = complete(r, metric).select("id", F.col("v").cast("array<double>").alias("v"), *fold)
     nr = rs.count()
-    sample = [x["v"] for x in rs.orderBy(F.xxhash64("id")).limit(PIVOT_SAMPLE).select("v").collect()]
+    chosen = rs.orderBy(F.xxhash64("id")).limit(PIVOT_SAMPLE).select("id", "v", "fold").collect()
+    sample = [x["v"] for x in chosen]
     if not sample:
         return labels.where("false").select(F.lit(0).cast("long").alias("id"), "neighbour", F.lit(0).alias("rank"),
                                             F.lit(0.0).alias("distance"), "neighbour_label")
     if block_rows is None:
         par = max(1, spark.sparkContext.defaultParallelism)
-        block_rows = max(64, min(MAX_BLOCK_ROWS, MAX_BLOCK_VALUES // max(1, len(sample[0])), math.ceil(nr / math.ceil(math.sqrt(2 * par)))))
+        more = SIFT_BLOCKS if metric in SIFTED else 1
+        block_rows = max(64, min(more * MAX_BLOCK_ROWS, more * MAX_BLOCK_VALUES // max(1, len(sample[0])), math.ceil(nr / math.ceil(math.sqrt(2 * par)))))
     n = pivots or max(1, min(MAX_PIVOTS, round(math.sqrt(nr) / 2)))
     cells = Cells(_pivots(_spread(np.array(sample), metric), n), metric, k + exclude_self)
     placed = cut_lineage(_celled(rs, cells))
     _describe(placed, cells, block_rows, use_fold)
+    # sums and maxima of gaps are compared with some references first, as they cost little under a good bound
+    early = [x for x in chosen[:nr // SAMPLE_SHARE] if x["id"] is not None and x["fold"] is not None] if metric in SIFTED else []
+    early = pd.DataFrame({"rid": [x["id"] for x in early], "rv": [np.array(x["v"]) for x in early], "fold": [x["fold"] for x in early], "cell": 0})
+    around = Cells(cells.pivots[:1], metric, cells.rank)
+    around.low[:], around.high[:] = -np.inf, np.inf
 
     def route(frames):
         step = max(1, CHUNK // (len(cells.pivots) * cells.rank * max(1, len(cells.least))))
         for f in frames:
+            known = np.full(len(f), np.inf)
+            if len(early) and len(f):
+                asks = pd.DataFrame({"qid": f["id"], "qv": f["v"], "fold": f["fold"], "cell": 0, "near": np.inf, "bound": np.inf})
+                known = _search(asks, early, k, around, exclude_self, use_fold, count)[3]
             for s in range(0, len(f), step):
                 part = f.iloc[s:s + step]
                 far = cells.to_pivots(_spread(np.stack(part["v"].to_numpy()), metric))
                 own = np.argmin(far, axis=1)
                 near, fold = far[np.arange(len(far)), own], part["fold"].to_numpy()
-                bound = cells.bound(far, fold, use_fold)
+                bound = np.minimum(cells.bound(far, fold, use_fold), known[s:s + step])
                 i, rb = np.nonzero(cells.blocks_in(cells.within(far, near, own, bound)))
                 if len(i):
                     salt = pd.util.hash_array(part["id"].to_numpy(np.int64)).astype(np.int64) & 0xFFFF
