@@ -259,7 +259,8 @@ def candidates(h: DataFrame, threshold: float, hot_rows: int = BLOCK_ROWS, whole
     numbers = numbers.select("a", (nth * parts + F.col("part")).alias("block"))
     block = cut_lineage(block.join(numbers, "block").select("piece", "a"))
     blocks = (pieces.join(F.broadcast(block), "piece").select("a", "data").repartition(parts, "a")
-              .groupBy("a").agg(F.collect_list("data").alias("data")))
+              .groupBy("a").agg(F.collect_list("data").alias("data"))
+              .coalesce(parts))  # every two partitions are a task, also where a session deals by more
     other = blocks.select(F.col("a").alias("z"), F.col("data").alias("z_data"))
     both = blocks.join(other.hint("shuffle_replicate_nl"), F.col("a") <= F.col("z"))
 
